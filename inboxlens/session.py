@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session for tests and benchmarks (no web UI)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app) \
         .config("spark.ui.enabled", "false") \
+        .config("spark.ui.showConsoleProgress", "false") \
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)) \
         .config("spark.driver.memory", "8g")
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
