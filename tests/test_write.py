@@ -1,0 +1,21 @@
+from helpers import build_from
+from seed_rows import seed_tables
+
+from inboxlens import OUTPUTS, Connection, read_sources
+from inboxlens.plans.write import write_build
+
+
+def test_write_build_writes_all_outputs_and_staging(spark, tmp_path):
+    t = seed_tables(spark)
+    raw = read_sources(spark, [Connection("conn_a", t)])
+    target = str(tmp_path / "marts")
+    written = write_build(spark, raw, target)
+    for name in OUTPUTS:
+        assert written[name] == f"{target}/{name}"
+    assert written["stg_members"] == f"{target}_stg/stg_members"
+    assert written["int_automation_recipients"] == f"{target}/_int/int_automation_recipients"
+    lazy = build_from(spark, t)
+    for name in OUTPUTS:
+        stored = spark.read.parquet(written[name])
+        assert stored.columns == lazy[name].columns
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, lazy[name].collect())), name
