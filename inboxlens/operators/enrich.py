@@ -19,16 +19,17 @@ SR = "source_relation"
 
 def attach(base: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]],
            columns: Sequence[tuple[str, str]], fill: dict[str, object] | None = None,
-           ) -> DataFrame:
+           by_source: bool = True) -> DataFrame:
     """``base LEFT JOIN other ON base.l = other.r AND ... AND source_relation``.
 
     ``on`` lists (base column, other column) pairs; ``columns`` lists
     (output name, other column) pairs appended after the base columns;
     ``fill`` maps output names to the value used when it is NULL
-    (``coalesce``).  Output keeps base's columns and order.
+    (``coalesce``).  Output keeps base's columns and order.  ``by_source``
+    False leaves ``source_relation`` out of the condition (one connection).
     """
     fill = fill or {}
-    pairs = [(SR, SR)] + [p for p in on if p != (SR, SR)]
+    pairs = ([(SR, SR)] if by_source else []) + [p for p in on if p != (SR, SR)]
     right_keys = [f"__k{i}" for i in range(len(pairs))]
     right = other.select(*[F.col(r).alias(k) for (_, r), k in zip(pairs, right_keys)],
                          *[F.col(src).alias(f"__v_{out}") for out, src in columns])
@@ -47,9 +48,10 @@ def attach(base: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]],
 
 
 def attach_metrics(base: DataFrame, metrics: DataFrame, keys: Sequence[str],
-                   names: Sequence[str], prefix: str = "", fill: object = 0) -> DataFrame:
+                   names: Sequence[str], prefix: str = "", fill: object = 0,
+                   by_source: bool = True) -> DataFrame:
     """Attach metric columns ``names`` of ``metrics`` as ``prefix + name``,
     NULL (no row for the key) replaced by ``fill``."""
     cols = [(prefix + n, n) for n in names]
     return attach(base, metrics, [(k, k) for k in keys], cols,
-                  fill={out: fill for out, _ in cols})
+                  fill={out: fill for out, _ in cols}, by_source=by_source)

@@ -24,6 +24,12 @@ from pyspark.sql import functions as F
 STRATEGIES = ("two_phase", "native")
 
 
+def _carried(cols: Sequence[str]) -> list[Column]:
+    # Columns known to be constant within each group (e.g. the connection
+    # name when there is only one): carried through without being a key.
+    return [F.any_value(c).alias(c) for c in cols]
+
+
 def _one_if(cond: Column) -> Column:
     # CASE WHEN cond THEN 1 END: NULL when no row matches, like the SQL models.
     return F.when(cond, F.lit(1))
@@ -37,12 +43,12 @@ def _present_flag(cond: Column) -> Column:
 def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
                       distinct_key: str = "member_id", action_col: str = "action_type",
                       open_mins: Mapping[str, str] | None = None,
-                      strategy: str = "two_phase") -> DataFrame:
+                      strategy: str = "two_phase", carry: Sequence[str] = ()) -> DataFrame:
     """Per group of ``keys``: opens, clicks (count of events, NULL if none),
     unique_opens, unique_clicks (distinct non-NULL ``distinct_key`` among open
     / click events) and, for each ``open_mins`` entry out -> column, the
     minimum of that column over open events.  Other actions (bounce) count
-    nowhere."""
+    nowhere.  ``carry`` columns are constant per group and passed through."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     keys = list(keys)
@@ -51,6 +57,7 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
     is_click = F.col(action_col) == F.lit("click")
     dk = F.col(distinct_key)
     mins = [F.min(F.when(is_open, F.col(src))).alias(out) for out, src in open_mins.items()]
+    kept = _carried(carry)
 
     if distinct_key in keys:
         return activities.groupBy(*keys).agg(
@@ -58,7 +65,7 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
             F.sum(_one_if(is_click)).alias("clicks"),
             _present_flag(is_open & dk.isNotNull()).alias("unique_opens"),
             _present_flag(is_click & dk.isNotNull()).alias("unique_clicks"),
-            *mins)
+            *mins, *kept)
 
     if strategy == "native":
         return activities.groupBy(*keys).agg(
@@ -66,25 +73,27 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
             F.sum(_one_if(is_click)).alias("clicks"),
             F.countDistinct(F.when(is_open, dk)).alias("unique_opens"),
             F.countDistinct(F.when(is_click, dk)).alias("unique_clicks"),
-            *mins)
+            *mins, *kept)
 
     part = activities.groupBy(*keys, distinct_key).agg(
         F.sum(_one_if(is_open)).alias("_opens"),
         F.sum(_one_if(is_click)).alias("_clicks"),
         F.bool_or(is_open).alias("_any_open"),
         F.bool_or(is_click).alias("_any_click"),
-        *[F.min(F.when(is_open, F.col(src))).alias(f"_min_{out}") for out, src in open_mins.items()])
+        *[F.min(F.when(is_open, F.col(src))).alias(f"_min_{out}") for out, src in open_mins.items()],
+        *kept)
     has_key = F.col(distinct_key).isNotNull()
     return part.groupBy(*keys).agg(
         F.sum("_opens").alias("opens"),
         F.sum("_clicks").alias("clicks"),
         F.count_if(F.col("_any_open") & has_key).alias("unique_opens"),
         F.count_if(F.col("_any_click") & has_key).alias("unique_clicks"),
-        *[F.min(f"_min_{out}").alias(out) for out in open_mins])
+        *[F.min(f"_min_{out}").alias(out) for out in open_mins], *kept)
 
 
 def recipient_rollup(recipients: DataFrame, keys: Sequence[str], *,
-                     unsubscribes: bool = True, strategy: str = "two_phase") -> DataFrame:
+                     unsubscribes: bool = True, strategy: str = "two_phase",
+                     carry: Sequence[str] = ()) -> DataFrame:
     """Per group of ``keys`` over per-send rows: sends (rows), opens, clicks
     (sums), unique_opens / unique_clicks / unsubscribes (distinct members
     whose send was opened / clicked / unsubscribed)."""
@@ -95,32 +104,34 @@ def recipient_rollup(recipients: DataFrame, keys: Sequence[str], *,
     if unsubscribes:
         flags.append(("unsubscribes", "was_unsubscribed"))
     m = F.col("member_id")
+    kept = _carried(carry)
 
     if "member_id" in keys:
         return recipients.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("sends"), F.sum("opens").alias("opens"),
             F.sum("clicks").alias("clicks"),
-            *[_present_flag(F.col(flag) & m.isNotNull()).alias(out) for out, flag in flags])
+            *[_present_flag(F.col(flag) & m.isNotNull()).alias(out) for out, flag in flags], *kept)
 
     if strategy == "native":
         return recipients.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("sends"), F.sum("opens").alias("opens"),
             F.sum("clicks").alias("clicks"),
-            *[F.countDistinct(F.when(F.col(flag), m)).alias(out) for out, flag in flags])
+            *[F.countDistinct(F.when(F.col(flag), m)).alias(out) for out, flag in flags], *kept)
 
     part = recipients.groupBy(*keys, "member_id").agg(
         F.count(F.lit(1)).alias("_sends"), F.sum("opens").alias("_opens"),
         F.sum("clicks").alias("_clicks"),
-        *[F.bool_or(F.col(flag)).alias(f"_any_{out}") for out, flag in flags])
+        *[F.bool_or(F.col(flag)).alias(f"_any_{out}") for out, flag in flags], *kept)
     return part.groupBy(*keys).agg(
         F.sum("_sends").alias("sends"), F.sum("_opens").alias("opens"),
         F.sum("_clicks").alias("clicks"),
-        *[F.count_if(F.col(f"_any_{out}") & m.isNotNull()).alias(out) for out, _ in flags])
+        *[F.count_if(F.col(f"_any_{out}") & m.isNotNull()).alias(out) for out, _ in flags], *kept)
 
 
-def count_rows(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def count_rows(df: DataFrame, keys: Sequence[str], name: str,
+               carry: Sequence[str] = ()) -> DataFrame:
     """COUNT(*) per group, combined map-side before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *_carried(carry))
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -129,7 +140,7 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], count_name: str,
-                     max_col: str, max_name: str) -> DataFrame:
+                     max_col: str, max_name: str, carry: Sequence[str] = ()) -> DataFrame:
     """COUNT(*) and MAX(col) per group."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
-                                 F.max(max_col).alias(max_name))
+                                 F.max(max_col).alias(max_name), *_carried(carry))

@@ -7,52 +7,58 @@ from pyspark.sql import DataFrame
 from ..operators.enrich import SR, attach, attach_metrics
 from ..operators.rollups import latest_per_group
 from .campaign import metric_names
+from .scope import Scope
 
 
 def members(stg_members: DataFrame, campaign_by_member: DataFrame,
-            automation_by_member: DataFrame | None, unsubscribes: bool) -> DataFrame:
+            automation_by_member: DataFrame | None, unsubscribes: bool,
+            scope: Scope = Scope()) -> DataFrame:
     names = metric_names(unsubscribes)
     df = attach_metrics(stg_members, campaign_by_member, ["member_id", "list_id"], names,
-                        prefix="campaign_")
+                        prefix="campaign_", by_source=scope.by_source)
     if automation_by_member is not None:
         df = attach_metrics(df, automation_by_member, ["member_id", "list_id"], names,
-                            prefix="automation_")
+                            prefix="automation_", by_source=scope.by_source)
     return df
 
 
-def members_by_list(stg_members: DataFrame) -> DataFrame:
+def members_by_list(stg_members: DataFrame, scope: Scope = Scope()) -> DataFrame:
     """Member rows and latest signup per list.
 
     Counted on the staged members: the members output has exactly one row per
     staged member (both metric tables it joins are unique on the join key),
     so the result is the same without building that output first."""
-    return latest_per_group(stg_members, [SR, "list_id"], "count_members",
-                            "signup_timestamp", "most_recent_signup_timestamp")
+    df = latest_per_group(stg_members, scope.keys("list_id"), "count_members",
+                          "signup_timestamp", "most_recent_signup_timestamp", carry=scope.carry)
+    return df.select(SR, "list_id", "count_members", "most_recent_signup_timestamp")
 
 
 def lists(stg_lists: DataFrame, by_list_members: DataFrame, campaign_by_list: DataFrame,
-          automation_by_list: DataFrame | None, unsubscribes: bool) -> DataFrame:
+          automation_by_list: DataFrame | None, unsubscribes: bool,
+          scope: Scope = Scope()) -> DataFrame:
     names = metric_names(unsubscribes)
+    bs = scope.by_source
     df = attach(stg_lists, by_list_members, [("list_id", "list_id")],
                 [("count_members", "count_members"),
                  ("most_recent_signup_timestamp", "most_recent_signup_timestamp")],
-                fill={"count_members": 0})
-    df = attach_metrics(df, campaign_by_list, ["list_id"], names, prefix="campaign_")
+                fill={"count_members": 0}, by_source=bs)
+    df = attach_metrics(df, campaign_by_list, ["list_id"], names, prefix="campaign_", by_source=bs)
     if automation_by_list is not None:
-        df = attach_metrics(df, automation_by_list, ["list_id"], names, prefix="automation_")
+        df = attach_metrics(df, automation_by_list, ["list_id"], names, prefix="automation_",
+                            by_source=bs)
     return df
 
 
 def segments(stg_segments: DataFrame, campaign_by_segment: DataFrame, stg_lists: DataFrame,
-             automation_by_segment: DataFrame | None, unsubscribes: bool) -> DataFrame:
+             automation_by_segment: DataFrame | None, unsubscribes: bool,
+             scope: Scope = Scope()) -> DataFrame:
     names = metric_names(unsubscribes)
-    df = attach(stg_segments, stg_lists, [("list_id", "list_id")], [("list_name", "name")])
-    df = attach_metrics(df, campaign_by_segment, ["segment_id"], names, prefix="campaign_")
-    cols = df.columns
-    # list_name sits before the metrics.
-    df = df.select(*[c for c in cols if c != "list_name"][:len(stg_segments.columns)],
-                   "list_name", *[c for c in cols[len(stg_segments.columns):] if c != "list_name"])
+    bs = scope.by_source
+    df = attach(stg_segments, stg_lists, [("list_id", "list_id")], [("list_name", "name")],
+                by_source=bs)
+    df = attach_metrics(df, campaign_by_segment, ["segment_id"], names, prefix="campaign_",
+                        by_source=bs)
     if automation_by_segment is not None:
         df = attach_metrics(df, automation_by_segment, ["segment_id"], names,
-                            prefix="automation_")
+                            prefix="automation_", by_source=bs)
     return df

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from ..operators.staging import stage_all
 from ..options import Options
 from . import audience, automation, campaign
+from .scope import Scope
 
 Materialize = Callable[[str, DataFrame], DataFrame]
 
@@ -37,6 +38,9 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
     outputs of ``OUTPUTS`` (those switched off are absent)."""
     o = options
     unsub = o.using_unsubscribes
+    # One connection: source_relation is constant, keys can leave it out.
+    conns = getattr(raw, "connections", None)
+    sc = Scope(by_source=not (conns is not None and len(conns) == 1))
     s = stage_all(raw, o)
     m: dict[str, DataFrame] = dict(s)
 
@@ -46,12 +50,12 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
 
     # campaign side
     acts = hub("campaign_activities",
-               campaign.campaign_activities(s["stg_campaign_activities"], s["stg_campaigns"]))
+               campaign.campaign_activities(s["stg_campaign_activities"], s["stg_campaigns"], sc))
     by_email = hub("int_campaign_activities_by_email",
-                   campaign.activities_by_email(acts, o.distinct_strategy))
+                   campaign.activities_by_email(acts, o.distinct_strategy, sc))
     recips = hub("campaign_recipients", campaign.campaign_recipients(
         s["stg_campaign_recipients"], s["stg_campaigns"], by_email,
-        s["stg_unsubscribes"] if unsub else None))
+        s["stg_unsubscribes"] if unsub else None, sc))
     c_by = {}
     for by, keys in (("campaign", ["campaign_id"]), ("list", ["list_id"]),
                      ("member", ["member_id", "list_id"]), ("segment", ["segment_id"])):
@@ -59,34 +63,35 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
             continue
         c_by[by] = hub(f"int_campaign_activities_by_{by}", campaign.recipients_by(
             recips, keys, unsub, o.distinct_strategy,
-            not_null="segment_id" if by == "segment" else None))
-    hub("campaigns", campaign.campaigns(s["stg_campaigns"], c_by["campaign"], unsub))
+            not_null="segment_id" if by == "segment" else None, scope=sc))
+    hub("campaigns", campaign.campaigns(s["stg_campaigns"], c_by["campaign"], unsub, sc))
 
     # automation side
     a_by: dict[str, DataFrame | None] = {k: None for k in automation.ROLLUPS}
     if o.using_automations:
-        owner = automation.email_owner(s["stg_automation_emails"], s["stg_automations"])
+        owner = automation.email_owner(s["stg_automation_emails"], s["stg_automations"], sc)
         a_acts = hub("automation_activities",
-                     automation.automation_activities(s["stg_automation_activities"], owner))
+                     automation.automation_activities(s["stg_automation_activities"], owner, sc))
         a_rec = hub("int_automation_recipients",
-                    automation.automation_recipients(s["stg_automation_recipients"], owner))
+                    automation.automation_recipients(s["stg_automation_recipients"], owner, sc))
         a_uns = hub("int_automation_unsubscribes",
-                    automation.automation_unsubscribes(s["stg_unsubscribes"], owner)) \
+                    automation.automation_unsubscribes(s["stg_unsubscribes"], owner, sc)) \
             if unsub else None
         for by in automation.ROLLUPS:
             a_by[by] = hub(f"int_automation_activities_by_{by}", automation.automation_rollup(
-                by, a_acts, a_rec, a_uns, o.distinct_strategy, o.fix_member_list_id))
+                by, a_acts, a_rec, a_uns, o.distinct_strategy, o.fix_member_list_id, sc))
         hub("automation_emails", automation.automation_emails(
-            s["stg_automation_emails"], s["stg_automations"], a_by["email"], unsub))
+            s["stg_automation_emails"], s["stg_automations"], a_by["email"], unsub, sc))
         hub("automations", automation.automations(s["stg_automations"], a_by["automation"],
-                                                  unsub))
+                                                  unsub, sc))
 
     # audience
-    hub("members", audience.members(s["stg_members"], c_by["member"], a_by["member"], unsub))
-    by_list_members = hub("int_members_by_list", audience.members_by_list(s["stg_members"]))
+    hub("members", audience.members(s["stg_members"], c_by["member"], a_by["member"], unsub,
+                                    sc))
+    by_list_members = hub("int_members_by_list", audience.members_by_list(s["stg_members"], sc))
     hub("lists", audience.lists(s["stg_lists"], by_list_members, c_by["list"], a_by["list"],
-                                unsub))
+                                unsub, sc))
     if o.using_segments:
         hub("segments", audience.segments(s["stg_segments"], c_by["segment"], s["stg_lists"],
-                                          a_by["segment"], unsub))
+                                          a_by["segment"], unsub, sc))
     return m

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import boundary_diff
 from ..operators.enrich import SR, attach, attach_metrics
-from ..operators.rollups import distinct_rows, engagement_counts, recipient_rollup
+from ..operators.rollups import engagement_counts, recipient_rollup
+from .scope import Scope
 
 METRICS = ("sends", "opens", "clicks", "unique_opens", "unique_clicks", "unsubscribes")
 
@@ -18,64 +19,74 @@ def metric_names(unsubscribes: bool) -> list[str]:
     return [m for m in METRICS if unsubscribes or m != "unsubscribes"]
 
 
-def campaign_activities(stg_activities: DataFrame, stg_campaigns: DataFrame) -> DataFrame:
+def campaign_activities(stg_activities: DataFrame, stg_campaigns: DataFrame,
+                        scope: Scope = Scope()) -> DataFrame:
     """Every campaign event with its campaign's send time and the minute /
     hour / day boundaries crossed since then (negative if before; NULL if the
     campaign is unknown or unsent)."""
     df = attach(stg_activities, stg_campaigns, [("campaign_id", "campaign_id")],
-                [("send_timestamp", "send_timestamp")])
+                [("send_timestamp", "send_timestamp")], by_source=scope.by_source)
     return df.select(
         "*",
         *[boundary_diff(u, "send_timestamp", "activity_timestamp").alias(f"time_since_send_{u}s")
           for u in ("minute", "hour", "day")])
 
 
-def activities_by_email(activities: DataFrame, strategy: str = "two_phase") -> DataFrame:
+def activities_by_email(activities: DataFrame, strategy: str = "two_phase",
+                        scope: Scope = Scope()) -> DataFrame:
     """Per send (email_id): event counts, distinct members, first open and
     the shortest time to open, plus opened / clicked flags."""
-    df = engagement_counts(
-        activities, [SR, "email_id"], strategy=strategy,
-        open_mins={"first_open_timestamp": "activity_timestamp",
-                   "time_to_open_minutes": "time_since_send_minutes",
-                   "time_to_open_hours": "time_since_send_hours",
-                   "time_to_open_days": "time_since_send_days"})
-    return df.select("*", F.coalesce(F.col("opens") > 0, F.lit(False)).alias("was_opened"),
+    mins = {"first_open_timestamp": "activity_timestamp",
+            "time_to_open_minutes": "time_since_send_minutes",
+            "time_to_open_hours": "time_since_send_hours",
+            "time_to_open_days": "time_since_send_days"}
+    df = engagement_counts(activities, scope.keys("email_id"), strategy=strategy,
+                           open_mins=mins, carry=scope.carry)
+    return df.select(SR, "email_id", "opens", "clicks", "unique_opens", "unique_clicks", *mins,
+                     F.coalesce(F.col("opens") > 0, F.lit(False)).alias("was_opened"),
                      F.coalesce(F.col("clicks") > 0, F.lit(False)).alias("was_clicked"))
 
 
 def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
-                        by_email: DataFrame, stg_unsubscribes: DataFrame | None) -> DataFrame:
+                        by_email: DataFrame, stg_unsubscribes: DataFrame | None,
+                        scope: Scope = Scope()) -> DataFrame:
     """One row per send with its campaign's segment and send time, its
     engagement (zeros when none) and whether the member unsubscribed from
     that campaign on that list.  Only events of a recorded send count."""
+    bs = scope.by_source
     df = attach(stg_recipients, stg_campaigns, [("campaign_id", "campaign_id")],
-                [("segment_id", "segment_id"), ("send_timestamp", "send_timestamp")])
+                [("segment_id", "segment_id"), ("send_timestamp", "send_timestamp")],
+                by_source=bs)
     df = attach(df, by_email, [("email_id", "email_id")],
                 [(c, c) for c in ("opens", "unique_opens", "clicks", "unique_clicks",
                                   "was_opened", "was_clicked", "first_open_timestamp",
                                   "time_to_open_minutes", "time_to_open_hours",
                                   "time_to_open_days")],
                 fill={"opens": 0, "unique_opens": 0, "clicks": 0, "unique_clicks": 0,
-                      "was_opened": False, "was_clicked": False})
+                      "was_opened": False, "was_clicked": False}, by_source=bs)
     if stg_unsubscribes is None:
         return df
     # Deduplicated first so that repeated unsubscribes do not multiply sends.
-    unsub = distinct_rows(stg_unsubscribes, [SR, "member_id", "list_id", "campaign_id"]) \
-        .withColumn("_hit", F.lit(True))
+    unsub = stg_unsubscribes.select(*scope.keys("member_id", "list_id", "campaign_id")) \
+        .distinct().withColumn("_hit", F.lit(True))
     return attach(df, unsub, [("member_id", "member_id"), ("campaign_id", "campaign_id"),
                               ("list_id", "list_id")],
-                  [("was_unsubscribed", "_hit")], fill={"was_unsubscribed": False})
+                  [("was_unsubscribed", "_hit")], fill={"was_unsubscribed": False}, by_source=bs)
 
 
 def recipients_by(recipients: DataFrame, keys: list[str], unsubscribes: bool,
-                  strategy: str = "two_phase", not_null: str | None = None) -> DataFrame:
+                  strategy: str = "two_phase", not_null: str | None = None,
+                  scope: Scope = Scope()) -> DataFrame:
     """Campaign rollup of per-send rows by ``keys`` (rows with NULL
     ``not_null`` dropped first)."""
     if not_null:
         recipients = recipients.where(F.col(not_null).isNotNull())
-    df = recipient_rollup(recipients, [SR] + keys, unsubscribes=unsubscribes, strategy=strategy)
+    df = recipient_rollup(recipients, scope.keys(*keys), unsubscribes=unsubscribes,
+                          strategy=strategy, carry=scope.carry)
     return df.select(SR, *keys, *metric_names(unsubscribes))
 
 
-def campaigns(stg_campaigns: DataFrame, by_campaign: DataFrame, unsubscribes: bool) -> DataFrame:
-    return attach_metrics(stg_campaigns, by_campaign, ["campaign_id"], metric_names(unsubscribes))
+def campaigns(stg_campaigns: DataFrame, by_campaign: DataFrame, unsubscribes: bool,
+              scope: Scope = Scope()) -> DataFrame:
+    return attach_metrics(stg_campaigns, by_campaign, ["campaign_id"], metric_names(unsubscribes),
+                          by_source=scope.by_source)

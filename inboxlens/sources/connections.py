@@ -93,14 +93,22 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options) ->
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+class SourceTables(dict):
+    """Raw tables keyed by table name, remembering the connections they hold."""
+
+    def __init__(self, tables: dict[str, DataFrame], connections: list[str]):
+        super().__init__(tables)
+        self.connections = list(connections)
+
+
 def read_sources(spark: SparkSession, connections: list[Connection],
-                 options: Options = Options()) -> dict[str, DataFrame]:
+                 options: Options = Options()) -> SourceTables:
     """Raw tables of all connections, unioned per table, keyed by table name."""
     out = {}
     for table in enabled_tables(options):
         frames = [(c.name, c.read(spark, table)) for c in connections]
         out[table] = union_connections(frames, options)
-    return out
+    return SourceTables(out, [c.name for c in connections])
 
 
 def conform(df: DataFrame, table: str, options: Options,
