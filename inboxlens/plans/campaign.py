@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import boundary_diff
+from ..functions import boundary_diff, surrogate_key
 from ..operators.enrich import SR, attach, attach_metrics
 from ..operators.rollups import engagement_counts, recipient_rollup
 from .scope import Scope
@@ -67,10 +67,17 @@ def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
     if stg_unsubscribes is None:
         return df
     # Deduplicated first so that repeated unsubscribes do not multiply sends.
-    unsub = stg_unsubscribes.select(*scope.keys("member_id", "list_id", "campaign_id")) \
+    # The send key of the unsubscribe's (connection, campaign, member) is an
+    # extra, redundant join key (equal whenever the others are): it lets the
+    # sends keep the partitioning of the event join above, and only the
+    # small unsubscribe side is shuffled to match it (when the session
+    # allows co-partitioning on a subset of the join keys).
+    unsub = stg_unsubscribes.select(
+        *scope.keys("member_id", "list_id", "campaign_id"),
+        surrogate_key(SR, "campaign_id", "member_id").alias("_email_id")) \
         .distinct().withColumn("_hit", F.lit(True))
-    return attach(df, unsub, [("member_id", "member_id"), ("campaign_id", "campaign_id"),
-                              ("list_id", "list_id")],
+    return attach(df, unsub, [("email_id", "_email_id"), ("member_id", "member_id"),
+                              ("campaign_id", "campaign_id"), ("list_id", "list_id")],
                   [("was_unsubscribed", "_hit")], fill={"was_unsubscribed": False}, by_source=bs)
 
 
