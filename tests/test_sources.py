@@ -87,3 +87,19 @@ def test_connection_from_directory(spark, tmp_path):
     out = build(raw)
     assert metrics(rows_by(out["campaigns"], "campaign_id")[CAMPAIGN]) == (10, 12, 5, 7, 2, 0)
     assert rows_by(out["lists"], "list_id")[L1]["count_members"] == 8
+
+
+def test_location_overrides_and_catalog(spark, tmp_path):
+    t = seed_tables(spark)
+    for name, df in t.items():
+        stored = "mc_" + name if name == "member" else name
+        df.write.parquet(str(tmp_path / stored))
+    raw = read_sources(spark, [Connection.from_directory("d", str(tmp_path),
+                                                         overrides={"member": "mc_member"})])
+    assert rows_by(build(raw)["lists"], "list_id")[L1]["count_members"] == 8
+    for name, df in t.items():
+        df.createOrReplaceGlobalTempView(f"inboxlens_t_{name}")
+    conn = Connection.from_catalog("cat", "global_temp",
+                                   overrides={n: f"inboxlens_t_{n}" for n in t})
+    out = build(read_sources(spark, [conn]))
+    assert metrics(rows_by(out["campaigns"], "campaign_id")[CAMPAIGN]) == (10, 12, 5, 7, 2, 0)
