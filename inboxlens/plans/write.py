@@ -18,11 +18,13 @@ from .build import OUTPUTS, build
 
 def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
                 options: Options = Options(), fmt: str = "parquet", staging: bool = True,
-                database: str | None = None) -> dict[str, str]:
+                database: str | None = None, partition_by_source: bool = False) -> dict[str, str]:
     """Build and write every output (and staged table); returns name -> location.
 
     With ``database`` the tables are saved in the catalog as
     ``<database>.<name>`` (staged ones in ``<database>_stg``) instead of paths.
+    ``partition_by_source`` writes one folder per connection, so readers
+    filtering on ``source_relation`` skip the other accounts' files.
     """
     target = target.rstrip("/")
     written: dict[str, str] = {}
@@ -40,6 +42,8 @@ def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
     def save(name: str, df: DataFrame) -> DataFrame:
         loc = location(name)
         w = df.write.mode("overwrite").format(fmt)
+        if partition_by_source:
+            w = w.partitionBy("source_relation")
         if database:
             w.saveAsTable(loc)
             out = spark.table(loc)

@@ -19,3 +19,14 @@ def test_write_build_writes_all_outputs_and_staging(spark, tmp_path):
         stored = spark.read.parquet(written[name])
         assert stored.columns == lazy[name].columns
         assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, lazy[name].collect())), name
+
+
+def test_write_build_partitioned_by_source(spark, tmp_path):
+    t = seed_tables(spark)
+    raw = read_sources(spark, [Connection("acct_a", t), Connection("acct_b", t)])
+    written = write_build(spark, raw, str(tmp_path / "m"), staging=False, partition_by_source=True)
+    assert (tmp_path / "m" / "lists" / "source_relation=acct_b").is_dir()
+    df = spark.read.parquet(written["lists"]).where("source_relation = 'acct_b'")
+    assert df.count() == 2
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_relation" in plan
