@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sql import alias, lit, q
+
 SR = "source_relation"
 
 
@@ -30,21 +32,17 @@ def attach(base: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]],
     """
     fill = fill or {}
     pairs = ([(SR, SR)] if by_source else []) + [p for p in on if p != (SR, SR)]
-    right_keys = [f"__k{i}" for i in range(len(pairs))]
-    right = other.select(*[F.col(r).alias(k) for (_, r), k in zip(pairs, right_keys)],
-                         *[F.col(src).alias(f"__v_{out}") for out, src in columns])
-    cond = None
-    for (left_col, _), k in zip(pairs, right_keys):
-        c = base[left_col] == right[k]
-        cond = c if cond is None else cond & c
-    joined = base.join(right, cond, "left")
-    out_cols: list[Column] = [base[c] for c in base.columns]
+    # Right side: keys and values renamed so that every name in the join
+    # condition and the output resolves to exactly one side.
+    right = other.selectExpr(*[alias(q(r), f"__k{i}") for i, (_, r) in enumerate(pairs)],
+                             *[alias(q(src), f"__v_{out}") for out, src in columns])
+    cond = " AND ".join(f"{q(left)} = __k{i}" for i, (left, _) in enumerate(pairs))
+    joined = base.join(right, F.expr(cond), "left")
+    out_cols = [q(c) for c in base.columns]
     for out, _ in columns:
-        v = F.col(f"__v_{out}")
-        if out in fill:
-            v = F.coalesce(v, F.lit(fill[out]))
-        out_cols.append(v.alias(out))
-    return joined.select(*out_cols)
+        v = q(f"__v_{out}")
+        out_cols.append(alias(f"coalesce({v}, {lit(fill[out])})" if out in fill else v, out))
+    return joined.selectExpr(*out_cols)
 
 
 def attach_metrics(base: DataFrame, metrics: DataFrame, keys: Sequence[str],

@@ -11,21 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import surrogate_key
+from ..functions.sql import alias, q
 from ..options import Options
 from ..sources.connections import conform
 
 
-def _columns(spec: list[str]) -> list:
-    """``spec`` entries are ``"col"`` or ``"raw as out"``."""
+def _columns(spec: list[str]) -> list[str]:
+    """``spec`` entries are ``"col"`` or ``"raw as out"``; SQL select items."""
     cols = []
     for item in spec:
         raw, _, out = item.partition(" as ")
-        cols.append(F.col(f"`{raw}`").alias(out or raw))
+        cols.append(alias(q(raw), out or raw))
     return cols
 
 
 def _project(df: DataFrame, spec: list[str]) -> DataFrame:
-    return df.select(*_columns(spec))
+    return df.selectExpr(*_columns(spec))
 
 
 def stg_automations(raw: DataFrame, options: Options = Options()) -> DataFrame:
@@ -129,9 +130,9 @@ def stg_members(raw: DataFrame, options: Options = Options()) -> DataFrame:
         "member_rating", "timezone", "unique_email_id", "vip"])
     # User-declared extra columns, evaluated on the conformed raw row.
     for p in options.member_pass_through:
-        expr = F.expr(p.transform_sql) if p.transform_sql else F.col(f"`{p.name}`")
-        cols.append(expr.alias(p.alias or p.name))
-    return df.select(*cols)
+        cols.append(alias(f"({p.transform_sql})" if p.transform_sql else q(p.name),
+                          p.alias or p.name))
+    return df.selectExpr(*cols)
 
 
 def stg_segments(raw: DataFrame, options: Options = Options()) -> DataFrame:

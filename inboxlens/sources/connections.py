@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sql import alias, lit, q
 from ..options import Options
 from . import schemas
 
@@ -78,18 +79,19 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options) ->
     parts = []
     for conn, df in frames:
         have = {f.name.lower(): f for f in df.schema.fields}
-        cols = [source_relation(conn, options).alias("source_relation")]
+        sr = conn if options.source_casing else conn.lower()
+        cols = [alias(lit(sr), "source_relation")]
         for key, (name, dtype) in names.items():
             if key == "source_relation":
                 continue
             f = have.get(key)
             if f is None:
-                cols.append(F.lit(None).cast(dtype).alias(name))
+                cols.append(alias(f"CAST(NULL AS {dtype.simpleString()})", name))
             elif f.dataType == dtype:
-                cols.append(F.col(f"`{f.name}`").alias(name))
+                cols.append(alias(q(f.name), name))
             else:
-                cols.append(F.col(f"`{f.name}`").cast(dtype).alias(name))
-        parts.append(df.select(*cols))
+                cols.append(alias(f"CAST({q(f.name)} AS {dtype.simpleString()})", name))
+        parts.append(df.selectExpr(*cols))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -116,10 +118,10 @@ def conform(df: DataFrame, table: str, options: Options,
     """Keep the declared columns of ``table`` (matched case-insensitively),
     fill absent ones with a typed NULL, drop the rest; keep source_relation."""
     have = {c.lower(): c for c in df.columns}
-    cols = [F.col("source_relation")]
+    cols = [q("source_relation")]
     for name, dtype in schemas.declared_columns(table, options.synced_column,
                                                 options.deleted_column, extra):
         real = have.get(name.lower())
-        cols.append(F.col(f"`{real}`").alias(name) if real is not None
-                    else F.lit(None).cast(dtype).alias(name))
-    return df.select(*cols)
+        cols.append(alias(q(real), name) if real is not None
+                    else alias(f"CAST(NULL AS {dtype.simpleString()})", name))
+    return df.selectExpr(*cols)
