@@ -5,7 +5,8 @@
    have landed them); timed as ``fixtures``.
 2. Each headline output is planned from those stored raw tables and run to
    the ``noop`` sink; median of 3 runs.
-3. ``full_build`` writes all nine outputs (hubs written once, then re-read);
+3. ``full_build`` writes all nine outputs (hubs written once, then re-read;
+   independent tables as concurrent jobs, ``..._one_job_at_a_time`` without);
    ``full_build_hubs_not_persisted`` writes them from the lazy plans, each
    output recomputing its whole lineage.
 
@@ -76,6 +77,8 @@ def main() -> None:
     runs = iter(range(1000))
     q["full_build"] = median_of(lambda: write_build(
         spark, raw, f"{scratch}/out{next(runs)}", staging=False))
+    q["full_build_one_job_at_a_time"] = median_of(lambda: write_build(
+        spark, raw, f"{scratch}/out{next(runs)}", staging=False, max_parallel_jobs=1))
 
     def lazy_build():
         target = f"{scratch}/lazy{next(runs)}"

@@ -2,23 +2,32 @@
 
 Outputs go to ``<target>/<name>``, staged tables to ``<target>_stg/<name>``
 (two schemas, like the two target schemas of the SQL build), shared
-intermediates to ``<target>/_int/<name>``.  Hubs are written as soon as they
-are planned and read back, so every later output reads the stored copy:
-each hub is computed once, and a lost executor costs a re-read, not a
-recomputation of the upstream joins.
+intermediates to ``<target>/_int/<name>``.
+
+Two steps: (1) the hub tables read by several rollups (per-send campaign
+metrics, automation activities / sends / unsubscribes) are written; (2)
+the build is planned again on top of the stored hubs and every remaining
+table is written.  Each hub is computed once, and a lost executor costs a
+re-read of a stored hub, not a recomputation of the upstream joins.  Within
+a step the tables do not depend on each other, so they are submitted as
+concurrent Spark jobs (``max_parallel_jobs``), which keeps the cluster busy
+through the many small stages of the dimension-side work.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..options import Options
-from .build import OUTPUTS, build
+from .build import HUBS, OUTPUTS, build
 
 
 def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
                 options: Options = Options(), fmt: str = "parquet", staging: bool = True,
-                database: str | None = None, partition_by_source: bool = False) -> dict[str, str]:
+                database: str | None = None, partition_by_source: bool = False,
+                max_parallel_jobs: int = 4) -> dict[str, str]:
     """Build and write every output (and staged table); returns name -> location.
 
     With ``database`` the tables are saved in the catalog as
@@ -27,7 +36,6 @@ def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
     filtering on ``source_relation`` skip the other accounts' files.
     """
     target = target.rstrip("/")
-    written: dict[str, str] = {}
 
     def location(name: str) -> str:
         if database:
@@ -39,26 +47,30 @@ def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
             return f"{target}/_int/{name}"
         return f"{target}/{name}"
 
-    def save(name: str, df: DataFrame) -> DataFrame:
-        loc = location(name)
+    def save(item: tuple[str, DataFrame]) -> None:
+        name, df = item
         w = df.write.mode("overwrite").format(fmt)
         if partition_by_source:
             w = w.partitionBy("source_relation")
         if database:
-            w.saveAsTable(loc)
-            out = spark.table(loc)
+            w.saveAsTable(location(name))
         else:
-            w.save(loc)
-            out = spark.read.format(fmt).load(loc)
-        written[name] = loc
-        return out
+            w.save(location(name))
+
+    def stored(name: str) -> DataFrame:
+        loc = location(name)
+        return spark.table(loc) if database else spark.read.format(fmt).load(loc)
+
+    def save_all(items: list[tuple[str, DataFrame]]) -> None:
+        with ThreadPoolExecutor(max(1, max_parallel_jobs)) as pool:
+            list(pool.map(save, items))  # re-raises the first failure
 
-    models = build(raw, options, materialize=save)
-    for name in OUTPUTS:
-        if name in models and name not in written:
-            save(name, models[name])
+    lazy = build(raw, options)
+    hubs = [(n, lazy[n]) for n in HUBS if n in lazy]
+    save_all(hubs)
+    models = build(raw, options, materialize=lambda name, df: stored(name))
+    rest = [(n, models[n]) for n in OUTPUTS if n in models and n not in HUBS]
     if staging:
-        for name, df in models.items():
-            if name.startswith("stg_") and name not in written:
-                save(name, df)
-    return written
+        rest += [(n, df) for n, df in models.items() if n.startswith("stg_")]
+    save_all(rest)
+    return {n: location(n) for n, _ in hubs + rest}
