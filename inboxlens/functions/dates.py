@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sql import q
+
 _UNITS = ("minute", "hour", "day")
 
 
@@ -19,6 +21,13 @@ def boundary_diff(unit: str, start: str | Column, end: str | Column) -> Column:
     """
     if unit not in _UNITS:
         raise ValueError(f"unit must be one of {_UNITS}")
+    if isinstance(start, str) and isinstance(end, str):
+        a, b = q(start), q(end)
+        days = f"CAST(date_diff(to_date({b}), to_date({a})) AS BIGINT)"
+        hours = f"({days} * 24 + (hour({b}) - hour({a})))"
+        sql = {"day": days, "hour": hours,
+               "minute": f"({hours} * 60 + (minute({b}) - minute({a})))"}[unit]
+        return F.expr(sql)
     a = F.col(start) if isinstance(start, str) else start
     b = F.col(end) if isinstance(end, str) else end
     days = F.date_diff(F.to_date(b), F.to_date(a)).cast("bigint")

@@ -21,23 +21,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sql import q
+
 STRATEGIES = ("two_phase", "native")
 
 
 def _carried(cols: Sequence[str]) -> list[Column]:
     # Columns known to be constant within each group (e.g. the connection
     # name when there is only one): carried through without being a key.
-    return [F.any_value(c).alias(c) for c in cols]
+    return [F.expr(f"any_value({q(c)}) AS {q(c)}") for c in cols]
 
 
-def _one_if(cond: Column) -> Column:
-    # CASE WHEN cond THEN 1 END: NULL when no row matches, like the SQL models.
-    return F.when(cond, F.lit(1))
+def _e(sql: str, name: str) -> Column:
+    return F.expr(f"{sql} AS {q(name)}")
 
 
-def _present_flag(cond: Column) -> Column:
+def _present_flag(cond: str) -> str:
     # Distinct count of a value that is constant within the group: 0 or 1.
-    return F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return f"CAST(max(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
 
 
 def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
@@ -53,42 +54,42 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     keys = list(keys)
     open_mins = dict(open_mins or {})
-    is_open = F.col(action_col) == F.lit("open")
-    is_click = F.col(action_col) == F.lit("click")
-    dk = F.col(distinct_key)
-    mins = [F.min(F.when(is_open, F.col(src))).alias(out) for out, src in open_mins.items()]
+    is_open = f"{q(action_col)} = 'open'"
+    is_click = f"{q(action_col)} = 'click'"
+    dk = q(distinct_key)
+    # SUM(CASE WHEN ... THEN 1 END): NULL when no row matches, like the SQL models.
+    opens = _e(f"sum(CASE WHEN {is_open} THEN 1 END)", "opens")
+    clicks = _e(f"sum(CASE WHEN {is_click} THEN 1 END)", "clicks")
+    mins = [_e(f"min(CASE WHEN {is_open} THEN {q(src)} END)", out) for out, src in open_mins.items()]
     kept = _carried(carry)
 
     if distinct_key in keys:
         return activities.groupBy(*keys).agg(
-            F.sum(_one_if(is_open)).alias("opens"),
-            F.sum(_one_if(is_click)).alias("clicks"),
-            _present_flag(is_open & dk.isNotNull()).alias("unique_opens"),
-            _present_flag(is_click & dk.isNotNull()).alias("unique_clicks"),
+            opens, clicks,
+            _e(_present_flag(f"{is_open} AND {dk} IS NOT NULL"), "unique_opens"),
+            _e(_present_flag(f"{is_click} AND {dk} IS NOT NULL"), "unique_clicks"),
             *mins, *kept)
 
     if strategy == "native":
         return activities.groupBy(*keys).agg(
-            F.sum(_one_if(is_open)).alias("opens"),
-            F.sum(_one_if(is_click)).alias("clicks"),
-            F.countDistinct(F.when(is_open, dk)).alias("unique_opens"),
-            F.countDistinct(F.when(is_click, dk)).alias("unique_clicks"),
+            opens, clicks,
+            _e(f"count(DISTINCT CASE WHEN {is_open} THEN {dk} END)", "unique_opens"),
+            _e(f"count(DISTINCT CASE WHEN {is_click} THEN {dk} END)", "unique_clicks"),
             *mins, *kept)
 
     part = activities.groupBy(*keys, distinct_key).agg(
-        F.sum(_one_if(is_open)).alias("_opens"),
-        F.sum(_one_if(is_click)).alias("_clicks"),
-        F.bool_or(is_open).alias("_any_open"),
-        F.bool_or(is_click).alias("_any_click"),
-        *[F.min(F.when(is_open, F.col(src))).alias(f"_min_{out}") for out, src in open_mins.items()],
+        _e(f"sum(CASE WHEN {is_open} THEN 1 END)", "_opens"),
+        _e(f"sum(CASE WHEN {is_click} THEN 1 END)", "_clicks"),
+        _e(f"bool_or({is_open})", "_any_open"),
+        _e(f"bool_or({is_click})", "_any_click"),
+        *[_e(f"min(CASE WHEN {is_open} THEN {q(src)} END)", f"_min_{out}")
+          for out, src in open_mins.items()],
         *kept)
-    has_key = F.col(distinct_key).isNotNull()
     return part.groupBy(*keys).agg(
-        F.sum("_opens").alias("opens"),
-        F.sum("_clicks").alias("clicks"),
-        F.count_if(F.col("_any_open") & has_key).alias("unique_opens"),
-        F.count_if(F.col("_any_click") & has_key).alias("unique_clicks"),
-        *[F.min(f"_min_{out}").alias(out) for out in open_mins], *kept)
+        _e("sum(_opens)", "opens"), _e("sum(_clicks)", "clicks"),
+        _e(f"count_if(_any_open AND {dk} IS NOT NULL)", "unique_opens"),
+        _e(f"count_if(_any_click AND {dk} IS NOT NULL)", "unique_clicks"),
+        *[_e(f"min({q('_min_' + out)})", out) for out in open_mins], *kept)
 
 
 def recipient_rollup(recipients: DataFrame, keys: Sequence[str], *,
@@ -103,35 +104,37 @@ def recipient_rollup(recipients: DataFrame, keys: Sequence[str], *,
     flags = [("unique_opens", "was_opened"), ("unique_clicks", "was_clicked")]
     if unsubscribes:
         flags.append(("unsubscribes", "was_unsubscribed"))
-    m = F.col("member_id")
     kept = _carried(carry)
+    sends = _e("count(1)", "sends")
+    opens = _e("sum(opens)", "opens")
+    clicks = _e("sum(clicks)", "clicks")
 
     if "member_id" in keys:
         return recipients.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("sends"), F.sum("opens").alias("opens"),
-            F.sum("clicks").alias("clicks"),
-            *[_present_flag(F.col(flag) & m.isNotNull()).alias(out) for out, flag in flags], *kept)
+            sends, opens, clicks,
+            *[_e(_present_flag(f"{q(flag)} AND member_id IS NOT NULL"), out) for out, flag in flags],
+            *kept)
 
     if strategy == "native":
         return recipients.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("sends"), F.sum("opens").alias("opens"),
-            F.sum("clicks").alias("clicks"),
-            *[F.countDistinct(F.when(F.col(flag), m)).alias(out) for out, flag in flags], *kept)
+            sends, opens, clicks,
+            *[_e(f"count(DISTINCT CASE WHEN {q(flag)} THEN member_id END)", out)
+              for out, flag in flags],
+            *kept)
 
     part = recipients.groupBy(*keys, "member_id").agg(
-        F.count(F.lit(1)).alias("_sends"), F.sum("opens").alias("_opens"),
-        F.sum("clicks").alias("_clicks"),
-        *[F.bool_or(F.col(flag)).alias(f"_any_{out}") for out, flag in flags], *kept)
+        _e("count(1)", "_sends"), _e("sum(opens)", "_opens"), _e("sum(clicks)", "_clicks"),
+        *[_e(f"bool_or({q(flag)})", f"_any_{out}") for out, flag in flags], *kept)
     return part.groupBy(*keys).agg(
-        F.sum("_sends").alias("sends"), F.sum("_opens").alias("opens"),
-        F.sum("_clicks").alias("clicks"),
-        *[F.count_if(F.col(f"_any_{out}") & m.isNotNull()).alias(out) for out, _ in flags], *kept)
+        _e("sum(_sends)", "sends"), _e("sum(_opens)", "opens"), _e("sum(_clicks)", "clicks"),
+        *[_e(f"count_if({q('_any_' + out)} AND member_id IS NOT NULL)", out) for out, _ in flags],
+        *kept)
 
 
 def count_rows(df: DataFrame, keys: Sequence[str], name: str,
                carry: Sequence[str] = ()) -> DataFrame:
     """COUNT(*) per group, combined map-side before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *_carried(carry))
+    return df.groupBy(*keys).agg(_e("count(1)", name), *_carried(carry))
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -142,5 +145,5 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def latest_per_group(df: DataFrame, keys: Sequence[str], count_name: str,
                      max_col: str, max_name: str, carry: Sequence[str] = ()) -> DataFrame:
     """COUNT(*) and MAX(col) per group."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
-                                 F.max(max_col).alias(max_name), *_carried(carry))
+    return df.groupBy(*keys).agg(_e("count(1)", count_name), _e(f"max({q(max_col)})", max_name),
+                                 *_carried(carry))

@@ -43,3 +43,12 @@ def test_surrogate_key_timestamp_text(spark):
     df = spark.createDataFrame([(datetime(2020, 1, 1, 0, 0, 0, 120000),)], "t timestamp_ntz")
     got = df.select(surrogate_key("t", F.lit("x"))).first()[0]
     assert got == hashlib.md5(b"2020-01-01 00:00:00.12-x").hexdigest()
+
+
+def test_boundary_diff_column_and_name_forms_agree(spark):
+    df = spark.createDataFrame([(datetime(2019, 11, 27, 23, 59, 59), datetime(2019, 11, 28, 0, 0, 1))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    for u in ("minute", "hour", "day"):
+        by_name, by_col = df.select(boundary_diff(u, "a", "b"),
+                                    boundary_diff(u, F.col("a"), F.col("b"))).first()
+        assert by_name == by_col == 1
