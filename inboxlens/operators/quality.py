@@ -81,7 +81,8 @@ def freshness(raw: dict[str, DataFrame], synced_column: str, as_of: datetime | N
     """Per raw table and connection: latest sync time and a status
     (pass / warn / error; error when no sync time is known).  ``as_of``
     defaults to the current time."""
-    now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None \
+    # From text, so neither the Python nor the session time zone shifts it.
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz") if as_of is not None \
         else F.localtimestamp()
     parts = []
     for table, df in raw.items():

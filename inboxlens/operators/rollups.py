@@ -137,11 +137,6 @@ def count_rows(df: DataFrame, keys: Sequence[str], name: str,
     return df.groupBy(*keys).agg(_e("count(1)", name), *_carried(carry))
 
 
-def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per distinct combination of ``cols`` (GROUP BY without measures)."""
-    return df.select(*cols).distinct()
-
-
 def latest_per_group(df: DataFrame, keys: Sequence[str], count_name: str,
                      max_col: str, max_name: str, carry: Sequence[str] = ()) -> DataFrame:
     """COUNT(*) and MAX(col) per group."""

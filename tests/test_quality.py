@@ -43,3 +43,19 @@ def test_reconcile(spark):
     r = quality.reconcile(a, b).collect()
     assert sorted((x.source, x.opens) for x in r) == [("from dev", 13), ("from prod", 12)]
     assert quality.reconcile(a, b, exclude=["opens", "unique_opens"]).count() == 0
+
+
+def test_freshness_ignores_session_time_zone(spark):
+    t = seed_tables(spark)
+    t["member"] = t["member"].selectExpr("*", "timestamp_signup as _synced")
+    raw = read_sources(spark, [Connection("a", t)])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = []
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got.append({r.source_table: r.status for r in
+                        quality.freshness(raw, "_synced", T(2020, 4, 24, 14, 52, 25)).collect()}["member"])
+        assert got == ["pass"] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
