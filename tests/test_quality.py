@@ -59,3 +59,12 @@ def test_freshness_ignores_session_time_zone(spark):
         assert got == ["pass"] * 3
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_unique_is_per_connection(spark):
+    from inboxlens import build
+    t = seed_tables(spark)
+    out = build(read_sources(spark, [Connection("a", t), Connection("b", t)]))
+    res = {(r.model, r.column_name): r.failures for r in quality.run_tests(out, "unique").collect()}
+    assert res[("stg_lists", "list_id")] == 0
+    assert quality.unique_violations(out["stg_lists"], "list_id", per_source=False).count() == 2

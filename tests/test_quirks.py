@@ -96,3 +96,23 @@ def test_null_member_is_not_a_distinct_member(spark):
         o = build_from(spark, seed_tables(spark, extra), Options(distinct_strategy=strategy))
         assert rows_by(o["int_campaign_activities_by_list"], "list_id")[L1]["unique_opens"] == 7
     assert L2 not in rows_by(out["int_campaign_activities_by_list"], "list_id")
+
+
+def test_send_key_ignores_list(spark):
+    # one campaign sent to one member on two lists: both sends share email_id
+    # and therefore the member's events
+    extra = {"campaign_recipient": [(CAMPAIGN, M["37cc"], L2)]}
+    out = build_from(spark, seed_tables(spark, extra))
+    rows = [r for r in out["campaign_recipients"].collect() if r.member_id == M["37cc"]]
+    assert len(rows) == 2 and rows[0].email_id == rows[1].email_id
+    assert [r.opens for r in rows] == [3, 3]
+    c = rows_by(out["campaigns"], "campaign_id")[CAMPAIGN]
+    assert (c["sends"], c["opens"], c["unique_opens"]) == (11, 15, 7)
+
+
+def test_soft_deleted_rows_are_kept(spark):
+    t = seed_tables(spark)
+    t["list"] = t["list"].selectExpr("*", "id = '8e423a4180' AS _deleted")
+    out = build_from(spark, t)
+    assert out["lists"].count() == 2
+    assert "_deleted" not in out["lists"].columns
