@@ -1,3 +1,3 @@
-from .build import HUBS, OUTPUTS, build
+from .build import HUBS, OUTPUTS, build, checkpointed
 
-__all__ = ["HUBS", "OUTPUTS", "build"]
+__all__ = ["HUBS", "OUTPUTS", "build", "checkpointed"]

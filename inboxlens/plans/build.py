@@ -95,3 +95,17 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
         hub("segments", audience.segments(s["stg_segments"], c_by["segment"], s["stg_lists"],
                                           a_by["segment"], unsub, sc))
     return m
+
+
+def checkpointed(spark) -> Materialize:
+    """A ``materialize`` for builds that are used in place rather than
+    written: each hub is checkpointed (reliably, into the cluster's shared
+    ``spark.checkpoint.dir``) when planned, so every rollup reads the saved
+    copy and a lost executor never recomputes the upstream joins."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(spark)  # fails early when the cluster names no folder
+
+    def materialize(name: str, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True)
+    return materialize

@@ -30,3 +30,17 @@ def test_write_build_partitioned_by_source(spark, tmp_path):
     assert df.count() == 2
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source_relation" in plan
+
+
+def test_checkpointed_hubs_give_same_outputs(spark):
+    from inboxlens import build
+    from inboxlens.plans import checkpointed
+    t = seed_tables(spark)
+    raw = read_sources(spark, [Connection("conn_a", t)])
+    saved = build(raw, materialize=checkpointed(spark))
+    lazy = build(raw)
+    for name in OUTPUTS:
+        assert sorted(map(tuple, saved[name].collect())) == sorted(map(tuple, lazy[name].collect()))
+    # the hub is read from the checkpoint, not recomputed
+    assert "ExistingRDD" in saved["campaign_recipients"]._jdf.queryExecution().optimizedPlan().toString() \
+        or "LogicalRDD" in saved["campaign_recipients"]._jdf.queryExecution().optimizedPlan().toString()
