@@ -1,7 +1,9 @@
 """Staging: conform each raw table, rename to analytics names, add keys.
 
 Each function takes the unioned raw table (with ``source_relation``) and
-returns the staged DataFrame.  Pure projections: no shuffle, and column
+returns the staged DataFrame.  The output column names and their order in
+each projection below are fixed values: they must equal those of the
+tables users already query.  Pure projections: no shuffle, and column
 pruning reaches the Parquet scan when callers use fewer columns.
 """
 
