@@ -4,7 +4,7 @@
    $BENCH_SF_DIR and written once to a scratch folder (as a connector would
    have landed them); timed as ``fixtures``.
 2. Each headline output is planned from those stored raw tables and run to
-   the ``noop`` sink; median of 3 runs.
+   the ``noop`` sink; median of 5 runs.
 3. ``full_build`` writes all nine outputs (hubs written once, then re-read;
    independent tables as concurrent jobs, ``..._one_job_at_a_time`` without);
    ``full_build_hubs_not_persisted`` writes them from the lazy plans, each
@@ -31,7 +31,7 @@ from inboxlens.sources.fixtures import fixture_sources, load_driver_tables  # no
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 HEADLINE = ["campaign_activities", "campaign_recipients", "campaigns", "automation_activities",
             "automation_emails", "automations", "members", "lists", "segments"]
