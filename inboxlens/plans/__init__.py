@@ -1,3 +1,4 @@
 from .build import HUBS, OUTPUTS, build, checkpointed
+from .views import register_views
 
-__all__ = ["HUBS", "OUTPUTS", "build", "checkpointed"]
+__all__ = ["HUBS", "OUTPUTS", "build", "checkpointed", "register_views"]

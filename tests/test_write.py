@@ -44,3 +44,15 @@ def test_checkpointed_hubs_give_same_outputs(spark):
     # the hub is read from the checkpoint, not recomputed
     assert "ExistingRDD" in saved["campaign_recipients"]._jdf.queryExecution().optimizedPlan().toString() \
         or "LogicalRDD" in saved["campaign_recipients"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_register_views_for_sql(spark):
+    from inboxlens import build
+    from inboxlens.plans import register_views
+    raw = read_sources(spark, [Connection("conn_a", seed_tables(spark))])
+    names = register_views(build(raw), prefix="em_")
+    assert "em_campaigns" in names and "em_stg_members" in names
+    row = spark.sql("select sends, opens, unique_opens from em_campaigns").first()
+    assert tuple(row) == (10, 12, 7)
+    n = spark.sql("select count(*) from em_members m join em_lists l using (source_relation, list_id)").first()[0]
+    assert n == 9
