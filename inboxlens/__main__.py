@@ -51,6 +51,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                    help="apply inboxlens.session.RECOMMENDED_CONF to the session")
     p.add_argument("--check", action="store_true", help="run the declared tests and freshness")
     p.add_argument("--synced-column", default=Options().synced_column)
+    p.add_argument("--reconcile-with", metavar="TARGET",
+                   help="compare every output with the build stored under TARGET (same layout)")
+    p.add_argument("--reconcile-exclude", action="append", default=[], metavar="COLUMN",
+                   help="column left out of the comparison (repeatable)")
     return p.parse_args(argv)
 
 
@@ -71,25 +75,35 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     written = write_build(spark, raw, a.target, options, staging=not a.no_staging,
                           database=a.database, partition_by_source=a.partition_by_source,
                           max_parallel_jobs=a.parallel_jobs)
+    def read(loc: str):
+        return spark.table(loc) if a.database else spark.read.load(loc)
+
+    def save(df, name: str) -> None:
+        loc = f"{a.database}._checks_{name}" if a.database \
+            else f"{a.target.rstrip('/')}/_checks/{name}"
+        if a.database:
+            df.write.mode("overwrite").saveAsTable(loc)
+        else:
+            df.write.mode("overwrite").parquet(loc)
+        written[f"_checks_{name}"] = loc
+
     if a.check:
-        def read(loc: str):
-            return spark.table(loc) if a.database else spark.read.load(loc)
         # staged tables not written are checked from their (cheap) lazy plans
         staged = {n: df for n, df in build(raw, options).items() if n.startswith("stg_")}
         stored = {**staged, **{n: read(loc) for n, loc in written.items()}}
-        checks = {"tests": quality.run_tests(stored),
-                  "freshness": quality.freshness(raw, options.synced_column, datetime.now())}
-        for name, df in checks.items():
-            if a.database:
-                loc = f"{a.database}._checks_{name}"
-                df.write.mode("overwrite").saveAsTable(loc)
-            else:
-                loc = f"{a.target.rstrip('/')}/_checks/{name}"
-                df.write.mode("overwrite").parquet(loc)
-            written[f"_checks_{name}"] = loc
+        save(quality.run_tests(stored), "tests")
+        save(quality.freshness(raw, options.synced_column, datetime.now()), "freshness")
         failed = read(written["_checks_tests"]).where("failures > 0").count()
-        print(f"inboxlens: {len([n for n in written if n in OUTPUTS])} outputs written; "
-              f"{failed} declared tests with failures")
+        print(f"inboxlens: {failed} of the declared tests have failures")
+    if a.reconcile_with:
+        # the earlier build: same layout under another root (or database)
+        other = a.reconcile_with.rstrip("/")
+        for name in OUTPUTS:
+            if name in written:
+                prev = read(f"{other}.{name}" if a.database else f"{other}/{name}")
+                exclude = quality.RECONCILE_EXCLUDE.get(name, []) + a.reconcile_exclude
+                save(quality.reconcile(prev, read(written[name]), exclude=exclude),
+                     f"reconcile_{name}")
     return written
 
 

@@ -37,6 +37,8 @@ UNIQUE_TESTS = [
 # Source freshness limits, hours.
 WARN_AFTER_HOURS = 72
 ERROR_AFTER_HOURS = 168
+# Columns left out when comparing two builds of a model (free-form JSON).
+RECONCILE_EXCLUDE = {"automations": ["trigger_settings"]}
 # Labels of the two sides in a reconcile.
 LEFT_LABEL = "from prod"
 RIGHT_LABEL = "from dev"

@@ -16,3 +16,25 @@ def test_job_builds_writes_and_checks(spark, tmp_path):
     assert tests.count() == 30 and tests.where("failures > 0").count() == 0
     fresh = spark.read.parquet(written["_checks_freshness"]).collect()
     assert {r.status for r in fresh} == {"error"}  # seeds carry no sync time
+
+
+def test_job_reconciles_with_previous_build(spark, tmp_path):
+    from pyspark.sql import functions as F
+    raw_root = tmp_path / "raw"
+    tables = seed_tables(spark)
+    for name, df in tables.items():
+        df.write.parquet(str(raw_root / name))
+    first = main(["--connection", f"acct={raw_root}", "--target", str(tmp_path / "v1"),
+                  "--no-staging"], spark=spark)
+    # a second build over changed raw events
+    raw2 = tmp_path / "raw2"
+    for name, df in tables.items():
+        if name == "campaign_recipient_activity":
+            df = df.where(F.col("action") == "open")
+        df.write.parquet(str(raw2 / name))
+    second = main(["--connection", f"acct={raw2}", "--target", str(tmp_path / "v2"),
+                   "--no-staging", "--reconcile-with", str(tmp_path / "v1")], spark=spark)
+    diff = spark.read.parquet(second["_checks_reconcile_campaigns"]).collect()
+    assert sorted((r.source, r.clicks) for r in diff) == [("from dev", 0), ("from prod", 5)]
+    assert spark.read.parquet(second["_checks_reconcile_automations"]).count() == 0
+    assert first["campaigns"] != second["campaigns"]
