@@ -1,7 +1,8 @@
 """Left joins that attach looked-up columns or metrics to a base table.
 
-Every join is an equi LEFT join on the entity key plus ``source_relation``,
-so rows of different connections never meet.  No broadcast hint is given:
+Every join is an equi LEFT join on the entity key plus ``source_relation``
+(left out only when a single connection is read, where it is constant), so
+rows of different connections never meet.  No broadcast hint is given:
 the planner broadcasts a side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` (with AQE: measured at run time on
 the materialised shuffle), and falls back to a shuffled join otherwise.
