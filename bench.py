@@ -9,6 +9,8 @@
    independent tables as concurrent jobs, ``..._one_job_at_a_time`` without);
    ``full_build_hubs_not_persisted`` writes them from the lazy plans, each
    output recomputing its whole lineage.
+4. ``*_two_connections``: the same raw tables read as two accounts (twice the
+   rows; every key includes ``source_relation``).
 
 Prints one JSON line.
 """
@@ -63,6 +65,9 @@ def main() -> None:
     raw = read_sources(spark, [Connection.from_directory("conn_a", raw_dir)])
     models = build(raw)
     native = build(raw, Options(distinct_strategy="native"))
+    # the same tables read as two accounts: every key includes source_relation
+    two = build(read_sources(spark, [Connection.from_directory("conn_a", raw_dir),
+                                     Connection.from_directory("conn_b", raw_dir)]))
 
     def run(df):
         return lambda: df.write.format("noop").mode("overwrite").save()
@@ -71,6 +76,8 @@ def main() -> None:
     run(models["campaigns"])()
 
     q = {name: median_of(run(models[name])) for name in HEADLINE}
+    for name in ("campaign_recipients", "members", "lists"):
+        q[f"{name}_two_connections"] = median_of(run(two[name]))
     for name in ("int_campaign_activities_by_list", "int_automation_activities_by_list"):
         q[f"{name}_two_phase"] = median_of(run(models[name]))
         q[f"{name}_native"] = median_of(run(native[name]))

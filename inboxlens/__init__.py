@@ -1,7 +1,9 @@
 """Email-engagement analytics on Spark DataFrames."""
 
 from .options import Options, PassThrough
-from .plans import OUTPUTS, build
+from .plans import OUTPUTS, build, checkpointed, register_views
+from .plans.write import write_build
 from .sources import Connection, read_sources
 
-__all__ = ["Connection", "OUTPUTS", "Options", "PassThrough", "build", "read_sources"]
+__all__ = ["Connection", "OUTPUTS", "Options", "PassThrough", "build", "checkpointed",
+           "read_sources", "register_views", "write_build"]
