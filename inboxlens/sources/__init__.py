@@ -1,3 +1,5 @@
-from .connections import Connection, conform, read_sources, union_connections
+from .connections import (Connection, conform, read_partitioned_sources, read_sources,
+                          union_connections)
 
-__all__ = ["Connection", "conform", "read_sources", "union_connections"]
+__all__ = ["Connection", "conform", "read_partitioned_sources", "read_sources",
+           "union_connections"]

@@ -91,7 +91,8 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options) ->
 
 
 class SourceTables(dict):
-    """Raw tables keyed by table name, remembering the connections they hold."""
+    """Raw tables keyed by table name, remembering the connections they hold
+    (empty when not known up front, e.g. partitioned storage)."""
 
     def __init__(self, tables: dict[str, DataFrame], connections: list[str]):
         super().__init__(tables)
@@ -120,3 +121,26 @@ def conform(df: DataFrame, table: str, options: Options,
         cols.append(alias(q(real), name) if real is not None
                     else alias(f"CAST(NULL AS {dtype.simpleString()})", name))
     return df.selectExpr(*cols)
+
+
+def read_partitioned_sources(spark: SparkSession, root: str, options: Options = Options(),
+                             fmt: str = "parquet", overrides: Mapping[str, str] | None = None,
+                             partition_column: str = "source_relation") -> SourceTables:
+    """Raw tables of any number of accounts stored together, partitioned by
+    account: ``root/<table>/<partition_column>=<account>/...``.
+
+    One scan per table whatever the number of accounts (the plan does not
+    grow with them); the account comes from partition discovery, so a
+    filter on ``source_relation`` prunes the other accounts' files.  Every
+    key of the build then includes ``source_relation``."""
+    overrides = dict(overrides or {})
+    out = {}
+    for table in enabled_tables(options):
+        df = spark.read.format(fmt).load(f"{root.rstrip('/')}/{overrides.get(table, table)}")
+        part = next(c for c in df.columns if c.lower() == partition_column.lower())
+        sr = f"CAST({q(part)} AS STRING)"
+        if not options.source_casing:
+            sr = f"lower({sr})"
+        out[table] = df.selectExpr(alias(sr, "source_relation"),
+                                   *[q(c) for c in df.columns if c != part])
+    return SourceTables(out, [])

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from helpers import build_from, metrics, rows_by
@@ -103,3 +105,23 @@ def test_location_overrides_and_catalog(spark, tmp_path):
                                    overrides={n: f"inboxlens_t_{n}" for n in t})
     out = build(read_sources(spark, [conn]))
     assert metrics(rows_by(out["campaigns"], "campaign_id")[CAMPAIGN]) == (10, 12, 5, 7, 2, 0)
+
+
+def test_partitioned_storage_of_many_accounts(spark, tmp_path):
+    from inboxlens.sources import read_partitioned_sources
+    t = seed_tables(spark)
+    for name, df in t.items():
+        both = df.withColumn("source_relation", F.lit("Acct_A")).unionByName(
+            df.withColumn("source_relation", F.lit("acct_b")))
+        both.write.partitionBy("source_relation").parquet(str(tmp_path / name))
+    out = build(read_partitioned_sources(spark, str(tmp_path)))
+    listed = build(read_sources(spark, [Connection("acct_a", t), Connection("acct_b", t)]))
+    for name in ("campaigns", "members", "lists", "automations", "segments"):
+        got = sorted(tuple(r) for r in out[name].select(*listed[name].columns).collect())
+        want = sorted(tuple(r) for r in listed[name].collect())
+        assert got == want, name
+    one = out["campaigns"].where("source_relation = 'acct_b'")
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    # the account filter prunes partitions of the scans
+    assert re.search(r"PartitionFilters: \[[^\]]*lower\(source_relation#\d+\) = acct_b", plan)
