@@ -15,6 +15,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from . import Connection, Options, build, read_sources
+from .sources import read_partitioned_sources
 from .operators import quality
 from .plans import OUTPUTS
 from .plans.write import write_build
@@ -37,6 +38,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                    help="raw tables stored as PATH/<table> (Parquet unless --format)")
     p.add_argument("--catalog", action="append", default=[], metavar="NAME=DATABASE",
                    help="raw tables registered as DATABASE.<table>")
+    p.add_argument("--partitioned", metavar="ROOT",
+                   help="raw tables of all accounts under ROOT/<table>/source_relation=<account>/")
     p.add_argument("--format", default="parquet", help="format of path connections")
     p.add_argument("--target", required=True, help="output root (or catalog name with --database)")
     p.add_argument("--database", help="save outputs as catalog tables in this database")
@@ -60,8 +63,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, str]:
     a = parse(argv)
-    if not a.connection and not a.catalog:
-        raise SystemExit("give at least one --connection or --catalog")
+    if not a.connection and not a.catalog and not a.partitioned:
+        raise SystemExit("give --partitioned, or at least one --connection or --catalog")
+    if a.partitioned and (a.connection or a.catalog):
+        raise SystemExit("--partitioned reads all accounts; do not combine it with connections")
     spark = spark or SparkSession.builder.appName("inboxlens").getOrCreate()
     if a.recommended_conf:
         for k, v in RECOMMENDED_CONF.items():
@@ -69,9 +74,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     options = Options(using_automations=not a.no_automations, using_segments=not a.no_segments,
                       using_unsubscribes=not a.no_unsubscribes, source_casing=a.source_casing,
                       synced_column=a.synced_column)
-    conns = [Connection.from_directory(n, w, fmt=a.format) for n, w in _pairs(a.connection)]
-    conns += [Connection.from_catalog(n, w) for n, w in _pairs(a.catalog)]
-    raw = read_sources(spark, conns, options)
+    if a.partitioned:
+        raw = read_partitioned_sources(spark, a.partitioned, options, fmt=a.format)
+    else:
+        conns = [Connection.from_directory(n, w, fmt=a.format) for n, w in _pairs(a.connection)]
+        conns += [Connection.from_catalog(n, w) for n, w in _pairs(a.catalog)]
+        raw = read_sources(spark, conns, options)
     written = write_build(spark, raw, a.target, options, staging=not a.no_staging,
                           database=a.database, partition_by_source=a.partition_by_source,
                           max_parallel_jobs=a.parallel_jobs)

@@ -38,3 +38,16 @@ def test_job_reconciles_with_previous_build(spark, tmp_path):
     assert sorted((r.source, r.clicks) for r in diff) == [("from dev", 0), ("from prod", 5)]
     assert spark.read.parquet(second["_checks_reconcile_automations"]).count() == 0
     assert first["campaigns"] != second["campaigns"]
+
+
+def test_job_reads_partitioned_accounts(spark, tmp_path):
+    from pyspark.sql import functions as F
+    root = tmp_path / "raw"
+    for name, df in seed_tables(spark).items():
+        df.withColumn("source_relation", F.lit("x")).unionByName(
+            df.withColumn("source_relation", F.lit("y"))) \
+            .write.partitionBy("source_relation").parquet(str(root / name))
+    written = main(["--partitioned", str(root), "--target", str(tmp_path / "m"), "--no-staging",
+                    "--partition-by-source"], spark=spark)
+    camps = spark.read.parquet(written["campaigns"])
+    assert sorted((r.source_relation, r.sends) for r in camps.collect()) == [("x", 10), ("y", 10)]
