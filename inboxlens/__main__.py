@@ -41,6 +41,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--partitioned", metavar="ROOT",
                    help="raw tables of all accounts under ROOT/<table>/source_relation=<account>/")
     p.add_argument("--format", default="parquet", help="format of path connections")
+    p.add_argument("--table-name", action="append", default=[], metavar="TABLE=NAME",
+                   help="raw table stored under another name (repeatable), e.g. list=lists_v2")
     p.add_argument("--target", required=True, help="output root (or catalog name with --database)")
     p.add_argument("--database", help="save outputs as catalog tables in this database")
     p.add_argument("--no-automations", action="store_true")
@@ -74,11 +76,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     options = Options(using_automations=not a.no_automations, using_segments=not a.no_segments,
                       using_unsubscribes=not a.no_unsubscribes, source_casing=a.source_casing,
                       synced_column=a.synced_column)
+    names = dict(_pairs(a.table_name))
     if a.partitioned:
-        raw = read_partitioned_sources(spark, a.partitioned, options, fmt=a.format)
+        raw = read_partitioned_sources(spark, a.partitioned, options, fmt=a.format,
+                                       overrides=names)
     else:
-        conns = [Connection.from_directory(n, w, fmt=a.format) for n, w in _pairs(a.connection)]
-        conns += [Connection.from_catalog(n, w) for n, w in _pairs(a.catalog)]
+        conns = [Connection.from_directory(n, w, names, fmt=a.format)
+                 for n, w in _pairs(a.connection)]
+        conns += [Connection.from_catalog(n, w, names) for n, w in _pairs(a.catalog)]
         raw = read_sources(spark, conns, options)
     written = write_build(spark, raw, a.target, options, staging=not a.no_staging,
                           database=a.database, partition_by_source=a.partition_by_source,

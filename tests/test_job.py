@@ -6,10 +6,10 @@ from inboxlens.__main__ import main
 def test_job_builds_writes_and_checks(spark, tmp_path):
     raw_root = tmp_path / "raw"
     for name, df in seed_tables(spark).items():
-        df.write.parquet(str(raw_root / name))
+        df.write.parquet(str(raw_root / ("lists_v2" if name == "list" else name)))
     target = tmp_path / "marts"
     written = main(["--connection", f"acct={raw_root}", "--target", str(target), "--check",
-                    "--no-staging"], spark=spark)
+                    "--no-staging", "--table-name", "list=lists_v2"], spark=spark)
     camp = spark.read.parquet(written["campaigns"]).first()
     assert (camp.source_relation, camp.sends, camp.unique_opens) == ("acct", 10, 7)
     tests = spark.read.parquet(written["_checks_tests"])
