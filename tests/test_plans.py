@@ -70,3 +70,38 @@ def test_sends_are_shuffled_once_for_both_per_send_joins(static, tmp_path):
     # ... and never again on the unsubscribe join's own keys: only the small
     # deduplicated unsubscribe side (keyed by _email_id) is moved
     assert not [k for k in keysets if {"member_id", "list_id", "campaign_id", "email_id"} <= k]
+
+
+def test_hot_campaign_is_split_by_aqe_skew_join(spark, tmp_path):
+    """All events of the example account belong to one campaign.  With the
+    campaign table too big to broadcast, AQE splits that hot partition of
+    the events -> campaigns join instead of giving it to one task."""
+    from pyspark.sql import functions as F
+    t = seed_tables(spark)
+    t["campaign_recipient_activity"] = t["campaign_recipient_activity"] \
+        .crossJoin(spark.range(500).select(F.col("id").alias("_n"))) \
+        .withColumn("timestamp", F.expr("timestamp + make_interval(0, 0, 0, 0, 0, 0, _n)")) \
+        .drop("_n").repartition(16)
+    for name, df in t.items():
+        df.write.parquet(str(tmp_path / name))
+    conf = {"spark.sql.adaptive.enabled": "true",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.files.maxPartitionBytes": "4KB",
+            "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = build(read_sources(spark, [Connection.from_directory("a", str(tmp_path))]))[
+            "campaign_activities"]
+        assert len(df.collect()) == 17 * 500
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in p and "SortMergeJoin(skew=true)" in p
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
