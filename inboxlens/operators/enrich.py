@@ -3,10 +3,11 @@
 Every join is an equi LEFT join on the entity key plus ``source_relation``
 (left out only when a single connection is read, where it is constant), so
 rows of different connections never meet.  No broadcast hint is given:
-the planner broadcasts a side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` (with AQE: measured at run time on
-the materialised shuffle), and falls back to a shuffled join otherwise.
-"""
+the planner broadcasts a side only when its size is under
+``spark.sql.autoBroadcastJoinThreshold``, estimated from file statistics
+when planning (an upper bound for projected / filtered scans) and measured
+by AQE on the materialised shuffle at run time; otherwise the join stays a
+shuffled join (AQE splits skewed partitions of it)."""
 
 from __future__ import annotations
 
