@@ -5,7 +5,8 @@ Every join is an equi LEFT join on the entity key plus ``source_relation``
 rows of different connections never meet.  No broadcast hint is given:
 the planner broadcasts a side only when its size is under
 ``spark.sql.autoBroadcastJoinThreshold``, estimated from file statistics
-when planning (an upper bound for projected / filtered scans) and measured
+when planning (scaled by ``spark.sql.sources.fileCompressionFactor``; a
+filter never lowers the estimate) and measured
 by AQE on the materialised shuffle at run time; otherwise the join stays a
 shuffled join (AQE splits skewed partitions of it)."""
 

@@ -13,6 +13,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Planning-time sizes come from compressed file sizes; scale them so the
+    # broadcast threshold is checked against something closer to the size
+    # of the decoded rows (Parquet typically compresses 3x or more).
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     # Let a join reuse a side already hash-partitioned on a subset of its
