@@ -21,6 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..options import Options
+from ..sources.connections import read_with_text_partition
 from .build import HUBS, OUTPUTS, build
 
 
@@ -59,7 +60,11 @@ def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
 
     def stored(name: str) -> DataFrame:
         loc = location(name)
-        return spark.table(loc) if database else spark.read.format(fmt).load(loc)
+        if database:
+            return spark.table(loc)
+        if partition_by_source:
+            return read_with_text_partition(spark, loc, fmt, "source_relation")
+        return spark.read.format(fmt).load(loc)
 
     def save_all(items: list[tuple[str, DataFrame]]) -> None:
         with ThreadPoolExecutor(max(1, max_parallel_jobs)) as pool:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..functions.sql import alias, lit, q
 from ..options import Options
@@ -123,6 +124,18 @@ def conform(df: DataFrame, table: str, options: Options,
     return df.selectExpr(*cols)
 
 
+def read_with_text_partition(spark: SparkSession, path: str, fmt: str,
+                             partition_column: str) -> DataFrame:
+    """Read a table partitioned by ``partition_column`` keeping the folder
+    value as text: type inference would turn an account named ``007`` into
+    the number 7.  The inferred schema is read first, then the table is read
+    with that column declared as string."""
+    inferred = spark.read.format(fmt).load(path).schema
+    fields = [T.StructField(f.name, T.StringType(), True)
+              if f.name.lower() == partition_column.lower() else f for f in inferred.fields]
+    return spark.read.format(fmt).schema(T.StructType(fields)).load(path)
+
+
 def read_partitioned_sources(spark: SparkSession, root: str, options: Options = Options(),
                              fmt: str = "parquet", overrides: Mapping[str, str] | None = None,
                              partition_column: str = "source_relation") -> SourceTables:
@@ -136,7 +149,8 @@ def read_partitioned_sources(spark: SparkSession, root: str, options: Options =
     overrides = dict(overrides or {})
     out = {}
     for table in enabled_tables(options):
-        df = spark.read.format(fmt).load(f"{root.rstrip('/')}/{overrides.get(table, table)}")
+        path = f"{root.rstrip('/')}/{overrides.get(table, table)}"
+        df = read_with_text_partition(spark, path, fmt, partition_column)
         part = next(c for c in df.columns if c.lower() == partition_column.lower())
         sr = f"CAST({q(part)} AS STRING)"
         if not options.source_casing:
