@@ -131,6 +131,13 @@ def stg_members(raw: DataFrame, options: Options = Options()) -> DataFrame:
         "ip_signup as signup_ip_address", "language", "latitude", "longitude",
         "member_rating", "timezone", "unique_email_id", "vip"])
     # User-declared extra columns, evaluated on the conformed raw row.
+    taken = {c.split(" AS ")[-1].strip("`").lower() for c in cols}
+    for p in options.member_pass_through:
+        out = (p.alias or p.name).lower()
+        if out in taken:
+            raise ValueError(f"pass-through column {p.alias or p.name!r} would duplicate a "
+                             "member column; give it another alias")
+        taken.add(out)
     for p in options.member_pass_through:
         cols.append(alias(f"({p.transform_sql})" if p.transform_sql else q(p.name),
                           p.alias or p.name))

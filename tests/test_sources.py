@@ -125,3 +125,9 @@ def test_partitioned_storage_of_many_accounts(spark, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     # the account filter prunes partitions of the scans
     assert re.search(r"PartitionFilters: \[[^\]]*lower\(source_relation#\d+\) = acct_b", plan)
+
+
+def test_pass_through_name_clash_is_rejected(spark):
+    import pytest
+    with pytest.raises(ValueError, match="duplicate"):
+        build_from(spark, seed_tables(spark), Options(member_pass_through=(PassThrough("status"),)))
