@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.staging import stage_all
 from ..options import Options
+from ..sources.connections import enabled_tables
 from . import audience, automation, campaign
 from .scope import Scope
 
@@ -37,6 +38,10 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
     Keys: ``stg_*`` staged tables, ``int_*`` intermediates and the nine
     outputs of ``OUTPUTS`` (those switched off are absent)."""
     o = options
+    missing = [t for t in enabled_tables(o) if t not in raw]
+    if missing:
+        raise ValueError(f"raw tables missing: {', '.join(missing)}; switch those features off "
+                         "in Options (and pass the same Options to read_sources and build)")
     unsub = o.using_unsubscribes
     # One connection: source_relation is constant, keys can leave it out.
     conns = getattr(raw, "connections", None)

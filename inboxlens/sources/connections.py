@@ -41,6 +41,9 @@ class Connection:
         return cls(name, tables, fmt="table")
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        if table not in self.tables:
+            raise KeyError(f"connection {self.name!r} has no {table!r} table; give it, or "
+                           "switch the feature off in Options")
         ref = self.tables[table]
         if isinstance(ref, DataFrame):
             return ref
@@ -151,7 +154,9 @@ def read_partitioned_sources(spark: SparkSession, root: str, options: Options =
     for table in enabled_tables(options):
         path = f"{root.rstrip('/')}/{overrides.get(table, table)}"
         df = read_with_text_partition(spark, path, fmt, partition_column)
-        part = next(c for c in df.columns if c.lower() == partition_column.lower())
+        part = next((c for c in df.columns if c.lower() == partition_column.lower()), None)
+        if part is None:
+            raise ValueError(f"{path} is not partitioned by {partition_column}")
         sr = f"CAST({q(part)} AS STRING)"
         if not options.source_casing:
             sr = f"lower({sr})"

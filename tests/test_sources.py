@@ -131,3 +131,21 @@ def test_pass_through_name_clash_is_rejected(spark):
     import pytest
     with pytest.raises(ValueError, match="duplicate"):
         build_from(spark, seed_tables(spark), Options(member_pass_through=(PassThrough("status"),)))
+
+
+def test_clear_errors_for_missing_inputs(spark, tmp_path):
+    import pytest
+    from inboxlens.sources import read_partitioned_sources
+    t = seed_tables(spark)
+    del t["unsubscribe"]
+    with pytest.raises(KeyError, match="no 'unsubscribe' table"):
+        read_sources(spark, [Connection("a", t)])
+    off = Options(using_unsubscribes=False)
+    raw = read_sources(spark, [Connection("a", t)], off)
+    assert "stg_unsubscribes" not in build(raw, off)
+    with pytest.raises(ValueError, match="raw tables missing: unsubscribe"):
+        build(raw)
+    for name, df in seed_tables(spark).items():
+        df.write.parquet(str(tmp_path / name))
+    with pytest.raises(ValueError, match="not partitioned by source_relation"):
+        read_partitioned_sources(spark, str(tmp_path))
