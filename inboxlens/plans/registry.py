@@ -59,6 +59,11 @@ MODEL_NAMES = (
        "segments"])
 
 TWO = (("conn_a", None), ("conn_b", _limited))
+TWO_SOURCE_MODELS = (
+    "stg_campaign_recipients", "campaign_activities", "int_campaign_activities_by_email",
+    "campaign_recipients", "campaigns", "automation_activities",
+    "int_automation_activities_by_member", "int_automation_activities_by_segment",
+    "automation_emails", "automations", "members", "int_members_by_list", "lists", "segments")
 ALL_OFF = Options(using_automations=False, using_segments=False, using_unsubscribes=False)
 NATIVE = Options(distinct_strategy="native")
 
@@ -80,8 +85,7 @@ def _dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spark_queries() -> dict[str, Query]:
     q: dict[str, Query] = {name: _model(name) for name in MODEL_NAMES}
-    for name in ("stg_campaign_recipients", "campaign_recipients", "campaigns",
-                 "automations", "members", "lists", "segments"):
+    for name in TWO_SOURCE_MODELS:
         q[f"{name}_two_sources"] = _model(name, conns=TWO)
     q["stg_members_source_casing"] = _model("stg_members", Options(source_casing=True),
                                             (("Conn_A", None),))

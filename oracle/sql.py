@@ -298,8 +298,11 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
     base = chain()
     q = {name: _select(base, name) for name in model_names}
     two = chain(conns=[("conn_a", False), ("conn_b", True)])
-    for name in ("stg_campaign_recipients", "campaign_recipients", "campaigns",
-                 "automations", "members", "lists", "segments"):
+    for name in ("stg_campaign_recipients", "campaign_activities",
+                 "int_campaign_activities_by_email", "campaign_recipients", "campaigns",
+                 "automation_activities", "int_automation_activities_by_member",
+                 "int_automation_activities_by_segment", "automation_emails", "automations",
+                 "members", "int_members_by_list", "lists", "segments"):
         q[f"{name}_two_sources"] = _select(two, name)
     q["stg_members_source_casing"] = _select(chain(conns=[("Conn_A", False)]), "stg_members")
     q["stg_lists_folded_casing"] = _select(chain(conns=[("conn_a", False)]), "stg_lists")
