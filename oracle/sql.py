@@ -1,7 +1,7 @@
 """DuckDB SQL computing the same tables as the Spark plans, for the
 side-by-side correctness check.
 
-Written as plain one-phase SQL (COUNT(DISTINCT ...), chained LEFT JOINs, the
+Written as plain one-phase SQL (COUNT(DISTINCT ...) FILTER, chained LEFT JOINs, the
 members-by-list count read from the members table) so that any rewrite in
 the Spark plans shows up as a difference.  Only the declared column lists
 are shared with the library.
@@ -157,7 +157,7 @@ def _on(a: str, b: str, *cols: str) -> str:
 
 
 def model_ctes(p: str, auto: bool = True, unsub: bool = True, segs: bool = True) -> list[str]:
-    u_count = ", count(distinct case when was_unsubscribed = true then member_id end) as unsubscribes" if unsub else ""
+    u_count = ", count(distinct member_id) filter (where was_unsubscribed) as unsubscribes" if unsub else ""
     c = [
         f"""{p}campaign_activities as (
   select a.*, c.send_timestamp,
@@ -166,17 +166,16 @@ def model_ctes(p: str, auto: bool = True, unsub: bool = True, segs: bool = True)
          datediff('day', c.send_timestamp, a.activity_timestamp) as time_since_send_days
   from {p}stg_campaign_activities a left join {p}stg_campaigns c on {_on('a', 'c', 'campaign_id')})""",
         f"""{p}int_campaign_activities_by_email as (
-  select *, case when opens > 0 then true else false end as was_opened,
-            case when clicks > 0 then true else false end as was_clicked
+  select *, ifnull(opens, 0) > 0 as was_opened, ifnull(clicks, 0) > 0 as was_clicked
   from (select source_relation, email_id,
-               cast(sum(case when action_type = 'open' then 1 end) as bigint) as opens,
-               cast(sum(case when action_type = 'click' then 1 end) as bigint) as clicks,
-               count(distinct case when action_type = 'open' then member_id end) as unique_opens,
-               count(distinct case when action_type = 'click' then member_id end) as unique_clicks,
-               min(case when action_type = 'open' then activity_timestamp end) as first_open_timestamp,
-               min(case when action_type = 'open' then time_since_send_minutes end) as time_to_open_minutes,
-               min(case when action_type = 'open' then time_since_send_hours end) as time_to_open_hours,
-               min(case when action_type = 'open' then time_since_send_days end) as time_to_open_days
+               cast(sum(1) filter (where action_type = 'open') as bigint) as opens,
+               cast(sum(1) filter (where action_type = 'click') as bigint) as clicks,
+               count(distinct member_id) filter (where action_type = 'open') as unique_opens,
+               count(distinct member_id) filter (where action_type = 'click') as unique_clicks,
+               min(activity_timestamp) filter (where action_type = 'open') as first_open_timestamp,
+               min(time_since_send_minutes) filter (where action_type = 'open') as time_to_open_minutes,
+               min(time_since_send_hours) filter (where action_type = 'open') as time_to_open_hours,
+               min(time_since_send_days) filter (where action_type = 'open') as time_to_open_days
         from {p}campaign_activities group by source_relation, email_id))""",
         f"""{p}campaign_recipients as (
   select r.*, c.segment_id, c.send_timestamp,
@@ -196,8 +195,8 @@ def model_ctes(p: str, auto: bool = True, unsub: bool = True, segs: bool = True)
         c.append(f"""{p}int_campaign_activities_by_{by} as (
   select source_relation, {keys}, count(*) as sends, cast(sum(opens) as bigint) as opens,
          cast(sum(clicks) as bigint) as clicks,
-         count(distinct case when was_opened = true then member_id end) as unique_opens,
-         count(distinct case when was_clicked = true then member_id end) as unique_clicks{u_count}
+         count(distinct member_id) filter (where was_opened) as unique_opens,
+         count(distinct member_id) filter (where was_clicked) as unique_clicks{u_count}
   from {p}campaign_recipients {where} group by source_relation, {keys})""")
     c.append(f"""{p}campaigns as (
   select c.*, {_metrics('b', '', unsub)}
@@ -231,10 +230,10 @@ def model_ctes(p: str, auto: bool = True, unsub: bool = True, segs: bool = True)
          {", un.unsubscribes" if unsub else ""}
   from (select source_relation, {key}, count(*) as sends from {p}int_automation_recipients {where} group by source_relation, {key}) s
   left join (select source_relation, {key},
-                    cast(sum(case when action_type = 'open' then 1 end) as bigint) as opens,
-                    cast(sum(case when action_type = 'click' then 1 end) as bigint) as clicks,
-                    count(distinct case when action_type = 'open' then {dk} end) as unique_opens,
-                    count(distinct case when action_type = 'click' then {dk} end) as unique_clicks
+                    cast(sum(1) filter (where action_type = 'open') as bigint) as opens,
+                    cast(sum(1) filter (where action_type = 'click') as bigint) as clicks,
+                    count(distinct {dk}) filter (where action_type = 'open') as unique_opens,
+                    count(distinct {dk}) filter (where action_type = 'click') as unique_clicks
              from {p}automation_activities {where} group by source_relation, {key}) ev on {join_ev}
   {f"left join (select source_relation, {usel}, count(*) as unsubscribes from {p}int_automation_unsubscribes {where} group by source_relation, {', '.join(ukeys)}) un on {join_u}" if unsub else ""})""")
         c.append(f"""{p}automation_emails as (
