@@ -41,6 +41,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--partitioned", metavar="ROOT",
                    help="raw tables of all accounts under ROOT/<table>/source_relation=<account>/")
     p.add_argument("--format", default="parquet", help="format of path connections")
+    p.add_argument("--reader-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="option of the file reader (repeatable), e.g. header=true for csv")
     p.add_argument("--table-name", action="append", default=[], metavar="TABLE=NAME",
                    help="raw table stored under another name (repeatable), e.g. list=lists_v2")
     p.add_argument("--target", required=True, help="output root (or catalog name with --database)")
@@ -81,7 +83,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         raw = read_partitioned_sources(spark, a.partitioned, options, fmt=a.format,
                                        overrides=names)
     else:
-        conns = [Connection.from_directory(n, w, names, fmt=a.format)
+        conns = [Connection.from_directory(n, w, names, fmt=a.format,
+                                           reader_options=dict(_pairs(a.reader_option)))
                  for n, w in _pairs(a.connection)]
         conns += [Connection.from_catalog(n, w, names) for n, w in _pairs(a.catalog)]
         raw = read_sources(spark, conns, options)

@@ -23,14 +23,20 @@ class Connection:
     name: str
     tables: Mapping[str, object] = field(default_factory=dict)
     fmt: str = "parquet"
+    # Reader options (e.g. {"header": "true"} for CSV) and, per table, a DDL
+    # schema to read with instead of inferring one.
+    reader_options: Mapping[str, str] = field(default_factory=dict)
+    schemas: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
     def from_directory(cls, name: str, root: str, overrides: Mapping[str, str] | None = None,
-                       fmt: str = "parquet", suffix: str = "") -> "Connection":
+                       fmt: str = "parquet", suffix: str = "",
+                       reader_options: Mapping[str, str] | None = None,
+                       table_schemas: Mapping[str, str] | None = None) -> "Connection":
         """Tables stored as ``root/<table><suffix>``; ``overrides`` renames single tables."""
         overrides = dict(overrides or {})
         tables = {t: f"{root.rstrip('/')}/{overrides.get(t, t)}{suffix}" for t in schemas.SOURCE_TABLES}
-        return cls(name, tables, fmt)
+        return cls(name, tables, fmt, dict(reader_options or {}), dict(table_schemas or {}))
 
     @classmethod
     def from_catalog(cls, name: str, database: str,
@@ -49,7 +55,10 @@ class Connection:
             return ref
         if self.fmt == "table":
             return spark.table(str(ref))
-        return spark.read.format(self.fmt).load(str(ref))
+        reader = spark.read.format(self.fmt).options(**self.reader_options)
+        if table in self.schemas:
+            reader = reader.schema(self.schemas[table])
+        return reader.load(str(ref))
 
 
 def enabled_tables(options: Options) -> list[str]:

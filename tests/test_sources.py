@@ -149,3 +149,19 @@ def test_clear_errors_for_missing_inputs(spark, tmp_path):
         df.write.parquet(str(tmp_path / name))
     with pytest.raises(ValueError, match="not partitioned by source_relation"):
         read_partitioned_sources(spark, str(tmp_path))
+
+
+def test_csv_sources_with_header_and_schemas(spark, tmp_path):
+    t = seed_tables(spark)
+    for name, df in t.items():
+        df.write.option("header", "true").csv(str(tmp_path / name))
+    # timestamps typed through per-table schemas; everything else read as text
+    ddl = {name: ", ".join(f"`{f.name}` {'timestamp_ntz' if f.dataType.simpleString() == 'timestamp_ntz' else 'string'}"
+                           for f in df.schema.fields) for name, df in t.items()}
+    conn = Connection.from_directory("csv", str(tmp_path), fmt="csv",
+                                     reader_options={"header": "true"}, table_schemas=ddl)
+    out = build(read_sources(spark, [conn]))
+    assert metrics(rows_by(out["campaigns"], "campaign_id")[CAMPAIGN]) == (10, 12, 5, 7, 2, 0)
+    lists = rows_by(out["lists"], "list_id")
+    assert lists[L1]["count_members"] == 8
+    assert str(lists[L1]["most_recent_signup_timestamp"]) == "2020-04-21 14:52:25"
