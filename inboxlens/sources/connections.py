@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.sql import alias, lit, q
+from ..functions.sql import alias, q
 from ..options import Options
 from . import schemas
 
@@ -88,7 +89,7 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options) ->
     for conn, df in frames:
         have = {f.name.lower(): f for f in df.schema.fields}
         sr = conn if options.source_casing else conn.lower()
-        cols = [alias(lit(sr), "source_relation")]
+        cols = []
         for key, (name, dtype) in names.items():
             if key == "source_relation":
                 continue
@@ -99,7 +100,8 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options) ->
                 cols.append(alias(q(f.name), name))
             else:
                 cols.append(alias(f"CAST({q(f.name)} AS {dtype.simpleString()})", name))
-        parts.append(df.selectExpr(*cols))
+        # the name goes in as a value, not as SQL text (no quoting concerns)
+        parts.append(df.selectExpr(*cols).select(F.lit(sr).alias("source_relation"), "*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -165,3 +165,11 @@ def test_csv_sources_with_header_and_schemas(spark, tmp_path):
     lists = rows_by(out["lists"], "list_id")
     assert lists[L1]["count_members"] == 8
     assert str(lists[L1]["most_recent_signup_timestamp"]) == "2020-04-21 14:52:25"
+
+
+def test_connection_names_with_quotes_survive(spark):
+    name = "O'Brien \\ Co"
+    out = build_from(spark, seed_tables(spark), Options(source_casing=True), name=name)
+    assert {r[0] for r in out["campaigns"].select("source_relation").collect()} == {name}
+    folded = build_from(spark, seed_tables(spark), name=name)
+    assert {r[0] for r in folded["lists"].select("source_relation").collect()} == {name.lower()}
