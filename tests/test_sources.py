@@ -173,3 +173,15 @@ def test_connection_names_with_quotes_survive(spark):
     assert {r[0] for r in out["campaigns"].select("source_relation").collect()} == {name}
     folded = build_from(spark, seed_tables(spark), name=name)
     assert {r[0] for r in folded["lists"].select("source_relation").collect()} == {name.lower()}
+
+
+def test_odd_column_names_are_quoted(spark):
+    t = seed_tables(spark)
+    t["member"] = t["member"].selectExpr("*", "merge_fname AS `first name`",
+                                         "status AS `odd``name`")
+    o = Options(member_pass_through=(PassThrough("first name", alias="first"),
+                                     PassThrough("odd`name", alias="odd name")))
+    m = build_from(spark, t, o)["members"]
+    assert {"first", "odd name"} <= set(m.columns)
+    assert {r["odd name"] for r in m.collect()} == {"subscribed", "unsubscribed"}
+    assert "first name" not in m.columns
