@@ -41,3 +41,21 @@ def test_automation_event_stream_matches_batch(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(str(out)).select(*events.columns).collect())
     want = sorted(tuple(r) for r in build_from(spark, t)["automation_activities"].collect())
     assert got == want and len(got) == 8
+
+
+def test_two_account_event_stream(spark, tmp_path):
+    t = seed_tables(spark)
+    o = Options()
+    camps = stg_campaigns(union_connections([("a", t["campaign"]), ("b", t["campaign"])], o))
+    src = _stream(spark, tmp_path, "campaign_recipient_activity")
+    events = campaign_event_stream([("a", src), ("b", src)], camps)
+    out = tmp_path / "out2"
+    q = append_to(spark, events, str(out), "two_acct_events", available_now=True,
+                  checkpoint=str(tmp_path / "ckpt2"))
+    q.awaitTermination(120)
+    got = spark.read.parquet(str(out))
+    assert got.count() == 34
+    per = {r.source_relation: r.n for r in got.groupBy("source_relation")
+           .agg({"time_since_send_minutes": "count"}).withColumnRenamed(
+               "count(time_since_send_minutes)", "n").collect()}
+    assert per == {"a": 17, "b": 17}  # every event found its own account's campaign
