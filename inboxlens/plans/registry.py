@@ -68,8 +68,8 @@ ALL_OFF = Options(using_automations=False, using_segments=False, using_unsubscri
 NATIVE = Options(distinct_strategy="native")
 
 
-def _dq_tests(kind: str) -> Query:
-    return lambda spark, sf_dir: quality.run_tests(models(spark, sf_dir), kind)
+def _dq_tests(kind: str, conns: tuple = (("conn_a", None),)) -> Query:
+    return lambda spark, sf_dir: quality.run_tests(models(spark, sf_dir, conns=conns), kind)
 
 
 def _dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +107,7 @@ def spark_queries() -> dict[str, Query]:
         q[f"{name}_native"] = _model(name, NATIVE)
     q["dq_not_null"] = _dq_tests("not_null")
     q["dq_unique"] = _dq_tests("unique")
+    q["dq_unique_two_sources"] = _dq_tests("unique", TWO)
     q["dq_freshness"] = _dq_freshness
     q["dq_reconcile_campaigns"] = _dq_reconcile
     return q

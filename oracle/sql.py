@@ -324,10 +324,11 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
     q["dq_not_null"] = with_clause(base) + "\nunion all\n".join(
         f"select '{m}' as model, 'not_null' as test, '{c}' as column_name, count(*) as failures "
         f"from {m} where {c} is null" for m, c in NOT_NULL)
-    q["dq_unique"] = with_clause(base) + "\nunion all\n".join(
-        f"select '{m}' as model, 'unique' as test, '{c}' as column_name, count(*) as failures "
-        f"from (select source_relation, {c} from {m} where {c} is not null "
-        f"group by source_relation, {c} having count(*) > 1)" for m, c in UNIQUE)
+    for key, ctes in (("dq_unique", base), ("dq_unique_two_sources", two)):
+        q[key] = with_clause(ctes) + "\nunion all\n".join(
+            f"select '{m}' as model, 'unique' as test, '{c}' as column_name, count(*) as failures "
+            f"from (select source_relation, {c} from {m} where {c} is not null "
+            f"group by source_relation, {c} having count(*) > 1)" for m, c in UNIQUE)
     fresh = []
     for table in DECLARED:
         synced = SYNCED if SYNCED in PRESENT[table] else "cast(null as timestamp)"
