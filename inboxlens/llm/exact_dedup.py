@@ -7,10 +7,12 @@ are named the same way, again and again, until each text has a single name.
 Names are ranks of contents, never hashes, so two texts share a name only if
 they are equal.
 
-The sort is by (content, row), so a content that a third of all rows hold is
-still split over many partitions; a partition only names what it has seen, and
-its first and last key are compared with its neighbours' afterwards (a table
-with one row per partition).
+The sort is by (two hashes, content, row): the hashes only order the blocks, so
+that the bounds of the ranges are small. A content that a third of all rows
+hold is split over many partitions by row; a partition only names what it has
+seen, and its first and last key are compared with its neighbours' afterwards
+(a table with one row per partition). Should two contents share both hashes,
+the sort could interleave them; that is noticed and reported, never misnamed.
 """
 
 from __future__ import annotations
@@ -67,15 +69,17 @@ def _name(batches):
 
     The rows that hold the partition's first and last key keep it as ``edge``,
     once each (first row, last row)."""
-    part, local, last_key = TaskContext.get().partitionId(), -1, None
+    part, local, last_key, last_hash = TaskContext.get().partitionId(), -1, None, None
     held = None  # one row is held back: the last one of all keeps its key
     for b in batches:
         keys = b["key"].to_pylist()
         names, edges = [], []
-        for k in keys:
+        for k, *h in zip(keys, b["h1"].to_pylist(), b["h2"].to_pylist()):
             first = last_key is None
             if first or k != last_key:
-                local, last_key = local + 1, k
+                if h == last_hash:
+                    raise ValueError("two blocks share both order hashes; choose another block size")
+                local, last_key, last_hash = local + 1, k, h
             names.append(local)
             edges.append(k if first else None)
         if not keys:
@@ -95,8 +99,9 @@ def _name(batches):
 
 def _ranked(keyed: DataFrame, partitions: int, label: str) -> DataFrame:
     """Replace ``key`` by ``name``, its dense rank over all rows."""
-    order = ["key", "row", "pos"]
-    local = stored(keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    keyed = keyed.withColumns({"h1": F.xxhash64("key"), "h2": F.xxhash64(F.lit(1), "key")})
+    local = stored(keyed.repartitionByRange(partitions, "h1", "h2", "row", "pos")
+                   .sortWithinPartitions("h1", "h2", "key", "row", "pos")
                    .mapInArrow(_name, _ddl(_NAMED)), label)
     # One row per partition: its number of names, first and last key.
     first, last = F.min(F.struct("local", "edge"))["edge"], F.max(F.struct("local", "edge"))["edge"]

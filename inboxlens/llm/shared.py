@@ -43,6 +43,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    # Spark deletes shuffle files once the driver's JVM finds them unused.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

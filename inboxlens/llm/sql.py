@@ -14,3 +14,80 @@ g as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256
 from g
 """
+
+ORACLE["op3_mixing"] = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         md5(concat_ws('|', 'mix', doc_id::varchar, coalesce(text, ''))) as k
+  from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+w as (select *, 2.0::double * source_size as lim,
+             [3.0::double, 1.0, 2.0][((row_number() over (order by source is null, source) - 1) % 3 + 1)::int] as weight
+      from s),
+o as (select *, row_number() over (order by lim / weight, source is null, source) as k from w),
+l as (select a.source, a.source_size, a.lim, a.weight, a.k,
+             (1.5 * (select sum(source_size) from o)
+              - coalesce((select sum(lim) from o b where b.k < a.k), 0))
+             / (select sum(weight) from o b where b.k >= a.k) as level
+      from o a),
+f as (select min(k) as k from l where level * weight <= lim),
+t as (select source, source_size,
+             case when l.k >= f.k then (select level from l m where m.k = f.k) * weight else lim end::double as target
+      from l, f),
+p as (select d.doc_id, d.size, t.source_size, t.target, floor(t.target)::bigint as budget,
+             (sum(size) over (partition by d.source order by d.k, doc_id, size rows unbounded preceding) - size)::bigint as before
+      from d join t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target,
+       (case when source_size > 0 then (budget // source_size) * size
+         + greatest(0, least(size, budget % source_size - before)) else 0 end)::bigint as taken
+from p
+"""
+
+ORACLE["op4_warc"] = r"""
+with p as (select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, '')))::bigint as n from pages),
+m as (select html, max(page_id) as first from p where n >= 1000 group by html having count(*) > 1)
+select page_id, n as payload_bytes, sha1(p.html) as payload_digest,
+       case when first <> page_id then 'revisit' else 'response' end as record_type,
+       case when first <> page_id then first end as refers_to
+from p left join m on p.html = m.html
+"""
+
+ORACLE["op6_substring_dedup"] = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (select doc_id, i, list_slice(ws, i, i + 34) as win
+      from (select doc_id, ws, unnest(range(1, len(ws) - 33)) as i from d where len(ws) >= 35)),
+r as (select doc_id, i from (select doc_id, i, count(*) over (partition by win) as n from w) where n > 1),
+c as (select distinct doc_id, unnest(range(i, i + 35)) as i from r),
+k as (select d.doc_id, string_agg(x.word, ' ' order by x.i) as kept, count(*) as n
+      from (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as i from d) x
+      join d using (doc_id) left join c on c.doc_id = x.doc_id and c.i = x.i
+      where c.i is null group by d.doc_id)
+select d.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (doc_id)
+"""
+
+ORACLE["op10_near_dedup"] = r"""
+with recursive
+d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws
+  from documents),
+s as (
+  select distinct doc_id, list_slice(ws, i, i + 4) as shingle
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i from d where len(ws) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all),
+e as (
+  select p.a, p.b from p join n x on x.doc_id = p.a join n y on y.doc_id = p.b
+  where 100 * shared >= 85 * (x.n + y.n - shared)),
+r(doc_id, reached) as (
+  select doc_id, doc_id from d
+  union
+  select r.doc_id, e.b from r join e on e.a = r.reached)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from d left join n using (doc_id)
+join (select doc_id, min(reached) as component_id from r group by doc_id) c using (doc_id)
+"""
