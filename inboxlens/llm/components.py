@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .shared import batch, stored
 
+LINKS_PER_TASK = 1 << 18
+
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -51,15 +53,21 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a > b").distinct()
 
 
+def _is_stars(links: DataFrame) -> bool:
+    """Each node has one link, to a node that has none: nothing is left to unite."""
+    ends = links.selectExpr("a as x", "1 as up", "0 as down").union(links.selectExpr("b", "0", "1"))
+    per = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.where("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and comp, the smallest node it is linked with over any number of
     links (a, b); the smallest nodes themselves are left out, as are nodes
-    without links. An empty table gives an empty result."""
-    links = stored(links.select("a", "b").mapInArrow(_unite, "a long, b long"), "links")
-    mark = None
-    while True:
-        state = links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).head()
-        if state == mark or not state[0]:
-            return links.toDF("node", "comp")
-        mark = state
+    without links. An empty table gives an empty result. ``links`` is read
+    twice: pass a stored table."""
+    links = links.select("a", "b")
+    tasks = max(1, -(-links.count() // LINKS_PER_TASK))
+    links = stored(links.repartition(tasks, F.least("a", "b")).mapInArrow(_unite, "a long, b long"), "links")
+    while not _is_stars(links):
         links = stored(_star(_star(links, True), False), "links")
+    return links.toDF("node", "comp")

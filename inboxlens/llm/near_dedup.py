@@ -27,6 +27,8 @@ COORDINATES = 24
 MATCHES = 12
 PERCENT = 85
 
+_ROWS = "row long, doc_id long, n_shingles long, digest binary, sig binary, text_key binary"
+
 
 def word_shingles(values: list[bytes], n: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's n-word runs, A-Z lower-cased; with
@@ -62,10 +64,10 @@ def _key(data: bytes) -> bytes:
 
 
 def _mark(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()),
-                        ("text_key", pa.binary())])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+                        ("sig", pa.binary()), ("text_key", pa.binary())])
     for b in batches:
-        values = texts_of(b.column(1))
+        values = texts_of(b.column(2))
         for lo, hi in runs(values):
             sets = word_shingles(values[lo:hi])
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -73,7 +75,7 @@ def _mark(batches):
             if full:
                 for i, s in zip(full, signatures([sets[i] for i in full])):
                     sigs[i] = s.tobytes()
-            yield batch(schema, b.column(0).slice(lo, hi - lo), [len(s) for s in sets],
+            yield batch(schema, b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), [len(s) for s in sets],
                         [_key(s.tobytes()) if len(s) else None for s in sets], sigs, map(_key, values[lo:hi]))
 
 
@@ -84,19 +86,11 @@ def _keyed(batches):
         yield batch(schema, map(_key, values), values)
 
 
-def near_dedup(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """Groups of near-duplicate documents of ``docs`` (doc_id, text).
-
-    Two documents are linked if 100 * intersection >= percent * union of their
-    shingle sets. Returns one row per input row: doc_id, n_shingles,
-    component_id (the smallest doc_id of the group, null ones left out) and
-    kept (doc_id is the component's). A document without words (null text too)
-    is a group of its own. Equal sets are one item, whatever their number. Of a
-    group whose doc_ids are all null, all rows are kept, as are repeated rows of
-    the smallest doc_id. Other columns are ignored; an empty table gives an
-    empty result."""
-    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
-    marked = stored(plain.mapInArrow(_mark, "doc_id long, n_shingles long, digest binary, sig binary, text_key binary"), "marked")
+def _grouped(docs: DataFrame, percent: int, k: int, matches: int) -> DataFrame:
+    """row, doc_id, n_shingles, comp (null without words) and the component's
+    ``least`` doc_id and ``first`` row; ``docs`` has row, doc_id and text."""
+    plain = docs.select("row", F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
+    marked = stored(plain.mapInArrow(_mark, _ROWS), "marked")
     items = stored(marked.where("digest is not null").groupBy("digest")
                    .agg(F.first("n_shingles").alias("size"), F.first("sig").alias("sig"), F.first("text_key").alias("text_key"))
                    .withColumn("id", F.monotonically_increasing_id()), "items")
@@ -109,8 +103,37 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES, ma
     comps = linked(items, texts, scheme(percent, k, matches))
     comp = (items.select("id", "digest").join(comps.withColumnRenamed("node", "id"), "id", "left")
             .select("digest", F.coalesce("comp", "id").alias("comp")))
-    rows = marked.select("doc_id", "n_shingles", "digest").join(comp, "digest", "left")
-    least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    rows = marked.select("row", "doc_id", "n_shingles", "digest").join(comp, "digest", "left").drop("digest")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    least = (rows.where("comp is not null").groupBy("comp").agg(first.alias("first"))
+             .select("comp", F.col("first.doc_id").alias("least"), F.col("first.row").alias("first")))
+    return rows.join(least, "comp", "left")
+
+
+def near_dedup(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """Groups of near-duplicate documents of ``docs`` (doc_id, text).
+
+    Two documents are linked if 100 * intersection >= percent * union of their
+    shingle sets. Returns one row per input row: doc_id, n_shingles,
+    component_id (the smallest doc_id of the group, null ones left out) and
+    kept (doc_id is the component's). A document without words (null text too)
+    is a group of its own. Equal sets are one item, whatever their number. Of a
+    group whose doc_ids are all null, all rows are kept, as are repeated rows of
+    the smallest doc_id. Other columns are ignored; an empty table gives an
+    empty result."""
+    rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return (rows.join(least, "comp", "left").withColumn("component_id", component)
+    return (_grouped(rows, percent, k, matches).withColumn("component_id", component)
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def one_per_group(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group, with all columns: the
+    first by doc_id (null last). Rows without words all stay. ``docs`` is read
+    several times and must give the same rows in the same order each time, as
+    stored tables do; a column called __row is replaced."""
+    names = [c for c in docs.columns if c != "__row"]
+    docs = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn("__row", F.monotonically_increasing_id())
+    found = _grouped(docs.select(F.col("__row").alias("row"), "doc_id", "text"), percent, k, matches)
+    stay = found.where("comp is null or row = first").select(F.col("row").alias("__row"))
+    return docs.join(stay, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in names])

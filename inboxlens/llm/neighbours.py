@@ -25,10 +25,10 @@ from pyspark.sql.window import Window
 
 from .shared import batch, mix, stored
 
-TABLES = 4
+TABLES = 8
 FUNCTIONS = 8
-WIDTH = 1.5  # of a cell, where the largest norm is 1
-PROBES = 60
+WIDTH = 3.0  # of a cell, where the largest norm is 1
+PROBES = 20
 CHUNK = 2048
 HELD = 1 << 19
 

@@ -8,16 +8,18 @@ that connect the items, not all pairs:
 
 1. Under each key, all members are compared with one pivot, the member that
    shares most with others. This is linear however large a key's list is.
-2. Keys whose members are still in several components go on: each member
-   outside the largest one is compared with its best partner elsewhere.
-3. Then every remaining candidate pair across components is compared, so no
-   link that would join two components is missed. A list with many members
-   outside its largest component is first posted again under longer keys (the
-   key plus one more coordinate, chosen such that a pair with ``matches``
-   agreements still meets), so nobody is compared with a whole hot list.
-
-Lists are dealt out in chunks, never held whole. Pairs compared once are not
-compared again.
+2. Lists whose members are still in several components go on: the members
+   outside the largest component are compared with all members, until they
+   belong together. Collisions are counted on the signatures first; only rows
+   with a candidate left fetch their texts, and the comparison on full sets
+   happens where the rows meet, so no pair becomes a row unless it is a link.
+   A pair that meets under several keys is compared under the first one only.
+3. A list with many members outside its largest component is first posted
+   again under longer keys, the key and one more coordinate. A pair with
+   ``matches`` agreements still meets, and a passage that unlike texts share
+   falls apart, so nobody is compared with a whole hot list.
+
+Lists are dealt out in chunks, never held whole.
 """
 
 from __future__ import annotations
@@ -34,11 +36,12 @@ from .components import components
 from .shared import batch, mix, stored, texts_of
 
 CHUNK = 4096  # members of a list compared in one go
-OUTSIDE = 256  # members outside the largest component, above which a list is posted anew
+OUTSIDE = 1024  # members outside the largest component, above which a list is posted anew
 DEPTH = 3  # how often
 
 _PAIRS = pa.schema([("p", pa.int64()), ("q", pa.int64())])
-_POSTS = pa.schema([("key", pa.int64()), ("used", pa.int64()), ("id", pa.int64())])
+_POSTS = pa.schema([("key", pa.int64()), ("base", pa.int32()), ("last", pa.int32()), ("ext", pa.int32()), ("id", pa.int64())])
+_PLACE = pa.schema([("key", pa.int64()), ("chunk", pa.int32()), ("block", pa.int32()), ("flag", pa.int32()), ("id", pa.int64())])
 
 
 @dataclass(frozen=True)
@@ -62,35 +65,44 @@ def _signatures(column: pa.Array, scheme: Scheme) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=scheme.dtype).reshape(-1, scheme.k)
 
 
+def _ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'long'}" for f in schema)
+
+
 def _post(scheme: Scheme):
+    """Items under their first keys; ``base`` is the number of the key's coordinates."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = _signatures(b.column(1), scheme).astype(np.uint64)
-            for coordinates in scheme.coordinates:
-                key, used = np.full(len(sig), sum(1 << c for c in coordinates), dtype=np.uint64), 0
+            sig, n = _signatures(b.column(1), scheme).astype(np.uint64), b.num_rows
+            for base, coordinates in enumerate(scheme.coordinates):
+                key = np.full(n, base + 1, dtype=np.uint64)
                 for c in coordinates:
-                    key, used = mix(key ^ mix(sig[:, c] + np.uint64(c << 40))), used | 1 << c
-                yield batch(_POSTS, pa.array(key.view(np.int64)), pa.array(np.full(len(key), used)), b.column(0))
+                    key = mix(key ^ mix(sig[:, c] + np.uint64(c << 40)))
+                yield batch(_POSTS, pa.array(key.view(np.int64)), *[pa.array(np.full(n, x, np.int32)) for x in (base, -1, 0)], b.column(0))
     return run
 
 
 def _post_anew(scheme: Scheme):
-    """Each member of a list under longer keys: with ``matches`` agreements a pair
-    agrees in one of any k - matches + 1 unused coordinates."""
+    """Each member of a list under longer keys: the next agreeing coordinate.
+
+    With ``matches`` agreements at most k - matches coordinates differ, so the
+    (ext + 1)-th agreement outside the base is among the first
+    k - matches + ext + 1 of those."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            key, used, sig = (b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy(),
-                              _signatures(b.column(3), scheme).astype(np.uint64))
-            posted = np.zeros(len(key), dtype=np.int64)
+            key, base, last, ext = (b.column(i).to_numpy() for i in range(4))
+            key, sig = key.view(np.uint64), _signatures(b.column(5), scheme).astype(np.uint64)
+            inside = np.array([[c in own for c in range(scheme.k)] for own in scheme.coordinates])[base]
+            rank = np.cumsum(~inside, axis=1) - 1
             for c in range(scheme.k):
-                go = ((used >> c) & 1 == 0) & (posted < scheme.k - scheme.matches + 1)
-                posted += go
+                go = ~inside[:, c] & (c > last) & (rank[:, c] <= scheme.k - scheme.matches + ext)
                 new = mix(key[go] + mix(sig[go, c] + np.uint64(c << 40)))
-                yield batch(_POSTS, pa.array(new.view(np.int64)), pa.array(used[go] | 1 << c), b.column(2).filter(pa.array(go)))
+                yield batch(_POSTS, pa.array(new.view(np.int64)), pa.array(base[go]), pa.array(np.full(go.sum(), c, np.int32)),
+                            pa.array(ext[go] + np.int32(1)), b.column(4).filter(pa.array(go)))
     return run
 
 
@@ -107,55 +119,101 @@ def _close(scheme: Scheme):
     return run
 
 
-def _across(scheme: Scheme, best: bool):
-    """Candidate pairs between components, from sorted lists: first the members
-    outside the largest component (flag 0), then all members (flag 1)."""
-    def found(out, ids, comps, sizes, sigs):
-        step = max(1, (1 << 22) // (len(out[0]) * scheme.k))
-        tops = [(scheme.matches - 1, -1)] * len(out[0])
-        for lo in range(0, len(ids), step):
-            part = slice(lo, lo + step)
-            agree = (out[3][:, None, :] == sigs[None, part, :]).sum(axis=2)
-            x, y = out[2][:, None], sizes[None, part]
-            agree[(out[1][:, None] == comps[None, part]) | (100 * np.minimum(x, y) < scheme.percent * np.maximum(x, y))] = 0
-            if best:
-                at = agree.argmax(axis=1)
-                tops = [max(t, (int(agree[i, j]), -int(ids[lo + j]))) if agree[i, j] >= scheme.matches else t
-                        for i, (t, j) in enumerate(zip(tops, at))]
-            else:
-                i, j = np.nonzero(agree >= scheme.matches)
-                if len(i):
-                    yield out[0][i], ids[part][j]
-        if best:
-            hit = [i for i, t in enumerate(tops) if t[0] >= scheme.matches]
-            if hit:
-                yield out[0][hit], np.array([-tops[i][1] for i in hit], dtype=np.int64)
+def _candidates(scheme: Scheme, rows: tuple, out: tuple, base: int, last: int, ext: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index pairs (outside member, member) to compare in this list, best first,
+    and their agreements: of two components, with enough agreements, within
+    reach by size, and meeting under no earlier key."""
+    step, found = max(1, (1 << 21) // (len(out[0]) * scheme.k)), []
+    early = np.array([c <= last and c not in scheme.coordinates[base] for c in range(scheme.k)])
+    for lo in range(0, len(rows[0]), step):
+        ids, comps, sizes, sigs = (x[lo:lo + step] for x in rows)
+        agree = out[3][:, None, :] == sigs[None, :, :]
+        n = agree.sum(axis=2)
+        x, y = out[2][:, None], sizes[None, :]
+        ok = (n >= scheme.matches) & (out[1][:, None] != comps[None, :]) & (100 * np.minimum(x, y) >= scheme.percent * np.maximum(x, y))
+        i, j = np.nonzero(ok)
+        if len(i):
+            hits = agree[i, j]
+            first = hits[:, early].sum(axis=1) == ext
+            for earlier in scheme.coordinates[:base]:
+                first &= ~hits[:, list(earlier)].all(axis=1)
+            i, j = i[first], j[first]
+            found.append((i, j + lo, n[i, j]))
+    if not found:
+        return (np.empty(0, np.int64),) * 3
+    i, j, n = map(np.concatenate, zip(*found))
+    order = np.argsort(-n, kind="stable")
+    return i[order], j[order], n[order]
+
+
+def _lists(batches, columns: Callable[[pa.RecordBatch], tuple]):
+    """Sorted rows (key, chunk, block, flag, base, last, ext, ...) as pairs of the
+    members outside the largest component (flag 0) and a run of members."""
+    at, out = None, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key, chunk, block, flag, base, last, ext = (b.column(i).to_numpy() for i in range(7))
+        values = columns(b)
+        change = (np.diff(key) != 0) | (np.diff(chunk) != 0) | (np.diff(block) != 0) | (np.diff(flag) != 0)
+        cuts = np.concatenate(([0], np.flatnonzero(change) + 1, [len(key)]))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            new, rows = (key[lo], chunk[lo], block[lo]), tuple(x[lo:hi] for x in values)
+            if flag[lo] == 0:  # may go on from the last batch
+                out = rows if new != at else tuple(x + y if isinstance(x, list) else np.concatenate((x, y)) for x, y in zip(out, rows))
+                at = new
+            elif new == at:
+                yield new, (int(base[lo]), int(last[lo]), int(ext[lo])), out, rows
+
+
+def _wanted(scheme: Scheme):
+    """The rows that have a candidate, as (key, chunk, block, flag, id)."""
+    def columns(b):
+        return (*(b.column(i).to_numpy() for i in (7, 8, 9)), _signatures(b.column(10), scheme))
 
     def run(batches):
-        at, out = None, None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            key, chunk, block = (b.column(i).to_numpy() for i in range(3))
-            flag, ids, comps, sizes = (b.column(i).to_numpy() for i in range(3, 7))
-            sigs = _signatures(b.column(7), scheme)
-            change = (np.diff(key) != 0) | (np.diff(chunk) != 0) | (np.diff(block) != 0) | (np.diff(flag) != 0)
-            cuts = np.concatenate(([0], np.flatnonzero(change) + 1, [len(key)]))
-            ps, qs = [], []
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                new, rows = (key[lo], chunk[lo], block[lo]), (ids[lo:hi], comps[lo:hi], sizes[lo:hi], sigs[lo:hi])
-                if flag[lo] == 0:  # may go on from the last batch
-                    out = rows if new != at else tuple(map(np.concatenate, zip(out, rows)))
-                    at = new
-                elif new == at:
-                    for p, q in found(out, *rows):
-                        ps.append(p)
-                        qs.append(q)
-                    if sum(map(len, ps)) > 1 << 16:
-                        yield batch(_PAIRS, pa.array(np.concatenate(ps)), pa.array(np.concatenate(qs)))
-                        ps, qs = [], []
-            if ps:
-                yield batch(_PAIRS, pa.array(np.concatenate(ps)), pa.array(np.concatenate(qs)))
+        held: list[tuple] = []
+        for new, kind, out, rows in _lists(batches, columns):
+            i, j, _ = _candidates(scheme, rows, out, *kind)
+            held += [(*new, 0, x) for x in out[0][np.unique(i)].tolist()] + [(*new, 1, x) for x in rows[0][np.unique(j)].tolist()]
+            if len(held) > 1 << 15:
+                yield batch(_PLACE, *zip(*held))
+                held = []
+        if held:
+            yield batch(_PLACE, *zip(*held))
+    return run
+
+
+def _compare(scheme: Scheme):
+    """Links between the rows that meet, by their full sets; nothing is compared
+    that links found here have already brought together."""
+    def columns(b):
+        return (*(b.column(i).to_numpy() for i in (7, 8, 9)), _signatures(b.column(10), scheme), scheme.sets(texts_of(b.column(11))))
+
+    def run(batches):
+        links, parent = [], {}
+
+        def root(x):
+            while (p := parent.get(x, x)) != x:
+                x = p
+            return x
+
+        for new, kind, out, rows in _lists(batches, columns):
+            i, j, _ = _candidates(scheme, rows[:4], out[:4], *kind)
+            for a, b in zip(i.tolist(), j.tolist()):
+                x, y = root(out[1][a]), root(rows[1][b])
+                if x == y:
+                    continue
+                s, t = out[4][a], rows[4][b]
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= scheme.percent * (len(s) + len(t) - both):
+                    parent[max(x, y)] = min(x, y)
+                    links.append((out[0][a], rows[0][b]))
+            if len(links) > 1 << 14:
+                yield batch(_PAIRS, *zip(*links))
+                links = []
+        if links:
+            yield batch(_PAIRS, *zip(*links))
     return run
 
 
@@ -178,8 +236,21 @@ def _confirm(scheme: Scheme):
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """Those of the pairs (p, q) that are similar, by their texts (id, text)."""
+def _listed(posts: DataFrame) -> DataFrame:
+    """Posts under keys that several items share, with the number of items."""
+    shared = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return posts.join(shared, "key")
+
+
+def _with_pivots(lists: DataFrame, items: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (p, q) of the members of each list with its pivot."""
+    score = lists.groupBy("id").agg(F.sum("n").alias("score"))
+    pivots = (lists.join(score, "id").groupBy("key")
+              .agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("top")).select("key", (-F.col("top.neg")).alias("p")))
+    pairs = lists.join(pivots, "key").where("id <> p").select("p", F.col("id").alias("q")).distinct()
+    sides = [items.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "pq"]
+    pairs = stored(pairs.join(sides[0], "p").join(sides[1], "q").select("p", "q", "size_p", "size_q", "sig_p", "sig_q")
+                   .mapInArrow(_close(scheme), _ddl(_PAIRS)), "pairs")
     counts = pairs.groupBy("p").agg(F.count("*").alias("n"))
     chunk = F.pmod(F.xxhash64("q"), F.ceil(F.col("n") / 512)).cast("int")
     rows = pairs.join(counts, "p").select("p", chunk.alias("chunk"), "q")
@@ -187,13 +258,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     pivots = rows.select("p", "chunk").distinct()
     pivots = pivots.join(texts, pivots.p == texts.id).select("p", "chunk", F.lit(0).alias("flag"), F.col("p").alias("q"), "text")
     return (pivots.union(others).repartition("p", "chunk").sortWithinPartitions("p", "chunk", "flag")
-            .mapInArrow(_confirm(scheme), "p long, q long"))
-
-
-def _listed(posts: DataFrame) -> DataFrame:
-    """Posts under keys that several items share, with the number of items."""
-    shared = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return posts.join(shared, "key")
+            .mapInArrow(_confirm(scheme), _ddl(_PAIRS)))
 
 
 def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
@@ -203,22 +268,24 @@ def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
     per = (rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
            .agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("top")).withColumn("n_out", F.col("n") - F.col("top.c")))
     return (rows.join(per.where("n_out > 0 and n > 2"), "key")
-            .select("key", "used", "id", "comp", "n", "n_out", (F.col("comp") != F.col("top.comp")).alias("out")))
+            .select("key", "base", "last", "ext", "id", "comp", "n", "n_out", (F.col("comp") != F.col("top.comp")).alias("out")))
 
 
-def _candidates(rows: DataFrame, items: DataFrame, scheme: Scheme, best: bool) -> DataFrame:
-    """Candidate pairs across components of open lists, each once."""
+def _links_across(rows: DataFrame, items: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (p, q) between the components of open lists."""
     rows = rows.join(items, "id")
     chunks, blocks = F.ceil(F.col("n") / CHUNK).cast("int"), F.ceil(F.col("n_out") / OUTSIDE).cast("int")
-    tail = [F.col(c) for c in ("id", "comp", "size", "sig")]
     own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    place, tail = ["key", "chunk", "block", "flag"], ["base", "last", "ext", "id", "comp", "size", "sig"]
     outside = rows.where("out").select("key", every(chunks).alias("chunk"), own(blocks, 1).alias("block"), F.lit(0).alias("flag"), *tail)
     members = rows.select("key", own(chunks, 2).alias("chunk"), every(blocks).alias("block"), F.lit(1).alias("flag"), *tail)
-    order = ["key", "chunk", "block"]
-    pairs = (outside.union(members).repartition(*order).sortWithinPartitions(*order, "flag")
-             .mapInArrow(_across(scheme, best), "p long, q long"))
-    return pairs.distinct()
+    met = outside.union(members)
+    sorted_ = lambda df: df.repartition(*place[:3]).sortWithinPartitions(*place)
+    wanted = stored(sorted_(met).mapInArrow(_wanted(scheme), _ddl(_PLACE)).distinct(), "wanted")
+    kinds = rows.select("key", "base", "last", "ext", "id", "comp", "size", "sig")
+    full = wanted.join(kinds, ["key", "id"]).join(texts, "id").select(*place, *tail, "text")
+    return sorted_(full).mapInArrow(_compare(scheme), _ddl(_PAIRS))
 
 
 def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Scheme) -> DataFrame:
@@ -227,39 +294,19 @@ def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Sc
     ``items``: stored table of id, size (distinct shingles, equal for all if not
     known) and sig; ``texts``: gives the texts (id, text) of a table of ids."""
     items = items.select("id", "size", "sig")
-    posts = items.select("id", "sig").mapInArrow(_post(scheme), "key long, used long, id long")
+    posts = items.select("id", "sig").mapInArrow(_post(scheme), _ddl(_POSTS))
     lists = stored(_listed(posts), "lists")
     bodies = stored(texts(lists.select("id").distinct()), "bodies")
-
-    score = lists.groupBy("id").agg(F.sum("n").alias("score"))
-    pivots = (lists.join(score, "id").groupBy("key")
-              .agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("top")).select("key", (-F.col("top.neg")).alias("p")))
-    pairs = lists.join(pivots, "key").where("id <> p").select("p", F.col("id").alias("q")).distinct()
-    sides = [items.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "pq"]
-    pairs = (pairs.join(sides[0], "p").join(sides[1], "q").select("p", "q", "size_p", "size_q", "sig_p", "sig_q")
-             .mapInArrow(_close(scheme), "p long, q long"))
-    tried = stored(pairs, "tried")
-    links = stored(_confirmed(tried, bodies, scheme), "links")
-    comps = components(links.toDF("a", "b"))
-
-    def go_on(rows: DataFrame, best: bool) -> None:
-        nonlocal tried, links, comps
-        same = lambda c: (F.least(f"{c}.p", f"{c}.q"), F.greatest(f"{c}.p", f"{c}.q"))
-        (x, y), (u, v) = same("n"), same("t")
-        new = stored(_candidates(rows, items, scheme, best).alias("n").join(tried.alias("t"), (x == u) & (y == v), "left_anti"), "candidates")
-        if new.isEmpty():
-            return
-        tried = tried.union(new)
-        links = links.union(stored(_confirmed(new, bodies, scheme), "links"))
-        comps = components(links.toDF("a", "b"))
-
-    rows = stored(_open_lists(lists, comps).where(f"n_out <= {OUTSIDE}"), "open")
-    go_on(rows, best=True)
+    comps = components(stored(_with_pivots(lists, items, bodies, scheme), "links").toDF("a", "b"))
+    hot = F.col("n_out") > OUTSIDE
     for depth in range(DEPTH + 1):
         rows = stored(_open_lists(lists, comps), "open")
-        hot = F.col("n_out") > OUTSIDE
-        go_on(rows if depth == DEPTH else rows.where(~hot), best=False)
+        now = rows if depth == DEPTH else rows.where(~hot)
+        links = stored(_links_across(now, items, bodies, scheme), "links").toDF("a", "b")
+        if not links.isEmpty():
+            comps = components(stored(comps.toDF("a", "b").union(links), "links"))
         if depth == DEPTH or rows.where(hot).isEmpty():
-            return comps
-        longer = rows.where(hot).select("key", "used", "id").join(items.select("id", "sig"), "id").select("key", "used", "id", "sig")
-        lists = stored(_listed(longer.mapInArrow(_post_anew(scheme), "key long, used long, id long")), "lists")
+            break
+        longer = rows.where(hot).join(items.select("id", "sig"), "id").select("key", "base", "last", "ext", "id", "sig")
+        lists = stored(_listed(longer.mapInArrow(_post_anew(scheme), _ddl(_POSTS))), "lists")
+    return comps
