@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import batch
+from .shared import batch, extended
 
 PIECE_CHARS = 1 << 15
 # The white space of the pattern (Unicode White_Space), and Python's own extras
@@ -93,8 +93,7 @@ def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", ids:
                     names=[*names, ids])
                 lo = hi
 
-    schema = out.schema.add(ids, "array<int>")
-    return out.mapInArrow(run, schema)
+    return out.mapInArrow(run, extended(out, **{ids: "array<int>"}))
 
 
 def decode(ids: np.ndarray, path: str, pattern: str) -> bytes:
@@ -115,7 +114,7 @@ def detokenize(tokens: DataFrame, path: str, pattern: str, ids: str = "ids", out
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*names, out])
 
     df = tokens.select(*[F.col(f"`{c}`") for c in names])
-    return df.mapInArrow(run, df.schema.add(out, "binary"))
+    return df.mapInArrow(run, extended(df, **{out: "binary"}))
 
 
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),

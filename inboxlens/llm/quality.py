@@ -20,7 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored, texts_of
+from .shared import extended, stored, texts_of
 
 SAMPLE = 20_000  # labelled rows at most that the model is fitted on
 STATISTICS = ("log_words", "word_length", "upper", "digits", "marks", "symbols", "pipes", "other_bytes", "distinct",
@@ -56,10 +56,7 @@ def with_statistics(docs: DataFrame, prefix: str = "stat_") -> DataFrame:
             columns = [pa.array([x[i] for x in found], pa.float64()) for i in range(len(stats))]
             yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=[*names, *stats])
 
-    schema = docs.schema
-    for s in stats:
-        schema = schema.add(s, "double")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, extended(docs, **{s: "double" for s in stats}))
 
 
 Rule = tuple[tuple[str, str, float], ...]  # (statistic, "<=" or ">", value), ...

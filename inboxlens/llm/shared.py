@@ -10,6 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Fixed by the contracts: words are runs of bytes other than these.
 WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -48,6 +49,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def extended(df: DataFrame, **columns: str) -> StructType:
+    """The schema of ``df`` with further columns."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value; null counts as empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch, mix, ragged, runs, texts_of, window_hashes, word_hashes
+from .shared import batch, extended, mix, ragged, runs, texts_of, window_hashes, word_hashes
 
 WINDOW = 35
 GRAM = 16
@@ -218,5 +218,4 @@ def mark_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_ce
                                               pa.array(n_removed, pa.int64()), text],
                                              names=[*names, "n_words", "n_removed", "kept_text"])
 
-    schema = docs.schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return joined.mapInArrow(finish, schema)
+    return joined.mapInArrow(finish, extended(docs, n_words="long", n_removed="long", kept_text="string"))
