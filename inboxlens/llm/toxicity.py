@@ -26,6 +26,7 @@ from .shared import batch, stored, texts_of
 SAMPLE = 20_000  # labelled rows at most that the model is fitted on
 FEATURES = 2_000  # at most, those that tell toxic from other rows best
 LEAST_ROWS = 5  # that hold a feature
+LEAST_CHI = 24.0  # chi-square of a feature against the label: chance finds one among 10**6
 PREFIXES = (4, 5, 6, 7)  # letters
 HELD_OUT = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)"
 
@@ -118,8 +119,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
     held = (rows.select("toxic", F.explode("features").alias("feature")).groupBy("feature")
             .agg(F.sum("toxic").alias("pos"), F.count("*").alias("df")).where(F.col("df") >= LEAST_ROWS))
     rate = F.col("df") / F.lit(n)
-    chi = F.pow(F.col("pos") / ones - (F.col("df") - F.col("pos")) / (n - ones), 2) / (rate * (1 - rate) + 1e-9)
-    best = held.orderBy(F.desc(chi), "feature").limit(features).collect()  # bounded: ``features``
+    gap = F.col("pos") / ones - (F.col("df") - F.col("pos")) / (n - ones)
+    chi = F.pow(gap, 2) / (rate * (1 - rate) + 1e-9) * (ones * (n - ones) / n)
+    best = held.where(chi >= LEAST_CHI).orderBy(F.desc(chi), "feature").limit(features).collect()  # bounded: ``features``
     index = {r.feature: i for i, r in enumerate(best)}
     odds = {r.feature: (r.pos + 0.5) / (ones + 1) / ((r.df - r.pos + 0.5) / (n - ones + 1)) for r in best}
     telling = {f for f, x in odds.items() if x >= 8}
@@ -135,6 +137,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
                 shares.append(sum(c for f, c in zip(names, counts) if f in telling) / max(1, words))
             yield batch(out, b.column(0), shares, cols, vals)
 
+    if not index:
+        return OrdinalModel({}, (float(np.log((n - ones) / ones)), 10.0))
     matrix = rows.mapInArrow(entries, "toxic int, share double, columns array<int>, values array<double>").toArrow()  # at most ``sample`` rows
     toxic, share = matrix["toxic"].to_numpy(), matrix["share"].to_numpy()
     lists = matrix["columns"].combine_chunks()
