@@ -7,8 +7,8 @@ grades: P(grade > j) = 1 / (1 + exp(threshold_j - weights * features)). It
 returns the expected severity, the sum of these probabilities.
 
 The given labels say toxic or not. Two grades of toxic are made from them for
-training: 1 where the share of telling words (features far commoner in toxic
-rows) is up to the median of the toxic rows, 2 above.
+training: 1 where telling words (far commoner in toxic rows) occur up to as
+often as in the median toxic row, 2 above.
 """
 
 from __future__ import annotations
@@ -100,18 +100,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
     (those with the smallest hash of doc_id)."""
     truth = (labels.where("doc_id is not null and toxic is not null and not (" + HELD_OUT + ")").groupBy("doc_id")
              .agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    schema = pa.schema([("toxic", pa.int32()), ("n_words", pa.int64()), ("features", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))])
+    schema = pa.schema([("toxic", pa.int32()), ("features", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))])
 
     def count(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                words = [words_of(t) for t in texts_of(part.column(1))]
-                found = [feature_counts(w) for w in words]
-                yield batch(schema, part.column(0), map(len, words), [list(c) for c in found], [list(c.values()) for c in found])
+                found = [feature_counts(words_of(t)) for t in texts_of(part.column(1))]
+                yield batch(schema, part.column(0), [list(c) for c in found], [list(c.values()) for c in found])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(truth), "doc_id")  # at most ``sample`` rows of two numbers
-    rows = stored(rows.select("toxic", "text").mapInArrow(count, "toxic int, n_words long, features array<string>, counts array<int>"), "toxic-train")
+    rows = stored(rows.select("toxic", "text").mapInArrow(count, "toxic int, features array<string>, counts array<int>"), "toxic-train")
     n, ones = rows.agg(F.count("*"), F.sum("toxic")).head()
     if not n or ones in (0, n):
         share = ((ones or 0) + 1) / (n + 2)
@@ -124,26 +123,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
     best = held.where(chi >= LEAST_CHI).orderBy(F.desc(chi), "feature").limit(features).collect()  # bounded: ``features``
     index = {r.feature: i for i, r in enumerate(best)}
     odds = {r.feature: (r.pos + 0.5) / (ones + 1) / ((r.df - r.pos + 0.5) / (n - ones + 1)) for r in best}
-    telling = {f for f, x in odds.items() if x >= 8}
+    telling = {f for f, x in odds.items() if x >= 8 and not f.endswith("~")}
 
     def entries(batches):
-        out = pa.schema([("toxic", pa.int32()), ("share", pa.float64()), ("columns", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+        out = pa.schema([("toxic", pa.int32()), ("telling", pa.int64()), ("columns", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
         for b in batches:
-            cols, vals, shares = [], [], []
-            for words, names, counts in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            cols, vals, told = [], [], []
+            for names, counts in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 hit = [(index[f], c) for f, c in zip(names, counts) if f in index]
                 cols.append([i for i, _ in hit])
                 vals.append([float(np.log1p(c)) for _, c in hit])
-                shares.append(sum(c for f, c in zip(names, counts) if f in telling) / max(1, words))
-            yield batch(out, b.column(0), shares, cols, vals)
+                told.append(sum(c for f, c in zip(names, counts) if f in telling))
+            yield batch(out, b.column(0), told, cols, vals)
 
     if not index:
         return OrdinalModel({}, (float(np.log((n - ones) / ones)), 10.0))
-    matrix = rows.mapInArrow(entries, "toxic int, share double, columns array<int>, values array<double>").toArrow()  # at most ``sample`` rows
-    toxic, share = matrix["toxic"].to_numpy(), matrix["share"].to_numpy()
+    matrix = rows.mapInArrow(entries, "toxic int, telling long, columns array<int>, values array<double>").toArrow()  # at most ``sample`` rows
+    toxic, told = matrix["toxic"].to_numpy(), matrix["telling"].to_numpy()
     lists = matrix["columns"].combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
-    grades = np.where(toxic == 1, 1 + (share > np.median(share[toxic == 1])), 0)
+    grades = np.where(toxic == 1, 1 + (told > np.median(told[toxic == 1])), 0)
     weights, thresholds = fit_ordinal(np.repeat(np.arange(len(grades)), lengths), lists.flatten().to_numpy(),
                                       matrix["values"].combine_chunks().flatten().to_numpy(), grades, len(index), 3)
     return OrdinalModel({f: float(w) for f, w in zip(index, weights) if w}, tuple(float(t) for t in thresholds))

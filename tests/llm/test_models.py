@@ -92,8 +92,8 @@ def test_toxicity(spark, tmp_path):
     got = held_out(toxicity(docs, labels)).join(labels, "doc_id").join(docs, "doc_id")
     assert got.where("predicted <> toxic").count() <= 1
     assert got.where("severity < 0 or severity > 2 or abs(severity - score) > 1").count() == 0
-    share = F.regexp_count("text", F.lit("(?i)stink|rotten")) / F.size(F.split("text", " "))
-    assert got.where("toxic = 1").select(F.corr("severity", share)).head()[0] > 0.3
+    told = F.regexp_count("text", F.lit("(?i)stink|rotten"))
+    assert got.where("toxic = 1").select(F.corr("severity", told)).head()[0] > 0.5
     odd = odd_docs(spark, tmp_path)
     scores = toxicity(odd, labels.union(spark.createDataFrame([(None, 1, 1), (3, None, None)], labels.schema)))
     assert scores.count() == odd.count() and scores.where("score is null or severity is null").count() == 0
