@@ -157,8 +157,8 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     Lines end at a line feed. A line stays if it has no words, or if it is the
     first of its component by (doc_id, row, line). Lines compare without case
     (A-Z) and by 8-character shingles. A null text stays null, and no row goes,
-    even if nothing of its text is left. Columns whose names start with __row
-    or __kept are replaced. ``docs`` is read several times and must give the
+    even if nothing of its text is left. Columns called __row or __kept are
+    left out. ``docs`` is read several times and must give the
     same rows in the same order each time, as stored tables do."""
     names = [c for c in docs.columns if c not in ("__row", "__kept")]
     docs = _with_rows(docs.select(*[F.col(f"`{c}`") for c in names]))

@@ -114,9 +114,10 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share
                     seed: str = "mix") -> DataFrame:
     """The mix itself: ``docs`` with each row repeated once per epoch that takes
     it, the text of a partly taken one cut behind its last taken word. Rows of
-    which no word is taken go, those without words too. Keeps all columns."""
-    docs = stored(_numbered(docs), "mix-documents")
+    which no word is taken go, those without words too. Keeps all columns but one
+    called __row."""
     names = [c for c in docs.columns if c != "__row"]
+    docs = stored(_numbered(docs.select(*[F.col(f"`{c}`") for c in names])), "mix-documents")
     plan = (_taken(docs, weights, share, epochs, seed).where("taken > 0")
             .select("__row", F.col("size").alias("__size"), F.col("taken").alias("__taken")))
     passes = F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))).alias("__pass")

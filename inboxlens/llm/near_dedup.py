@@ -131,7 +131,7 @@ def one_per_group(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES,
     """The rows of ``docs`` that stay, one of each group, with all columns: the
     first by doc_id (null last). Rows without words all stay. ``docs`` is read
     several times and must give the same rows in the same order each time, as
-    stored tables do; a column called __row is replaced."""
+    stored tables do; a column called __row is left out."""
     names = [c for c in docs.columns if c != "__row"]
     docs = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn("__row", F.monotonically_increasing_id())
     found = _grouped(docs.select(F.col("__row").alias("row"), "doc_id", "text"), percent, k, matches)

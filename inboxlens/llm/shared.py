@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 # Fixed by the contracts: words are runs of bytes other than these.
 WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -53,7 +53,7 @@ def extended(df: DataFrame, **columns: str) -> StructType:
     """The schema of ``df`` with further columns."""
     schema = StructType(list(df.schema.fields))
     for name, kind in columns.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, DataType.fromDDL(kind))
     return schema
 
 

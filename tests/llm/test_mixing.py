@@ -55,7 +55,7 @@ def test_mix(spark, tmp_path):
 def test_mixed_documents(spark, tmp_path):
     docs = odd_docs(spark, tmp_path)
     out = mixed_documents(docs)
-    assert out.columns == docs.columns
+    assert out.columns == [c for c in docs.columns if c != "__row"]
     size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     per = {r.source: r.n for r in out.groupBy("source").agg(F.sum(size).alias("n")).collect()}
     plan = mix_sources(docs.select("doc_id", "source", "text"))
