@@ -3,7 +3,7 @@
 from .options import Options, PassThrough
 from .plans import OUTPUTS, build, checkpointed, register_views
 from .plans.write import write_build
-from .sources import Connection, read_sources
+from .sources import ABSENT, Connection, read_sources
 
-__all__ = ["Connection", "OUTPUTS", "Options", "PassThrough", "build", "checkpointed",
+__all__ = ["ABSENT", "Connection", "OUTPUTS", "Options", "PassThrough", "build", "checkpointed",
            "read_sources", "register_views", "write_build"]

@@ -14,7 +14,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from . import Connection, Options, build, read_sources
+from . import Connection, Options, PassThrough, build, read_sources
 from .sources import read_partitioned_sources
 from .operators import quality
 from .plans import OUTPUTS
@@ -32,6 +32,28 @@ def _pairs(items: list[str]) -> list[tuple[str, str]]:
     return out
 
 
+def _pass_through(items: list[str]) -> tuple[PassThrough, ...]:
+    """NAME, or NAME with any of alias=, type= and sql= (last) behind colons."""
+    out = []
+    for item in items:
+        item, _, sql = item.partition(":sql=")
+        name, *rest = item.split(":")
+        given = dict(_pairs(rest))
+        if not set(given) <= {"alias", "type"}:
+            raise SystemExit(f"expected NAME[:alias=A][:type=T][:sql=EXPRESSION], got {item!r}")
+        out.append(PassThrough(name, given.get("alias"), sql or None, given.get("type", "string")))
+    return tuple(out)
+
+
+def _table_names(items: list[str]) -> tuple[dict[str, str], dict[str, dict[str, str]]]:
+    """Names of all accounts (TABLE=NAME), and of single ones (ACCOUNT.TABLE=NAME)."""
+    every, single = {}, {}
+    for key, name in _pairs(items):
+        account, dot, table = key.rpartition(".")
+        (single.setdefault(account, {}) if dot else every)[table] = name
+    return every, single
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="inboxlens", description=__doc__.split("\n\n")[0])
     p.add_argument("--connection", action="append", default=[], metavar="NAME=PATH",
@@ -43,8 +65,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--format", default="parquet", help="format of path connections")
     p.add_argument("--reader-option", action="append", default=[], metavar="KEY=VALUE",
                    help="option of the file reader (repeatable), e.g. header=true for csv")
-    p.add_argument("--table-name", action="append", default=[], metavar="TABLE=NAME",
-                   help="raw table stored under another name (repeatable), e.g. list=lists_v2")
+    p.add_argument("--table-name", action="append", default=[], metavar="[ACCOUNT.]TABLE=NAME",
+                   help="raw table stored under another name (repeatable), in all accounts or in "
+                        "one, e.g. list=lists_v2 or shop_eu.list=lists_v2")
+    p.add_argument("--absent", action="append", default=[], metavar="ACCOUNT=TABLE",
+                   help="raw table that the account does not sync (repeatable)")
+    p.add_argument("--member-column", action="append", default=[],
+                   metavar="NAME[:alias=A][:type=T][:sql=EXPRESSION]",
+                   help="extra member column carried to the outputs (repeatable)")
     p.add_argument("--target", required=True, help="output root (or catalog name with --database)")
     p.add_argument("--database", help="save outputs as catalog tables in this database")
     p.add_argument("--no-automations", action="store_true")
@@ -57,6 +85,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--recommended-conf", action="store_true",
                    help="apply inboxlens.session.RECOMMENDED_CONF to the session")
     p.add_argument("--check", action="store_true", help="run the declared tests and freshness")
+    p.add_argument("--warn-after-hours", type=int, default=quality.WARN_AFTER_HOURS)
+    p.add_argument("--error-after-hours", type=int, default=quality.ERROR_AFTER_HOURS)
+    p.add_argument("--as-of", type=datetime.fromisoformat, metavar="TIME",
+                   help="time that freshness is judged at (ISO, UTC unless it names a zone); now if left out")
     p.add_argument("--synced-column", default=Options().synced_column)
     p.add_argument("--reconcile-with", metavar="TARGET",
                    help="compare every output with the build stored under TARGET (same layout)")
@@ -77,16 +109,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             spark.conf.set(k, v)
     options = Options(using_automations=not a.no_automations, using_segments=not a.no_segments,
                       using_unsubscribes=not a.no_unsubscribes, source_casing=a.source_casing,
-                      synced_column=a.synced_column)
-    names = dict(_pairs(a.table_name))
+                      synced_column=a.synced_column, member_pass_through=_pass_through(a.member_column))
+    names, own_names = _table_names(a.table_name)
+    absent: dict[str, list[str]] = {}
+    for account, table in _pairs(a.absent):
+        absent.setdefault(account, []).append(table)
+    unknown = (set(own_names) | set(absent)) - {n for n, _ in _pairs(a.connection + a.catalog)}
+    if unknown:
+        raise SystemExit(f"no such account: {', '.join(sorted(unknown))}")
     if a.partitioned:
         raw = read_partitioned_sources(spark, a.partitioned, options, fmt=a.format,
                                        overrides=names)
     else:
-        conns = [Connection.from_directory(n, w, names, fmt=a.format,
+        named = lambda n: {**names, **own_names.get(n, {})}
+        conns = [Connection.from_directory(n, w, named(n), fmt=a.format, absent=absent.get(n, ()),
                                            reader_options=dict(_pairs(a.reader_option)))
                  for n, w in _pairs(a.connection)]
-        conns += [Connection.from_catalog(n, w, names) for n, w in _pairs(a.catalog)]
+        conns += [Connection.from_catalog(n, w, named(n), absent=absent.get(n, ()))
+                  for n, w in _pairs(a.catalog)]
         raw = read_sources(spark, conns, options)
     written = write_build(spark, raw, a.target, options, staging=not a.no_staging,
                           database=a.database, partition_by_source=a.partition_by_source,
@@ -108,7 +148,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         staged = {n: df for n, df in build(raw, options).items() if n.startswith("stg_")}
         stored = {**staged, **{n: read(loc) for n, loc in written.items()}}
         save(quality.run_tests(stored), "tests")
-        save(quality.freshness(raw, options.synced_column, datetime.now()), "freshness")
+        save(quality.freshness(raw, options.synced_column, a.as_of, a.warn_after_hours,
+                               a.error_after_hours), "freshness")
         failed = read(written["_checks_tests"]).where("failures > 0").count()
         print(f"inboxlens: {failed} of the declared tests have failures")
     if a.reconcile_with:

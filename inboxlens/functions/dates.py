@@ -10,10 +10,19 @@ from .sql import q
 _UNITS = ("minute", "hour", "day")
 
 
+def utc_sql(expr: str) -> str:
+    """SQL text of the UTC wall-clock time (zone-free) of a zoned timestamp.
+
+    Counted from the epoch, so it depends neither on the session time zone nor
+    on its daylight-saving gaps."""
+    seconds = f"CAST(unix_micros({expr}) AS DECIMAL(20, 0)) / 1000000"
+    return f"(timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
+
+
 def boundary_diff(unit: str, start: str | Column, end: str | Column) -> Column:
     """Number of ``unit`` boundaries crossed from ``start`` to ``end``
     (warehouse ``datediff`` semantics, not whole units elapsed):
-    16:59:27 -> 17:44:09 is 45 minutes and 1 hour.
+    22:58:40 -> 23:00:05 is 2 minutes and 1 hour.
 
     Computed from calendar fields (day number, hour, minute), so it never
     depends on the session time zone for zone-free timestamps and stays in

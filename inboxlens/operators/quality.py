@@ -7,12 +7,14 @@ summary row per check; nothing is collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import utc_sql
+
 SR = "source_relation"
 
 # Generic tests declared on the models (model, column).
@@ -77,15 +79,35 @@ def run_tests(models: dict[str, DataFrame], kind: str = "all") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _accounts(raw: dict[str, DataFrame]) -> DataFrame:
+    """Every (source_table, source_relation) that should have data.
+
+    Known for listed connections; for partitioned storage each account that
+    any table holds is expected in all of them."""
+    spark = next(iter(raw.values())).sparkSession
+    known = getattr(raw, "accounts", None)
+    if known:
+        return spark.createDataFrame([(t, a) for t, names in known.items() for a in names],
+                                     f"source_table string, {SR} string")
+    held = reduce(lambda a, b: a.unionByName(b), [df.select(SR).distinct() for df in raw.values()])
+    tables = F.explode(F.array(*[F.lit(t) for t in raw])).alias("source_table")
+    return held.distinct().select(tables, SR)
+
+
 def freshness(raw: dict[str, DataFrame], synced_column: str, as_of: datetime | None = None,
               warn_after_hours: int = WARN_AFTER_HOURS,
               error_after_hours: int = ERROR_AFTER_HOURS) -> DataFrame:
     """Per raw table and connection: latest sync time and a status
-    (pass / warn / error; error when no sync time is known).  ``as_of``
-    defaults to the current time."""
-    # From text, so neither the Python nor the session time zone shifts it.
-    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz") if as_of is not None \
-        else F.localtimestamp()
+    (pass / warn / error; error when no sync time is known, as in an empty
+    table).  ``as_of`` is in UTC (an aware time is converted) and defaults to
+    the current time."""
+    if as_of is None:
+        now = F.expr(utc_sql("current_timestamp()"))
+    else:
+        if as_of.tzinfo is not None:
+            as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
+        # From text, so neither the Python nor the session time zone shifts it.
+        now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     parts = []
     for table, df in raw.items():
         cols = {c.lower(): c for c in df.columns}
@@ -93,7 +115,8 @@ def freshness(raw: dict[str, DataFrame], synced_column: str, as_of: datetime | N
             if synced_column.lower() in cols else F.lit(None).cast("timestamp_ntz")
         parts.append(df.groupBy(SR).agg(F.max(synced).alias("max_loaded_at"))
                      .select(F.lit(table).alias("source_table"), SR, "max_loaded_at"))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    latest = reduce(lambda a, b: a.unionByName(b), parts)
+    out = _accounts(raw).join(latest, ["source_table", SR], "left")
     age_ok = lambda h: F.col("max_loaded_at") >= now - F.make_dt_interval(F.lit(0), F.lit(h))
     status = F.when(F.col("max_loaded_at").isNull(), F.lit("error")) \
         .when(age_ok(warn_after_hours), F.lit("pass")) \
@@ -105,8 +128,11 @@ def reconcile(left: DataFrame, right: DataFrame, exclude: Sequence[str] = (),
               left_label: str = LEFT_LABEL, right_label: str = RIGHT_LABEL) -> DataFrame:
     """Rows of ``left`` not in ``right`` and rows of ``right`` not in
     ``left`` (set difference, duplicates removed), tagged in column
-    ``source``.  Empty when the two builds agree."""
+    ``source``.  Empty when the two builds agree.  One aggregation over both
+    sides, so each is shuffled once."""
     cols = [c for c in left.columns if c not in set(exclude)]
-    a, b = left.select(*cols), right.select(*cols)
-    return a.subtract(b).withColumn("source", F.lit(left_label)).unionByName(
-        b.subtract(a).withColumn("source", F.lit(right_label)))
+    sides = [df.select(*cols, F.lit(i).alias("_side")) for i, df in enumerate((left, right))]
+    both = sides[0].unionByName(sides[1]).groupBy(*cols).agg(
+        F.min("_side").alias("_first"), F.max("_side").alias("_last"))
+    label = F.when(F.col("_first") == 0, F.lit(left_label)).otherwise(F.lit(right_label))
+    return both.where("_first = _last").select(*cols, label.alias("source"))

@@ -44,12 +44,18 @@ def _present_flag(cond: str) -> str:
 def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
                       distinct_key: str = "member_id", action_col: str = "action_type",
                       open_mins: Mapping[str, str] | None = None,
-                      strategy: str = "two_phase", carry: Sequence[str] = ()) -> DataFrame:
+                      strategy: str = "two_phase", carry: Sequence[str] = (),
+                      clustered: bool = False, marks: Mapping[str, str] | None = None) -> DataFrame:
     """Per group of ``keys``: opens, clicks (count of events, NULL if none),
     unique_opens, unique_clicks (distinct non-NULL ``distinct_key`` among open
     / click events) and, for each ``open_mins`` entry out -> column, the
     minimum of that column over open events.  Other actions (bounce) count
-    nowhere.  ``carry`` columns are constant per group and passed through."""
+    nowhere.  ``carry`` columns are constant per group and passed through;
+    ``marks`` adds out -> SQL condition that holds for any event.
+
+    ``clustered`` shuffles the events once by ``keys``, which serves both
+    phases and a join on the keys: for keys that have few rows each, where
+    combining map-side saves little."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     keys = list(keys)
@@ -61,7 +67,9 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
     opens = _e(f"sum(CASE WHEN {is_open} THEN 1 END)", "opens")
     clicks = _e(f"sum(CASE WHEN {is_click} THEN 1 END)", "clicks")
     mins = [_e(f"min(CASE WHEN {is_open} THEN {q(src)} END)", out) for out, src in open_mins.items()]
-    kept = _carried(carry)
+    kept = [*[_e(f"bool_or({cond})", out) for out, cond in (marks or {}).items()], *_carried(carry)]
+    if clustered:
+        activities = activities.repartition(*keys)
 
     if distinct_key in keys:
         return activities.groupBy(*keys).agg(
@@ -85,6 +93,7 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
         *[_e(f"min(CASE WHEN {is_open} THEN {q(src)} END)", f"_min_{out}")
           for out, src in open_mins.items()],
         *kept)
+    kept = [*[_e(f"bool_or({q(out)})", out) for out in (marks or {})], *_carried(carry)]
     return part.groupBy(*keys).agg(
         _e("sum(_opens)", "opens"), _e("sum(_clicks)", "clicks"),
         _e(f"count_if(_any_open AND {dk} IS NOT NULL)", "unique_opens"),
@@ -131,6 +140,13 @@ def recipient_rollup(recipients: DataFrame, keys: Sequence[str], *,
         *kept)
 
 
+def sum_members(by_member: DataFrame, keys: Sequence[str], names: Sequence[str],
+                carry: Sequence[str] = ()) -> DataFrame:
+    """Coarser rollup of one that has ``member_id`` among its keys: its unique
+    counts are 0 or 1 per member (0 for NULL), so all metrics add up exactly."""
+    return by_member.groupBy(*keys).agg(*[_e(f"sum({q(n)})", n) for n in names], *_carried(carry))
+
+
 def count_rows(df: DataFrame, keys: Sequence[str], name: str,
                carry: Sequence[str] = ()) -> DataFrame:
     """COUNT(*) per group, combined map-side before the shuffle."""

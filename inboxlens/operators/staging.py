@@ -17,6 +17,10 @@ from ..functions.sql import alias, q
 from ..options import Options
 from ..sources.connections import conform
 
+# Columns that the members output adds: no pass-through column may have their names.
+MEMBER_METRICS = tuple(f"{side}_{m}" for side in ("campaign", "automation") for m in (
+    "sends", "opens", "clicks", "unique_opens", "unique_clicks", "unsubscribes"))
+
 
 def _columns(spec: list[str]) -> list[str]:
     """``spec`` entries are ``"col"`` or ``"raw as out"``; SQL select items."""
@@ -131,12 +135,12 @@ def stg_members(raw: DataFrame, options: Options = Options()) -> DataFrame:
         "ip_signup as signup_ip_address", "language", "latitude", "longitude",
         "member_rating", "timezone", "unique_email_id", "vip"])
     # User-declared extra columns, evaluated on the conformed raw row.
-    taken = {c.split(" AS ")[-1].strip("`").lower() for c in cols}
+    taken = {c.split(" AS ")[-1].strip("`").lower() for c in cols} | set(MEMBER_METRICS)
     for p in options.member_pass_through:
         out = (p.alias or p.name).lower()
         if out in taken:
             raise ValueError(f"pass-through column {p.alias or p.name!r} would duplicate a "
-                             "member column; give it another alias")
+                             "column of the members output; give it another alias")
         taken.add(out)
     for p in options.member_pass_through:
         cols.append(alias(f"({p.transform_sql})" if p.transform_sql else q(p.name),

@@ -11,7 +11,8 @@ class PassThrough:
 
     ``name`` is the raw column, ``alias`` the output name (defaults to
     ``name``), ``transform_sql`` an optional Spark SQL expression computing
-    the output value, ``datatype`` the type used when the raw column is absent.
+    the output value, ``datatype`` the type used when the raw column is absent
+    (a declared type name or any Spark DDL type).
     """
 
     name: str

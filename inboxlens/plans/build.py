@@ -23,8 +23,12 @@ Materialize = Callable[[str, DataFrame], DataFrame]
 
 OUTPUTS = ("campaign_activities", "campaign_recipients", "campaigns", "automation_activities",
            "automation_emails", "automations", "members", "lists", "segments")
-HUBS = ("campaign_recipients", "automation_activities", "int_automation_recipients",
-        "int_automation_unsubscribes")
+# Stored tier by tier: a tier's tables read only stored ones of the tiers before.
+TIERS = (("campaign_activities", "automation_activities", "int_automation_recipients",
+          "int_automation_unsubscribes"),
+         ("campaign_recipients",),
+         ("int_campaign_activities_by_member",))
+HUBS = tuple(name for tier in TIERS for name in tier)
 
 
 def _lazy(name: str, df: DataFrame) -> DataFrame:
@@ -56,19 +60,24 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
     # campaign side
     acts = hub("campaign_activities",
                campaign.campaign_activities(s["stg_campaign_activities"], s["stg_campaigns"], sc))
-    by_email = hub("int_campaign_activities_by_email",
-                   campaign.activities_by_email(acts, o.distinct_strategy, sc))
+    by_email = campaign.activities_by_email(acts, o.distinct_strategy, sc)
+    hub("int_campaign_activities_by_email", by_email.drop("_unnamed"))
     recips = hub("campaign_recipients", campaign.campaign_recipients(
         s["stg_campaign_recipients"], s["stg_campaigns"], by_email,
         s["stg_unsubscribes"] if unsub else None, sc))
     c_by = {}
-    for by, keys in (("campaign", ["campaign_id"]), ("list", ["list_id"]),
-                     ("member", ["member_id", "list_id"]), ("segment", ["segment_id"])):
+    for by, keys in (("campaign", ["campaign_id"]), ("member", ["member_id", "list_id"]),
+                     ("list", ["list_id"]), ("segment", ["segment_id"])):
         if by == "segment" and not o.using_segments:
             continue
-        c_by[by] = hub(f"int_campaign_activities_by_{by}", campaign.recipients_by(
-            recips, keys, unsub, o.distinct_strategy,
-            not_null="segment_id" if by == "segment" else None, scope=sc))
+        if by == "list" and o.distinct_strategy == "two_phase":
+            # the first phase by (list, member) is the rollup by member
+            rollup = campaign.by_list_from_members(c_by["member"], unsub, sc)
+        else:
+            rollup = campaign.recipients_by(
+                recips, keys, unsub, o.distinct_strategy,
+                not_null="segment_id" if by == "segment" else None, scope=sc)
+        c_by[by] = hub(f"int_campaign_activities_by_{by}", rollup)
     hub("campaigns", campaign.campaigns(s["stg_campaigns"], c_by["campaign"], unsub, sc))
 
     # automation side

@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boundary_diff, surrogate_key
+from ..functions.keys import ends_in_null_sql
 from ..operators.enrich import SR, attach, attach_metrics
-from ..operators.rollups import engagement_counts, recipient_rollup
+from ..operators.rollups import engagement_counts, recipient_rollup, sum_members
 from .scope import Scope
 
+# Shares into which the sends without a member are dealt: all of a campaign's
+# have one email_id.
+SALTS = 32
+
 METRICS = ("sends", "opens", "clicks", "unique_opens", "unique_clicks", "unsubscribes")
 
 
@@ -35,16 +40,21 @@ def campaign_activities(stg_activities: DataFrame, stg_campaigns: DataFrame,
 def activities_by_email(activities: DataFrame, strategy: str = "two_phase",
                         scope: Scope = Scope()) -> DataFrame:
     """Per send (email_id): event counts, distinct members, first open and
-    the shortest time to open, plus opened / clicked flags."""
+    the shortest time to open, plus opened / clicked flags, and ``_unnamed``:
+    the key may belong to sends without a member.
+
+    The events are shuffled once, by send; that serves the aggregation by
+    (send, member) and the one by send."""
     mins = {"first_open_timestamp": "activity_timestamp",
             "time_to_open_minutes": "time_since_send_minutes",
             "time_to_open_hours": "time_since_send_hours",
             "time_to_open_days": "time_since_send_days"}
     df = engagement_counts(activities, scope.keys("email_id"), strategy=strategy,
-                           open_mins=mins, carry=scope.carry)
+                           open_mins=mins, carry=scope.carry, clustered=strategy == "two_phase",
+                           marks={"_unnamed": ends_in_null_sql("member_id")})
     return df.select(SR, "email_id", "opens", "clicks", "unique_opens", "unique_clicks", *mins,
                      F.coalesce(F.col("opens") > 0, F.lit(False)).alias("was_opened"),
-                     F.coalesce(F.col("clicks") > 0, F.lit(False)).alias("was_clicked"))
+                     F.coalesce(F.col("clicks") > 0, F.lit(False)).alias("was_clicked"), "_unnamed")
 
 
 def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
@@ -52,33 +62,44 @@ def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
                         scope: Scope = Scope()) -> DataFrame:
     """One row per send with its campaign's segment and send time, its
     engagement (zeros when none) and whether the member unsubscribed from
-    that campaign on that list.  Only events of a recorded send count."""
+    that campaign on that list.  Only events of a recorded send count.
+
+    Both per-send joins are on (email_id, _salt), so the sends are shuffled
+    once.  The salt is 0 but for sends without a member, which all share one
+    key per campaign: they take the number of their scan partition (the same
+    on every retry), and the few event rows that can match them are repeated
+    for each salt."""
     bs = scope.by_source
-    df = attach(stg_recipients, stg_campaigns, [("campaign_id", "campaign_id")],
+    columns = stg_recipients.columns
+    salt = F.when(F.col("member_id").isNull(), F.spark_partition_id() % SALTS).otherwise(0)
+    df = attach(stg_recipients.withColumn("_salt", salt), stg_campaigns,
+                [("campaign_id", "campaign_id")],
                 [("segment_id", "segment_id"), ("send_timestamp", "send_timestamp")],
                 by_source=bs)
-    df = attach(df, by_email, [("email_id", "email_id")],
+    salts = F.when(F.col("_unnamed"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    df = attach(df, by_email.withColumn("_salt", F.explode(salts)),
+                [("email_id", "email_id"), ("_salt", "_salt")],
                 [(c, c) for c in ("opens", "unique_opens", "clicks", "unique_clicks",
                                   "was_opened", "was_clicked", "first_open_timestamp",
                                   "time_to_open_minutes", "time_to_open_hours",
                                   "time_to_open_days")],
                 fill={"opens": 0, "unique_opens": 0, "clicks": 0, "unique_clicks": 0,
                       "was_opened": False, "was_clicked": False}, by_source=bs)
-    if stg_unsubscribes is None:
-        return df
-    # Deduplicated first so that repeated unsubscribes do not multiply sends.
-    # The send key of the unsubscribe's (connection, campaign, member) is an
-    # extra, redundant join key (equal whenever the others are): it lets the
-    # sends keep the partitioning of the event join above, and only the
-    # small unsubscribe side is shuffled to match it (when the session
-    # allows co-partitioning on a subset of the join keys).
-    unsub = stg_unsubscribes.select(
-        *scope.keys("member_id", "list_id", "campaign_id"),
-        surrogate_key(SR, "campaign_id", "member_id").alias("_email_id")) \
-        .distinct().withColumn("_hit", F.lit(True))
-    return attach(df, unsub, [("email_id", "_email_id"), ("member_id", "member_id"),
-                              ("campaign_id", "campaign_id"), ("list_id", "list_id")],
-                  [("was_unsubscribed", "_hit")], fill={"was_unsubscribed": False}, by_source=bs)
+    if stg_unsubscribes is not None:
+        # Per send key the distinct (member, campaign, list) that unsubscribed
+        # (several only where keys collide); a NULL part never matches.
+        parts = ("member_id", "campaign_id", "list_id")
+        unsub = stg_unsubscribes.dropna(subset=list(parts)).select(
+            SR, surrogate_key(SR, "campaign_id", "member_id").alias("_email_id"),
+            F.struct(*parts).alias("_one"))
+        carried = [F.any_value(c).alias(c) for c in scope.carry]
+        unsub = unsub.groupBy(*scope.keys("_email_id")).agg(
+            F.collect_set("_one").alias("_who"), *carried).withColumn("_zero", F.lit(0))
+        df = attach(df, unsub, [("email_id", "_email_id"), ("_salt", "_zero")],
+                    [("_who", "_who")], by_source=bs)
+        df = df.withColumn("was_unsubscribed", F.coalesce(
+            F.array_contains("_who", F.struct(*parts)), F.lit(False)))
+    return df.select(*columns, *[c for c in df.columns if c not in {*columns, "_salt", "_who"}])
 
 
 def recipients_by(recipients: DataFrame, keys: list[str], unsubscribes: bool,
@@ -93,6 +114,14 @@ def recipients_by(recipients: DataFrame, keys: list[str], unsubscribes: bool,
     return df.select(SR, *keys, *metric_names(unsubscribes))
 
 
+def by_list_from_members(by_member: DataFrame, unsubscribes: bool,
+                         scope: Scope = Scope()) -> DataFrame:
+    """Campaign rollup by list, from the one by member and list."""
+    names = metric_names(unsubscribes)
+    df = sum_members(by_member, scope.keys("list_id"), names, carry=scope.carry)
+    return df.select(SR, "list_id", *names)
+
+
 def campaigns(stg_campaigns: DataFrame, by_campaign: DataFrame, unsubscribes: bool,
               scope: Scope = Scope()) -> DataFrame:
     return attach_metrics(stg_campaigns, by_campaign, ["campaign_id"], metric_names(unsubscribes),

@@ -12,36 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
 from ..options import Options, PassThrough
-from ..sources import Connection, read_sources
-from ..sources.fixtures import fixture_sources, load_driver_tables
-from .build import build
+from ..sources import ABSENT, Connection, read_sources
+from ..sources.fixtures import Account, fixture_sources, load_driver_tables
+from .build import OUTPUTS, build
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FRESHNESS_AS_OF = datetime(2024, 2, 3)
 PASS_THROUGH = (PassThrough("country_code", alias="country_lower",
                             transform_sql="lower(country_code)"),
-                PassThrough("merge_fname"))
-
-
-def _limited(sk):
-    return sk % 4 < 2
-
-
-def sources(spark: SparkSession, sf_dir: str, options: Options = Options(),
-            conns: tuple = (("conn_a", None),)) -> dict[str, DataFrame]:
+                PassThrough("merge_fname"), PassThrough("points", datatype="bigint"),
+                PassThrough("born", alias="birthday", datatype="date"))
+
+
+# The second account of the two-account builds: the same rows under other mailing
+# ids (most of which the first account has too), later, and some columns short.
+OTHER = Account(shift=4, minutes=1500, without=(
+    ("campaign", "archive_url"), ("automation_email", "delay_amount"), ("list", "visibility"),
+    ("member", "latitude"), ("segment", "updated_at"), ("unsubscribe", "reason"),
+    ("campaign_recipient_activity", "combination_id")))
+# One that stores some columns with other types, and one build later with changes.
+OTHER_TYPES = Account(shift=4, minutes=1500, types=(
+    ("campaign", "id", "bigint"), ("campaign", "segment_id", "bigint"),
+    ("campaign", "wait_time", "string"), ("campaign", "test_size", "double")))
+LATER_BUILD = Account(minutes=60, label="*")
+ONE_EMPTY = Account(empty=("segment_member",))
+
+ONE = (("conn_a", Account()),)
+TWO = (("conn_a", Account()), ("conn_b", OTHER))
+MIXED = (("conn_a", Account()), ("conn_b", OTHER_TYPES))
+
+
+def sources(spark: SparkSession, sf_dir: str, options: Options = Options(), conns: tuple = ONE,
+            absent: tuple[tuple[str, str], ...] = ()) -> dict[str, DataFrame]:
+    """``absent``: (connection, table) that the account does not sync."""
     d = load_driver_tables(spark, sf_dir)
-    return read_sources(spark, [Connection(n, fixture_sources(d, options, f)) for n, f in conns],
-                        options)
+    return read_sources(spark, [
+        Connection(n, {**fixture_sources(d, options, account), **{t: ABSENT for c, t in absent if c == n}})
+        for n, account in conns], options)
 
 
-def models(spark: SparkSession, sf_dir: str, options: Options = Options(),
-           conns: tuple = (("conn_a", None),)) -> dict[str, DataFrame]:
-    return build(sources(spark, sf_dir, options, conns), options)
+def models(spark: SparkSession, sf_dir: str, options: Options = Options(), conns: tuple = ONE,
+           absent: tuple[tuple[str, str], ...] = ()) -> dict[str, DataFrame]:
+    return build(sources(spark, sf_dir, options, conns, absent), options)
 
 
-def _model(name: str, options: Options = Options(), conns: tuple = (("conn_a", None),)) -> Query:
-    return lambda spark, sf_dir: models(spark, sf_dir, options, conns)[name]
+def _model(name: str, options: Options = Options(), conns: tuple = ONE,
+           absent: tuple[tuple[str, str], ...] = ()) -> Query:
+    return lambda spark, sf_dir: models(spark, sf_dir, options, conns, absent)[name]
 
 
 MODEL_NAMES = (
@@ -58,7 +76,6 @@ MODEL_NAMES = (
     + ["automation_emails", "automations", "members", "int_members_by_list", "lists",
        "segments"])
 
-TWO = (("conn_a", None), ("conn_b", _limited))
 TWO_SOURCE_MODELS = (
     "stg_campaign_recipients", "campaign_activities", "int_campaign_activities_by_email",
     "campaign_recipients", "campaigns", "automation_activities",
@@ -68,19 +85,22 @@ ALL_OFF = Options(using_automations=False, using_segments=False, using_unsubscri
 NATIVE = Options(distinct_strategy="native")
 
 
-def _dq_tests(kind: str, conns: tuple = (("conn_a", None),)) -> Query:
+def _dq_tests(kind: str, conns: tuple = ONE) -> Query:
     return lambda spark, sf_dir: quality.run_tests(models(spark, sf_dir, conns=conns), kind)
 
 
-def _dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dq_freshness(conns: tuple = ONE) -> Query:
     o = Options()
-    return quality.freshness(sources(spark, sf_dir, o), o.synced_column, FRESHNESS_AS_OF)
+    return lambda spark, sf_dir: quality.freshness(sources(spark, sf_dir, o, conns), o.synced_column,
+                                                   FRESHNESS_AS_OF)
 
 
-def _dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prod = models(spark, sf_dir)["campaigns"]
-    dev = models(spark, sf_dir, conns=(("conn_a", _limited),))["campaigns"]
-    return quality.reconcile(prod, dev)
+def _dq_reconcile(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        later = models(spark, sf_dir, conns=(("conn_a", LATER_BUILD),))[name]
+        return quality.reconcile(models(spark, sf_dir)[name], later,
+                                 quality.RECONCILE_EXCLUDE.get(name, []))
+    return query
 
 
 def spark_queries() -> dict[str, Query]:
@@ -88,8 +108,8 @@ def spark_queries() -> dict[str, Query]:
     for name in TWO_SOURCE_MODELS:
         q[f"{name}_two_sources"] = _model(name, conns=TWO)
     q["stg_members_source_casing"] = _model("stg_members", Options(source_casing=True),
-                                            (("Conn_A", None),))
-    q["stg_lists_folded_casing"] = _model("stg_lists", Options(), (("Conn_A", None),))
+                                            (("Conn_A", Account()),))
+    q["stg_lists_folded_casing"] = _model("stg_lists", Options(), (("Conn_A", Account()),))
     q["lists_no_automations"] = _model("lists", Options(using_automations=False))
     q["members_no_automations"] = _model("members", Options(using_automations=False))
     q["campaign_recipients_no_unsubscribes"] = _model("campaign_recipients",
@@ -108,6 +128,13 @@ def spark_queries() -> dict[str, Query]:
     q["dq_not_null"] = _dq_tests("not_null")
     q["dq_unique"] = _dq_tests("unique")
     q["dq_unique_two_sources"] = _dq_tests("unique", TWO)
-    q["dq_freshness"] = _dq_freshness
-    q["dq_reconcile_campaigns"] = _dq_reconcile
+    q["campaigns_mixed_types_two_sources"] = _model("campaigns", conns=MIXED)
+    q["campaigns_mixed_types_two_sources_reversed"] = _model("campaigns", conns=MIXED[::-1])
+    q["lists_one_account_without_unsubscribes"] = _model("lists", conns=TWO,
+                                                         absent=(("conn_b", "unsubscribe"),))
+    q["dq_freshness"] = _dq_freshness()
+    q["dq_freshness_two_sources"] = _dq_freshness(TWO)
+    q["dq_freshness_empty_table"] = _dq_freshness((("conn_a", ONE_EMPTY),))
+    for name in OUTPUTS:
+        q[f"dq_reconcile_{name}"] = _dq_reconcile(name)
     return q

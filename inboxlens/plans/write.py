@@ -4,25 +4,44 @@ Outputs go to ``<target>/<name>``, staged tables to ``<target>_stg/<name>``
 (two schemas, like the two target schemas of the SQL build), shared
 intermediates to ``<target>/_int/<name>``.
 
-Two steps: (1) the hub tables read by several rollups (per-send campaign
-metrics, automation activities / sends / unsubscribes) are written; (2)
-the build is planned again on top of the stored hubs and every remaining
-table is written.  Each hub is computed once, and a lost executor costs a
-re-read of a stored hub, not a recomputation of the upstream joins.  Within
-a step the tables do not depend on each other, so they are submitted as
-concurrent Spark jobs (``max_parallel_jobs``), which keeps the cluster busy
-through the many small stages of the dimension-side work.
+The hub tables read by several others are written tier by tier (events with
+their owners; per-send campaign metrics; metrics by member), each planned on
+the stored tier before it, then every remaining table. So each hub is computed
+once, and a lost executor costs a re-read of a stored hub, not a recomputation
+of the upstream joins. Within a step the tables do not depend on each other,
+so they are submitted as concurrent Spark jobs (``max_parallel_jobs``), which
+keeps the cluster busy through the many small stages of the dimension-side
+work.
+
+Everything is written beside the live tables first (``_run-<id>`` folders, or
+``<name>__run`` tables) and moved into place at the end. A build that fails
+leaves the previous one as it was; while the moves run (renames on file
+systems and in the catalog) a reader can meet tables of both builds, so use a
+table format with atomic replacement where that matters.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.sql import q
 from ..options import Options
 from ..sources.connections import read_with_text_partition
-from .build import HUBS, OUTPUTS, build
+from .build import OUTPUTS, TIERS, build
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put folder ``source`` in the place of ``target`` (Hadoop file system)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    src, dst = path(source), path(target)
+    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(dst.getParent())
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
@@ -32,11 +51,16 @@ def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
     """Build and write every output (and staged table); returns name -> location.
 
     With ``database`` the tables are saved in the catalog as
-    ``<database>.<name>`` (staged ones in ``<database>_stg``) instead of paths.
-    ``partition_by_source`` writes one folder per connection, so readers
-    filtering on ``source_relation`` skip the other accounts' files.
+    ``<database>.<name>`` (staged ones in ``<database>_stg``; both are created
+    if needed) instead of paths. ``partition_by_source`` writes one folder per
+    connection, so readers filtering on ``source_relation`` skip the other
+    accounts' files.
     """
     target = target.rstrip("/")
+    run = f"_run-{uuid.uuid4().hex}"
+    if database:
+        for schema in (database, f"{database}_stg"):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(schema)}")
 
     def location(name: str) -> str:
         if database:
@@ -48,34 +72,55 @@ def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
             return f"{target}/_int/{name}"
         return f"{target}/{name}"
 
+    def new(name: str) -> str:
+        return f"{location(name)}__run" if database else f"{target}/{run}/{name}"
+
     def save(item: tuple[str, DataFrame]) -> None:
         name, df = item
+        if partition_by_source:
+            # one task per account and file: AQE splits large accounts, merges small ones
+            df = df.hint("rebalance", "source_relation")
         w = df.write.mode("overwrite").format(fmt)
         if partition_by_source:
             w = w.partitionBy("source_relation")
         if database:
-            w.saveAsTable(location(name))
+            w.saveAsTable(new(name))
         else:
-            w.save(location(name))
+            w.save(new(name))
 
     def stored(name: str) -> DataFrame:
-        loc = location(name)
         if database:
-            return spark.table(loc)
+            return spark.table(new(name))
         if partition_by_source:
-            return read_with_text_partition(spark, loc, fmt, "source_relation")
-        return spark.read.format(fmt).load(loc)
+            return read_with_text_partition(spark, new(name), fmt, "source_relation")
+        return spark.read.format(fmt).load(new(name))
+
+    written: list[str] = []
 
     def save_all(items: list[tuple[str, DataFrame]]) -> None:
         with ThreadPoolExecutor(max(1, max_parallel_jobs)) as pool:
             list(pool.map(save, items))  # re-raises the first failure
+        written.extend(name for name, _ in items)
+
+    def on_stored(name: str, df: DataFrame) -> DataFrame:
+        return stored(name) if name in written else df
 
-    lazy = build(raw, options)
-    hubs = [(n, lazy[n]) for n in HUBS if n in lazy]
-    save_all(hubs)
-    models = build(raw, options, materialize=lambda name, df: stored(name))
-    rest = [(n, models[n]) for n in OUTPUTS if n in models and n not in HUBS]
+    for tier in TIERS:
+        models = build(raw, options, materialize=on_stored)
+        save_all([(n, models[n]) for n in tier if n in models])
+    models = build(raw, options, materialize=on_stored)
+    names = [n for n in OUTPUTS if n in models and n not in written]
     if staging:
-        rest += [(n, df) for n, df in models.items() if n.startswith("stg_")]
-    save_all(rest)
-    return {n: location(n) for n, _ in hubs + rest}
+        names += [n for n in models if n.startswith("stg_")]
+    save_all([(n, models[n]) for n in names])
+
+    for name in written:
+        if database:
+            spark.sql(f"DROP TABLE IF EXISTS {location(name)}")
+            spark.sql(f"ALTER TABLE {new(name)} RENAME TO {location(name)}")
+        else:
+            _move(spark, new(name), location(name))
+    if not database:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{run}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return {n: location(n) for n in written}

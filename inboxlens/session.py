@@ -20,13 +20,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     # Let a join reuse a side already hash-partitioned on a subset of its
-    # keys (the per-send table partitioned by email_id joins the
-    # unsubscribes on email_id + member + campaign + list): the small side
-    # is shuffled to match instead of the large one being shuffled again.
-    # All keys used here are high-cardinality ids, so this does not
-    # concentrate rows.
+    # keys: the small side is shuffled to match instead of the large one
+    # being shuffled again.  All keys used here are high-cardinality ids, so
+    # this does not concentrate rows.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.sql.ui.retainedExecutions": "50",
 }
 
 

@@ -1,5 +1,5 @@
-from .connections import (Connection, conform, read_partitioned_sources, read_sources,
+from .connections import (ABSENT, Connection, conform, read_partitioned_sources, read_sources,
                           union_connections)
 
-__all__ = ["Connection", "conform", "read_partitioned_sources", "read_sources",
+__all__ = ["ABSENT", "Connection", "conform", "read_partitioned_sources", "read_sources",
            "union_connections"]

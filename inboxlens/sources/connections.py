@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,16 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import utc_sql
 from ..functions.sql import alias, q
 from ..options import Options
 from . import schemas
 
 
+# Table entry of an account that does not sync the table: it has no rows.
+ABSENT = object()
+
+
 @dataclass(frozen=True)
 class Connection:
     """One connected account: a name (becomes ``source_relation``) and where
-    each raw table lives.  A table entry is a DataFrame, a catalog table name
-    or a path (read with ``fmt``)."""
+    each raw table lives.  A table entry is a DataFrame, a catalog table name,
+    a path (read with ``fmt``) or ``ABSENT``."""
 
     name: str
     tables: Mapping[str, object] = field(default_factory=dict)
@@ -33,25 +38,33 @@ class Connection:
     def from_directory(cls, name: str, root: str, overrides: Mapping[str, str] | None = None,
                        fmt: str = "parquet", suffix: str = "",
                        reader_options: Mapping[str, str] | None = None,
-                       table_schemas: Mapping[str, str] | None = None) -> "Connection":
-        """Tables stored as ``root/<table><suffix>``; ``overrides`` renames single tables."""
+                       table_schemas: Mapping[str, str] | None = None,
+                       absent: Collection[str] = ()) -> "Connection":
+        """Tables stored as ``root/<table><suffix>``; ``overrides`` renames single
+        tables, ``absent`` names those the account does not have."""
         overrides = dict(overrides or {})
-        tables = {t: f"{root.rstrip('/')}/{overrides.get(t, t)}{suffix}" for t in schemas.SOURCE_TABLES}
+        tables = {t: ABSENT if t in absent else f"{root.rstrip('/')}/{overrides.get(t, t)}{suffix}"
+                  for t in schemas.SOURCE_TABLES}
         return cls(name, tables, fmt, dict(reader_options or {}), dict(table_schemas or {}))
 
     @classmethod
     def from_catalog(cls, name: str, database: str,
-                     overrides: Mapping[str, str] | None = None) -> "Connection":
+                     overrides: Mapping[str, str] | None = None,
+                     absent: Collection[str] = ()) -> "Connection":
         """Tables registered in the catalog as ``database.<table>``."""
         overrides = dict(overrides or {})
-        tables = {t: f"{database}.{overrides.get(t, t)}" for t in schemas.SOURCE_TABLES}
+        tables = {t: ABSENT if t in absent else f"{database}.{overrides.get(t, t)}"
+                  for t in schemas.SOURCE_TABLES}
         return cls(name, tables, fmt="table")
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
+    def read(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """The raw table, or None if the account does not have it."""
         if table not in self.tables:
-            raise KeyError(f"connection {self.name!r} has no {table!r} table; give it, or "
-                           "switch the feature off in Options")
+            raise KeyError(f"connection {self.name!r} has no {table!r} table; give it (ABSENT if the "
+                           "account does not sync it), or switch the feature off in Options")
         ref = self.tables[table]
+        if ref is ABSENT:
+            return None
         if isinstance(ref, DataFrame):
             return ref
         if self.fmt == "table":
@@ -73,33 +86,66 @@ def enabled_tables(options: Options) -> list[str]:
     return [t for t in schemas.SOURCE_TABLES if t not in off]
 
 
-def union_connections(frames: list[tuple[str, DataFrame]], options: Options) -> DataFrame:
+_INTEGRAL = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_EXACT_IN_DOUBLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType(), T.DoubleType())
+_DATES = (T.DateType(), T.TimestampNTZType())
+
+
+def common_type(types: Collection[T.DataType], declared: T.DataType | None = None) -> T.DataType:
+    """One type that holds every value of ``types``, whatever their order.
+
+    Equal types stay.  Types that differ become string if the column is
+    declared as string; else the widest integer, double (where exact), or
+    zone-free timestamp among them and the declared type; else string."""
+    found = set(types)
+    if len(found) == 1:
+        return found.pop()
+    if declared == T.StringType():
+        return declared
+    for family in (_INTEGRAL, _EXACT_IN_DOUBLE, _DATES):
+        if found <= set(family):
+            wide = found | ({declared} & set(family))
+            return family[-1] if family is _EXACT_IN_DOUBLE else max(wide, key=family.index)
+    return T.StringType()
+
+
+def _zone_free(df: DataFrame) -> DataFrame:
+    """Zoned timestamps as UTC wall-clock times, so that no result depends on
+    the session time zone."""
+    if not any(f.dataType == T.TimestampType() for f in df.schema.fields):
+        return df
+    return df.selectExpr(*[alias(utc_sql(q(f.name)), f.name) if f.dataType == T.TimestampType()
+                           else q(f.name) for f in df.schema.fields])
+
+
+def union_connections(frames: list[tuple[str, DataFrame]], options: Options,
+                      table: str = "") -> DataFrame:
     """UNION ALL by column name of one raw table across connections.
 
     Every row gets ``source_relation``.  A column absent from a connection is
-    NULL there; a column whose type differs between connections takes the
-    type of the first connection that has it, so a string id is never
-    silently widened to a number.
+    NULL there; a column whose type differs between connections takes their
+    ``common_type``, so no value is narrowed and the order of the connections
+    does not matter.
     """
-    names: dict[str, tuple[str, object]] = {}
+    frames = [(conn, _zone_free(df)) for conn, df in frames]
+    names: dict[str, str] = {}
+    types: dict[str, list[T.DataType]] = {}
     for _, df in frames:
         for f in df.schema.fields:
-            names.setdefault(f.name.lower(), (f.name, f.dataType))
+            names.setdefault(f.name.lower(), f.name)
+            types.setdefault(f.name.lower(), []).append(f.dataType)
+    target = {key: common_type(found, schemas.declared_type(table, key))
+              for key, found in types.items() if key != "source_relation"}
     parts = []
     for conn, df in frames:
         have = {f.name.lower(): f for f in df.schema.fields}
         sr = conn if options.source_casing else conn.lower()
         cols = []
-        for key, (name, dtype) in names.items():
-            if key == "source_relation":
-                continue
+        for key, dtype in target.items():
             f = have.get(key)
-            if f is None:
-                cols.append(alias(f"CAST(NULL AS {dtype.simpleString()})", name))
-            elif f.dataType == dtype:
-                cols.append(alias(q(f.name), name))
-            else:
-                cols.append(alias(f"CAST({q(f.name)} AS {dtype.simpleString()})", name))
+            value = "NULL" if f is None else q(f.name)
+            cols.append(alias(value if f is not None and f.dataType == dtype
+                              else f"CAST({value} AS {dtype.simpleString()})", names[key]))
         # the name goes in as a value, not as SQL text (no quoting concerns)
         parts.append(df.selectExpr(*cols).select(F.lit(sr).alias("source_relation"), "*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -107,21 +153,30 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options) ->
 
 class SourceTables(dict):
     """Raw tables keyed by table name, remembering the connections they hold
-    (empty when not known up front, e.g. partitioned storage)."""
+    (empty when not known up front, e.g. partitioned storage) and, for each
+    table, the ``source_relation`` values that have it."""
 
-    def __init__(self, tables: dict[str, DataFrame], connections: list[str]):
+    def __init__(self, tables: dict[str, DataFrame], connections: list[str],
+                 accounts: Mapping[str, list[str]] | None = None):
         super().__init__(tables)
         self.connections = list(connections)
+        self.accounts = dict(accounts or {})
 
 
 def read_sources(spark: SparkSession, connections: list[Connection],
                  options: Options = Options()) -> SourceTables:
-    """Raw tables of all connections, unioned per table, keyed by table name."""
-    out = {}
+    """Raw tables of all connections, unioned per table, keyed by table name.
+
+    A table that some connections mark ABSENT has the others' rows; it is an
+    error if all of them do."""
+    out, accounts = {}, {}
     for table in enabled_tables(options):
-        frames = [(c.name, c.read(spark, table)) for c in connections]
-        out[table] = union_connections(frames, options)
-    return SourceTables(out, [c.name for c in connections])
+        frames = [(c.name, df) for c in connections if (df := c.read(spark, table)) is not None]
+        if not frames:
+            raise KeyError(f"no connection has a {table!r} table; switch the feature off in Options")
+        out[table] = union_connections(frames, options, table)
+        accounts[table] = [n if options.source_casing else n.lower() for n, _ in frames]
+    return SourceTables(out, [c.name for c in connections], accounts)
 
 
 def conform(df: DataFrame, table: str, options: Options,
@@ -171,6 +226,6 @@ def read_partitioned_sources(spark: SparkSession, root: str, options: Options =
         sr = f"CAST({q(part)} AS STRING)"
         if not options.source_casing:
             sr = f"lower({sr})"
-        out[table] = df.selectExpr(alias(sr, "source_relation"),
-                                   *[q(c) for c in df.columns if c != part])
+        out[table] = _zone_free(df.selectExpr(alias(sr, "source_relation"),
+                                              *[q(c) for c in df.columns if c != part]))
     return SourceTables(out, [])

@@ -1,126 +1,166 @@
 """The driver's TPC-H-like tables reshaped as the twelve raw source tables.
 
 Customers are members (list = region; members with key % 10 = 0 are also on
-a second list), nations are segments and automations, regions are lists,
-even suppliers are campaigns and odd ones automation emails (one id space),
-order lines give sends, events give opens / clicks / bounces (view, click,
-error), purchases give send times and signups give unsubscribes.
-
-Everything is a distributed DataFrame plan over the driver tables; the only
-scalar brought to the plan is the supplier count, as a scalar subquery.
+a second list), nations are segments and automations, regions are lists.
+Suppliers are mailings in one id space: even ones campaigns, odd ones
+automation emails. Each nation adds one mailing behind the last supplier that
+no order line refers to, so some mailings have events but no sends. Order lines
+give sends, events give opens / clicks / bounces (view, click, error),
+purchases give send times and signups give unsubscribes. Every other declared
+column is filled by a rule from the row's key, so no column is all NULL.
+
+Everything is a distributed DataFrame plan over the whole driver tables; the
+only scalars brought to the plan are row counts, as scalar subqueries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..options import Options
+from . import schemas
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
 
 
+@dataclass(frozen=True)
+class Account:
+    """How a test account differs from the plain one; it keeps all rows.
+
+    shift: added to mailing ids (even, so roles stay; ids of two accounts
+    overlap); minutes: added to event times; label: appended to the filled
+    texts of every third key; without: (table, column) that its raw tables
+    lack; types: (table, column, SQL type) stored differently; empty: tables
+    without rows."""
+
+    shift: int = 0
+    minutes: int = 0
+    label: str = ""
+    without: tuple[tuple[str, str], ...] = ()
+    types: tuple[tuple[str, str, str], ...] = ()
+    empty: tuple[str, ...] = ()
+
+
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
 
 
-def _s(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+def filler(column: str, position: int, kind: str, label: str = "") -> str:
+    """Spark SQL for the value of a declared column in the row with key ``k``."""
+    text = f"concat('{column}-', cast(k as string))"
+    if label:
+        text = f"if(k % 3 = 0, concat({text}, '{label}'), {text})"
+    return {
+        "string": text,
+        "int": f"cast(k % 1000 + {position * 1000} as int)",
+        "float": f"cast(k % 1000 as double) + {position / 4}D",
+        "boolean": f"substring(md5(concat('{column}', cast(k as string))), 1, 1) < '8'",
+        "timestamp": "timestamp_ntz'2024-01-20 00:00:00' + "
+                     f"make_dt_interval(0, 0, cast((k * 7 + {position}) % 20000 as int), 0)",
+    }[kind]
+
+
+def _raw(df: DataFrame, table: str, options: Options, account: Account,
+         **given: str) -> DataFrame:
+    """``table`` with all declared columns: ``given`` ones by expression, the
+    others filled."""
+    names = {schemas.SYNCED: options.synced_column, schemas.DELETED: options.deleted_column}
+    types = {(t, c): kind for t, c, kind in account.types}
+    out = []
+    for position, (name, kind) in enumerate(schemas.DECLARED[table]):
+        name = names.get(name, name)
+        if (table, name) in account.without:
+            continue
+        value = given.get(name) or filler(name, position, kind, account.label)
+        if (table, name) in types:
+            value = f"cast({value} as {types[table, name]})"
+        out.append(f"{value} as `{name}`")
+    df = df.selectExpr(*out)
+    return df.where(F.lit(False)) if table in account.empty else df
 
 
 def fixture_sources(d: dict[str, DataFrame], options: Options = Options(),
-                    sk_filter: Callable[[Column], Column] | None = None) -> dict[str, DataFrame]:
-    """Raw source tables of one connection.  ``sk_filter`` maps the supplier
-    key column to a condition and limits campaigns, automation emails and
-    every table keyed by them, e.g. ``lambda sk: sk % 4 < 2`` for a second
-    account."""
-    synced = options.synced_column
+                    account: Account = Account()) -> dict[str, DataFrame]:
+    """Raw source tables of one connection."""
     nation = d["nation"].select("n_nationkey", "n_name", "n_regionkey")
     home = d["customer"].select("c_custkey", "c_nationkey", "c_acctbal") \
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
-        .select(_s("c_custkey").alias("id"), _s("n_regionkey").alias("list_id"), "c_custkey",
-                "n_name", "c_acctbal", "c_nationkey", "n_regionkey")
+        .selectExpr("c_custkey", "cast(c_custkey as string) as member_id",
+                    "cast(n_regionkey as string) as list_id", "n_name", "c_acctbal", "c_nationkey",
+                    "n_regionkey")
     first = d["orders"].groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-    with_first = home.join(first, F.col("o_custkey") == F.col("c_custkey"), "left")
-    member = with_first.select(
-        "id", "list_id", F.col("n_name").alias("country_code"),
-        F.col("first_order").alias("timestamp_signup"),
-        (F.col("c_acctbal") > 9000).alias("vip"),
-        F.when(F.col("c_custkey") % 7 == 0, F.lit("unsubscribed"))
-         .otherwise(F.lit("subscribed")).alias("status"),
-    ).unionByName(with_first.where(F.col("c_custkey") % 10 == 0).select(
-        "id", _s((F.col("n_regionkey") + 1) % 5).alias("list_id"),
-        F.col("n_name").alias("country_code"), F.col("first_order").alias("timestamp_signup"),
-        (F.col("c_acctbal") > 9000).alias("vip"), F.lit("subscribed").alias("status")))
-
-    lst = d["region"].select(_s("r_regionkey").alias("id"), F.col("r_name").alias("name"),
-                             F.col("r_regionkey").cast("double").alias("list_rating"))
-    segment = nation.select(F.col("n_nationkey").alias("id"), _s("n_regionkey").alias("list_id"),
-                            F.col("n_name").alias("name"), F.lit("static").alias("type"))
-    segment_member = home.select(F.col("c_nationkey").alias("segment_id"),
-                                 F.col("id").alias("member_id"), "list_id")
+    joined = home.join(first, F.col("o_custkey") == F.col("c_custkey"), "left")
+    member = joined.selectExpr(
+        "*", "c_custkey as k",
+        "if(c_custkey % 7 = 0, 'unsubscribed', 'subscribed') as status",
+    ).unionByName(joined.where("c_custkey % 10 = 0").selectExpr(
+        "* except (list_id)", "cast((n_regionkey + 1) % 5 as string) as list_id",
+        "c_custkey + 1000000007 as k", "'subscribed' as status"))
 
     n_suppliers = d["supplier"].select(F.count(F.lit(1))).scalar()
+    n_nations = d["nation"].select(F.count(F.lit(1))).scalar()
     ev = d["events"].select("event_id", "ts", "user_id", "event_type") \
-        .join(home.select("c_custkey", "list_id"), F.col("user_id") == F.col("c_custkey")) \
-        .select((F.col("event_id") % n_suppliers).alias("sk"),
-                _s("user_id").alias("member_id"), "list_id", "ts", "event_type",
-                F.when(F.col("event_type") == "view", F.lit("open"))
-                 .when(F.col("event_type") == "error", F.lit("bounce"))
-                 .otherwise(F.col("event_type")).alias("action"))
-    if sk_filter is not None:
-        ev = ev.where(sk_filter(F.col("sk")))
-    sent = ev.where(F.col("event_type") == "purchase").groupBy("sk") \
-        .agg(F.min("ts").alias("send_time"))
-
-    sup = d["supplier"].select("s_suppkey", "s_name", "s_nationkey")
-    if sk_filter is not None:
-        sup = sup.where(sk_filter(F.col("s_suppkey")))
-    campaign = sup.where(F.col("s_suppkey") % 2 == 0) \
+        .join(home.select("c_custkey", "member_id", "list_id"), F.col("user_id") == F.col("c_custkey")) \
+        .select((F.col("event_id") % (n_suppliers + n_nations) + account.shift).alias("sk"),
+                F.col("event_id").alias("k"), "member_id", "list_id", "event_type",
+                (F.col("ts") + F.make_dt_interval(mins=F.lit(account.minutes))).alias("ts"),
+                F.expr("case event_type when 'view' then 'open' when 'error' then 'bounce' "
+                       "else event_type end as action"))
+    sent = ev.where("event_type = 'purchase'").groupBy("sk").agg(F.min("ts").alias("send_time"))
+
+    mailing = d["supplier"].select((F.col("s_suppkey") + account.shift).alias("sk"), "s_name", "s_nationkey") \
+        .unionByName(nation.select(
+            (n_suppliers + F.col("n_nationkey") + account.shift).cast("bigint").alias("sk"),
+            F.concat(F.lit("Extra "), "n_name").alias("s_name"),
+            F.col("n_nationkey").alias("s_nationkey"))).withColumnRenamed("sk", "k")
+    campaign = mailing.where("k % 2 = 0") \
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey")) \
-        .join(sent, F.col("sk") == F.col("s_suppkey"), "left") \
-        .select(_s("s_suppkey").alias("id"), _s("n_regionkey").alias("list_id"),
-                F.col("s_name").alias("title"),
-                F.when(F.col("s_suppkey") % 10 != 4, F.col("send_time")).alias("send_time"),
-                F.when(F.col("s_nationkey") % 4 != 0, F.col("s_nationkey")).alias("segment_id"))
-    automation = nation.select(
-        _s("n_nationkey").alias("id"), _s("n_regionkey").alias("list_id"),
-        F.col("n_name").alias("title"),
-        F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey")).alias("segment_id"))
-    automation_email = sup.where(F.col("s_suppkey") % 2 == 1).select(
-        _s("s_suppkey").alias("id"), _s("s_nationkey").alias("automation_id"),
-        F.col("s_name").alias("title"))
-
+        .join(sent, F.col("sk") == F.col("k"), "left")
     rec = d["lineitem"].select("l_orderkey", "l_suppkey") \
         .join(d["orders"].select("o_orderkey", "o_custkey"),
               F.col("l_orderkey") == F.col("o_orderkey")) \
-        .join(home.select("c_custkey", "list_id"), F.col("o_custkey") == F.col("c_custkey")) \
-        .select(F.col("l_suppkey").alias("sk"), _s("o_custkey").alias("member_id"), "list_id")
-    if sk_filter is not None:
-        rec = rec.where(sk_filter(F.col("sk")))
-    rec = rec.distinct()
-    campaign_recipient = rec.where(F.col("sk") % 2 == 0).select(
-        _s("sk").alias("campaign_id"), "member_id", "list_id")
-    automation_recipient = rec.where((F.col("sk") % 2 == 1) & (F.col("sk") % 10 != 9)).select(
-        _s("sk").alias("automation_email_id"), "member_id", "list_id")
-
+        .join(home.select("c_custkey", "member_id", "list_id"), F.col("o_custkey") == F.col("c_custkey")) \
+        .select((F.col("l_suppkey") + account.shift).alias("sk"), "member_id", "list_id").distinct() \
+        .selectExpr("*", "sk * 1000003 + cast(member_id as bigint) as k")
     engaged = ev.where(F.col("event_type").isin("view", "click", "error"))
-    campaign_activity = engaged.where(F.col("sk") % 2 == 0).select(
-        "action", _s("sk").alias("campaign_id"), "member_id", "list_id",
-        F.col("ts").alias("timestamp"), F.col("ts").alias(synced))
-    automation_activity = engaged.where(F.col("sk") % 2 == 1).select(
-        "action", _s("sk").alias("automation_email_id"), "member_id", "list_id",
-        F.col("ts").alias("timestamp"), F.col("ts").alias(synced))
-    unsubscribe = ev.where(F.col("event_type") == "signup").select(
-        _s("sk").alias("campaign_id"), "member_id", "list_id", F.col("ts").alias("timestamp"))
+    even, odd = "sk % 2 = 0", "sk % 2 = 1"
+    segment = "if(n_nationkey % 4 <> 0, n_nationkey, null)"
+
+    def raw(df: DataFrame, table: str, **given: str) -> DataFrame:
+        return _raw(df, table, options, account, **given)
 
+    to_member = {"member_id": "member_id", "list_id": "list_id"}
+    nation = nation.selectExpr("*", "cast(n_nationkey as bigint) as k")
     return {
-        "automation": automation, "automation_email": automation_email,
-        "automation_recipient": automation_recipient,
-        "automation_recipient_activity": automation_activity, "campaign": campaign,
-        "campaign_recipient": campaign_recipient,
-        "campaign_recipient_activity": campaign_activity, "list": lst, "member": member,
-        "segment": segment, "segment_member": segment_member, "unsubscribe": unsubscribe,
+        "automation": raw(nation, "automation", id="cast(k as string)", list_id="cast(n_regionkey as string)",
+                          title="n_name", segment_id=segment),
+        "automation_email": raw(mailing.where("k % 2 = 1"), "automation_email", id="cast(k as string)",
+                                automation_id="cast(s_nationkey as string)", title="s_name"),
+        "automation_recipient": raw(rec.where(odd), "automation_recipient",
+                                    automation_email_id="cast(sk as string)", **to_member),
+        "automation_recipient_activity": raw(
+            engaged.where(odd), "automation_recipient_activity", action="action",
+            automation_email_id="cast(sk as string)", timestamp="ts", **to_member),
+        # These two hold their times as text, as some loading tools do.
+        "campaign": raw(campaign, "campaign", id="cast(k as string)", list_id="cast(n_regionkey as string)",
+                        title="s_name", send_time="if(k % 10 <> 4, cast(send_time as string), null)",
+                        segment_id=segment),
+        "campaign_recipient": raw(rec.where(even), "campaign_recipient", campaign_id="cast(sk as string)",
+                                  **to_member),
+        "campaign_recipient_activity": raw(
+            engaged.where(even), "campaign_recipient_activity", action="action",
+            campaign_id="cast(sk as string)", timestamp="cast(ts as string)", **to_member),
+        "list": raw(d["region"].selectExpr("*", "cast(r_regionkey as bigint) as k"), "list",
+                    id="cast(k as string)", name="r_name", list_rating="cast(k as double)"),
+        "member": raw(member, "member", id="member_id", list_id="list_id", country_code="n_name",
+                      timestamp_signup="first_order", vip="c_acctbal > 9000", status="status"),
+        "segment": raw(nation, "segment", id="n_nationkey", list_id="cast(n_regionkey as string)",
+                       name="n_name", type="'static'"),
+        "segment_member": raw(home.selectExpr("*", "c_custkey as k"), "segment_member",
+                              segment_id="c_nationkey", **to_member),
+        "unsubscribe": raw(ev.where("event_type = 'signup'"), "unsubscribe", campaign_id="cast(sk as string)",
+                           timestamp="ts", **to_member),
     }

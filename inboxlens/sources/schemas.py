@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 # Logical type names used in the declarations below.
 _TYPES = {
     "string": T.StringType(),
-    "int": T.IntegerType(),
+    "int": T.LongType(),
     "float": T.DoubleType(),
     "boolean": T.BooleanType(),
     # Raw tables carry naive wall-clock times; keep them zone-free so results
@@ -140,7 +140,13 @@ UNSUBSCRIBE_TABLES = ("unsubscribe",)
 
 
 def spark_type(name: str) -> T.DataType:
-    return _TYPES[name]
+    """A declared type name, or any Spark DDL type (``bigint``, ``date``, ...)."""
+    return _TYPES.get(name) or T.DataType.fromDDL(name)
+
+
+def declared_type(table: str, column: str) -> T.DataType | None:
+    """Declared type of a raw column (any case); None for undeclared ones."""
+    return next((spark_type(t) for n, t in DECLARED.get(table, []) if n.lower() == column.lower()), None)
 
 
 def declared_columns(table: str, synced_column: str, deleted_column: str,

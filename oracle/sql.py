@@ -4,85 +4,109 @@ side-by-side correctness check.
 Written as plain one-phase SQL (COUNT(DISTINCT ...) FILTER, chained LEFT JOINs, the
 members-by-list count read from the members table) so that any rewrite in
 the Spark plans shows up as a difference.  Only the declared column lists
-are shared with the library.
+and the description of the test accounts are shared with the library.
 """
 
 from __future__ import annotations
 
-from inboxlens.sources.schemas import DECLARED
+from inboxlens.plans.build import OUTPUTS
+from inboxlens.plans.registry import LATER_BUILD, ONE_EMPTY, OTHER, OTHER_TYPES
+from inboxlens.sources.fixtures import Account
+from inboxlens.sources.schemas import DECLARED, DELETED as DELETED_MARK, SYNCED as SYNCED_MARK
 
 SYNCED = "_synced"
+BOOKKEEPING = {SYNCED_MARK: SYNCED, DELETED_MARK: "_deleted"}
 KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
-# Fixture views over the driver tables (one text per view).
-FIXTURES = f"""
-fx_home as (select cast(c_custkey as varchar) as id, cast(n_regionkey as varchar) as list_id, c_custkey, n_name, c_acctbal, c_nationkey, n_regionkey
-            from customer join nation on c_nationkey = n_nationkey),
-fx_list as (select cast(r_regionkey as varchar) as id, r_name as name, cast(r_regionkey as double) as list_rating from region),
-fx_first as (select o_custkey, min(o_orderdate) as first_order from orders group by o_custkey),
-fx_member as (
-  select id, list_id, n_name as country_code, first_order as timestamp_signup, c_acctbal > 9000 as vip,
-         case when c_custkey % 7 = 0 then 'unsubscribed' else 'subscribed' end as status
-  from fx_home left join fx_first on o_custkey = c_custkey
-  union all
-  select id, cast((n_regionkey + 1) % 5 as varchar), n_name, first_order, c_acctbal > 9000, 'subscribed'
-  from fx_home left join fx_first on o_custkey = c_custkey where c_custkey % 10 = 0),
-fx_segment as (select n_nationkey as id, cast(n_regionkey as varchar) as list_id, n_name as name, 'static' as type from nation),
-fx_segment_member as (select c_nationkey as segment_id, id as member_id, list_id from fx_home),
-fx_ev as (select event_id % (select count(*) from supplier) as sk, cast(user_id as varchar) as member_id, list_id, ts, event_type,
-                 case event_type when 'view' then 'open' when 'error' then 'bounce' else event_type end as action
-          from events join fx_home on id = cast(user_id as varchar)),
-fx_sent as (select sk, min(ts) as send_time from fx_ev where event_type = 'purchase' group by sk),
-fx_campaign as (
-  select cast(s_suppkey as varchar) as id, cast(n_regionkey as varchar) as list_id, s_name as title,
-         case when s_suppkey % 10 <> 4 then send_time end as send_time,
-         case when s_nationkey % 4 <> 0 then s_nationkey end as segment_id
-  from supplier join nation on s_nationkey = n_nationkey left join fx_sent on sk = s_suppkey where s_suppkey % 2 = 0),
-fx_automation as (
-  select cast(n_nationkey as varchar) as id, cast(n_regionkey as varchar) as list_id, n_name as title,
-         case when n_nationkey % 4 <> 0 then n_nationkey end as segment_id from nation),
-fx_automation_email as (
-  select cast(s_suppkey as varchar) as id, cast(s_nationkey as varchar) as automation_id, s_name as title from supplier where s_suppkey % 2 = 1),
-fx_rec as (select distinct l_suppkey as sk, cast(o_custkey as varchar) as member_id, list_id
-           from lineitem join orders on l_orderkey = o_orderkey join fx_home on id = cast(o_custkey as varchar)),
-fx_campaign_recipient as (select cast(sk as varchar) as campaign_id, member_id, list_id from fx_rec where sk % 2 = 0),
-fx_automation_recipient as (select cast(sk as varchar) as automation_email_id, member_id, list_id from fx_rec where sk % 2 = 1 and sk % 10 <> 9),
-fx_campaign_recipient_activity as (
-  select action, cast(sk as varchar) as campaign_id, member_id, list_id, ts as "timestamp", ts as {SYNCED}
-  from fx_ev where event_type in ('view', 'click', 'error') and sk % 2 = 0),
-fx_automation_recipient_activity as (
-  select action, cast(sk as varchar) as automation_email_id, member_id, list_id, ts as "timestamp", ts as {SYNCED}
-  from fx_ev where event_type in ('view', 'click', 'error') and sk % 2 = 1),
-fx_unsubscribe as (select cast(sk as varchar) as campaign_id, member_id, list_id, ts as "timestamp" from fx_ev where event_type = 'signup')
-"""
-
-# Columns each fixture view really has; everything else declared is NULL.
-PRESENT = {
-    "automation": {"id", "list_id", "title", "segment_id"},
-    "automation_email": {"id", "automation_id", "title"},
-    "automation_recipient": {"automation_email_id", "member_id", "list_id"},
-    "automation_recipient_activity": {"action", "automation_email_id", "member_id", "list_id",
-                                      "timestamp", SYNCED},
-    "campaign": {"id", "list_id", "title", "send_time", "segment_id"},
-    "campaign_recipient": {"campaign_id", "member_id", "list_id"},
-    "campaign_recipient_activity": {"action", "campaign_id", "member_id", "list_id", "timestamp",
-                                    SYNCED},
-    "list": {"id", "name", "list_rating"},
-    "member": {"id", "list_id", "country_code", "timestamp_signup", "vip", "status"},
-    "segment": {"id", "list_id", "name", "type"},
-    "segment_member": {"segment_id", "member_id", "list_id"},
-    "unsubscribe": {"campaign_id", "member_id", "list_id", "timestamp"},
+TYPES = {"string": "varchar", "int": "bigint", "float": "double", "boolean": "boolean",
+         "timestamp": "timestamp"}
+
+# Raw columns that come from driver columns (SQL over the view's rows); the
+# others are filled by the rule below.
+GIVEN = {
+    "automation": {"id": "k::varchar", "list_id": "n_regionkey::varchar", "title": "n_name",
+                   "segment_id": "case when k % 4 <> 0 then k::int end"},
+    "automation_email": {"id": "k::varchar", "automation_id": "s_nationkey::varchar", "title": "s_name"},
+    "automation_recipient": {"automation_email_id": "sk::varchar", "member_id": "member_id", "list_id": "list_id"},
+    "automation_recipient_activity": {"action": "action", "automation_email_id": "sk::varchar", "member_id": "member_id",
+                                      "list_id": "list_id", "timestamp": "ts"},
+    "campaign": {"id": "k::varchar", "list_id": "n_regionkey::varchar", "title": "s_name",
+                 "send_time": "case when k % 10 <> 4 then send_time end",
+                 "segment_id": "case when n_nationkey % 4 <> 0 then n_nationkey end"},
+    "campaign_recipient": {"campaign_id": "sk::varchar", "member_id": "member_id", "list_id": "list_id"},
+    "campaign_recipient_activity": {"action": "action", "campaign_id": "sk::varchar", "member_id": "member_id",
+                                    "list_id": "list_id", "timestamp": "ts"},
+    "list": {"id": "k::varchar", "name": "r_name", "list_rating": "k::double"},
+    "member": {"id": "member_id", "list_id": "list_id", "country_code": "n_name", "timestamp_signup": "first_order",
+               "vip": "c_acctbal > 9000", "status": "status"},
+    "segment": {"id": "n_nationkey", "list_id": "n_regionkey::varchar", "name": "n_name", "type": "'static'"},
+    "segment_member": {"segment_id": "c_nationkey", "member_id": "member_id", "list_id": "list_id"},
+    "unsubscribe": {"campaign_id": "sk::varchar", "member_id": "member_id", "list_id": "list_id", "timestamp": "ts"},
 }
 
-# Column holding the supplier key, for the second account's filter.
-SK_COLUMN = {"automation_email": "id", "automation_recipient": "automation_email_id",
-             "automation_recipient_activity": "automation_email_id", "campaign": "id",
-             "campaign_recipient": "campaign_id", "campaign_recipient_activity": "campaign_id",
-             "unsubscribe": "campaign_id"}
-
-DUCK = {"string": "varchar", "int": "integer", "float": "double", "boolean": "boolean",
-        "timestamp": "timestamp"}
 
+def _filled(column: str, position: int, kind: str, label: str) -> str:
+    text = f"'{column}-' || k::varchar" + (f" || case when k % 3 = 0 then '{label}' else '' end" if label else "")
+    return {"string": text, "int": f"(k % 1000 + {position * 1000})::int",
+            "float": f"(k % 1000)::double + {position / 4}::double",
+            "boolean": f"substr(md5('{column}' || k::varchar), 1, 1) < '8'",
+            "timestamp": f"timestamp '2024-01-20 00:00:00' + to_minutes(((k * 7 + {position}) % 20000)::bigint)"}[kind]
+
+
+def fixture_views(p: str, account: Account) -> str:
+    """The raw tables of an account as views named ``{p}fx_<table>``."""
+    total = "((select count(*) from supplier) + (select count(*) from nation))"
+    rows = {
+        "automation": "from {p}nation", "automation_email": "from {p}mailing where k % 2 = 1",
+        "automation_recipient": "from {p}rec where sk % 2 = 1",
+        "automation_recipient_activity": "from {p}ev where event_type in ('view', 'click', 'error') and sk % 2 = 1",
+        "campaign": "from {p}mailing join nation on s_nationkey = n_nationkey left join {p}sent on sk = k where k % 2 = 0",
+        "campaign_recipient": "from {p}rec where sk % 2 = 0",
+        "campaign_recipient_activity": "from {p}ev where event_type in ('view', 'click', 'error') and sk % 2 = 0",
+        "list": "from (select *, r_regionkey::bigint as k from region)", "member": "from {p}member",
+        "segment": "from {p}nation", "segment_member": "from (select *, c_custkey as k from {p}home)",
+        "unsubscribe": "from {p}ev where event_type = 'signup'",
+    }
+    views = [f"""{p}nation as (select *, n_nationkey::bigint as k from nation),
+{p}home as (select c_custkey, c_custkey::varchar as member_id, n_regionkey::varchar as list_id, n_name, c_acctbal, c_nationkey, n_regionkey
+            from customer join nation on c_nationkey = n_nationkey),
+{p}first as (select o_custkey, min(o_orderdate) as first_order from orders group by o_custkey),
+{p}member as (
+  select *, c_custkey as k, case when c_custkey % 7 = 0 then 'unsubscribed' else 'subscribed' end as status
+  from {p}home left join {p}first on o_custkey = c_custkey
+  union all
+  select * replace (((n_regionkey + 1) % 5)::varchar as list_id), c_custkey + 1000000007, 'subscribed'
+  from {p}home left join {p}first on o_custkey = c_custkey where c_custkey % 10 = 0),
+{p}ev as (select event_id % {total} + {account.shift} as sk, event_id as k, member_id, list_id, event_type,
+                 ts + to_minutes({account.minutes}) as ts,
+                 case event_type when 'view' then 'open' when 'error' then 'bounce' else event_type end as action
+          from events join {p}home on user_id = c_custkey),
+{p}sent as (select sk, min(ts) as send_time from {p}ev where event_type = 'purchase' group by sk),
+{p}mailing as (
+  select s_suppkey + {account.shift} as k, s_name, s_nationkey from supplier union all
+  select (select count(*) from supplier) + n_nationkey + {account.shift}, 'Extra ' || n_name, n_nationkey from nation),
+{p}rec as (select *, sk * 1000003 + member_id::bigint as k
+           from (select distinct l_suppkey + {account.shift} as sk, member_id, list_id
+                 from lineitem join orders on l_orderkey = o_orderkey join {p}home on o_custkey = c_custkey))"""]
+    types = {(t, c): kind for t, c, kind in account.types}
+    for table, source in rows.items():
+        cols = []
+        for position, (name, kind) in enumerate(DECLARED[table]):
+            name = BOOKKEEPING.get(name, name)
+            if (table, name) in account.without:
+                value = f"null::{TYPES[kind]}"
+            else:
+                value = GIVEN[table].get(name) or _filled(name, position, kind, account.label)
+            if (table, name) in types:
+                value = f"cast({value} as {types[table, name].replace('string', 'varchar')})"
+            cols.append(f'{value} as "{name}"')
+        limit = " limit 0" if table in account.empty else ""
+        views.append(f"{p}fx_{table} as (select {', '.join(cols)} {source.format(p=p)}{limit})")
+    return ",\n".join(views)
+
+
+# The contract of the staged tables (output name and column order,
+# key parts, casts) is stated once more here, apart from the library.
 # Staged output: (output column, raw column) in output order.
 STAGED = {
     "automation": ("stg_automations", "source_relation, id as automation_id, list_id, segment_id, segment_text, start_time as started_timestamp, create_time as created_timestamp, status, title, trigger_settings"),
@@ -108,39 +132,30 @@ KEYS = {
     "unsubscribe": [("unsubscribe_id", ["source_relation", "member_id", "list_id", "unsubscribe_timestamp"])],
 }
 
-# Explicit casts applied by staging.
-CASTS = {("campaign", "send_time"), ("campaign_recipient_activity", "timestamp")}
-
-
 def _key(cols: list[str]) -> str:
     return "md5(" + " || '-' || ".join(
         f"coalesce(cast({c} as varchar), '{KEY_NULL}')" for c in cols) + ")"
 
 
-def _raw_select(table: str, conn: str, filtered: bool) -> str:
-    types = {n: t for n, t in DECLARED[table]}
+def _raw_select(table: str, conn: str, p: str, casts: dict[tuple[str, str], str]) -> str:
     sel = [f"'{conn}' as source_relation"]
     for item in STAGED[table][1].split(", ")[1:]:
         raw, _, out = item.partition(" as ")
-        out = out or raw
-        if raw in PRESENT[table]:
-            expr = f'"{raw}"'
-            if (table, raw) in CASTS:
-                expr = f"cast({expr} as timestamp)"
-        else:
-            expr = f"cast(null as {DUCK[types[raw]]})"
-        sel.append(f"{expr} as {out}")
-    where = ""
-    if filtered and table in SK_COLUMN:
-        where = f" where cast({SK_COLUMN[table]} as bigint) % 4 < 2"
-    return f"select {', '.join(sel)} from fx_{table}{where}"
-
-
-def staging_ctes(p: str, conns: list[tuple[str, bool]], passthrough: str = "") -> list[str]:
-    """Staged tables named ``{p}stg_*`` over the given (connection, limited)."""
-    out = []
+        expr = f'"{raw}"'
+        if (table, raw) in casts:
+            expr = f"cast({expr} as {casts[table, raw]})"
+        sel.append(f"{expr} as {out or raw}")
+    return f"select {', '.join(sel)} from {p}fx_{table}"
+
+
+def staging_ctes(p: str, conns: list[tuple[str, Account]], passthrough: str = "",
+                 absent: tuple[tuple[str, str], ...] = (),
+                 casts: dict[tuple[str, str], str] | None = None) -> list[str]:
+    """The accounts' raw tables, and the staged ones named ``{p}stg_*`` over them."""
+    out = [fixture_views(f"{p}x{i}_", account) for i, (_, account) in enumerate(conns)]
     for table, (name, _) in STAGED.items():
-        body = " union all ".join(_raw_select(table, c, f) for c, f in conns)
+        body = " union all ".join(_raw_select(table, c, f"{p}x{i}_", casts or {}) for i, (c, _) in enumerate(conns)
+                                  if (c, table) not in absent)
         keys = "".join(f", {_key(cols)} as {k}" for k, cols in KEYS.get(table, []))
         extra = passthrough if table == "member" else ""
         out.append(f"{p}{name} as (select *{keys}{extra} from ({body}))")
@@ -267,14 +282,16 @@ def model_ctes(p: str, auto: bool = True, unsub: bool = True, segs: bool = True)
 
 
 def with_clause(ctes: list[str]) -> str:
-    return "with " + FIXTURES.strip() + ",\n" + ",\n".join(ctes) + "\n"
+    return "with " + ",\n".join(ctes) + "\n"
 
 
-def chain(p: str = "", conns: list[tuple[str, bool]] | None = None, passthrough: str = "",
+def chain(p: str = "", conns: list[tuple[str, Account]] | None = None, passthrough: str = "",
+          absent: tuple[tuple[str, str], ...] = (), casts: dict[tuple[str, str], str] | None = None,
           **flags) -> list[str]:
-    return staging_ctes(p, conns or [("conn_a", False)], passthrough) + model_ctes(p, **flags)
+    return staging_ctes(p, conns or [("conn_a", Account())], passthrough, absent, casts) + model_ctes(p, **flags)
 
 
+# The declared tests.
 NOT_NULL = [
     ("stg_automation_activities", "activity_id"), ("stg_automation_emails", "automation_email_id"),
     ("stg_automation_recipients", "automation_recipient_id"), ("stg_automations", "automation_id"),
@@ -296,15 +313,16 @@ def _select(ctes: list[str], name: str) -> str:
 def oracle_queries(model_names: list[str]) -> dict[str, str]:
     base = chain()
     q = {name: _select(base, name) for name in model_names}
-    two = chain(conns=[("conn_a", False), ("conn_b", True)])
+    pair = [("conn_a", Account()), ("conn_b", OTHER)]
+    two = chain(conns=pair)
     for name in ("stg_campaign_recipients", "campaign_activities",
                  "int_campaign_activities_by_email", "campaign_recipients", "campaigns",
                  "automation_activities", "int_automation_activities_by_member",
                  "int_automation_activities_by_segment", "automation_emails", "automations",
                  "members", "int_members_by_list", "lists", "segments"):
         q[f"{name}_two_sources"] = _select(two, name)
-    q["stg_members_source_casing"] = _select(chain(conns=[("Conn_A", False)]), "stg_members")
-    q["stg_lists_folded_casing"] = _select(chain(conns=[("conn_a", False)]), "stg_lists")
+    q["stg_members_source_casing"] = _select(chain(conns=[("Conn_A", Account())]), "stg_members")
+    q["stg_lists_folded_casing"] = _select(chain(), "stg_lists")
     no_auto = chain(auto=False)
     q["lists_no_automations"] = _select(no_auto, "lists")
     q["members_no_automations"] = _select(no_auto, "members")
@@ -315,7 +333,8 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
     for name in ("members", "lists", "campaigns"):
         q[f"{name}_all_off"] = _select(off, name)
     q["members_passthrough"] = _select(chain(
-        passthrough=", lower(country_code) as country_lower, cast(null as varchar) as merge_fname"),
+        passthrough=", lower(country_code) as country_lower, cast(null as varchar) as merge_fname, "
+                    "null::bigint as points, null::date as birthday"),
         "members")
     for name in ("int_campaign_activities_by_email", "int_campaign_activities_by_list",
                  "int_campaign_activities_by_campaign", "int_automation_activities_by_list",
@@ -329,20 +348,36 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
             f"select '{m}' as model, 'unique' as test, '{c}' as column_name, count(*) as failures "
             f"from (select source_relation, {c} from {m} where {c} is not null "
             f"group by source_relation, {c} having count(*) > 1)" for m, c in UNIQUE)
-    fresh = []
-    for table in DECLARED:
-        synced = SYNCED if SYNCED in PRESENT[table] else "cast(null as timestamp)"
-        fresh.append(f"select '{table}' as source_table, source_relation, max({synced}) as max_loaded_at "
-                     f"from (select 'conn_a' as source_relation, * from fx_{table}) group by source_relation")
-    q["dq_freshness"] = "with " + FIXTURES.strip() + ", fresh as (" + "\nunion all\n".join(fresh) + """)
+    wide = {("campaign", "id"): "varchar", ("campaign", "segment_id"): "bigint",
+            ("campaign", "wait_time"): "varchar", ("campaign", "test_size"): "double"}
+    mixed = [("conn_a", Account()), ("conn_b", OTHER_TYPES)]
+    for name, conns in (("campaigns_mixed_types_two_sources", mixed),
+                        ("campaigns_mixed_types_two_sources_reversed", mixed[::-1])):
+        q[name] = _select(chain(conns=conns, casts=wide), "campaigns")
+    q["lists_one_account_without_unsubscribes"] = _select(
+        chain(conns=pair, absent=(("conn_b", "unsubscribe"),)), "lists")
+    for key, conns in (("dq_freshness", pair[:1]), ("dq_freshness_two_sources", pair),
+                       ("dq_freshness_empty_table", [("conn_a", ONE_EMPTY)])):
+        q[key] = _freshness(conns)
+    for name in OUTPUTS:
+        rec = chain("p_") + chain("d_", conns=[("conn_a", LATER_BUILD)])
+        cols = "* exclude (trigger_settings)" if name == "automations" else "*"
+        p_, d_ = f"select {cols} from p_{name}", f"select {cols} from d_{name}"
+        q[f"dq_reconcile_{name}"] = with_clause(rec) + f"""
+select *, 'from prod' as source from ({p_} except {d_})
+union all
+select *, 'from dev' as source from ({d_} except {p_})"""
+    return q
+
+
+def _freshness(conns: list[tuple[str, Account]]) -> str:
+    """An aggregate without grouping has a row for an empty table too."""
+    fresh = [f"select '{table}' as source_table, '{c}' as source_relation, max({SYNCED}) as max_loaded_at from f{i}_fx_{table}"
+             for i, (c, _) in enumerate(conns) for table in DECLARED]
+    return with_clause([fixture_views(f"f{i}_", account) for i, (_, account) in enumerate(conns)]
+                       + ["fresh as (" + "\nunion all\n".join(fresh) + ")"]) + """
 select *, case when max_loaded_at is null then 'error'
                when max_loaded_at >= timestamp '2024-02-03 00:00:00' - interval 72 hour then 'pass'
                when max_loaded_at >= timestamp '2024-02-03 00:00:00' - interval 168 hour then 'warn'
                else 'error' end as status
 from fresh"""
-    rec = chain("p_") + chain("d_", conns=[("conn_a", True)])
-    q["dq_reconcile_campaigns"] = with_clause(rec) + """
-select *, 'from prod' as source from (select * from p_campaigns except select * from d_campaigns)
-union all
-select *, 'from dev' as source from (select * from d_campaigns except select * from p_campaigns)"""
-    return q

@@ -8,13 +8,13 @@ from inboxlens.functions import boundary_diff, surrogate_key
 
 def test_boundary_diff_counts_crossed_boundaries(spark):
     df = spark.createDataFrame(
-        [(datetime(2019, 11, 27, 16, 59, 27), datetime(2019, 11, 27, 17, 44, 9)),
-         (datetime(2019, 11, 27, 16, 59, 27), datetime(2019, 12, 4, 3, 9, 4)),
-         (datetime(2019, 11, 27, 16, 59, 27), datetime(2019, 11, 27, 16, 58, 0)),
+        [(datetime(2022, 3, 4, 22, 58, 40), datetime(2022, 3, 4, 23, 58, 59)),
+         (datetime(2022, 3, 4, 22, 58, 40), datetime(2022, 3, 8, 5, 30, 15)),
+         (datetime(2022, 3, 4, 22, 58, 40), datetime(2022, 3, 4, 22, 57, 0)),
          (datetime(2020, 1, 1, 0, 0, 0), None)],
         "a timestamp_ntz, b timestamp_ntz")
     out = df.select(*[boundary_diff(u, "a", "b").alias(u) for u in ("minute", "hour", "day")]).collect()
-    assert [tuple(r) for r in out] == [(45, 1, 0), (9250, 155, 7), (-1, 0, 0), (None, None, None)]
+    assert [tuple(r) for r in out] == [(60, 1, 0), (4712, 79, 4), (-1, 0, 0), (None, None, None)]
 
 
 def test_boundary_diff_ignores_session_time_zone(spark):
@@ -46,7 +46,7 @@ def test_surrogate_key_timestamp_text(spark):
 
 
 def test_boundary_diff_column_and_name_forms_agree(spark):
-    df = spark.createDataFrame([(datetime(2019, 11, 27, 23, 59, 59), datetime(2019, 11, 28, 0, 0, 1))],
+    df = spark.createDataFrame([(datetime(2022, 3, 4, 23, 59, 59), datetime(2022, 3, 5, 0, 0, 1))],
                                "a timestamp_ntz, b timestamp_ntz")
     for u in ("minute", "hour", "day"):
         by_name, by_col = df.select(boundary_diff(u, "a", "b"),

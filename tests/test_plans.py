@@ -41,11 +41,22 @@ def test_two_phase_rollup_has_no_expand_and_spreads_hot_keys(static, tmp_path):
     m = build(stored(static, tmp_path))
     p = plan(m["int_campaign_activities_by_list"])
     assert "Expand" not in p
-    assert "list_id, member_id" in exchanges(p)
+    assert any({"list_id", "member_id"} == set(e.split(", ")) for e in exchanges(p))
     native = build(stored(static, tmp_path / "n"), Options(distinct_strategy="native"))
     assert "Expand" in plan(native["int_campaign_activities_by_list"])
 
 
+def test_lists_read_the_rollup_by_member(spark, tmp_path):
+    """With hubs stored, lists do not read the per-send table at all."""
+    from inboxlens.plans.build import HUBS
+    hubs = {n: df for n, df in build(stored(spark, tmp_path / "raw")).items() if n in HUBS}
+    for n, df in hubs.items():
+        df.write.parquet(str(tmp_path / n))
+    m = build(stored(spark, tmp_path / "raw2"), materialize=lambda n, _: spark.read.parquet(str(tmp_path / n)))
+    p = plan(m["lists"])
+    assert "int_campaign_activities_by_member" in p and "campaign_recipients]" not in p
+
+
 def test_scans_read_only_needed_columns(static, tmp_path):
     m = build(stored(static, tmp_path))
     p = plan(m["int_campaign_activities_by_campaign"])
@@ -61,15 +72,51 @@ def test_single_connection_keeps_constants_out_of_shuffles(static, tmp_path):
     assert any("source_relation" in e for e in exchanges(plan(two["members"])))
 
 
+def test_events_are_shuffled_once_per_send(static, tmp_path):
+    p = plan(build(stored(static, tmp_path))["int_campaign_activities_by_email"])
+    assert [e for e in exchanges(p) if "email_id" in e] == ["email_id"]
+
+
 def test_sends_are_shuffled_once_for_both_per_send_joins(static, tmp_path):
+    static.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")  # Spark's default
     m = build(stored(static, tmp_path))
-    ex = exchanges(plan(m["campaign_recipients"]))
-    keysets = [set(e.split(", ")) for e in ex]
-    # sends are shuffled on email_id for the event join ...
-    assert {"email_id"} in keysets
-    # ... and never again on the unsubscribe join's own keys: only the small
-    # deduplicated unsubscribe side (keyed by _email_id) is moved
-    assert not [k for k in keysets if {"member_id", "list_id", "campaign_id", "email_id"} <= k]
+    df = m["campaign_recipients"]
+    tree = df._jdf.queryExecution().executedPlan()
+    # exchanges on the path from the result down to the scan of the sends
+    found, node = [], tree
+    while node.children().nonEmpty():
+        text = re.sub(r"#\d+L?", "", node.simpleString(200))
+        found += re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)
+        node = node.children().head()
+    assert found == ["email_id, _salt", "campaign_id"]
+
+
+def test_sends_without_a_member_are_dealt_out(spark, tmp_path):
+    """They share one key per campaign; the salt spreads them, and the few event
+    rows that match them are repeated."""
+    t = seed_tables(spark)
+    extra = spark.range(0, 4000, 1, 16).selectExpr("'camp-rye' as campaign_id", "cast(null as string) as member_id", "'list-bread' as list_id")
+    opened = spark.sql("select 'open' as action, 'camp-rye' as campaign_id, cast(null as string) as member_id, "
+                       "timestamp_ntz'2022-03-05 00:00:00' as timestamp, 'list-bread' as list_id, cast(null as string) as url")
+    t["campaign_recipient"] = t["campaign_recipient"].union(extra)
+    t["campaign_recipient_activity"] = t["campaign_recipient_activity"].union(opened)
+    for name, df in t.items():
+        df.write.parquet(str(tmp_path / name))
+    conf = {"spark.sql.files.maxPartitionBytes": "4KB", "spark.sql.files.openCostInBytes": "4KB"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = build(read_sources(spark, [Connection.from_directory("a", str(tmp_path))]))["campaign_recipients"]
+        rows = out.where("member_id is null").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 4000 and {(r.opens, r.was_opened, r.was_unsubscribed) for r in rows} == {(1, True, False)}
+    from inboxlens.plans.campaign import SALTS
+    raw = spark.read.parquet(str(tmp_path / "campaign_recipient"))
+    salts = raw.where("member_id is null").selectExpr(f"spark_partition_id() % {SALTS} as s").distinct().count()
+    assert salts >= 2
 
 
 def test_hot_campaign_is_split_by_aqe_skew_join(spark, tmp_path):
@@ -99,7 +146,7 @@ def test_hot_campaign_is_split_by_aqe_skew_join(spark, tmp_path):
             spark.conf.set(k, v)
         df = build(read_sources(spark, [Connection.from_directory("a", str(tmp_path))]))[
             "campaign_activities"]
-        assert len(df.collect()) == 17 * 500
+        assert len(df.collect()) == 10 * 500
         p = df._jdf.queryExecution().executedPlan().toString()
         assert "isFinalPlan=true" in p and "SortMergeJoin(skew=true)" in p
     finally:

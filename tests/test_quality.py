@@ -1,16 +1,16 @@
-from datetime import datetime as T
+from datetime import datetime as T, timedelta, timezone
 
 from helpers import build_from
-from seed_rows import L1, M, seed_tables
+from seed_rows import CAMPAIGN, L1, seed_tables
 
-from inboxlens import Connection, read_sources
+from inboxlens import ABSENT, Connection, read_sources
 from inboxlens.operators import quality
 
 
 def test_not_null_and_unique(spark):
     extra = {"campaign": [(None, L1, None, None, None, None)],
              "campaign_recipient_activity": [
-                 ("click", "c2b4c1c0d9", M["37cc"], T(2019, 12, 2, 14, 38, 57), L1, "https://other")]}
+                 ("click", CAMPAIGN, "bo", T(2022, 3, 4, 23, 1, 0), L1, "https://other")]}
     out = build_from(spark, seed_tables(spark, extra))
     res = {(r.model, r.test, r.column_name): r.failures for r in quality.run_tests(out).collect()}
     assert res[("stg_campaigns", "not_null", "campaign_id")] == 1
@@ -26,22 +26,22 @@ def test_freshness_status(spark):
     t["member"] = t["member"].selectExpr("*", "timestamp_signup as _synced")
     raw = read_sources(spark, [Connection("a", t)])
     res = {r.source_table: (r.max_loaded_at, r.status)
-           for r in quality.freshness(raw, "_synced", T(2020, 4, 23)).collect()}
-    assert res["member"] == (T(2020, 4, 21, 14, 52, 25), "pass")
+           for r in quality.freshness(raw, "_synced", T(2022, 4, 2)).collect()}
+    assert res["member"] == (T(2022, 3, 31, 6, 0), "pass")
     assert res["campaign"] == (None, "error")
     late = {r.source_table: r.status
-            for r in quality.freshness(raw, "_synced", T(2020, 4, 26)).collect()}
+            for r in quality.freshness(raw, "_synced", T(2022, 4, 5)).collect()}
     assert late["member"] == "warn"
-    assert {r.status for r in quality.freshness(raw, "_synced", T(2020, 5, 1)).collect()} == {"error"}
+    assert {r.status for r in quality.freshness(raw, "_synced", T(2022, 4, 9)).collect()} == {"error"}
 
 
 def test_reconcile(spark):
     a = build_from(spark, seed_tables(spark))["campaigns"]
     assert quality.reconcile(a, a).count() == 0
-    extra = {"campaign_recipient_activity": [("open", "c2b4c1c0d9", M["1d34"], T(2019, 11, 28), L1, None)]}
+    extra = {"campaign_recipient_activity": [("open", CAMPAIGN, "fay", T(2022, 3, 7), L1, None)]}
     b = build_from(spark, seed_tables(spark, extra))["campaigns"]
     r = quality.reconcile(a, b).collect()
-    assert sorted((x.source, x.opens) for x in r) == [("from dev", 13), ("from prod", 12)]
+    assert sorted((x.source, x.opens) for x in r) == [("from dev", 8), ("from prod", 7)]
     assert quality.reconcile(a, b, exclude=["opens", "unique_opens"]).count() == 0
 
 
@@ -55,12 +55,51 @@ def test_freshness_ignores_session_time_zone(spark):
         for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
             spark.conf.set("spark.sql.session.timeZone", tz)
             got.append({r.source_table: r.status for r in
-                        quality.freshness(raw, "_synced", T(2020, 4, 24, 14, 52, 25)).collect()}["member"])
+                        quality.freshness(raw, "_synced", T(2022, 4, 3, 6, 0)).collect()}["member"])
         assert got == ["pass"] * 3
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_freshness_of_zoned_times_and_empty_tables(spark):
+    t = seed_tables(spark)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            t["member"] = spark.sql("select timestamp'2022-03-31 06:00:00 UTC' as _synced, 'x' as id")
+            t["list"] = t["list"].limit(0)
+            raw = read_sources(spark, [Connection("a", t), Connection("B", {**t, "segment": ABSENT})])
+            as_of = T(2022, 4, 3, 8, 0, tzinfo=timezone(timedelta(hours=2)))
+            rows = quality.freshness(raw, "_synced", as_of).collect()
+            got.append({(r.source_table, r.source_relation): r.status for r in rows})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0] == got[1] == got[2]
+    assert got[0]["member", "a"] == got[0]["member", "b"] == "pass"  # exactly 72 hours
+    assert got[0]["list", "a"] == "error" and ("segment", "b") not in got[0]
+    assert len(got[0]) == 23
+
+
+def test_freshness_of_partitioned_accounts(spark, tmp_path):
+    from inboxlens.sources import read_partitioned_sources
+    for name, df in seed_tables(spark).items():
+        both = df.selectExpr("*", "'x' as source_relation")
+        if name != "unsubscribe":
+            both = both.union(df.selectExpr("*", "'y' as source_relation"))
+        both.write.partitionBy("source_relation").parquet(str(tmp_path / name))
+    raw = read_partitioned_sources(spark, str(tmp_path))
+    got = {(r.source_table, r.source_relation): r.status for r in quality.freshness(raw, "_synced").collect()}
+    assert len(got) == 24 and got["unsubscribe", "y"] == "error"
+
+
+def test_reconcile_shuffles_each_side_once(spark):
+    a = build_from(spark, seed_tables(spark))["stg_members"].repartition(3)
+    plan = quality.reconcile(a, a)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # behind the union of both
+
+
 def test_unique_is_per_connection(spark):
     from inboxlens import build
     t = seed_tables(spark)
