@@ -1,10 +1,11 @@
 """Connected components of links, distributed union-find.
 
-First each task unites the links it holds and keeps a star per local component.
-Then large-star and small-star steps alternate until nothing changes: every
-node is linked to the smallest node it can reach. Both are joins of the links
-with each node's smallest neighbour, so a node with very many links is one
-skewed key, which Spark splits. Each round is stored in the shared folder.
+The links are dealt out over tasks by their number, and each task unites what it
+holds: a star per local component. A node with several stars then hands its
+smallest root to the others, which gives links among roots only; those, far
+fewer, are united the same way, and their result is applied to all nodes. A
+node occurs once per task at most after the first step, so a node with very many
+links is no hot key. Each step is stored in the shared folder.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import batch, stored
 
@@ -41,25 +43,6 @@ def _unite(batches):
             yield batch(_LINKS, *zip(*part))
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    if large:
-        links = links.union(links.select("b", "a"))
-    least = links.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = links.join(least, "a")
-    if large:
-        out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
-    return out.where("a > b").distinct()
-
-
-def _is_stars(links: DataFrame) -> bool:
-    """Each node has one link, to a node that has none: nothing is left to unite."""
-    ends = links.selectExpr("a as x", "1 as up", "0 as down").union(links.selectExpr("b", "0", "1"))
-    per = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return per.where("up > 1 or up = 1 and down = 1").isEmpty()
-
-
 def components(links: DataFrame) -> DataFrame:
     """node and comp, the smallest node it is linked with over any number of
     links (a, b); the smallest nodes themselves are left out, as are nodes
@@ -67,7 +50,12 @@ def components(links: DataFrame) -> DataFrame:
     twice: pass a stored table."""
     links = links.select("a", "b")
     tasks = max(1, -(-links.count() // LINKS_PER_TASK))
-    links = stored(links.repartition(tasks, F.least("a", "b")).mapInArrow(_unite, "a long, b long"), "links")
-    while not _is_stars(links):
-        links = stored(_star(_star(links, True), False), "links")
-    return links.toDF("node", "comp")
+    stars = links.repartition(tasks).mapInArrow(_unite, "a long, b long")
+    if tasks == 1:
+        return stored(stars, "stars").toDF("node", "comp")
+    stars = stored(stars.withColumn("m", F.min("b").over(Window.partitionBy("a"))), "stars")
+    roots = stars.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    above = components(stored(roots, "roots"))
+    parents = stars.selectExpr("stack(2, a, m, b, m) as (node, m)").distinct()
+    joined = parents.join(above.withColumnRenamed("node", "m"), "m", "left").select("node", F.coalesce("comp", "m").alias("comp"))
+    return stored(joined.where("node <> comp").union(above).distinct(), "components")

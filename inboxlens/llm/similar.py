@@ -14,7 +14,7 @@ that connect the items, not all pairs:
    with a candidate left fetch their texts, and the comparison on full sets
    happens where the rows meet, so no pair becomes a row unless it is a link.
    A pair that meets under several keys is compared under the first one only.
-3. A list with many members outside its largest component is first posted
+3. A list with very many members outside its largest component is first posted
    again under longer keys, the key and one more coordinate. A pair with
    ``matches`` agreements still meets, and a passage that unlike texts share
    falls apart, so nobody is compared with a whole hot list.
@@ -36,8 +36,10 @@ from .components import components
 from .shared import batch, mix, stored, texts_of
 
 CHUNK = 4096  # members of a list compared in one go
-OUTSIDE = 1024  # members outside the largest component, above which a list is posted anew
+BLOCK = 1024  # and of those outside the largest component
+OUTSIDE = 16 * BLOCK  # of these a list may have, or else it is posted anew
 DEPTH = 3  # how often
+BITMAP_BYTES = 64 << 20
 
 _PAIRS = pa.schema([("p", pa.int64()), ("q", pa.int64())])
 _POSTS = pa.schema([("key", pa.int64()), ("base", pa.int32()), ("last", pa.int32()), ("ext", pa.int32()), ("id", pa.int64())])
@@ -184,9 +186,29 @@ def _wanted(scheme: Scheme):
     return run
 
 
+def _shared_counts(sets: list[np.ndarray], others: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets[i] and others[j]. Similar sets have a
+    small vocabulary in common: then bitmaps over it are compared."""
+    used = [np.unique(x) for x in (i, j)]
+    members = [sets[x] for x in used[0]] + [others[x] for x in used[1]]
+    _, at, held = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
+    both = held > 1  # what one set alone has is in no intersection
+    width = max(1, -(-int(both.sum()) // 64))
+    if len(members) * width * 8 > BITMAP_BYTES:
+        return np.array([len(np.intersect1d(sets[a], others[b], assume_unique=True)) for a, b in zip(i, j)], dtype=np.int64)
+    row = np.repeat(np.arange(len(members)), [len(m) for m in members])[both[at]]
+    at = (np.cumsum(both) - 1)[at[both[at]]]
+    packed = np.zeros((len(members), width), dtype=np.uint64)
+    np.bitwise_or.at(packed, (row, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    a, b = np.searchsorted(used[0], i), len(used[0]) + np.searchsorted(used[1], j)
+    step = max(1, (1 << 20) // width)
+    return np.concatenate([np.bitwise_count(packed[a[k:k + step]] & packed[b[k:k + step]]).sum(axis=1, dtype=np.int64)
+                           for k in range(0, len(a), step)])
+
+
 def _compare(scheme: Scheme):
-    """Links between the rows that meet, by their full sets; nothing is compared
-    that links found here have already brought together."""
+    """Links between the rows that meet, by their full sets: those that bring
+    components together which earlier ones here have not."""
     def columns(b):
         return (*(b.column(i).to_numpy() for i in (7, 8, 9)), _signatures(b.column(10), scheme), scheme.sets(texts_of(b.column(11))))
 
@@ -200,13 +222,14 @@ def _compare(scheme: Scheme):
 
         for new, kind, out, rows in _lists(batches, columns):
             i, j, _ = _candidates(scheme, rows[:4], out[:4], *kind)
-            for a, b in zip(i.tolist(), j.tolist()):
+            if not len(i):
+                continue
+            both = _shared_counts(out[4], rows[4], i, j)
+            size = np.array([len(x) for x in out[4]])[i] + np.array([len(x) for x in rows[4]])[j]
+            similar = 100 * both >= scheme.percent * (size - both)
+            for a, b in zip(i[similar].tolist(), j[similar].tolist()):
                 x, y = root(out[1][a]), root(rows[1][b])
-                if x == y:
-                    continue
-                s, t = out[4][a], rows[4][b]
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                if 100 * both >= scheme.percent * (len(s) + len(t) - both):
+                if x != y:
                     parent[max(x, y)] = min(x, y)
                     links.append((out[0][a], rows[0][b]))
             if len(links) > 1 << 14:
@@ -274,7 +297,7 @@ def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
 def _links_across(rows: DataFrame, items: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """Links (p, q) between the components of open lists."""
     rows = rows.join(items, "id")
-    chunks, blocks = F.ceil(F.col("n") / CHUNK).cast("int"), F.ceil(F.col("n_out") / OUTSIDE).cast("int")
+    chunks, blocks = F.ceil(F.col("n") / CHUNK).cast("int"), F.ceil(F.col("n_out") / BLOCK).cast("int")
     own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     place, tail = ["key", "chunk", "block", "flag"], ["base", "last", "ext", "id", "comp", "size", "sig"]

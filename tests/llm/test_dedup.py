@@ -94,6 +94,7 @@ def test_near_lists_posted_anew(spark, monkeypatch):
     """With tiny limits the longer keys and the chunks are used; same groups."""
     from inboxlens.llm import similar
     monkeypatch.setattr(similar, "OUTSIDE", 3)
+    monkeypatch.setattr(similar, "BLOCK", 2)
     monkeypatch.setattr(similar, "CHUNK", 8)
     test_near_many_variants_and_a_common_passage(spark)
 
