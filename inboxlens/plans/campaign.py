@@ -92,9 +92,10 @@ def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
         unsub = stg_unsubscribes.dropna(subset=list(parts)).select(
             SR, surrogate_key(SR, "campaign_id", "member_id").alias("_email_id"),
             F.struct(*parts).alias("_one"))
-        carried = [F.any_value(c).alias(c) for c in scope.carry]
+        # _zero as an aggregate: a literal would be folded out of the join's keys
         unsub = unsub.groupBy(*scope.keys("_email_id")).agg(
-            F.collect_set("_one").alias("_who"), *carried).withColumn("_zero", F.lit(0))
+            F.collect_set("_one").alias("_who"), F.min(F.lit(0)).alias("_zero"),
+            *[F.any_value(c).alias(c) for c in scope.carry])
         df = attach(df, unsub, [("email_id", "_email_id"), ("_salt", "_zero")],
                     [("_who", "_who")], by_source=bs)
         df = df.withColumn("was_unsubscribed", F.coalesce(
