@@ -4,7 +4,7 @@ Lines are compared in lower case (A-Z) with white space collapsed. Equal lines
 are one item. The signature hashes each character shingle once: the shingle's
 bin is a coordinate, the bin's least value its MinHash, and empty bins borrow
 from the next full one. Bands of three coordinates make the keys; at a
-similarity of 0.85 a pair shares none of nine bands with a probability of 2e-4.
+similarity of 0.85 a pair shares none of eight bands with a probability of 5e-4.
 Candidates are confirmed on exact shingle sets, and of each component of lines
 the first one stays.
 """
@@ -22,9 +22,10 @@ from .shared import batch, mix, ragged, runs, stored, texts_of
 from .similar import Scheme, linked
 
 SHINGLE = 8  # characters
-BANDS = 9
+BANDS = 8
 BAND = 3
-MATCHES = 14  # of 27; fewer at similarity 0.85 have a probability of 3e-5
+MATCHES = 12  # of 24; fewer at similarity 0.85 have a probability of 1e-5
+SIGNED_BYTES = 1 << 17  # of lines signed at a time: work arrays stay in the cache
 PERCENT = 85
 
 
@@ -53,16 +54,17 @@ def char_shingles(lines: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.
         power, have = power * power % 2**64, 2 * have
     counts = np.where(lengths > 0, np.maximum(lengths - n + 1, 1), 0)
     first = np.cumsum(lengths + pad) - (lengths + pad)
-    return mix(h[ragged(first, counts)]), counts
+    return h[ragged(first, counts)], counts
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
     """One-permutation MinHash of each line that has shingles: k 16-bit values."""
     n = len(counts)
+    hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     least = np.full(n * k, 0xFFFFFFFF, dtype=np.uint32)
     bins = (((hashes >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
     at = np.repeat(np.arange(n) * k, counts) + bins
-    np.minimum.at(least, at, (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    np.minimum.at(least, at, (hashes >> np.uint64(16)).astype(np.uint32))
     least = least.reshape(n, k)
     full = np.zeros(n * k, dtype=bool)
     full[at] = True
@@ -89,10 +91,9 @@ def _key(line: bytes) -> bytes:
     return hashlib.blake2b(line, digest_size=16).digest()
 
 
-def _split(with_text: bool, k: int):
-    """Each line with words: where it stands, its key, and signature or text."""
-    extra = ("line", pa.binary()) if with_text else ("sig", pa.binary())
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int32()), ("key", pa.binary()), extra])
+def _split(k: int):
+    """Each line with words: where it stands, its key and its signature."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int32()), ("key", pa.binary()), ("sig", pa.binary())])
 
     def run(batches):
         for b in batches:
@@ -104,19 +105,31 @@ def _split(with_text: bool, k: int):
                             column.append(value)
                         size += len(line)
                 if size > 1 << 21:
-                    yield finished(out)
+                    yield signed(out)
                     out, size = ([], [], [], [], []), 0
             if out[0]:
-                yield finished(out)
+                yield signed(out)
 
-    def finished(out):
-        if with_text:
-            return batch(schema, *out)
-        return batch(schema, *out[:4], [s.tobytes() for s in signatures(*char_shingles(out[4]), k)])
+    def signed(out):
+        lines = out[4]
+        sigs = np.concatenate([signatures(*char_shingles(lines[lo:hi]), k) for lo, hi in runs(lines, SIGNED_BYTES)])
+        return batch(schema, *out[:4], [s.tobytes() for s in sigs])
 
     return run
 
 
+def _picked(batches):
+    """The lines of each text whose numbers and ids are listed."""
+    schema = pa.schema([("id", pa.int64()), ("text", pa.binary())])
+    for b in batches:
+        ids, lines = [], []
+        for text, wanted in zip(texts_of(b.column(0)), b.column(1).to_pylist()):
+            found = text.split(b"\n")
+            ids += [w["id"] for w in wanted]
+            lines += [plain_line(found[w["number"]]) for w in wanted]
+        yield batch(schema, ids, lines)
+
+
 def kept_lines(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, band: int = BAND, matches: int = MATCHES) -> DataFrame:
     """The line of each component that stays: row, doc_id, number (from 0).
 
@@ -125,15 +138,15 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, band
     stays, null doc_ids last."""
     k = bands * band
     plain = docs.select("row", F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
-    lines = plain.mapInArrow(_split(False, k), "row long, doc_id long, number int, key binary, sig binary")
+    lines = plain.mapInArrow(_split(k), "row long, doc_id long, number int, key binary, sig binary")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number")
     items = stored(lines.groupBy("key").agg(F.min(place).alias("place"), F.first("sig").alias("sig"))
                    .withColumn("id", F.monotonically_increasing_id()).withColumn("size", F.lit(1)), "lines")
 
     def texts(ids: DataFrame) -> DataFrame:
-        wanted = items.join(ids, "id").select("id", "key", "place.row", "place.number")
-        found = plain.mapInArrow(_split(True, k), "row long, doc_id long, number int, key binary, line binary")
-        return found.join(wanted, ["key", "row", "number"]).select("id", F.col("line").alias("text"))
+        wanted = (items.join(ids, "id").groupBy("place.row")
+                  .agg(F.collect_list(F.struct("place.number", "id")).alias("wanted")))  # at most a text's lines
+        return plain.join(wanted, "row").select("text", "wanted").mapInArrow(_picked, "id long, text binary")
 
     bands_of = tuple(tuple(range(i * band, (i + 1) * band)) for i in range(bands))
     comps = linked(items, texts, Scheme(k, matches, percent, np.uint16, bands_of, shingle_sets))
