@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inboxlens.llm.bpe import detokenize, tokenize
+from inboxlens.llm.bpe import tokenize
 from inboxlens.llm.line_dedup import dedup_lines
 from inboxlens.llm.mixing import mixed_documents
 from inboxlens.llm.near_dedup import one_per_group
@@ -52,9 +52,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = detokenize(tokenize(docs, path, pattern), path, pattern)
-    same = F.col("bytes") == F.coalesce("text", F.lit("")).cast("binary")
-    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("exact"))
+    ids = tokenize(docs.select("doc_id", "lang", "source", "text"), path, pattern, exact="exact", keep_text=False)
+    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "exact")
 
 
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("MinHash near-dedup", near_copies),

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import batch, extended
+from .shared import batch, extended, small
 
 PIECE_CHARS = 1 << 15
 # The white space of the pattern (Unicode White_Space), and Python's own extras
@@ -68,32 +68,32 @@ def _text(value) -> str:
     return "" if value is None else value
 
 
-def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add column ``ids`` (array of int) with the token ids of ``text``.
+def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
+             exact: str | None = None, keep_text: bool = True) -> DataFrame:
+    """Add column ``ids`` (array of int) with the token ids of ``text``, and, if
+    named, column ``exact``: the ids decode to the text's bytes again.
 
-    A null or empty text has no ids. All other columns are kept; one named
-    ``ids`` is replaced. The rank file at ``path`` must exist on each executor."""
-    names = [c for c in docs.columns if c != ids]
+    A null or empty text has no ids. All other columns are kept (``text`` unless
+    ``keep_text`` is off); those named like the new ones are replaced. The rank
+    file at ``path`` must exist on each executor."""
+    names = [c for c in docs.columns if c not in (ids, exact)]
     out = docs.select(*[F.col(f"`{c}`") for c in names])
+    at = names.index(text)
+    kept = [c for c in names if keep_text or c != text]
 
     def run(batches):
-        for b in batches:
-            values = b.column(names.index(text)).to_pylist()
-            lo = 0
-            while lo < b.num_rows:  # bounded output batches
-                hi, size = lo, 0
-                while hi < b.num_rows and (hi == lo or size < 1 << 22):
-                    size += len(_text(values[hi]))
-                    hi += 1
-                found = [encode(_text(v), path, pattern) for v in values[lo:hi]]
-                flat = np.concatenate([np.empty(0, "<u4"), *found]).astype(np.int32)
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.slice(lo, hi - lo).columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=[*names, ids])
-                lo = hi
-
-    return out.mapInArrow(run, extended(out, **{ids: "array<int>"}))
+        for b in small(batches, 1 << 20):
+            texts = [_text(v) for v in b.column(at).to_pylist()]
+            found = [encode(t, path, pattern) for t in texts]
+            flat = np.concatenate([np.empty(0, "<u4"), *found]).astype(np.int32)
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+            columns = [b.column(names.index(c)) for c in kept] + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            if exact:
+                columns.append(pa.array([decode(x, path, pattern) == t.encode() for x, t in zip(found, texts)]))
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, *([exact] if exact else [])])
+
+    return out.mapInArrow(run, extended(out.select(*[F.col(f"`{c}`") for c in kept]),
+                                        **{ids: "array<int>"}, **({exact: "boolean"} if exact else {})))
 
 
 def decode(ids: np.ndarray, path: str, pattern: str) -> bytes:
@@ -106,12 +106,9 @@ def detokenize(tokens: DataFrame, path: str, pattern: str, ids: str = "ids", out
     names = [c for c in tokens.columns if c != out]
 
     def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                values = part.column(names.index(ids)).to_pylist()
-                found = [encoding(path, pattern).decode_bytes(v or []) for v in values]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*names, out])
+        for b in small(batches, 1 << 20):
+            found = [encoding(path, pattern).decode_bytes(v or []) for v in b.column(names.index(ids)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())], names=[*names, out])
 
     df = tokens.select(*[F.col(f"`{c}`") for c in names])
     return df.mapInArrow(run, extended(df, **{out: "binary"}))
@@ -129,7 +126,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     counts as empty. Other columns are ignored."""
 
     def run(batches):
-        for b in batches:
+        for b in small(batches, 1 << 20):
             n, ids_sha, decoded_sha = [], [], []
             for value in b.column(1).to_pylist():
                 ids = encode(_text(value), path, pattern)

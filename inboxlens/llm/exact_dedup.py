@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import WHITE_SPACE, batch, stored, texts_of
+from .shared import WHITE_SPACE, batch, small, stored, texts_of
 
 BLOCK_BYTES = 4096
 BATCH_BYTES = 8 << 20
@@ -46,7 +46,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 def _cut(block_bytes: int):
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             out, size = [], 0
             for row, doc_id, text in zip(b["row"].to_pylist(), b["doc_id"].to_pylist(), texts_of(b["text"])):
                 bare = text.translate(None, WHITE_SPACE)
@@ -71,7 +71,7 @@ def _name(batches):
     once each (first row, last row)."""
     part, local, last_key, last_hash = TaskContext.get().partitionId(), -1, None, None
     held = None  # one row is held back: the last one of all keeps its key
-    for b in batches:
+    for b in small(batches):
         keys = b["key"].to_pylist()
         names, edges = [], []
         for k, *h in zip(keys, b["h1"].to_pylist(), b["h2"].to_pylist()):

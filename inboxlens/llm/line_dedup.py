@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch, mix, ragged, runs, stored, texts_of
+from .shared import batch, mix, ragged, runs, small, stored, texts_of
 from .similar import Scheme, linked
 
 SHINGLE = 8  # characters
@@ -96,7 +96,7 @@ def _split(k: int):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("number", pa.int32()), ("key", pa.binary()), ("sig", pa.binary())])
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             out, size = ([], [], [], [], []), 0
             for row, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2))):
                 for number, line in enumerate(map(plain_line, text.split(b"\n"))):
@@ -121,7 +121,7 @@ def _split(k: int):
 def _picked(batches):
     """The lines of each text whose numbers and ids are listed."""
     schema = pa.schema([("id", pa.int64()), ("text", pa.binary())])
-    for b in batches:
+    for b in small(batches):
         ids, lines = [], []
         for text, wanted in zip(texts_of(b.column(0)), b.column(1).to_pylist()):
             found = text.split(b"\n")
@@ -178,7 +178,7 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     at = names.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             out = []
             for text, kept in zip(b.column(at).to_pylist(), b.column(len(names)).to_pylist()):
                 if text is not None:

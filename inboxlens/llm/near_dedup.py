@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch, mix, runs, stored, texts_of, window_hashes, word_hashes
+from .shared import batch, mix, runs, small, stored, texts_of, window_hashes, word_hashes
 from .similar import Scheme, linked
 
 SHINGLE = 5
@@ -66,7 +66,7 @@ def _key(data: bytes) -> bytes:
 def _mark(batches):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                         ("sig", pa.binary()), ("text_key", pa.binary())])
-    for b in batches:
+    for b in small(batches):
         values = texts_of(b.column(2))
         for lo, hi in runs(values):
             sets = word_shingles(values[lo:hi])
@@ -81,7 +81,7 @@ def _mark(batches):
 
 def _keyed(batches):
     schema = pa.schema([("text_key", pa.binary()), ("text", pa.binary())])
-    for b in batches:
+    for b in small(batches):
         values = texts_of(b.column(0))
         yield batch(schema, map(_key, values), values)
 

@@ -20,7 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import extended, stored, texts_of
+from .shared import extended, small, stored, texts_of
 
 SAMPLE = 20_000  # labelled rows at most that the model is fitted on
 STATISTICS = ("log_words", "word_length", "upper", "digits", "marks", "symbols", "pipes", "other_bytes", "distinct",
@@ -51,7 +51,7 @@ def with_statistics(docs: DataFrame, prefix: str = "stat_") -> DataFrame:
     at = names.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             found = [text_statistics(t) for t in texts_of(b.column(at))]
             columns = [pa.array([x[i] for x in found], pa.float64()) for i in range(len(stats))]
             yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=[*names, *stats])

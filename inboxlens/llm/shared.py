@@ -62,6 +62,21 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def small(batches: Iterable[pa.RecordBatch], budget: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``budget`` bytes (or one row), so that what
+    is made of them in Python stays small."""
+    todo = []
+    for b in batches:
+        todo.append(b)
+        while todo:
+            part = todo.pop()
+            if part.nbytes > budget and part.num_rows > 1:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+
+
 def runs(values: list[bytes], budget: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Split values into index ranges of about ``budget`` bytes."""
     lo = size = 0

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import batch, mix, stored, texts_of
+from .shared import batch, mix, small, stored, texts_of
 
 CHUNK = 4096  # members of a list compared in one go
 BLOCK = 1024  # and of those outside the largest component
@@ -152,7 +152,7 @@ def _lists(batches, columns: Callable[[pa.RecordBatch], tuple]):
     """Sorted rows (key, chunk, block, flag, base, last, ext, ...) as pairs of the
     members outside the largest component (flag 0) and a run of members."""
     at, out = None, None
-    for b in batches:
+    for b in small(batches):
         if not b.num_rows:
             continue
         key, chunk, block, flag, base, last, ext = (b.column(i).to_numpy() for i in range(7))
@@ -244,7 +244,7 @@ def _confirm(scheme: Scheme):
     """Sorted rows: a pivot's text (flag 0), then the texts to compare it with."""
     def run(batches):
         pivot = None
-        for b in batches:
+        for b in small(batches):
             sets = scheme.sets(texts_of(b.column(4)))
             out = []
             for p, flag, q, s in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), sets):

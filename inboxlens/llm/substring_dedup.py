@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch, extended, mix, ragged, runs, texts_of, window_hashes, word_hashes
+from .shared import batch, extended, mix, ragged, runs, small, texts_of, window_hashes, word_hashes
 
 WINDOW = 35
 GRAM = 16
@@ -101,7 +101,7 @@ def repeated_sketch(texts: DataFrame, window: int, gram: int, max_cells: int = M
 
     def run(batches):
         held, n = [], 0
-        for b in batches:
+        for b in small(batches):
             values = texts_of(b.column(0))
             for lo, hi in runs(values):
                 _, _, counts, (words,) = word_hashes(values[lo:hi])
@@ -163,7 +163,7 @@ def mark_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_ce
                       ("place", pa.int32())])
 
     def emit(batches):
-        for b in batches:
+        for b in small(batches):
             values = texts_of(b.column(0))
             for lo, hi in runs(values):
                 _, _, counts, (words,) = word_hashes(values[lo:hi])
@@ -191,7 +191,7 @@ def mark_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_ce
               .select(*[F.col(f"`{c}`") for c in names], data.alias("__data"), "__once"))
 
     def finish(batches):
-        for b in batches:
+        for b in small(batches):
             values, single = texts_of(b.column(len(names))), b.column(len(names) + 1).to_pylist()
             n_words, n_removed, kept = [], [], []
             for lo, hi in runs(values):

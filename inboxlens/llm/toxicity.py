@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch, stored, texts_of
+from .shared import batch, small, stored, texts_of
 
 SAMPLE = 20_000  # labelled rows at most that the model is fitted on
 FEATURES = 2_000  # at most, those that tell toxic from other rows best
@@ -161,7 +161,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("severity", pa.float64()), ("score", pa.float64()), ("grade", pa.int32())])
-        for b in batches:
+        for b in small(batches):
             above = [model.above(words_of(t)) for t in texts_of(b.column(1))]
             single = [[1 - a[0], *(x - y for x, y in zip(a, a[1:])), a[-1]] for a in above]
             yield batch(schema, b.column(0), map(sum, above), [a[0] for a in above], [x.index(max(x)) for x in single])

@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batch, new_folder, stored, texts_of
+from .shared import batch, new_folder, small, stored, texts_of
 
 FILE_BYTES = 256 << 20
 CHUNK = 1 << 20
@@ -121,7 +121,7 @@ def _packed(batches):
     """Digests of each payload, which travels deflated."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("length", pa.int64()), ("sha1", pa.binary()),
                         ("same", pa.binary()), ("packed", pa.binary())])
-    for b in batches:
+    for b in small(batches):
         payloads = texts_of(b.column(2))
         yield batch(schema, b.column(0), b.column(1), map(len, payloads), [hashlib.sha1(p).digest() for p in payloads],
                     [hashlib.sha256(p).digest() for p in payloads], [zlib.compress(p, 1) for p in payloads])
@@ -148,7 +148,7 @@ def write_monolithic(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
     def run(batches):
         out = z = path = None
         n = size = 0
-        for b in batches:
+        for b in small(batches):
             for r in b.to_pylist():
                 if out is None:
                     store, base = _open(folder)

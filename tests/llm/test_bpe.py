@@ -61,4 +61,6 @@ def test_operator(spark, tmp_path):
     back = detokenize(tokenize(docs, PATH, P.PATTERN), PATH, P.PATTERN)
     assert back.columns == [*docs.columns, "ids", "bytes"]
     assert back.where("bytes <> cast(coalesce(text, '') as binary)").count() == 0
+    checked = tokenize(docs, PATH, P.PATTERN, exact="exact", keep_text=False)
+    assert "text" not in checked.columns and checked.where("not exact").count() == 0
     assert round_trip(docs.limit(0), PATH, P.PATTERN).count() == 0

@@ -1,10 +1,11 @@
 import hashlib
-
+import random
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from inboxlens.llm import similar
 from inboxlens.llm.exact_dedup import exact_dedup
 from inboxlens.llm.line_dedup import dedup_lines, kept_lines, line_report, plain_line
 from inboxlens.llm.near_dedup import near_dedup, one_per_group
@@ -70,33 +71,39 @@ def test_near(spark, tmp_path):
     same_rows([(r.doc_id,) for r in stay.collect()], [(x,) for x in least.values()])
 
 
-def test_near_many_variants_and_a_common_passage(spark):
+def variants_and_a_common_passage(variants, others):
     """A large group of near copies, and a passage that unlike documents share."""
-    import random
     rng = random.Random(4)
     base = [f"w{i}" for i in range(150)]
     rows = []
-    for i in range(150):
+    for i in range(variants):
         t = list(base)
         for _ in range(rng.randint(0, 4)):
             t[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
         rows.append((i, " ".join(t), None, None, None))
     passage = " ".join(f"p{i}" for i in range(40))
-    rows += [(1000 + i, passage + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randint(8, 40))), None, None, None)
-             for i in range(120)]
+    return rows + [(1000 + i, passage + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randint(8, 40))), None, None, None)
+                   for i in range(others)]
+
+
+def check_groups(spark, rows):
     _, root = near_groups(rows)
     expected = [(r[0], rows[root[i]][0]) for i, r in enumerate(rows)]
     got = near_dedup(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
     same_rows(got.select("doc_id", "component_id").collect(), expected)
 
 
+def test_near_many_variants_and_a_common_passage(spark):
+    check_groups(spark, variants_and_a_common_passage(150, 120))
+
+
 def test_near_lists_posted_anew(spark, monkeypatch):
-    """With tiny limits the longer keys and the chunks are used; same groups."""
-    from inboxlens.llm import similar
+    """With tiny limits the longer keys, blocks and chunks are used; same groups."""
     monkeypatch.setattr(similar, "OUTSIDE", 3)
     monkeypatch.setattr(similar, "BLOCK", 2)
     monkeypatch.setattr(similar, "CHUNK", 8)
-    test_near_many_variants_and_a_common_passage(spark)
+    monkeypatch.setattr(similar, "DEPTH", 2)
+    check_groups(spark, variants_and_a_common_passage(30, 20))
 
 
 def line_items(rows):
