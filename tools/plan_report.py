@@ -59,7 +59,7 @@ def main() -> None:
             if not conf:
                 # run through the DataFrame's own query execution so that its
                 # plan is AQE's final one (an action like .write plans anew)
-                df.collect()
+                df._jdf.queryExecution().toRdd().count()
             s = summary(df._jdf.queryExecution().executedPlan().toString())
             keys = "; ".join(f"({k}) ×{n}" if n > 1 else f"({k})" for k, n in sorted(s["keys"].items()))
             print(f"| {name} | {s['shuffles']} | {s['broadcast joins']} / {s['sort-merge joins']} | "
