@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .shared import batch, mix, stored
 
@@ -32,7 +31,8 @@ PROBES = 20
 CHUNK = 2048
 HELD = 1 << 19
 
-_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_PACKED = pa.schema([("query_id", pa.int64()), ("vecs", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
+_FOUND = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def probe_sets(functions: int, probes: int) -> list[tuple[int, ...]]:
@@ -160,20 +160,49 @@ def _rerank(k: int, dtype):
                                 limit = max(HELD, 2 * n)
         if n:
             q, v, s = _best(*map(np.concatenate, zip(*held)), k)
-            for i in range(0, len(q), 1 << 16):
-                yield batch(_FOUND, pa.array(q[i:i + (1 << 16)]), pa.array(v[i:i + (1 << 16)]), pa.array(s[i:i + (1 << 16)]))
+            first = np.flatnonzero(np.concatenate(([True], np.diff(q) != 0)))
+            ends = pa.array(np.append(first, len(q)).astype(np.int32))
+            yield batch(_PACKED, pa.array(q[first]), pa.ListArray.from_arrays(ends, pa.array(v)), pa.ListArray.from_arrays(ends, pa.array(s)))
+    return run
+
+
+def _merge(k: int):
+    """The k best of each query from the sorted lists that tasks have found."""
+    def ranked(q, v, s):
+        q, v, s = _best(q, v, s, k)
+        first = np.flatnonzero(np.concatenate(([True], np.diff(q) != 0)))
+        rank = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) + 1
+        return batch(_FOUND, pa.array(q), pa.array(rank.astype(np.int32)), pa.array(v), pa.array(s))
+
+    def run(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lengths = b.column(1).value_lengths().to_numpy()
+            rows = (np.repeat(b.column(0).to_numpy(), lengths), b.column(1).flatten().to_numpy(), b.column(2).flatten().to_numpy())
+            held = rows if held is None else tuple(map(np.concatenate, zip(held, rows)))
+            done = held[0] != held[0][-1]  # the last query may go on in the next batch
+            if done.any():
+                yield ranked(*(x[done] for x in held))
+                held = tuple(x[~done] for x in held)
+        if held is not None:
+            yield ranked(*held)
     return run
 
 
 def _search(data: DataFrame, queries: DataFrame, k: int, dtype) -> DataFrame:
-    """The k best per task of the rows (part, bucket, id, vec) that meet."""
+    """query_id, rank, vec_id and score of the k best rows (part, bucket, id,
+    vec) that meet each query; each task first keeps its own k best."""
     sizes = data.groupBy("part", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("subs"))
     cols = ["part", "bucket", "sub", "flag", "id", "vec"]
     data = data.join(sizes, ["part", "bucket"]).withColumn("sub", F.pmod(F.xxhash64("id"), "subs").cast("int")).withColumn("flag", F.lit(0))
     queries = queries.join(sizes, ["part", "bucket"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).withColumn("flag", F.lit(1))
     rows = data.select(*cols).union(queries.select(*cols))
-    return (rows.repartition("part", "bucket", "sub").sortWithinPartitions("part", "bucket", "sub", "flag")
-            .mapInArrow(_rerank(k, dtype), "query_id long, vec_id long, score double"))
+    found = (rows.repartition("part", "bucket", "sub").sortWithinPartitions("part", "bucket", "sub", "flag")
+             .mapInArrow(_rerank(k, dtype), "query_id long, vecs array<long>, scores array<double>"))
+    return (found.repartition("query_id").sortWithinPartitions("query_id")
+            .mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double"))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = TABLES, functions: int = FUNCTIONS,
@@ -215,18 +244,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = T
     rows = "part int, bucket long, id long, vec binary"
     index = data.mapInArrow(_hash(tables, functions, width, 0, largest, dtype), rows)
     visits = asked.mapInArrow(_hash(tables, functions, width, probes, largest, dtype), rows)
-    columns = ["query_id", "vec_id"]
-    found = stored(_search(index, visits, k, dtype).groupBy(*columns).agg(F.max("score").alias("score")), "found")
+    found = stored(_search(index, visits, k, dtype), "found")
 
     short = (asked.select(F.col("id").alias("query_id")).distinct()
-             .join(found.groupBy("query_id").count(), "query_id", "left").where(f"coalesce(count, 0) < {k}"))
+             .join(found.groupBy("query_id").count(), "query_id", "left").where(f"coalesce(count, 0) < {k}").select("query_id"))
     few = stored(asked.join(short, asked.id == short.query_id, "left_semi"), "short")
-    if not few.isEmpty():
-        blocks = max(1, data.count() // (8 * CHUNK))
-        block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks))
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-        whole = _search(data.select(F.lit(-1).alias("part"), block.alias("bucket"), "id", "vec"),
-                        few.select(F.lit(-1).alias("part"), every.alias("bucket"), "id", "vec"), k, dtype)
-        found = found.union(whole.select("query_id", "vec_id", "score")).groupBy(*columns).agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    if few.isEmpty():
+        return found
+    blocks = max(1, data.count() // (8 * CHUNK))
+    block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    whole = _search(data.select(F.lit(-1).alias("part"), block.alias("bucket"), "id", "vec"),
+                    few.select(F.lit(-1).alias("part"), every.alias("bucket"), "id", "vec"), k, dtype)
+    return found.join(few.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").union(whole)
