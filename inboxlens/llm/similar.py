@@ -284,13 +284,13 @@ def _with_pivots(lists: DataFrame, items: DataFrame, texts: DataFrame, scheme: S
             .mapInArrow(_confirm(scheme), _ddl(_PAIRS)))
 
 
-def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of the lists that hold several components, with comp, the list's
-    size ``n``, the number ``n_out`` outside its largest component, and ``out``."""
+def _open_lists(lists: DataFrame, comps: DataFrame, least: int) -> DataFrame:
+    """Members of the lists of ``least`` or more that hold several components, with comp,
+    the list's size ``n``, the number ``n_out`` outside its largest component, and ``out``."""
     rows = lists.drop("n").join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     per = (rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
            .agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("top")).withColumn("n_out", F.col("n") - F.col("top.c")))
-    return (rows.join(per.where("n_out > 0 and n > 2"), "key")
+    return (rows.join(per.where((F.col("n_out") > 0) & (F.col("n") >= least)), "key")
             .select("key", "base", "last", "ext", "id", "comp", "n", "n_out", (F.col("comp") != F.col("top.comp")).alias("out")))
 
 
@@ -323,7 +323,8 @@ def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Sc
     comps = components(stored(_with_pivots(lists, items, bodies, scheme), "links").toDF("a", "b"))
     hot = F.col("n_out") > OUTSIDE
     for depth in range(DEPTH + 1):
-        rows = stored(_open_lists(lists, comps), "open")
+        least = 2 if depth else 3  # first lists of two were compared with their pivot, longer keys have none
+        rows = stored(_open_lists(lists, comps, least), "open")
         now = rows if depth == DEPTH else rows.where(~hot)
         links = stored(_links_across(now, items, bodies, scheme), "links").toDF("a", "b")
         if not links.isEmpty():

@@ -1,0 +1,22 @@
+"""Cases that an operator once did less than the whole job on."""
+
+import numpy as np
+
+from inboxlens.llm import similar
+from inboxlens.llm.line_dedup import line_report
+
+from .helpers import DOCS, odd_docs
+
+
+def test_a_pair_alone_under_a_longer_key_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(similar, "OUTSIDE", 1)
+    sigs = {0: (7, 5, 1, 2), 1: (7, 5, 3, 4),  # the pair, in two lists of three
+            2: (7, 100, 9, 101), 3: (110, 5, 9, 111),  # their pivots, by the long list under 9
+            **{4 + i: (200 + i, 300 + i, 9, 400 + i) for i in range(5)}}
+    rows = [(i, 1, bytearray(np.array(s, np.uint16).tobytes())) for i, s in sigs.items()]
+    items = spark.createDataFrame(rows, "id long, size long, sig binary")
+    texts = spark.createDataFrame([(i, bytearray(b"same" if i < 2 else bytes([i]))) for i in sigs], "id long, text binary")
+    sets = lambda values: [np.unique(np.frombuffer(v, np.uint8)).astype(np.uint64) for v in values]
+    scheme = similar.Scheme(4, 2, 85, np.uint16, ((0,), (1,), (2,)), sets)
+    comps = similar.linked(items, lambda ids: texts.join(ids, "id"), scheme)
+    assert sorted(map(tuple, comps.collect())) == [(1, 0)]
