@@ -1,8 +1,10 @@
 """Cases that an operator once did less than the whole job on."""
 
+import random
+
 import numpy as np
 
-from inboxlens.llm import similar
+from inboxlens.llm import line_dedup, similar
 from inboxlens.llm.line_dedup import line_report
 
 from .helpers import DOCS, odd_docs
@@ -20,3 +22,19 @@ def test_a_pair_alone_under_a_longer_key_is_compared(spark, monkeypatch):
     scheme = similar.Scheme(4, 2, 85, np.uint16, ((0,), (1,), (2,)), sets)
     comps = similar.linked(items, lambda ids: texts.join(ids, "id"), scheme)
     assert sorted(map(tuple, comps.collect())) == [(1, 0)]
+
+
+def random_line(seed, n):
+    r = random.Random(seed)
+    return "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+
+
+def line_counts(spark, tmp_path, lines):
+    docs = odd_docs(spark, tmp_path, [(i, x, "en", "s0", len(x)) for i, x in enumerate(lines)], clashes=False)
+    return {r.doc_id: r.n_kept for r in line_report(docs).collect()}
+
+
+def test_lines_that_only_a_ninth_band_brings_together(spark, tmp_path):
+    line = random_line(4945, 106)  # 91 of 107 shingles shared
+    assert line_counts(spark, tmp_path, [line, line[:50] + "z" + line[51:]]) == {0: 1, 1: 0}
+    assert (1 - 0.85**line_dedup.BAND)**line_dedup.BANDS < 2.5e-4
