@@ -156,7 +156,8 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, band
 
 
 def _with_rows(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__row", F.monotonically_increasing_id())
+    """Stored, as a later scan may be split otherwise and number other rows so."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "line-documents")
 
 
 def _kept_by_row(docs: DataFrame, **options) -> DataFrame:
@@ -171,8 +172,7 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     first of its component by (doc_id, row, line). Lines compare without case
     (A-Z) and by 8-character shingles. A null text stays null, and no row goes,
     even if nothing of its text is left. Columns called __row or __kept are
-    left out. ``docs`` is read several times and must give the
-    same rows in the same order each time, as stored tables do."""
+    left out. ``docs`` is read once and stored with its row numbers."""
     names = [c for c in docs.columns if c not in ("__row", "__kept")]
     docs = _with_rows(docs.select(*[F.col(f"`{c}`") for c in names]))
     at = names.index("text")

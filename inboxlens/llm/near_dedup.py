@@ -130,10 +130,10 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES, ma
 def one_per_group(docs: DataFrame, percent: int = PERCENT, k: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with all columns: the
     first by doc_id (null last). Rows without words all stay. ``docs`` is read
-    several times and must give the same rows in the same order each time, as
-    stored tables do; a column called __row is left out."""
+    once and stored with its row numbers; a column called __row is left out."""
     names = [c for c in docs.columns if c != "__row"]
     docs = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn("__row", F.monotonically_increasing_id())
+    docs = stored(docs, "near-documents")  # a later scan may be split otherwise and number other rows so
     found = _grouped(docs.select(F.col("__row").alias("row"), "doc_id", "text"), percent, k, matches)
     stay = found.where("comp is null or row = first").select(F.col("row").alias("__row"))
     return docs.join(stay, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in names])

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from inboxlens.llm import line_dedup, similar
+from inboxlens.llm import line_dedup, near_dedup, similar
 from inboxlens.llm.line_dedup import line_report
 
 from .helpers import DOCS, odd_docs
@@ -38,3 +38,36 @@ def test_lines_that_only_a_ninth_band_brings_together(spark, tmp_path):
     line = random_line(4945, 106)  # 91 of 107 shingles shared
     assert line_counts(spark, tmp_path, [line, line[:50] + "z" + line[51:]]) == {0: 1, 1: 0}
     assert (1 - 0.85**line_dedup.BAND)**line_dedup.BANDS < 2.5e-4
+
+
+def split_otherwise(spark, monkeypatch, module):
+    """From the comparison on, scans put all files into one split."""
+    real = module.linked
+
+    def linked(*args):
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return real(*args)
+
+    monkeypatch.setattr(module, "linked", linked)
+
+
+def test_splits_may_change_between_jobs(spark, monkeypatch, tmp_path):
+    own = [random_line(i, 60) for i in range(20)]
+    every = random_line(99, 60)
+    rows = [(i, f"{x}\n{every}", "en", "s0", 121) for i, x in enumerate(own)]
+    spark.createDataFrame(rows, DOCS).repartition(8).write.parquet(str(tmp_path / "lines"))
+    copies = [(i, " ".join(own[i % 10][j:j + 3] for j in range(50)), "en", "s0", 1) for i in range(20)]
+    spark.createDataFrame(copies, DOCS).repartition(8).write.parquet(str(tmp_path / "copies"))
+    split_otherwise(spark, monkeypatch, line_dedup)
+    split_otherwise(spark, monkeypatch, near_dedup)
+    try:
+        kept = dict(line_report(spark.read.parquet(str(tmp_path / "lines"))).select("doc_id", "n_kept").collect())
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        texts = dict(line_dedup.dedup_lines(spark.read.parquet(str(tmp_path / "lines"))).select("doc_id", "text").collect())
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        stay = near_dedup.one_per_group(spark.read.parquet(str(tmp_path / "copies"))).select("doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert kept == {i: 1 if i else 2 for i in range(20)}
+    assert texts == {i: x if i else f"{x}\n{every}" for i, x in enumerate(own)}
+    assert sorted(r.doc_id for r in stay) == list(range(10))
