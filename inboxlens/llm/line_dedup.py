@@ -5,6 +5,9 @@ are one item. The signature hashes each character shingle once: the shingle's
 bin is a coordinate, the bin's least value its MinHash, and empty bins borrow
 from the next full one. Bands of three coordinates make the keys; at a
 similarity of 0.85 a pair shares none of nine bands with a probability of 2e-4.
+In short lines few shingles fill many bins, and one that differs changes all
+coordinates borrowed from it; such lines are marked and become candidates with
+a band and as many more agreements as longer keys need (``similar.DEPTH``).
 Candidates are confirmed on exact shingle sets, and of each component of lines
 the first one stays.
 """
@@ -19,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import batch, mix, ragged, runs, small, stored, texts_of
-from .similar import Scheme, linked
+from .similar import DEPTH, Scheme, linked
 
 SHINGLE = 8  # characters
 BANDS = 9
 BAND = 3
 MATCHES = 13  # of 27; fewer at similarity 0.85 have a probability of 1e-6
 SIGNED_BYTES = 1 << 17  # of lines signed at a time: work arrays stay in the cache
+BORROWED = 8  # a line that borrows more than one in so many coordinates is marked
 PERCENT = 85
 
 
@@ -58,7 +62,8 @@ def char_shingles(lines: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
-    """One-permutation MinHash of each line that has shingles: k 16-bit values."""
+    """One-permutation MinHash of each line that has shingles: k 16-bit values,
+    and 1 if many of them are borrowed, else 0."""
     n = len(counts)
     hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     least = np.full(n * k, 0xFFFFFFFF, dtype=np.uint32)
@@ -75,7 +80,8 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
         source = np.searchsorted(filled, empty) % len(filled)
         distance = (filled[source] - empty) % k
         least[i, empty] = least[i, filled[source]] + (distance * 0x9E3779B1 & 0xFFFFFFFF).astype(np.uint32)
-    return (mix(least.astype(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
+    out = (mix(least.astype(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
+    return np.column_stack((out, ((~full).sum(axis=1) > k // BORROWED).astype(np.uint16)))
 
 
 def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
@@ -149,7 +155,7 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, band
         return plain.join(wanted, "row").select("text", "wanted").mapInArrow(_picked, "id long, text binary")
 
     bands_of = tuple(tuple(range(i * band, (i + 1) * band)) for i in range(bands))
-    comps = linked(items, texts, Scheme(k, matches, percent, np.uint16, bands_of, shingle_sets))
+    comps = linked(items, texts, Scheme(k, matches, percent, np.uint16, bands_of, shingle_sets, min(matches, band + DEPTH)))
     first = (items.select("id", "place").join(comps.withColumnRenamed("node", "id"), "id", "left")
              .groupBy(F.coalesce("comp", "id").alias("comp")).agg(F.min("place").alias("place")))
     return first.select("place.row", "place.doc_id", "place.number")

@@ -53,7 +53,9 @@ class Scheme:
     coordinates: those of each first key (tuples of indices); matches: agreeing
     coordinates that a candidate needs; dtype: of a coordinate; percent: the
     least similarity (100 * intersection >= percent * union); sets: sorted
-    distinct shingle hashes of each text."""
+    distinct shingle hashes of each text; marked: if not 0, a signature has one
+    more value, a mark, not 0 where coordinates depend on each other so that
+    their agreements tell little: a pair of marked items needs ``marked`` only."""
 
     k: int
     matches: int
@@ -61,10 +63,16 @@ class Scheme:
     dtype: type
     coordinates: tuple[tuple[int, ...], ...]
     sets: Callable[[list[bytes]], list[np.ndarray]]
+    marked: int = 0
 
 
 def _signatures(column: pa.Array, scheme: Scheme) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=scheme.dtype).reshape(-1, scheme.k)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=scheme.dtype).reshape(-1, scheme.k + (scheme.marked > 0))
+
+
+def _needed(scheme: Scheme, x: np.ndarray, y: np.ndarray) -> np.ndarray | int:
+    """Agreements that pairs of signatures need."""
+    return np.where((x[..., scheme.k] > 0) & (y[..., scheme.k] > 0), scheme.marked, scheme.matches) if scheme.marked else scheme.matches
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -91,7 +99,7 @@ def _post_anew(scheme: Scheme):
 
     With ``matches`` agreements at most k - matches coordinates differ, so the
     (ext + 1)-th agreement outside the base is among the first
-    k - matches + ext + 1 of those."""
+    k - matches + ext + 1 of those. Likewise with ``marked`` of marked items."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
@@ -100,8 +108,9 @@ def _post_anew(scheme: Scheme):
             key, sig = key.view(np.uint64), _signatures(b.column(5), scheme).astype(np.uint64)
             inside = np.array([[c in own for c in range(scheme.k)] for own in scheme.coordinates])[base]
             rank = np.cumsum(~inside, axis=1) - 1
+            needed = _needed(scheme, sig, sig)
             for c in range(scheme.k):
-                go = ~inside[:, c] & (c > last) & (rank[:, c] <= scheme.k - scheme.matches + ext)
+                go = ~inside[:, c] & (c > last) & (rank[:, c] <= scheme.k - needed + ext)
                 new = mix(key[go] + mix(sig[go, c] + np.uint64(c << 40)))
                 yield batch(_POSTS, pa.array(new.view(np.int64)), pa.array(base[go]), pa.array(np.full(go.sum(), c, np.int32)),
                             pa.array(ext[go] + np.int32(1)), b.column(4).filter(pa.array(go)))
@@ -114,9 +123,10 @@ def _close(scheme: Scheme):
         for b in batches:
             if not b.num_rows:
                 continue
-            agree = (_signatures(b.column(4), scheme) == _signatures(b.column(5), scheme)).sum(axis=1)
+            sigs = [_signatures(b.column(i), scheme) for i in (4, 5)]
+            agree = (sigs[0] == sigs[1])[:, :scheme.k].sum(axis=1)
             x, y = b.column(2).to_numpy(), b.column(3).to_numpy()
-            ok = (agree >= scheme.matches) & (100 * np.minimum(x, y) >= scheme.percent * np.maximum(x, y))
+            ok = (agree >= _needed(scheme, *sigs)) & (100 * np.minimum(x, y) >= scheme.percent * np.maximum(x, y))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], schema=_PAIRS).filter(pa.array(ok))
     return run
 
@@ -129,10 +139,10 @@ def _candidates(scheme: Scheme, rows: tuple, out: tuple, base: int, last: int, e
     early = np.array([c <= last and c not in scheme.coordinates[base] for c in range(scheme.k)])
     for lo in range(0, len(rows[0]), step):
         ids, comps, sizes, sigs = (x[lo:lo + step] for x in rows)
-        agree = out[3][:, None, :] == sigs[None, :, :]
+        agree = out[3][:, None, :scheme.k] == sigs[None, :, :scheme.k]
         n = agree.sum(axis=2)
         x, y = out[2][:, None], sizes[None, :]
-        ok = (n >= scheme.matches) & (out[1][:, None] != comps[None, :]) & (100 * np.minimum(x, y) >= scheme.percent * np.maximum(x, y))
+        ok = (n >= _needed(scheme, out[3][:, None, :], sigs[None, :, :])) & (out[1][:, None] != comps[None, :]) & (100 * np.minimum(x, y) >= scheme.percent * np.maximum(x, y))
         i, j = np.nonzero(ok)
         if len(i):
             hits = agree[i, j]

@@ -71,3 +71,9 @@ def test_splits_may_change_between_jobs(spark, monkeypatch, tmp_path):
     assert kept == {i: 1 if i else 2 for i in range(20)}
     assert texts == {i: x if i else f"{x}\n{every}" for i, x in enumerate(own)}
     assert sorted(r.doc_id for r in stay) == list(range(10))
+
+
+def test_short_lines_with_few_agreements(spark, tmp_path):
+    lines = [random_line(s, 14) for s in (192, 289, 318, 396, 771, 815)]  # each 6 of 7 shingles, 10 or 11 of 27 agreements
+    got = line_counts(spark, tmp_path, lines + [x[:-1] for x in lines])
+    assert got == {i: int(i < 6) for i in range(12)}
