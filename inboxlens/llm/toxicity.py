@@ -97,7 +97,8 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> OrdinalModel:
     """Fit on labelled rows outside the held-out fold, ``sample`` of them at most
-    (those with the smallest hash of doc_id)."""
+    (those with the smallest hash of doc_id; of rows with one doc_id, the one
+    whose text has the smallest hash)."""
     truth = (labels.where("doc_id is not null and toxic is not null and not (" + HELD_OUT + ")").groupBy("doc_id")
              .agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     schema = pa.schema([("toxic", pa.int32()), ("features", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))])
@@ -110,6 +111,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, featu
                 yield batch(schema, part.column(0), [list(c) for c in found], [list(c.values()) for c in found])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(truth), "doc_id")  # at most ``sample`` rows of two numbers
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))  # of a doc_id that is repeated
+    rows = rows.groupBy("doc_id", "toxic").agg(one.alias("one")).select("toxic", F.col("one.text").alias("text"))
     rows = stored(rows.select("toxic", "text").mapInArrow(count, "toxic int, features array<string>, counts array<int>"), "toxic-train")
     n, ones = rows.agg(F.count("*"), F.sum("toxic")).head()
     if not n or ones in (0, n):

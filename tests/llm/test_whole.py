@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from inboxlens.llm import line_dedup, near_dedup, similar
+from inboxlens.llm import line_dedup, near_dedup, similar, toxicity
 from inboxlens.llm.line_dedup import line_report
 
 from .helpers import DOCS, odd_docs
@@ -77,3 +77,18 @@ def test_short_lines_with_few_agreements(spark, tmp_path):
     lines = [random_line(s, 14) for s in (192, 289, 318, 396, 771, 815)]  # each 6 of 7 shingles, 10 or 11 of 27 agreements
     got = line_counts(spark, tmp_path, lines + [x[:-1] for x in lines])
     assert got == {i: int(i < 6) for i in range(12)}
+
+
+def test_fitted_rows_are_bounded_however_often_a_doc_id_occurs(spark, monkeypatch):
+    docs = spark.range(600).selectExpr("id % 60 as doc_id", "concat(if(id % 2 = 0, 'vile ', 'kind '), 'words ', id) as text")
+    labels = spark.range(60).selectExpr("id as doc_id", "cast(id % 2 = 0 as int) as toxic")
+    held = []
+
+    def stored(df, name):
+        held.append(real(df, name))
+        return held[-1]
+
+    real = toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", stored)
+    toxicity.fit_toxicity(docs, labels, sample=20)
+    assert [x.count() for x in held] == [20]
