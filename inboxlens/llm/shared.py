@@ -49,6 +49,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(table: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote, once no later step reads it."""
+    spark = table.sparkSession
+    for name in table.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def extended(df: DataFrame, **columns: str) -> StructType:
     """The schema of ``df`` with further columns."""
     schema = StructType(list(df.schema.fields))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import batch, mix, small, stored, texts_of
+from .shared import batch, drop, mix, small, stored, texts_of
 
 CHUNK = 4096  # members of a list compared in one go
 BLOCK = 1024  # and of those outside the largest component
@@ -276,7 +276,7 @@ def _listed(posts: DataFrame) -> DataFrame:
 
 
 def _with_pivots(lists: DataFrame, items: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (p, q) of the members of each list with its pivot."""
+    """Stored links (a, b) of the members of each list with its pivot."""
     score = lists.groupBy("id").agg(F.sum("n").alias("score"))
     pivots = (lists.join(score, "id").groupBy("key")
               .agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("top")).select("key", (-F.col("top.neg")).alias("p")))
@@ -290,8 +290,10 @@ def _with_pivots(lists: DataFrame, items: DataFrame, texts: DataFrame, scheme: S
     others = rows.join(texts, rows.q == texts.id).select("p", "chunk", F.lit(1).alias("flag"), "q", "text")
     pivots = rows.select("p", "chunk").distinct()
     pivots = pivots.join(texts, pivots.p == texts.id).select("p", "chunk", F.lit(0).alias("flag"), F.col("p").alias("q"), "text")
-    return (pivots.union(others).repartition("p", "chunk").sortWithinPartitions("p", "chunk", "flag")
-            .mapInArrow(_confirm(scheme), _ddl(_PAIRS)))
+    links = stored(pivots.union(others).repartition("p", "chunk").sortWithinPartitions("p", "chunk", "flag")
+                   .mapInArrow(_confirm(scheme), _ddl(_PAIRS)), "links")
+    drop(pairs)
+    return links.toDF("a", "b")
 
 
 def _open_lists(lists: DataFrame, comps: DataFrame, least: int) -> DataFrame:
@@ -305,7 +307,7 @@ def _open_lists(lists: DataFrame, comps: DataFrame, least: int) -> DataFrame:
 
 
 def _links_across(rows: DataFrame, items: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (p, q) between the components of open lists."""
+    """Stored links (a, b) between the components of open lists."""
     rows = rows.join(items, "id")
     chunks, blocks = F.ceil(F.col("n") / CHUNK).cast("int"), F.ceil(F.col("n_out") / BLOCK).cast("int")
     own = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), n).cast("int")
@@ -318,7 +320,9 @@ def _links_across(rows: DataFrame, items: DataFrame, texts: DataFrame, scheme: S
     wanted = stored(sorted_(met).mapInArrow(_wanted(scheme), _ddl(_PLACE)).distinct(), "wanted")
     kinds = rows.select("key", "base", "last", "ext", "id", "comp", "size", "sig")
     full = wanted.join(kinds, ["key", "id"]).join(texts, "id").select(*place, *tail, "text")
-    return sorted_(full).mapInArrow(_compare(scheme), _ddl(_PAIRS))
+    links = stored(sorted_(full).mapInArrow(_compare(scheme), _ddl(_PAIRS)), "links")
+    drop(wanted)
+    return links.toDF("a", "b")
 
 
 def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Scheme) -> DataFrame:
@@ -330,17 +334,27 @@ def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Sc
     posts = items.select("id", "sig").mapInArrow(_post(scheme), _ddl(_POSTS))
     lists = stored(_listed(posts), "lists")
     bodies = stored(texts(lists.select("id").distinct()), "bodies")
-    comps = components(stored(_with_pivots(lists, items, bodies, scheme), "links").toDF("a", "b"))
+    links = _with_pivots(lists, items, bodies, scheme)
+    comps = components(links)
+    drop(links)
     hot = F.col("n_out") > OUTSIDE
     for depth in range(DEPTH + 1):
         least = 2 if depth else 3  # first lists of two were compared with their pivot, longer keys have none
         rows = stored(_open_lists(lists, comps, least), "open")
+        drop(lists)
         now = rows if depth == DEPTH else rows.where(~hot)
-        links = stored(_links_across(now, items, bodies, scheme), "links").toDF("a", "b")
+        links = _links_across(now, items, bodies, scheme)
         if not links.isEmpty():
-            comps = components(stored(comps.toDF("a", "b").union(links), "links"))
+            before, both = comps, stored(comps.toDF("a", "b").union(links), "links")
+            comps = components(both)
+            drop(before)
+            drop(both)
+        drop(links)
         if depth == DEPTH or rows.where(hot).isEmpty():
             break
         longer = rows.where(hot).join(items.select("id", "sig"), "id").select("key", "base", "last", "ext", "id", "sig")
         lists = stored(_listed(longer.mapInArrow(_post_anew(scheme), _ddl(_POSTS))), "lists")
+        drop(rows)
+    drop(rows)
+    drop(bodies)
     return comps

@@ -1,9 +1,12 @@
+import os
 import random
 
 import numpy as np
+import pandas as pd
+import pytest
 
 from inboxlens.llm.components import components
-from inboxlens.llm.shared import ragged, runs, window_hashes, word_hashes
+from inboxlens.llm.shared import drop, ragged, runs, stored, window_hashes, word_hashes
 
 from .helpers import roots, same_rows
 
@@ -45,3 +48,39 @@ def test_components_over_many_tasks(spark, monkeypatch):
     import inboxlens.llm.components as c
     monkeypatch.setattr(c, "LINKS_PER_TASK", 8)
     test_components(spark)
+
+
+def graph(kind, n):
+    rng = random.Random(5)
+    label = list(range(n))
+    rng.shuffle(label)
+    links = {"path": lambda: [(label[i], label[i + 1]) for i in range(n - 1)],
+             "star around the largest": lambda: [(n, i) for i in range(n)],
+             "chains of three": lambda: [(label[3 * i + j], label[3 * i + j + 1]) for i in range(n // 3 - 1) for j in (0, 1)],
+             "random": lambda: [(rng.randrange(n), rng.randrange(n)) for _ in range(n)]}[kind]()
+    rng.shuffle(links)
+    return links
+
+
+@pytest.mark.parametrize("kind", ["path", "star around the largest", "chains of three", "random"])
+def test_components_of_many_links(spark, monkeypatch, kind):
+    """More links than one task takes, with the library's own constant."""
+    import inboxlens.llm.components as c
+    rounds = []
+    real = c.stars
+    monkeypatch.setattr(c, "stars", lambda links: rounds.append(real(links)) or rounds[-1])
+    links = graph(kind, 480_000 if kind == "chains of three" else 310_000)
+    assert len(links) > 300_000 > c.LINKS_PER_TASK
+    df = spark.createDataFrame(pd.DataFrame(links, columns=["a", "b"]))
+    got = {r.node: r.comp for r in components(df).collect()}
+    nodes = {x for link in links for x in link}
+    assert got == {x: r for x, r in roots(nodes, links).items() if x != r}
+    assert rounds[0][1] <= 20  # log2 of the number of links, and the last one that changes nothing
+
+
+def test_dropped_tables_are_gone(spark):
+    table = stored(spark.range(10), "short")
+    path = table.inputFiles()[0]
+    drop(table)
+    assert not os.path.exists(path.removeprefix("file://"))
+    drop(spark.range(3).limit(0))  # never stored: nothing to delete
