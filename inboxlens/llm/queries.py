@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ball_tree import top_products
 from .bpe import round_trip
 from .exact_dedup import exact_dedup
 from .line_dedup import line_report
@@ -14,6 +15,8 @@ from .mixing import mix_sources
 from .near_dedup import near_dedup
 from .neighbours import nearest
 from .quality import quality_scores
+from .rtree import hard_negatives
+from .spelling import spelling_variants
 from .substring_dedup import mark_repeats
 from .toxicity import toxicity
 from .warc import archive_pages
@@ -68,6 +71,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_products(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality, op2_line_dedup, op3_mixing, op4_warc, op5_toxicity, op6_substring_dedup,
-                            op7_byte_bpe, op8_nearest, op9_exact_dedup, op10_near_dedup)}
+                            op7_byte_bpe, op8_nearest, op9_exact_dedup, op10_near_dedup,
+                            op11_hard_negatives, op12_spelling, op13_top_products)}

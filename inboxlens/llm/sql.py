@@ -91,3 +91,73 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_i
 from d left join n using (doc_id)
 join (select doc_id, min(reached) as component_id from r group by doc_id) c using (doc_id)
 """
+
+# Whole components and exact products, over the vectors that take part.
+_WHOLE = """
+  select vec_id, {label} as label, list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings
+  where embedding is not null and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)
+"""
+
+ORACLE["op11_hard_negatives"] = f"""
+with v as ({_WHOLE.format(label="case when vec_id % 7 = 0 then (label + 1) % 10 else label end")} and label is not null),
+s as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, (row_number() over w)::int as rank, s.vec_id as negative_id, positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same
+     and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+window w as (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)
+qualify row_number() over w <= 3
+"""
+
+ORACLE["op13_top_products"] = f"""
+with v as ({_WHOLE.format(label="0")}),
+s as (
+  select a.vec_id as query_id, b.vec_id, list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0)
+select query_id, (row_number() over w)::int as rank, vec_id, score from s
+window w as (partition by query_id order by score desc, vec_id)
+qualify row_number() over w <= 5
+"""
+
+# crc32 by its table of 256 remainders (made by the polynomial's rule); two words
+# are near if one without a code point is the other, or both without the one at
+# the same place are equal.
+ORACLE["op12_spelling"] = r"""
+with recursive
+t as (
+  select list(list_reduce([n] || range(8), lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)::bigint order by n) as crc
+  from (select unnest(range(256)) as n)),
+r as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) as run from documents) where length(run) >= 7),
+u as (select doc_id, run, count(*) as n from r group by all),
+h as (
+  select run, n, xor(list_reduce([4294967295::bigint] || flatten(list_transform(string_split(doc_id || ':' || run, ''),
+           lambda x: case when unicode(x) < 128 then [unicode(x)::bigint] else [195::bigint, unicode(x)::bigint - 64] end)),
+           lambda c, b: xor(c // 256, crc[(xor(c, b) % 256 + 1)::int])), 4294967295::bigint) as h
+  from u, t),
+c as (
+  select case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word,
+         sum(n)::bigint as n
+  from h group by 1),
+w as (select word, n from c where length(word) >= 7 and n >= 2),
+d as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+      from (select word, n, unnest(range(1, length(word) + 1))::int as i from w)),
+e as (
+  select a.word, b.word as near, b.n as near_n from d a join d b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select w.word, d.word, d.n from w join d on d.rest = w.word
+  union select d.word, w.word, w.n from w join d on d.rest = w.word),
+b as (select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n from e group by word),
+f as (select w.word, w.n, coalesce(n_near, 0)::bigint as n_near, case when near_n >= 10 * n then near end as form,
+             case when near_n >= 10 * n then near_n end as form_n from w left join b using (word)),
+o(word, root) as (
+  select word, word from f
+  union all select o.word, f.form from o join f on f.word = o.root where f.form is not null),
+z as (select o.word, o.root from o join f on f.word = o.root where f.form is null)
+select f.word, f.form, z.root, f.n, f.n_near, f.form_n from f join z using (word)
+"""
