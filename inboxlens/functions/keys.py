@@ -20,13 +20,6 @@ def surrogate_key_sql(*cols: str) -> str:
     return f"md5(concat_ws({lit(SEPARATOR)}, {parts}))"
 
 
-def ends_in_null_sql(col: str) -> str:
-    """SQL condition: a key whose last part is ``col`` ends like one whose last
-    part is NULL.  A function of the key's text: rows of one key agree in it."""
-    placeholder = lit(NULL_PLACEHOLDER)
-    return f"endswith(coalesce(cast({q(col)} as string), {placeholder}), {placeholder})"
-
-
 def surrogate_key(*cols: str | Column) -> Column:
     """md5 hex of the parts cast to string, NULL parts replaced by a
     placeholder, joined by '-'.  Two NULL parts in the same position give the

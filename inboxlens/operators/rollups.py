@@ -45,17 +45,17 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
                       distinct_key: str = "member_id", action_col: str = "action_type",
                       open_mins: Mapping[str, str] | None = None,
                       strategy: str = "two_phase", carry: Sequence[str] = (),
-                      clustered: bool = False, marks: Mapping[str, str] | None = None) -> DataFrame:
+                      few_per_key: bool = False) -> DataFrame:
     """Per group of ``keys``: opens, clicks (count of events, NULL if none),
     unique_opens, unique_clicks (distinct non-NULL ``distinct_key`` among open
     / click events) and, for each ``open_mins`` entry out -> column, the
     minimum of that column over open events.  Other actions (bounce) count
-    nowhere.  ``carry`` columns are constant per group and passed through;
-    ``marks`` adds out -> SQL condition that holds for any event.
+    nowhere.  ``carry`` columns are constant per group and passed through.
 
-    ``clustered`` shuffles the events once by ``keys``, which serves both
-    phases and a join on the keys: for keys that have few rows each, where
-    combining map-side saves little."""
+    ``few_per_key``: a group has a handful of distinct keys at most (a send key
+    has one member, or a few where keys collide).  They are then gathered in a
+    set, so that one aggregation, combined map-side, and one shuffle do: a group
+    with very many events reaches it as one row per task."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     keys = list(keys)
@@ -67,9 +67,7 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
     opens = _e(f"sum(CASE WHEN {is_open} THEN 1 END)", "opens")
     clicks = _e(f"sum(CASE WHEN {is_click} THEN 1 END)", "clicks")
     mins = [_e(f"min(CASE WHEN {is_open} THEN {q(src)} END)", out) for out, src in open_mins.items()]
-    kept = [*[_e(f"bool_or({cond})", out) for out, cond in (marks or {}).items()], *_carried(carry)]
-    if clustered:
-        activities = activities.repartition(*keys)
+    kept = _carried(carry)
 
     if distinct_key in keys:
         return activities.groupBy(*keys).agg(
@@ -85,6 +83,12 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
             _e(f"count(DISTINCT CASE WHEN {is_click} THEN {dk} END)", "unique_clicks"),
             *mins, *kept)
 
+    if few_per_key:
+        members = lambda cond: f"CAST(cardinality(collect_set(CASE WHEN {cond} THEN {dk} END)) AS BIGINT)"
+        return activities.groupBy(*keys).agg(
+            opens, clicks, _e(members(is_open), "unique_opens"), _e(members(is_click), "unique_clicks"),
+            *mins, *kept)
+
     part = activities.groupBy(*keys, distinct_key).agg(
         _e(f"sum(CASE WHEN {is_open} THEN 1 END)", "_opens"),
         _e(f"sum(CASE WHEN {is_click} THEN 1 END)", "_clicks"),
@@ -93,7 +97,6 @@ def engagement_counts(activities: DataFrame, keys: Sequence[str], *,
         *[_e(f"min(CASE WHEN {is_open} THEN {q(src)} END)", f"_min_{out}")
           for out, src in open_mins.items()],
         *kept)
-    kept = [*[_e(f"bool_or({q(out)})", out) for out in (marks or {})], *_carried(carry)]
     return part.groupBy(*keys).agg(
         _e("sum(_opens)", "opens"), _e("sum(_clicks)", "clicks"),
         _e(f"count_if(_any_open AND {dk} IS NOT NULL)", "unique_opens"),

@@ -61,7 +61,7 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
     acts = hub("campaign_activities",
                campaign.campaign_activities(s["stg_campaign_activities"], s["stg_campaigns"], sc))
     by_email = campaign.activities_by_email(acts, o.distinct_strategy, sc)
-    hub("int_campaign_activities_by_email", by_email.drop("_unnamed"))
+    hub("int_campaign_activities_by_email", by_email)
     recips = hub("campaign_recipients", campaign.campaign_recipients(
         s["stg_campaign_recipients"], s["stg_campaigns"], by_email,
         s["stg_unsubscribes"] if unsub else None, sc))

@@ -4,18 +4,20 @@ and the campaigns output."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boundary_diff, surrogate_key
-from ..functions.keys import ends_in_null_sql
 from ..operators.enrich import SR, attach, attach_metrics
 from ..operators.rollups import engagement_counts, recipient_rollup, sum_members
 from .scope import Scope
 
-# Shares into which the sends without a member are dealt: all of a campaign's
-# have one email_id.
-SALTS = 32
+# A send key with more than one in HOT_KEYS of all sends is dealt out into shares
+# of about that size; there are HOT_KEYS of them at most.
+HOT_KEYS = 1024
+# Keys that the frequency sketch tracks: it finds every key with more than about
+# 7 / TRACKED of all sends, less than half of what makes a key hot.
+TRACKED = 16384
 
 METRICS = ("sends", "opens", "clicks", "unique_opens", "unique_clicks", "unsubscribes")
 
@@ -40,21 +42,45 @@ def campaign_activities(stg_activities: DataFrame, stg_campaigns: DataFrame,
 def activities_by_email(activities: DataFrame, strategy: str = "two_phase",
                         scope: Scope = Scope()) -> DataFrame:
     """Per send (email_id): event counts, distinct members, first open and
-    the shortest time to open, plus opened / clicked flags, and ``_unnamed``:
-    the key may belong to sends without a member.
+    the shortest time to open, plus opened / clicked flags.
 
-    The events are shuffled once, by send; that serves the aggregation by
-    (send, member) and the one by send."""
+    The events are combined in their map tasks and shuffled once, by send, so
+    that a key with very many events (those without a member share one per
+    campaign) is a row per task."""
     mins = {"first_open_timestamp": "activity_timestamp",
             "time_to_open_minutes": "time_since_send_minutes",
             "time_to_open_hours": "time_since_send_hours",
             "time_to_open_days": "time_since_send_days"}
     df = engagement_counts(activities, scope.keys("email_id"), strategy=strategy,
-                           open_mins=mins, carry=scope.carry, clustered=strategy == "two_phase",
-                           marks={"_unnamed": ends_in_null_sql("member_id")})
+                           open_mins=mins, carry=scope.carry, few_per_key=True)
     return df.select(SR, "email_id", "opens", "clicks", "unique_opens", "unique_clicks", *mins,
                      F.coalesce(F.col("opens") > 0, F.lit(False)).alias("was_opened"),
-                     F.coalesce(F.col("clicks") > 0, F.lit(False)).alias("was_clicked"), "_unnamed")
+                     F.coalesce(F.col("clicks") > 0, F.lit(False)).alias("was_clicked"))
+
+
+def hot_keys(sends: DataFrame) -> DataFrame:
+    """``_hot`` and ``_shares`` of the send keys that hold more than one in
+    HOT_KEYS of ``sends``: the shares follow a key's measured frequency.
+
+    One pass with a frequency sketch that is merged map-side: a row of at most
+    HOT_KEYS keys, whatever the number of sends. An estimate that is off only
+    deals a key out more or less finely."""
+    top = sends.agg(F.expr(f"approx_top_k(email_id, {HOT_KEYS}, {TRACKED})").alias("top"), F.count("*").alias("total"))
+    return (top.select(F.explode("top").alias("key"), "total")
+            .select(F.col("key.item").alias("_hot"), F.ceil(F.col("key.count") * HOT_KEYS / F.col("total")).cast("int").alias("_shares"))
+            .where("_shares > 1"))
+
+
+def _share(key: str, share: str) -> Column:
+    """The join key of one share of a send key; ordinary keys are one share."""
+    return F.expr(f"if(_shares is null, {key}, concat({key}, '-', {share}))")
+
+
+def _every_share(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Rows to look up by send key, once for each share of it (``_key``)."""
+    df = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")  # HOT_KEYS rows at most
+    df = df.withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
+    return df.withColumn("_key", _share(key, "_share")).drop("_hot", "_shares", "_share")
 
 
 def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
@@ -64,21 +90,20 @@ def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
     engagement (zeros when none) and whether the member unsubscribed from
     that campaign on that list.  Only events of a recorded send count.
 
-    Both per-send joins are on (email_id, _salt), so the sends are shuffled
-    once.  The salt is 0 but for sends without a member, which all share one
-    key per campaign: they take the number of their scan partition (the same
-    on every retry), and the few event rows that can match them are repeated
-    for each salt."""
+    Both per-send joins are on one key, so the sends are shuffled once. It is
+    the send key, and for hot ones (all of a campaign's sends without a member
+    have the same) the key and a share, which the rows take in turn; the few
+    rows that match a hot key are repeated for each of its shares."""
     bs = scope.by_source
     columns = stg_recipients.columns
-    salt = F.when(F.col("member_id").isNull(), F.spark_partition_id() % SALTS).otherwise(0)
-    df = attach(stg_recipients.withColumn("_salt", salt), stg_campaigns,
-                [("campaign_id", "campaign_id")],
+    hot = hot_keys(stg_recipients)
+    sends = (stg_recipients.withColumn("_row", F.monotonically_increasing_id())  # the same on every retry
+             .join(F.broadcast(hot), F.col("email_id") == F.col("_hot"), "left")
+             .withColumn("_key", _share("email_id", "pmod(_row, _shares)")).select(*columns, "_key"))
+    df = attach(sends, stg_campaigns, [("campaign_id", "campaign_id")],
                 [("segment_id", "segment_id"), ("send_timestamp", "send_timestamp")],
                 by_source=bs)
-    salts = F.when(F.col("_unnamed"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    df = attach(df, by_email.withColumn("_salt", F.explode(salts)),
-                [("email_id", "email_id"), ("_salt", "_salt")],
+    df = attach(df, _every_share(by_email, "email_id", hot), [("_key", "_key")],
                 [(c, c) for c in ("opens", "unique_opens", "clicks", "unique_clicks",
                                   "was_opened", "was_clicked", "first_open_timestamp",
                                   "time_to_open_minutes", "time_to_open_hours",
@@ -92,15 +117,12 @@ def campaign_recipients(stg_recipients: DataFrame, stg_campaigns: DataFrame,
         unsub = stg_unsubscribes.dropna(subset=list(parts)).select(
             SR, surrogate_key(SR, "campaign_id", "member_id").alias("_email_id"),
             F.struct(*parts).alias("_one"))
-        # _zero as an aggregate: a literal would be folded out of the join's keys
-        unsub = unsub.groupBy(*scope.keys("_email_id")).agg(
-            F.collect_set("_one").alias("_who"), F.min(F.lit(0)).alias("_zero"),
-            *[F.any_value(c).alias(c) for c in scope.carry])
-        df = attach(df, unsub, [("email_id", "_email_id"), ("_salt", "_zero")],
-                    [("_who", "_who")], by_source=bs)
+        unsub = _every_share(unsub, "_email_id", hot).groupBy(*scope.keys("_key")).agg(
+            F.collect_set("_one").alias("_who"), *[F.any_value(c).alias(c) for c in scope.carry])
+        df = attach(df, unsub, [("_key", "_key")], [("_who", "_who")], by_source=bs)
         df = df.withColumn("was_unsubscribed", F.coalesce(
             F.array_contains("_who", F.struct(*parts)), F.lit(False)))
-    return df.select(*columns, *[c for c in df.columns if c not in {*columns, "_salt", "_who"}])
+    return df.select(*columns, *[c for c in df.columns if c not in {*columns, "_key", "_who"}])
 
 
 def recipients_by(recipients: DataFrame, keys: list[str], unsubscribes: bool,

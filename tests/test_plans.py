@@ -8,6 +8,7 @@ import pytest
 from seed_rows import seed_tables
 
 from inboxlens import Connection, Options, build, read_sources
+from inboxlens.functions import surrogate_key
 
 
 @pytest.fixture()
@@ -72,51 +73,119 @@ def test_single_connection_keeps_constants_out_of_shuffles(static, tmp_path):
     assert any("source_relation" in e for e in exchanges(plan(two["members"])))
 
 
-def test_events_are_shuffled_once_per_send(static, tmp_path):
+def test_events_are_combined_before_their_one_shuffle_per_send(static, tmp_path):
     p = plan(build(stored(static, tmp_path))["int_campaign_activities_by_email"])
     assert [e for e in exchanges(p) if "email_id" in e] == ["email_id"]
+    below = p[p.index("Exchange hashpartitioning(email_id"):].split("\n")[1]
+    assert "partial_collect_set" in below
+
+
+def _shuffled(df, of: str) -> list[list[int]]:
+    """Bytes per reduce task of each shuffle of the final plan that ``of`` names."""
+    found = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            walk(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            if name == "ShuffleQueryStageExec" and of in re.sub(r"#\d+L?", "", node.plan().simpleString(200)):
+                found.append(list(node.mapStats().get().bytesByPartitionId()))
+            walk(node.plan())
+        else:
+            children = node.children()
+            for i in range(children.size()):
+                walk(children.apply(i))
+
+    query = df._jdf.queryExecution()
+    query.executedPlan().execute().count()
+    walk(query.executedPlan())
+    return found
+
+
+def _median(sizes: list[int]) -> int:
+    return sorted(sizes)[len(sizes) // 2]
+
+
+def test_a_hot_send_key_is_a_row_per_task(spark):
+    """A third of all events share one key, those without a member: no reduce task
+    reads more than twice the median, before and after AQE."""
+    from inboxlens.plans.campaign import activities_by_email
+    from inboxlens.plans.scope import Scope
+    events = spark.range(0, 600_000, 1, 8).selectExpr(
+        "'a' as source_relation", "if(id % 3 = 0, 'none', md5(cast(id as string))) as email_id",
+        "if(id % 3 = 0, null, cast(id as string)) as member_id", "if(id % 2 = 0, 'open', 'click') as action_type",
+        "timestamp_ntz'2024-01-01 00:00:00' as activity_timestamp", *[f"id as time_since_send_{u}s" for u in ("minute", "hour", "day")])
+    out = activities_by_email(events, scope=Scope(by_source=False))
+    sizes = _shuffled(out, "hashpartitioning(email_id")
+    assert len(sizes) == 1 and max(sizes[0]) <= 2 * _median(sizes[0])
+    hot = out.where("email_id = 'none'").first()
+    assert (hot.opens, hot.clicks, hot.unique_opens, hot.unique_clicks, hot.time_to_open_minutes) == (100_000, 100_000, 0, 0, 0)
+    assert out.count() == 400_001 and out.where("unique_opens + unique_clicks = 1").count() == 400_000
 
 
 def test_sends_are_shuffled_once_for_both_per_send_joins(static, tmp_path):
-    static.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")  # Spark's default
-    m = build(stored(static, tmp_path))
-    df = m["campaign_recipients"]
-    tree = df._jdf.queryExecution().executedPlan()
-    # exchanges on the path from the result down to the scan of the sends
-    found, node = [], tree
-    while node.children().nonEmpty():
-        text = re.sub(r"#\d+L?", "", node.simpleString(200))
-        found += re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)
-        node = node.children().head()
-    assert found == ["email_id, _salt", "campaign_id"]
-
-
-def test_sends_without_a_member_are_dealt_out(spark, tmp_path):
-    """They share one key per campaign; the salt spreads them, and the few event
-    rows that match them are repeated."""
-    t = seed_tables(spark)
-    extra = spark.range(0, 4000, 1, 16).selectExpr("'camp-rye' as campaign_id", "cast(null as string) as member_id", "'list-bread' as list_id")
-    opened = spark.sql("select 'open' as action, 'camp-rye' as campaign_id, cast(null as string) as member_id, "
-                       "timestamp_ntz'2022-03-05 00:00:00' as timestamp, 'list-bread' as list_id, cast(null as string) as url")
-    t["campaign_recipient"] = t["campaign_recipient"].union(extra)
-    t["campaign_recipient_activity"] = t["campaign_recipient_activity"].union(opened)
-    for name, df in t.items():
-        df.write.parquet(str(tmp_path / name))
-    conf = {"spark.sql.files.maxPartitionBytes": "4KB", "spark.sql.files.openCostInBytes": "4KB"}
-    old = {k: spark.conf.get(k) for k in conf}
+    raw = stored(static, tmp_path)
+    for all_keys in ("true", "false"):  # Spark's default, and the recommended setting
+        static.conf.set("spark.sql.requireAllClusterKeysForCoPartition", all_keys)
+        tree = build(raw)["campaign_recipients"]._jdf.queryExecution().executedPlan()
+        # exchanges on the path from the result down to the scan of the sends
+        found, node = [], tree
+        while node.children().nonEmpty():
+            text = re.sub(r"#\d+L?", "", node.simpleString(200))
+            found += re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)
+            node = node.children().head()
+        assert found == ["_key", "campaign_id"]
+
+
+def hot_sends(spark, hot: int, rest: int):
+    """Sends of which ``hot`` have no member; the others are one per member."""
+    return spark.range(0, hot + rest, 1, 16).selectExpr(
+        f"'camp' as campaign_id", f"if(id < {hot}, null, cast(id as string)) as member_id", "'l' as list_id",
+        "cast(null as string) as combination_id", "'a' as source_relation").withColumn("email_id", surrogate_key(
+            "source_relation", "campaign_id", "member_id"))
+
+
+def test_shares_follow_the_frequency_of_a_key(spark, monkeypatch):
+    from inboxlens.plans import campaign
+    monkeypatch.setattr(campaign, "HOT_KEYS", 64)
+    for hot, shares in ((50_000, 22), (100_000, 32), (300_000, 48)):  # n * 64 / total
+        (found,) = campaign.hot_keys(hot_sends(spark, hot, 100_000)).collect()
+        assert abs(found._shares - shares) <= 1
+    assert campaign.hot_keys(hot_sends(spark, 800, 100_000)).count() == 0  # less than one in 64
+    assert campaign.hot_keys(hot_sends(spark, 0, 0)).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [8, 2000])
+def test_sends_without_a_member_are_dealt_out(spark, partitions):
+    """They share one key per campaign; shares spread them over the tasks, and the
+    few event rows that match them are repeated."""
+    from inboxlens.plans import campaign
+    from inboxlens.plans.scope import Scope
+    sends = hot_sends(spark, 150_000, 300_000)
+    campaigns = spark.sql("select 'a' as source_relation, 'camp' as campaign_id, 's' as segment_id, timestamp_ntz'2024-01-01 00:00:00' as send_timestamp")
+    none = surrogate_key("source_relation", "campaign_id", "member_id")
+    events = spark.sql("select 'a' as source_relation, 'camp' as campaign_id, explode(array(null, '200000', '200000', '-1')) as member_id, 'open' as action_type, "
+                       "timestamp_ntz'2024-01-01 00:00:00' as activity_timestamp, 5 as time_since_send_minutes, 0 as time_since_send_hours, "
+                       "0 as time_since_send_days").withColumn("email_id", none)
+    unsub = spark.sql("select 'a' as source_relation, 'camp' as campaign_id, explode(array(null, '200000', '200001')) as member_id, 'l' as list_id")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        out = build(read_sources(spark, [Connection.from_directory("a", str(tmp_path))]))["campaign_recipients"]
-        rows = out.where("member_id is null").collect()
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        for k in list(old)[1:]:
+            spark.conf.set(k, "-1")  # the worst case, every lookup shuffled
+        by_email = campaign.activities_by_email(events, scope=Scope(by_source=False))
+        out = campaign.campaign_recipients(sends, campaigns, by_email, unsub, Scope(by_source=False))
+        sizes = max(_shuffled(out, "hashpartitioning(_key"), key=sum)  # that of the sends
+        rows = {(r.member, r.opens, r.unique_opens, r.was_unsubscribed): r["count"] for r in out.selectExpr(
+            "if(member_id is null, 'none', if(opens + int(was_unsubscribed) > 0, member_id, 'other')) as member", "opens", "unique_opens",
+            "was_unsubscribed").groupBy("member", "opens", "unique_opens", "was_unsubscribed").count().collect()}
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    assert len(rows) == 4000 and {(r.opens, r.was_opened, r.was_unsubscribed) for r in rows} == {(1, True, False)}
-    from inboxlens.plans.campaign import SALTS
-    raw = spark.read.parquet(str(tmp_path / "campaign_recipient"))
-    salts = raw.where("member_id is null").selectExpr(f"spark_partition_id() % {SALTS} as s").distinct().count()
-    assert salts >= 2
+    assert rows == {("none", 1, 0, False): 150_000, ("200000", 2, 1, True): 1, ("200001", 0, 0, True): 1, ("other", 0, 0, False): 299_998}
+    # with 2000 tasks a share, one in 1024 of the sends, is about two tasks' worth; two can meet in a task
+    assert len(sizes) == partitions and max(sizes) <= (2 if partitions == 8 else 8) * _median(sizes)
 
 
 def test_hot_campaign_is_split_by_aqe_skew_join(spark, tmp_path):
