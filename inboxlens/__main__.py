@@ -17,7 +17,8 @@ from pyspark.sql import SparkSession
 from . import Connection, Options, PassThrough, build, read_sources
 from .sources import read_partitioned_sources
 from .operators import quality
-from .plans import OUTPUTS
+from .plans import OUTPUTS, read_build
+from .plans.publish import KEEP, STALE_HOURS
 from .plans.write import write_build
 from .session import RECOMMENDED_CONF
 
@@ -82,6 +83,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--no-staging", action="store_true", help="do not write staged tables")
     p.add_argument("--partition-by-source", action="store_true")
     p.add_argument("--parallel-jobs", type=int, default=4)
+    p.add_argument("--keep", type=int, default=KEEP, help="published builds that stay")
+    p.add_argument("--stale-hours", type=float, default=STALE_HOURS,
+                   help="age at which tables of killed runs are swept")
     p.add_argument("--recommended-conf", action="store_true",
                    help="apply inboxlens.session.RECOMMENDED_CONF to the session")
     p.add_argument("--check", action="store_true", help="run the declared tests and freshness")
@@ -91,7 +95,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                    help="time that freshness is judged at (ISO, UTC unless it names a zone); now if left out")
     p.add_argument("--synced-column", default=Options().synced_column)
     p.add_argument("--reconcile-with", metavar="TARGET",
-                   help="compare every output with the build stored under TARGET (same layout)")
+                   help="compare every output with the newest build under TARGET (or in that database)")
     p.add_argument("--reconcile-exclude", action="append", default=[], metavar="COLUMN",
                    help="column left out of the comparison (repeatable)")
     return p.parse_args(argv)
@@ -130,9 +134,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         raw = read_sources(spark, conns, options)
     written = write_build(spark, raw, a.target, options, staging=not a.no_staging,
                           database=a.database, partition_by_source=a.partition_by_source,
-                          max_parallel_jobs=a.parallel_jobs)
-    def read(loc: str):
-        return spark.table(loc) if a.database else spark.read.load(loc)
+                          max_parallel_jobs=a.parallel_jobs, keep=a.keep, stale_hours=a.stale_hours)
+    checks: dict[str, str] = {}
 
     def save(df, name: str) -> None:
         loc = f"{a.database}._checks_{name}" if a.database \
@@ -141,27 +144,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             df.write.mode("overwrite").saveAsTable(loc)
         else:
             df.write.mode("overwrite").parquet(loc)
-        written[f"_checks_{name}"] = loc
+        checks[f"_checks_{name}"] = loc
 
     if a.check:
         # staged tables not written are checked from their (cheap) lazy plans
         staged = {n: df for n, df in build(raw, options).items() if n.startswith("stg_")}
-        stored = {**staged, **{n: read(loc) for n, loc in written.items()}}
-        save(quality.run_tests(stored), "tests")
+        stored = {**staged, **{n: written.build.read(spark, n) for n in written}}
+        save(quality.run_tests(stored, not_null=written.not_null), "tests")
         save(quality.freshness(raw, options.synced_column, a.as_of, a.warn_after_hours,
                                a.error_after_hours), "freshness")
-        failed = read(written["_checks_tests"]).where("failures > 0").count()
-        print(f"inboxlens: {failed} of the declared tests have failures")
+        tests = spark.table(checks["_checks_tests"]) if a.database else spark.read.parquet(checks["_checks_tests"])
+        print(f"inboxlens: {tests.where('failures > 0').count()} of the declared tests have failures")
     if a.reconcile_with:
-        # the earlier build: same layout under another root (or database)
-        other = a.reconcile_with.rstrip("/")
+        # the newest build under another root (or in another database)
+        earlier = read_build(spark, a.reconcile_with, a.reconcile_with if a.database else None)
         for name in OUTPUTS:
-            if name in written:
-                prev = read(f"{other}.{name}" if a.database else f"{other}/{name}")
+            if name in written and name in earlier:
                 exclude = quality.RECONCILE_EXCLUDE.get(name, []) + a.reconcile_exclude
-                save(quality.reconcile(prev, read(written[name]), exclude=exclude),
+                save(quality.reconcile(earlier[name], written.build.read(spark, name), exclude=exclude),
                      f"reconcile_{name}")
-    return written
+    return {**written, **checks}
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ summary row per check; nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -41,6 +41,8 @@ WARN_AFTER_HOURS = 72
 ERROR_AFTER_HOURS = 168
 # Columns left out when comparing two builds of a model (free-form JSON).
 RECONCILE_EXCLUDE = {"automations": ["trigger_settings"]}
+# Groups of rows that a reconcile compares by their fingerprints.
+BUCKETS = 1 << 14
 # Labels of the two sides in a reconcile.
 LEFT_LABEL = "from prod"
 RIGHT_LABEL = "from dev"
@@ -65,14 +67,21 @@ def _summary(model: str, test: str, column: str, failures: DataFrame) -> DataFra
         "failures")
 
 
-def run_tests(models: dict[str, DataFrame], kind: str = "all") -> DataFrame:
+def run_tests(models: dict[str, DataFrame], kind: str = "all",
+              not_null: Mapping[tuple[str, str], int] | None = None) -> DataFrame:
     """One row per declared test on the models present: model, test,
     column_name, failures (violating rows for not_null, duplicated keys for
-    unique)."""
-    parts = []
+    unique).  ``not_null``: failures of (model, column) that are known already,
+    counted while the tables were written; they cost no scan."""
+    known, parts = dict(not_null or {}), []
+    spark = next(iter(models.values())).sparkSession
     if kind in ("all", "not_null"):
+        tests = [t for t in NOT_NULL_TESTS if t[0] in models]
+        counted = [(m, "not_null", c, known[m, c]) for m, c in tests if (m, c) in known]
+        if counted:
+            parts.append(spark.createDataFrame(counted, "model string, test string, column_name string, failures long"))
         parts += [_summary(m, "not_null", c, not_null_violations(models[m], c))
-                  for m, c in NOT_NULL_TESTS if m in models]
+                  for m, c in tests if (m, c) not in known]
     if kind in ("all", "unique"):
         parts += [_summary(m, "unique", c, unique_violations(models[m], c))
                   for m, c in UNIQUE_TESTS if m in models]
@@ -124,15 +133,47 @@ def freshness(raw: dict[str, DataFrame], synced_column: str, as_of: datetime | N
     return out.select("*", status.alias("status"))
 
 
+def _fingerprints(df: DataFrame, cols: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with ``_bucket``, a number that equal rows share, and two hashes of the row."""
+    # a hash passes over NULLs: where they are is hashed too
+    values = [x for c in cols for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    hashes = [F.xxhash64(F.lit(seed), *values).alias(f"_h{seed}") for seed in (0, 1)]
+    return df.select(*[F.col(f"`{c}`") for c in cols], *hashes).withColumn("_bucket", F.pmod("_h0", F.lit(buckets)))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, cols: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """``_bucket`` of the rows in which two tables differ, at most ``buckets`` rows.
+
+    A bucket's fingerprint is its number of rows and the sums of two hashes of
+    them, whatever their order. They are added up in the map tasks, so that a
+    row per bucket and task is shuffled. Different rows with the same 128 bits
+    would go unseen."""
+    def prints(df: DataFrame, side: str) -> DataFrame:
+        sums = [F.sum(F.col(f"_h{i}").cast("decimal(20,0)")).alias(f"_s{i}") for i in (0, 1)]
+        return (_fingerprints(df, cols, buckets).groupBy("_bucket").agg(*sums, F.count("*").alias("_n"))
+                .select("_bucket", F.struct("_n", "_s0", "_s1").alias(side)))
+
+    both = prints(left, "_left").join(prints(right, "_right"), "_bucket", "full")
+    return both.where(~F.col("_left").eqNullSafe(F.col("_right"))).select("_bucket")
+
+
 def reconcile(left: DataFrame, right: DataFrame, exclude: Sequence[str] = (),
-              left_label: str = LEFT_LABEL, right_label: str = RIGHT_LABEL) -> DataFrame:
+              left_label: str = LEFT_LABEL, right_label: str = RIGHT_LABEL, buckets: int = BUCKETS) -> DataFrame:
     """Rows of ``left`` not in ``right`` and rows of ``right`` not in
     ``left`` (set difference, duplicates removed), tagged in column
-    ``source``.  Empty when the two builds agree.  One aggregation over both
-    sides, so each is shuffled once."""
+    ``source``.  Empty when the two builds agree.
+
+    In two levels: the fingerprints of ``buckets`` groups of rows tell where the
+    builds differ; only the rows of those groups are shuffled and compared, by
+    one aggregation over both sides.  Builds that agree shuffle fingerprints
+    only.  Rows that compare as equal but hash unlike (of unlike types, say)
+    make their groups differ, never the result."""
     cols = [c for c in left.columns if c not in set(exclude)]
-    sides = [df.select(*cols, F.lit(i).alias("_side")) for i, df in enumerate((left, right))]
-    both = sides[0].unionByName(sides[1]).groupBy(*cols).agg(
+    where = F.broadcast(differing_buckets(left, right, cols, buckets))  # ``buckets`` rows at most
+    names = [F.col(f"`{c}`") for c in cols]
+    sides = [_fingerprints(df, cols, buckets).join(where, "_bucket", "left_semi").select(*names, F.lit(i).alias("_side"))
+             for i, df in enumerate((left, right))]
+    both = sides[0].unionByName(sides[1]).groupBy(*names).agg(
         F.min("_side").alias("_first"), F.max("_side").alias("_last"))
     label = F.when(F.col("_first") == 0, F.lit(left_label)).otherwise(F.lit(right_label))
-    return both.where("_first = _last").select(*cols, label.alias("source"))
+    return both.where("_first = _last").select(*names, label.alias("source"))

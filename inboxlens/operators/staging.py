@@ -9,6 +9,8 @@ pruning reaches the Parquet scan when callers use fewer columns.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,31 @@ def _project(df: DataFrame, spec: list[str]) -> DataFrame:
     return df.selectExpr(*_columns(spec))
 
 
+def _with_time(df: DataFrame, column: str) -> DataFrame:
+    """``column`` as a zone-free timestamp; text that is no time is NULL (see ``stg_rejects``)."""
+    return df.withColumn(column, F.expr(f"try_cast({q(column)} AS TIMESTAMP_NTZ)"))
+
+
+# Raw columns whose times are parsed, and the staged key of their rows.
+PARSED_TIMES = (("campaign", "send_time", ("id",)),
+                ("campaign_recipient_activity", "timestamp", ("action", "campaign_id", "member_id")))
+
+
+def stg_rejects(raw: dict[str, DataFrame], options: Options = Options()) -> DataFrame:
+    """The raw values that staging could not parse and left NULL: source_relation,
+    source_table, column_name, row_key (the row's ids, joined by '-') and raw_value."""
+    parts = []
+    for table, column, ids in PARSED_TIMES:
+        if table not in raw:
+            continue
+        df = conform(raw[table], table, options)
+        key = ", ".join(f"coalesce(cast({q(c)} AS STRING), '')" for c in ids)
+        parts.append(df.where(f"{q(column)} IS NOT NULL AND try_cast({q(column)} AS TIMESTAMP_NTZ) IS NULL").selectExpr(
+            "source_relation", f"'{table}' AS source_table", f"'{column}' AS column_name",
+            f"concat_ws('-', {key}) AS row_key", f"cast({q(column)} AS STRING) AS raw_value"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def stg_automations(raw: DataFrame, options: Options = Options()) -> DataFrame:
     df = conform(raw, "automation", options)
     return _project(df, [
@@ -76,8 +103,7 @@ def stg_automation_activities(raw: DataFrame, options: Options = Options()) -> D
 
 
 def stg_campaigns(raw: DataFrame, options: Options = Options()) -> DataFrame:
-    df = conform(raw, "campaign", options).withColumn(
-        "send_time", F.col("send_time").cast("timestamp_ntz"))
+    df = _with_time(conform(raw, "campaign", options), "send_time")
     return _project(df, [
         "source_relation", "id as campaign_id", "segment_id", "create_time as create_timestamp",
         "send_time as send_timestamp", "list_id", "reply_to as reply_to_email",
@@ -99,8 +125,7 @@ def stg_campaign_recipients(raw: DataFrame, options: Options = Options()) -> Dat
 
 
 def stg_campaign_activities(raw: DataFrame, options: Options = Options()) -> DataFrame:
-    df = conform(raw, "campaign_recipient_activity", options).withColumn(
-        "timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    df = _with_time(conform(raw, "campaign_recipient_activity", options), "timestamp")
     df = _project(df, [
         "source_relation", "action as action_type", "campaign_id", "member_id", "list_id",
         "timestamp as activity_timestamp", "ip as ip_address", "url", "bounce_type",
@@ -187,4 +212,7 @@ STAGING = {
 
 def stage_all(raw: dict[str, DataFrame], options: Options = Options()) -> dict[str, DataFrame]:
     """Staged DataFrames keyed by staged name, for every raw table given."""
-    return {name: fn(raw[t], options) for t, (name, fn) in STAGING.items() if t in raw}
+    staged = {name: fn(raw[t], options) for t, (name, fn) in STAGING.items() if t in raw}
+    if any(t in raw for t, _, _ in PARSED_TIMES):
+        staged["stg_rejects"] = stg_rejects(raw, options)
+    return staged

@@ -23,24 +23,30 @@ Materialize = Callable[[str, DataFrame], DataFrame]
 
 OUTPUTS = ("campaign_activities", "campaign_recipients", "campaigns", "automation_activities",
            "automation_emails", "automations", "members", "lists", "segments")
-# Stored tier by tier: a tier's tables read only stored ones of the tiers before.
-TIERS = (("campaign_activities", "automation_activities", "int_automation_recipients",
-          "int_automation_unsubscribes"),
-         ("campaign_recipients",),
-         ("int_campaign_activities_by_member",))
-HUBS = tuple(name for tier in TIERS for name in tier)
+# Read by several others; a sink stores them.
+HUBS = ("campaign_activities", "automation_activities", "int_automation_recipients",
+        "int_automation_unsubscribes", "campaign_recipients", "int_campaign_activities_by_member")
 
 
 def _lazy(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def build(raw: dict[str, DataFrame], options: Options = Options(),
-          materialize: Materialize = _lazy) -> dict[str, DataFrame]:
+def _in_turn(*parts: Callable) -> list:
+    return [p() for p in parts]
+
+
+def build(raw: dict[str, DataFrame], options: Options = Options(), materialize: Materialize = _lazy,
+          ready: Callable[[str, DataFrame], None] | None = None,
+          together: Callable[..., list] | None = None) -> dict[str, DataFrame]:
     """All models for the raw tables ``raw`` (as returned by ``read_sources``).
 
     Keys: ``stg_*`` staged tables, ``int_*`` intermediates and the nine
-    outputs of ``OUTPUTS`` (those switched off are absent)."""
+    outputs of ``OUTPUTS`` (those switched off are absent).
+
+    ``ready`` is told of each model once all hubs it reads are materialized;
+    ``together`` runs the campaign and the automation side, two functions, at a
+    time and returns what they do."""
     o = options
     missing = [t for t in enabled_tables(o) if t not in raw]
     if missing:
@@ -51,13 +57,33 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
     conns = getattr(raw, "connections", None)
     sc = Scope(by_source=not (conns is not None and len(conns) == 1))
     s = stage_all(raw, o)
-    m: dict[str, DataFrame] = dict(s)
+    m: dict[str, DataFrame] = {}
 
     def hub(name: str, df: DataFrame) -> DataFrame:
         m[name] = materialize(name, df) if name in HUBS else df
+        if ready:
+            ready(name, m[name])
         return m[name]
 
-    # campaign side
+    for name, df in s.items():
+        hub(name, df)
+    c_by, a_by = (together or _in_turn)(lambda: _campaign_side(s, hub, o, sc), lambda: _automation_side(s, hub, o, sc))
+
+    # audience
+    hub("members", audience.members(s["stg_members"], c_by["member"], a_by["member"], unsub,
+                                    sc))
+    by_list_members = hub("int_members_by_list", audience.members_by_list(s["stg_members"], sc))
+    hub("lists", audience.lists(s["stg_lists"], by_list_members, c_by["list"], a_by["list"],
+                                unsub, sc))
+    if o.using_segments:
+        hub("segments", audience.segments(s["stg_segments"], c_by["segment"], s["stg_lists"],
+                                          a_by["segment"], unsub, sc))
+    return m
+
+
+def _campaign_side(s: dict[str, DataFrame], hub: Materialize, o: Options, sc: Scope) -> dict[str, DataFrame]:
+    """The campaign models; returns the rollups by campaign, member, list and segment."""
+    unsub = o.using_unsubscribes
     acts = hub("campaign_activities",
                campaign.campaign_activities(s["stg_campaign_activities"], s["stg_campaigns"], sc))
     by_email = campaign.activities_by_email(acts, o.distinct_strategy, sc)
@@ -80,35 +106,31 @@ def build(raw: dict[str, DataFrame], options: Options = Options(),
         c_by[by] = hub(f"int_campaign_activities_by_{by}", rollup)
     hub("campaigns", campaign.campaigns(s["stg_campaigns"], c_by["campaign"], unsub, sc))
 
-    # automation side
-    a_by: dict[str, DataFrame | None] = {k: None for k in automation.ROLLUPS}
-    if o.using_automations:
-        owner = automation.email_owner(s["stg_automation_emails"], s["stg_automations"], sc)
-        a_acts = hub("automation_activities",
-                     automation.automation_activities(s["stg_automation_activities"], owner, sc))
-        a_rec = hub("int_automation_recipients",
-                    automation.automation_recipients(s["stg_automation_recipients"], owner, sc))
-        a_uns = hub("int_automation_unsubscribes",
-                    automation.automation_unsubscribes(s["stg_unsubscribes"], owner, sc)) \
-            if unsub else None
-        for by in automation.ROLLUPS:
-            a_by[by] = hub(f"int_automation_activities_by_{by}", automation.automation_rollup(
-                by, a_acts, a_rec, a_uns, o.distinct_strategy, o.fix_member_list_id, sc))
-        hub("automation_emails", automation.automation_emails(
-            s["stg_automation_emails"], s["stg_automations"], a_by["email"], unsub, sc))
-        hub("automations", automation.automations(s["stg_automations"], a_by["automation"],
-                                                  unsub, sc))
+    return c_by
 
-    # audience
-    hub("members", audience.members(s["stg_members"], c_by["member"], a_by["member"], unsub,
-                                    sc))
-    by_list_members = hub("int_members_by_list", audience.members_by_list(s["stg_members"], sc))
-    hub("lists", audience.lists(s["stg_lists"], by_list_members, c_by["list"], a_by["list"],
-                                unsub, sc))
-    if o.using_segments:
-        hub("segments", audience.segments(s["stg_segments"], c_by["segment"], s["stg_lists"],
-                                          a_by["segment"], unsub, sc))
-    return m
+
+def _automation_side(s: dict[str, DataFrame], hub: Materialize, o: Options, sc: Scope) -> dict[str, DataFrame | None]:
+    """The automation models; returns the five rollups (None if switched off)."""
+    a_by: dict[str, DataFrame | None] = {k: None for k in automation.ROLLUPS}
+    if not o.using_automations:
+        return a_by
+    unsub = o.using_unsubscribes
+    owner = automation.email_owner(s["stg_automation_emails"], s["stg_automations"], sc)
+    a_acts = hub("automation_activities",
+                 automation.automation_activities(s["stg_automation_activities"], owner, sc))
+    a_rec = hub("int_automation_recipients",
+                automation.automation_recipients(s["stg_automation_recipients"], owner, sc))
+    a_uns = hub("int_automation_unsubscribes",
+                automation.automation_unsubscribes(s["stg_unsubscribes"], owner, sc)) \
+        if unsub else None
+    for by in automation.ROLLUPS:
+        a_by[by] = hub(f"int_automation_activities_by_{by}", automation.automation_rollup(
+            by, a_acts, a_rec, a_uns, o.distinct_strategy, o.fix_member_list_id, sc))
+    hub("automation_emails", automation.automation_emails(
+        s["stg_automation_emails"], s["stg_automations"], a_by["email"], unsub, sc))
+    hub("automations", automation.automations(s["stg_automations"], a_by["automation"],
+                                              unsub, sc))
+    return a_by
 
 
 def checkpointed(spark) -> Materialize:

@@ -7,14 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
 from ..options import Options, PassThrough
+from ..session import shared_folder
 from ..sources import ABSENT, Connection, read_sources
+from ..sources.connections import enabled_tables
 from ..sources.fixtures import Account, fixture_sources, load_driver_tables
 from .build import OUTPUTS, build
+from .publish import read_build
+from .views import register_views
+from .write import write_build
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +41,14 @@ OTHER = Account(shift=4, minutes=1500, without=(
 OTHER_TYPES = Account(shift=4, minutes=1500, types=(
     ("campaign", "id", "bigint"), ("campaign", "segment_id", "bigint"),
     ("campaign", "wait_time", "string"), ("campaign", "test_size", "double")))
-LATER_BUILD = Account(minutes=60, label="*")
+LATER_BUILD = Account(minutes=60, label="*", blank=(("segment", "updated_at"),))
+# One with ids and times left out: NULL keys, keys that collide, and sends without a
+# member; and one with times that are no times.
+GAPS = Account(blank=tuple((t, "id") for t in ("automation", "automation_email", "campaign", "list", "member", "segment"))
+               + tuple((t, c) for t in ("automation_recipient_activity", "campaign_recipient_activity", "unsubscribe")
+                       for c in ("member_id", "timestamp"))
+               + (("automation_recipient", "member_id"), ("campaign_recipient", "member_id")))
+GARBLED = Account(garbled=(("campaign", "send_time"), ("campaign_recipient_activity", "timestamp")))
 ONE_EMPTY = Account(empty=("segment_member",))
 
 ONE = (("conn_a", Account()),)
@@ -85,6 +98,52 @@ ALL_OFF = Options(using_automations=False, using_segments=False, using_unsubscri
 NATIVE = Options(distinct_strategy="native")
 
 
+GAP_MODELS = ("stg_campaign_recipients", "int_campaign_activities_by_email", "campaign_recipients", "campaigns", "members", "lists",
+              "automations")
+
+
+def _written(name: str) -> Query:
+    """A table of a build that was written, published and read again."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target = f"{shared_folder(spark)}/build-{uuid4().hex}"
+        write_build(spark, sources(spark, sf_dir), target)
+        return read_build(spark, target)[name]
+    return query
+
+
+def _view(name: str) -> Query:
+    """A model through its SQL view."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_views({name: models(spark, sf_dir)[name]}, prefix="by_view_")
+        return spark.sql(f"SELECT * FROM by_view_{name}")
+    return query
+
+
+def _renamed(name: str, tables: tuple[str, ...]) -> Query:
+    """A model over raw tables that are stored in folders of other names."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = f"{shared_folder(spark)}/raw-{uuid4().hex}"
+        options = Options(using_automations=False, using_segments=False, using_unsubscribes=False)
+        names = {t: f"{t}_v2" if t in tables else t for t in enabled_tables(options)}
+        for table, df in sources(spark, sf_dir, options).items():
+            df.drop("source_relation").write.parquet(f"{root}/{names[table]}")
+        raw = read_sources(spark, [Connection.from_directory("conn_a", root, names)], options)
+        return build(raw, options)[name]
+    return query
+
+
+def _one_scan(name: str) -> Query:
+    """A model over the stored raw tables of several accounts, read by one scan a table."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = f"{shared_folder(spark)}/accounts-{uuid4().hex}"
+        d = load_driver_tables(spark, sf_dir)
+        for conn, account in TWO:
+            for table, df in fixture_sources(d, Options(), account).items():
+                df.write.parquet(f"{root}/{conn}/{table}")
+        return build(read_sources(spark, [Connection.from_directory(c, f"{root}/{c}") for c, _ in TWO]))[name]
+    return query
+
+
 def _dq_tests(kind: str, conns: tuple = ONE) -> Query:
     return lambda spark, sf_dir: quality.run_tests(models(spark, sf_dir, conns=conns), kind)
 
@@ -128,6 +187,17 @@ def spark_queries() -> dict[str, Query]:
     q["dq_not_null"] = _dq_tests("not_null")
     q["dq_unique"] = _dq_tests("unique")
     q["dq_unique_two_sources"] = _dq_tests("unique", TWO)
+    gaps = (("conn_a", GAPS),)
+    q["dq_not_null_gaps"] = _dq_tests("not_null", gaps)
+    q["dq_unique_gaps"] = _dq_tests("unique", gaps)
+    for name in GAP_MODELS:
+        q[f"{name}_gaps"] = _model(name, conns=gaps)
+    for name in ("stg_rejects", "stg_campaigns", "campaign_activities"):
+        q[f"{name}_garbled_times"] = _model(name, conns=(("conn_a", GARBLED),))
+    q["members_written_build"] = _written("members")
+    q["lists_view"] = _view("lists")
+    q["campaigns_renamed_tables"] = _renamed("campaigns", ("campaign", "campaign_recipient"))
+    q["campaigns_two_stored_accounts"] = _one_scan("campaigns")
     q["campaigns_mixed_types_two_sources"] = _model("campaigns", conns=MIXED)
     q["campaigns_mixed_types_two_sources_reversed"] = _model("campaigns", conns=MIXED[::-1])
     q["lists_one_account_without_unsubscribes"] = _model("lists", conns=TWO,

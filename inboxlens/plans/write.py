@@ -1,126 +1,103 @@
-"""Sink: a full rebuild written as tables.
-
-Outputs go to ``<target>/<name>``, staged tables to ``<target>_stg/<name>``
-(two schemas, like the two target schemas of the SQL build), shared
-intermediates to ``<target>/_int/<name>``.
-
-The hub tables read by several others are written tier by tier (events with
-their owners; per-send campaign metrics; metrics by member), each planned on
-the stored tier before it, then every remaining table. So each hub is computed
-once, and a lost executor costs a re-read of a stored hub, not a recomputation
-of the upstream joins. Within a step the tables do not depend on each other,
-so they are submitted as concurrent Spark jobs (``max_parallel_jobs``), which
-keeps the cluster busy through the many small stages of the dimension-side
-work.
-
-Everything is written beside the live tables first (``_run-<id>`` folders, or
-``<name>__run`` tables) and moved into place at the end. A build that fails
-leaves the previous one as it was; while the moves run (renames on file
-systems and in the catalog) a reader can meet tables of both builds, so use a
-table format with atomic replacement where that matters.
+"""Sink: a full rebuild written as tables and published as a whole.
+
+The hub tables read by several others (events with their owners; per-send
+campaign metrics; metrics by member) are stored as soon as they are planned, and
+whatever reads them is planned on the stored copy. So each hub is computed once,
+and a lost executor costs a re-read of a stored hub, not a recomputation of the
+upstream joins. The campaign and the automation side do not depend on each other
+and are stored side by side; every other table is submitted as a job once the
+tables it reads are stored, with at most ``max_parallel_jobs`` jobs at a time.
+
+NOT NULL failures are counted while the tables are written (``Written.not_null``),
+without a further scan. Everything goes into tables of the run's own, and one
+manifest makes it the current build (see ``publish``).
 """
 
 from __future__ import annotations
 
-import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
+from threading import Lock, Semaphore
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.sql import q
+from ..operators.quality import NOT_NULL_TESTS
 from ..options import Options
-from ..sources.connections import read_with_text_partition
-from .build import OUTPUTS, TIERS, build
+from .build import HUBS, OUTPUTS, build
+from .publish import KEEP, STALE_HOURS, Build, Run
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Put folder ``source`` in the place of ``target`` (Hadoop file system)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    src, dst = path(source), path(target)
-    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(dst.getParent())
-    fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
+class Written(dict):
+    """Location of each table written, by name; the published ``build``;
+    ``not_null``: (model, column) -> NULL values, of each declared test on them."""
+
+    def __init__(self, build: Build, not_null: dict[tuple[str, str], int]):
+        super().__init__(build.tables)
+        self.build, self.not_null = build, not_null
+
+
+def _together(pool: ThreadPoolExecutor, *parts: Callable) -> list:
+    futures = [pool.submit(p) for p in parts]
+    return [f.result() for f in futures]
 
 
 def write_build(spark: SparkSession, raw: dict[str, DataFrame], target: str,
                 options: Options = Options(), fmt: str = "parquet", staging: bool = True,
                 database: str | None = None, partition_by_source: bool = False,
-                max_parallel_jobs: int = 4) -> dict[str, str]:
-    """Build and write every output (and staged table); returns name -> location.
-
-    With ``database`` the tables are saved in the catalog as
-    ``<database>.<name>`` (staged ones in ``<database>_stg``; both are created
-    if needed) instead of paths. ``partition_by_source`` writes one folder per
-    connection, so readers filtering on ``source_relation`` skip the other
-    accounts' files.
+                max_parallel_jobs: int = 4, keep: int = KEEP, stale_hours: float = STALE_HOURS) -> Written:
+    """Build, write and publish every output (and staged table); returns name -> location.
+
+    ``read_build(spark, target)`` gives the tables of the newest build. With
+    ``database`` the tables are saved in the catalog instead of under ``target``,
+    and views ``<database>.<name>`` show the newest (databases are created if
+    needed). ``partition_by_source`` writes one folder per connection, so readers
+    filtering on ``source_relation`` skip the other accounts' files. The newest
+    ``keep`` builds stay; runs that were killed are swept ``stale_hours`` later.
     """
-    target = target.rstrip("/")
-    run = f"_run-{uuid.uuid4().hex}"
-    if database:
-        for schema in (database, f"{database}_stg"):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(schema)}")
-
-    def location(name: str) -> str:
-        if database:
-            schema = f"{database}_stg" if name.startswith("stg_") else database
-            return f"{schema}.{name}"
-        if name.startswith("stg_"):
-            return f"{target}_stg/{name}"
-        if name.startswith("int_"):
-            return f"{target}/_int/{name}"
-        return f"{target}/{name}"
-
-    def new(name: str) -> str:
-        return f"{location(name)}__run" if database else f"{target}/{run}/{name}"
-
-    def save(item: tuple[str, DataFrame]) -> None:
-        name, df = item
-        if partition_by_source:
+    with Run(spark, target, database, fmt, keep, stale_hours) as run:
+        names, not_null = _write(run, raw, options, staging, "source_relation" if partition_by_source else None,
+                                 max(1, max_parallel_jobs))
+        published = run.publish(names)
+        run.tidy(published)
+    return Written(published, not_null)
+
+
+def _write(run: Run, raw: dict[str, DataFrame], options: Options, staging: bool, partition_column: str | None,
+           jobs: int) -> tuple[list[str], dict[tuple[str, str], int]]:
+    slots, lock = Semaphore(jobs), Lock()
+    names: list[str] = []
+    not_null: dict[tuple[str, str], int] = {}
+
+    def save(name: str, df: DataFrame) -> None:
+        if partition_column:
             # one task per account and file: AQE splits large accounts, merges small ones
-            df = df.hint("rebalance", "source_relation")
-        w = df.write.mode("overwrite").format(fmt)
-        if partition_by_source:
-            w = w.partitionBy("source_relation")
-        if database:
-            w.saveAsTable(new(name))
-        else:
-            w.save(new(name))
-
-    def stored(name: str) -> DataFrame:
-        if database:
-            return spark.table(new(name))
-        if partition_by_source:
-            return read_with_text_partition(spark, new(name), fmt, "source_relation")
-        return spark.read.format(fmt).load(new(name))
-
-    written: list[str] = []
-
-    def save_all(items: list[tuple[str, DataFrame]]) -> None:
-        with ThreadPoolExecutor(max(1, max_parallel_jobs)) as pool:
-            list(pool.map(save, items))  # re-raises the first failure
-        written.extend(name for name, _ in items)
-
-    def on_stored(name: str, df: DataFrame) -> DataFrame:
-        return stored(name) if name in written else df
-
-    for tier in TIERS:
-        models = build(raw, options, materialize=on_stored)
-        save_all([(n, models[n]) for n in tier if n in models])
-    models = build(raw, options, materialize=on_stored)
-    names = [n for n in OUTPUTS if n in models and n not in written]
-    if staging:
-        names += [n for n in models if n.startswith("stg_")]
-    save_all([(n, models[n]) for n in names])
-
-    for name in written:
-        if database:
-            spark.sql(f"DROP TABLE IF EXISTS {location(name)}")
-            spark.sql(f"ALTER TABLE {new(name)} RENAME TO {location(name)}")
-        else:
-            _move(spark, new(name), location(name))
-    if not database:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{run}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return {n: location(n) for n in written}
+            df = df.hint("rebalance", partition_column)
+        tested = [c for m, c in NOT_NULL_TESTS if m == name]
+        seen = Observation()
+        if tested:
+            # in the writing stage, so that a stage run again does not count twice
+            df = df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in tested])
+        with slots:
+            run.save(name, df, partition_column)
+        with lock:
+            names.append(name)
+            if tested:
+                not_null.update({(name, c): n for c, n in seen.get.items()})
+
+    def materialize(name: str, df: DataFrame) -> DataFrame:
+        save(name, df)
+        return run.read(name)
+
+    with ThreadPoolExecutor(2) as sides, ThreadPoolExecutor(jobs) as pool:
+        submitted: list[Future] = []
+
+        def ready(name: str, df: DataFrame) -> None:
+            if name not in HUBS and (name in OUTPUTS or staging and name.startswith("stg_")):
+                submitted.append(pool.submit(save, name, df))
+
+        together = (lambda *parts: _together(sides, *parts)) if jobs > 1 else None
+        build(raw, options, materialize=materialize, ready=ready, together=together)
+        for job in submitted:
+            job.result()  # raises the first failure
+    return names, not_null

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime re-planning: coalesce small shuffle partitions, split skewed join
@@ -55,3 +57,14 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     spark.sparkContext.setCheckpointDir(default)
     spark.conf.set("spark.checkpoint.dir", default)
     return default
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share: ``spark.checkpoint.dir``.  Only a local
+    session without that setting gets one of its own."""
+    master = spark.sparkContext.master
+    local = master.startswith("local") and not master.startswith("local-cluster")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named or not local:
+        return checkpoint_dir(spark).rstrip("/")
+    return checkpoint_dir(spark, "file://" + tempfile.mkdtemp(prefix="inboxlens-"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +19,8 @@ from ..options import Options
 from . import schemas
 
 
+# Formats whose rows know the file they are from.
+_FILES = ("parquet", "orc", "csv", "json")
 # Table entry of an account that does not sync the table: it has no rows.
 ABSENT = object()
 
@@ -69,10 +74,16 @@ class Connection:
             return ref
         if self.fmt == "table":
             return spark.table(str(ref))
+        return self.reader(spark, table).load(str(ref))
+
+    def reader(self, spark: SparkSession, table: str) -> DataFrameReader:
         reader = spark.read.format(self.fmt).options(**self.reader_options)
-        if table in self.schemas:
-            reader = reader.schema(self.schemas[table])
-        return reader.load(str(ref))
+        return reader.schema(self.schemas[table]) if table in self.schemas else reader
+
+    def folder(self, table: str) -> str | None:
+        """Where the table's files are, if it is given as one path of plain files."""
+        ref = self.tables.get(table)
+        return ref if isinstance(ref, str) and self.fmt in _FILES and not set(ref) & set("*?[]{}") else None
 
 
 def enabled_tables(options: Options) -> list[str]:
@@ -118,14 +129,14 @@ def _zone_free(df: DataFrame) -> DataFrame:
                            else q(f.name) for f in df.schema.fields])
 
 
-def union_connections(frames: list[tuple[str, DataFrame]], options: Options,
+def union_connections(frames: list[tuple[str | None, DataFrame]], options: Options,
                       table: str = "") -> DataFrame:
     """UNION ALL by column name of one raw table across connections.
 
-    Every row gets ``source_relation``.  A column absent from a connection is
-    NULL there; a column whose type differs between connections takes their
-    ``common_type``, so no value is narrowed and the order of the connections
-    does not matter.
+    Every row gets ``source_relation``, the connection's name (None: the frame
+    has the column already).  A column absent from a connection is NULL there; a
+    column whose type differs between connections takes their ``common_type``,
+    so no value is narrowed and the order of the connections does not matter.
     """
     frames = [(conn, _zone_free(df)) for conn, df in frames]
     names: dict[str, str] = {}
@@ -139,18 +150,66 @@ def union_connections(frames: list[tuple[str, DataFrame]], options: Options,
     parts = []
     for conn, df in frames:
         have = {f.name.lower(): f for f in df.schema.fields}
-        sr = conn if options.source_casing else conn.lower()
         cols = []
         for key, dtype in target.items():
             f = have.get(key)
             value = "NULL" if f is None else q(f.name)
             cols.append(alias(value if f is not None and f.dataType == dtype
                               else f"CAST({value} AS {dtype.simpleString()})", names[key]))
-        # the name goes in as a value, not as SQL text (no quoting concerns)
-        parts.append(df.selectExpr(*cols).select(F.lit(sr).alias("source_relation"), "*"))
+        if conn is None:
+            parts.append(df.selectExpr(q("source_relation"), *cols))
+        else:
+            # the name goes in as a value, not as SQL text (no quoting concerns)
+            parts.append(df.selectExpr(*cols).select(F.lit(_relation(conn, options)).alias("source_relation"), "*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _relation(conn: str, options: Options) -> str:
+    return conn if options.source_casing else conn.lower()
+
+
+_SLASHES = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"  # file:/x and file:///x name the same folder
+
+
+def _folder(spark: SparkSession, path: str) -> str:
+    """The path of a folder as it stands in the paths of its files."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    qualified = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found)
+    return re.sub(_SLASHES, r"\1:/", spark._jvm.org.apache.spark.paths.SparkPath.fromPath(qualified).urlEncoded())
+
+
+def scan_accounts(spark: SparkSession, accounts: list[tuple[Connection, str]], table: str,
+                  options: Options) -> list[tuple[None, DataFrame]]:
+    """One raw table of many accounts in folders of their own, by one scan for
+    each file schema there is, whatever the number of accounts.
+
+    The account of a row is that of its file's folder: the listed folders, a row
+    an account, are looked up by broadcast (as many rows as accounts are listed).
+    Schemas are read folder by folder, several at a time."""
+    def schema(entry: tuple[Connection, str]) -> T.StructType:
+        conn, path = entry
+        return conn.reader(spark, table).load(path).schema
+
+    with ThreadPoolExecutor(min(16, len(accounts))) as pool:
+        found = list(pool.map(schema, accounts))
+    groups: dict[tuple, list[tuple[Connection, str, str]]] = {}
+    for (conn, path), fields in zip(accounts, found):
+        folder = _folder(spark, path)
+        kind = (conn.fmt, tuple(sorted(conn.reader_options.items())), fields.json(), folder.count("/"))
+        groups.setdefault(kind, []).append((conn, path, folder))
+    out = []
+    for (_, _, fields, depth), members in groups.items():
+        paths = list(dict.fromkeys(path for _, path, _ in members))
+        rows = members[0][0].reader(spark, table).schema(T.StructType.fromJson(json.loads(fields))).load(paths)
+        folders = spark.createDataFrame([(folder, _relation(c.name, options)) for c, _, folder in members], "__folder string, __account string")
+        file = F.regexp_replace(F.col("_metadata.file_path"), _SLASHES, "$1:/")
+        account = F.coalesce("__account", F.raise_error(F.concat(F.lit("file of no listed folder: "), "__at")))
+        rows = (rows.withColumn("__at", F.substring_index(file, "/", depth + 1)).join(F.broadcast(folders), F.col("__at") == F.col("__folder"), "left")
+                .select(account.alias("source_relation"), *[F.col(q(f.name)) for f in rows.schema.fields if f.name.lower() != "source_relation"]))
+        out.append((None, rows))
+    return out
+
+
 class SourceTables(dict):
     """Raw tables keyed by table name, remembering the connections they hold
     (empty when not known up front, e.g. partitioned storage) and, for each
@@ -167,15 +226,22 @@ def read_sources(spark: SparkSession, connections: list[Connection],
                  options: Options = Options()) -> SourceTables:
     """Raw tables of all connections, unioned per table, keyed by table name.
 
-    A table that some connections mark ABSENT has the others' rows; it is an
-    error if all of them do."""
+    Accounts whose table is a folder of files share one scan per file schema
+    (``scan_accounts``); the other tables are a scan each.  A table that some
+    connections mark ABSENT has the others' rows; it is an error if all of them
+    do."""
     out, accounts = {}, {}
     for table in enabled_tables(options):
-        frames = [(c.name, df) for c in connections if (df := c.read(spark, table)) is not None]
+        listed = [(c, folder) for c in connections if (folder := c.folder(table)) is not None]
+        together = listed if len(listed) > 1 else []
+        done = {id(c) for c, _ in together}
+        frames = [(c.name, df) for c in connections if id(c) not in done and (df := c.read(spark, table)) is not None]
+        if together:
+            frames += scan_accounts(spark, together, table, options)
         if not frames:
             raise KeyError(f"no connection has a {table!r} table; switch the feature off in Options")
         out[table] = union_connections(frames, options, table)
-        accounts[table] = [n if options.source_casing else n.lower() for n, _ in frames]
+        accounts[table] = [_relation(c.name, options) for c in connections if c.tables.get(table) is not ABSENT]
     return SourceTables(out, [c.name for c in connections], accounts)
 
 

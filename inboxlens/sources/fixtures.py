@@ -34,7 +34,8 @@ class Account:
     overlap); minutes: added to event times; label: appended to the filled
     texts of every third key; without: (table, column) that its raw tables
     lack; types: (table, column, SQL type) stored differently; empty: tables
-    without rows."""
+    without rows; blank: (table, column) that is NULL in every fifth row;
+    garbled: (table, text column) that holds no time in every eleventh row."""
 
     shift: int = 0
     minutes: int = 0
@@ -42,6 +43,8 @@ class Account:
     without: tuple[tuple[str, str], ...] = ()
     types: tuple[tuple[str, str, str], ...] = ()
     empty: tuple[str, ...] = ()
+    blank: tuple[tuple[str, str], ...] = ()
+    garbled: tuple[tuple[str, str], ...] = ()
 
 
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -57,6 +60,8 @@ def filler(column: str, position: int, kind: str, label: str = "") -> str:
         "string": text,
         "int": f"cast(k % 1000 + {position * 1000} as int)",
         "float": f"cast(k % 1000 as double) + {position / 4}D",
+        "bigint": f"k % 1000 + {position * 1000}",
+        "date": f"date_add(date'1990-01-01', cast(k % 3650 as int) + {position})",
         "boolean": f"substring(md5(concat('{column}', cast(k as string))), 1, 1) < '8'",
         "timestamp": "timestamp_ntz'2024-01-20 00:00:00' + "
                      f"make_dt_interval(0, 0, cast((k * 7 + {position}) % 20000 as int), 0)",
@@ -70,13 +75,21 @@ def _raw(df: DataFrame, table: str, options: Options, account: Account,
     names = {schemas.SYNCED: options.synced_column, schemas.DELETED: options.deleted_column}
     types = {(t, c): kind for t, c, kind in account.types}
     out = []
-    for position, (name, kind) in enumerate(schemas.DECLARED[table]):
+    declared = [*schemas.DECLARED[table]]
+    if table == "member":  # and the extra columns that the options carry
+        held = {name for name, _ in declared}
+        declared += [(p.name, p.datatype) for p in options.member_pass_through if p.name not in held]
+    for position, (name, kind) in enumerate(declared):
         name = names.get(name, name)
         if (table, name) in account.without:
             continue
         value = given.get(name) or filler(name, position, kind, account.label)
         if (table, name) in types:
             value = f"cast({value} as {types[table, name]})"
+        if (table, name) in account.garbled:
+            value = f"if(k % 11 = 0, concat('no time ', cast(k as string)), {value})"
+        if (table, name) in account.blank:
+            value = f"if(k % 5 = 0, null, {value})"
         out.append(f"{value} as `{name}`")
     df = df.selectExpr(*out)
     return df.where(F.lit(False)) if table in account.empty else df

@@ -10,7 +10,7 @@ and the description of the test accounts are shared with the library.
 from __future__ import annotations
 
 from inboxlens.plans.build import OUTPUTS
-from inboxlens.plans.registry import LATER_BUILD, ONE_EMPTY, OTHER, OTHER_TYPES
+from inboxlens.plans.registry import GAP_MODELS, GAPS, GARBLED, LATER_BUILD, ONE_EMPTY, OTHER, OTHER_TYPES
 from inboxlens.sources.fixtures import Account
 from inboxlens.sources.schemas import DECLARED, DELETED as DELETED_MARK, SYNCED as SYNCED_MARK
 
@@ -99,6 +99,10 @@ def fixture_views(p: str, account: Account) -> str:
                 value = GIVEN[table].get(name) or _filled(name, position, kind, account.label)
             if (table, name) in types:
                 value = f"cast({value} as {types[table, name].replace('string', 'varchar')})"
+            if (table, name) in account.garbled:
+                value = f"case when k % 11 = 0 then 'no time ' || k::varchar else ({value})::varchar end"
+            if (table, name) in account.blank:
+                value = f"case when k % 5 <> 0 then {value} end"
             cols.append(f'{value} as "{name}"')
         limit = " limit 0" if table in account.empty else ""
         views.append(f"{p}fx_{table} as (select {', '.join(cols)} {source.format(p=p)}{limit})")
@@ -143,7 +147,7 @@ def _raw_select(table: str, conn: str, p: str, casts: dict[tuple[str, str], str]
         raw, _, out = item.partition(" as ")
         expr = f'"{raw}"'
         if (table, raw) in casts:
-            expr = f"cast({expr} as {casts[table, raw]})"
+            expr = f"try_cast({expr} as {casts[table, raw]})"
         sel.append(f"{expr} as {out or raw}")
     return f"select {', '.join(sel)} from {p}fx_{table}"
 
@@ -332,10 +336,13 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
     off = chain(auto=False, unsub=False, segs=False)
     for name in ("members", "lists", "campaigns"):
         q[f"{name}_all_off"] = _select(off, name)
-    q["members_passthrough"] = _select(chain(
-        passthrough=", lower(country_code) as country_lower, cast(null as varchar) as merge_fname, "
-                    "null::bigint as points, null::date as birthday"),
-        "members")
+    n = len(DECLARED["member"])  # the extra columns stand behind the declared ones
+    key = "(case when list_id = home_list then member_id::bigint else member_id::bigint + 1000000007 end)"
+    q["members_passthrough"] = with_clause([*base, "home_list as (select c_custkey::varchar as member_id, n_regionkey::varchar as home_list "
+                                            "from customer join nation on c_nationkey = n_nationkey)"]) + f"""
+select members.*, lower(country_code) as country_lower, 'merge_fname-' || {key}::varchar as merge_fname,
+       {key} % 1000 + {(n + 1) * 1000} as points, (date '1990-01-01' + ({key} % 3650 + {n + 2})::int)::date as birthday
+from members join home_list using (member_id)"""
     for name in ("int_campaign_activities_by_email", "int_campaign_activities_by_list",
                  "int_campaign_activities_by_campaign", "int_automation_activities_by_list",
                  "int_automation_activities_by_automation"):
@@ -343,7 +350,24 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
     q["dq_not_null"] = with_clause(base) + "\nunion all\n".join(
         f"select '{m}' as model, 'not_null' as test, '{c}' as column_name, count(*) as failures "
         f"from {m} where {c} is null" for m, c in NOT_NULL)
-    for key, ctes in (("dq_unique", base), ("dq_unique_two_sources", two)):
+    gaps = chain(conns=[("conn_a", GAPS)])
+    q["dq_not_null_gaps"] = q["dq_not_null"].replace(with_clause(base), with_clause(gaps))
+    for name in GAP_MODELS:
+        q[f"{name}_gaps"] = _select(gaps, name)
+    times = {("campaign", "send_time"): "timestamp", ("campaign_recipient_activity", "timestamp"): "timestamp"}
+    garbled = chain(conns=[("conn_a", GARBLED)], casts=times)
+    for name in ("stg_campaigns", "campaign_activities"):
+        q[f"{name}_garbled_times"] = _select(garbled, name)
+    q["stg_rejects_garbled_times"] = with_clause([fixture_views("g_", GARBLED)]) + "\nunion all\n".join(
+        f"select 'conn_a' as source_relation, '{t}' as source_table, '{c}' as column_name, {key} as row_key, {c} as raw_value "
+        f"from g_fx_{t} where {c} is not null and try_cast({c} as timestamp) is null"
+        for t, c, key in (("campaign", "send_time", "id"), ("campaign_recipient_activity", '"timestamp"', "action || '-' || campaign_id || '-' || member_id"))
+    ).replace("""'"timestamp"'""", "'timestamp'")
+    for name, plain in (("members_written_build", "members"), ("lists_view", "lists")):
+        q[name] = q[plain]
+    q["campaigns_renamed_tables"] = q["campaigns_all_off"]
+    q["campaigns_two_stored_accounts"] = q["campaigns_two_sources"]
+    for key, ctes in (("dq_unique", base), ("dq_unique_two_sources", two), ("dq_unique_gaps", gaps)):
         q[key] = with_clause(ctes) + "\nunion all\n".join(
             f"select '{m}' as model, 'unique' as test, '{c}' as column_name, count(*) as failures "
             f"from (select source_relation, {c} from {m} where {c} is not null "

@@ -39,6 +39,7 @@ def test_job_reconciles_with_previous_build(spark, tmp_path):
     diff = spark.read.parquet(second["_checks_reconcile_campaigns"]).collect()
     assert sorted((r.source, r.clicks) for r in diff) == [("from dev", 0), ("from prod", 3)]
     assert spark.read.parquet(second["_checks_reconcile_automations"]).count() == 0
+    assert second["_checks_reconcile_segments"].endswith("v2/_checks/reconcile_segments")
     assert first["campaigns"] != second["campaigns"]
 
 

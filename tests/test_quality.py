@@ -94,10 +94,37 @@ def test_freshness_of_partitioned_accounts(spark, tmp_path):
     assert len(got) == 24 and got["unsubscribe", "y"] == "error"
 
 
-def test_reconcile_shuffles_each_side_once(spark):
-    a = build_from(spark, seed_tables(spark))["stg_members"].repartition(3)
-    plan = quality.reconcile(a, a)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1  # behind the union of both
+def test_builds_that_agree_shuffle_their_fingerprints_only(spark):
+    """A row per bucket, side and map task reaches the comparison of fingerprints;
+    none of the rows do."""
+    from test_plans import _shuffled
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("id", "repeat(cast(id as string), 20) as text", "if(id % 3 = 0, null, id) as n")
+    same = rows.orderBy("text").repartition(5)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        prints = _shuffled(quality.differing_buckets(rows, same, rows.columns, 16), "hashpartitioning(_bucket")
+        compared = _shuffled(quality.reconcile(rows, same, buckets=16), "hashpartitioning(id, text, n")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(prints) == 2 and max(sum(p) for p in prints) < 16 * 8 * 100  # bytes
+    assert sum(map(sum, compared)) == 0
+
+
+def test_reconcile_finds_any_single_difference(spark):
+    from pyspark.sql import functions as F
+    rows = spark.sql("select id, cast(null as int) as a, 1 as b, 'x' as t from range(300)")
+    with_one = lambda sql: rows.where("id <> 7").unionByName(rows.where("id = 7").selectExpr(*sql.split(", ")))
+    for sql in ("id, 1 as a, cast(null as int) as b, t", "id, a, 2 as b, t", "id, a, b, '' as t", "id, a, b, cast(null as string) as t",
+                "id + 1000 as id, a, b, t"):
+        got = quality.reconcile(rows, with_one(sql), buckets=5).collect()
+        assert sorted(r.source for r in got) == ["from dev", "from prod"], sql
+    # rows that occur more than once are one row, and unlike types compare by value
+    twice = rows.unionByName(rows.where("id = 7"))
+    assert quality.reconcile(rows, twice).count() == quality.reconcile(twice, rows).count() == 0
+    assert quality.reconcile(rows, rows.withColumn("id", F.col("id").cast("int"))).count() == 0
+    empty = rows.limit(0)
+    assert quality.reconcile(empty, empty).count() == 0 and quality.reconcile(rows, empty).count() == 300
 
 
 def test_unique_is_per_connection(spark):

@@ -251,3 +251,64 @@ def test_odd_column_names_are_quoted(spark):
     assert {"first", "odd name"} <= set(m.columns)
     assert {r["odd name"] for r in m.collect()} == {"subscribed", "unsubscribed"}
     assert "first name" not in m.columns
+
+
+def test_many_listed_accounts_are_one_scan_a_table(spark, tmp_path):
+    """200 folders, two file schemas in one of the tables: 13 scans, the rows of the union."""
+    import shutil
+    from inboxlens.sources import read_sources as read
+    names = [f"acct_{i}" for i in range(200)]
+    for table, df in seed_tables(spark).items():
+        df.coalesce(1).write.parquet(str(tmp_path / "acct_0" / table))
+    other = tmp_path / "other"
+    spark.read.parquet(str(tmp_path / "acct_0" / "list")).withColumn("list_rating", F.lit("five")).drop("visibility").coalesce(1).write.parquet(str(other))
+    for name in names[1:]:
+        shutil.copytree(tmp_path / "acct_0", tmp_path / name)
+    for name in names[150:]:
+        shutil.rmtree(tmp_path / name / "list")
+        shutil.copytree(other, tmp_path / name / "list")
+    conns = [Connection.from_directory(n, str(tmp_path / n)) for n in names]
+    raw = read(spark, conns)
+    scans = {t: len(re.findall("FileScan", df._jdf.queryExecution().executedPlan().toString())) for t, df in raw.items()}
+    assert sum(scans.values()) == 13 and scans["list"] == 2
+    few = conns[148:152]  # against the union of frames, a scan each
+    together = read(spark, few)
+    apart = read(spark, [Connection(c.name, {t: c.read(spark, t) for t in c.tables}) for c in few])
+    for table in raw:
+        assert dict(together[table].dtypes) == dict(apart[table].dtypes), table
+        columns = apart[table].columns
+        assert sorted(map(repr, together[table].select(columns).collect())) == sorted(map(repr, apart[table].collect())), table
+    counts = {r.source_relation: r["count"] for r in raw["campaign_recipient"].groupBy("source_relation").count().collect()}
+    assert counts == {n: 8 for n in names}
+    assert raw.accounts["list"] == names
+    assert {r.list_rating for r in raw["list"].where("source_relation = 'acct_199'").collect()} == {"five"}
+
+
+def test_folders_with_odd_names_shared_and_nested(spark, tmp_path):
+    from inboxlens.sources import read_sources as read
+    tables = seed_tables(spark)
+    roots = {"a b": tmp_path / "a b%", "deep": tmp_path / "x" / "y" / "deep", "twin": tmp_path / "a b%"}
+    for root in {str(r): r for r in roots.values()}.values():
+        for table, df in tables.items():
+            df.write.parquet(str(root / table / "part=1" if table == "member" else root / table))
+    raw = read(spark, [Connection.from_directory(n, f"{r}/") for n, r in roots.items()])
+    for table, df in tables.items():
+        n = df.count()
+        assert {r.source_relation: r["count"] for r in raw[table].groupBy("source_relation").count().collect()} == ({x: n for x in roots} if n else {})
+
+
+def test_times_that_do_not_parse_are_rejected_not_fatal(spark):
+    t = seed_tables(spark)
+    t["campaign"] = t["campaign"].withColumn("send_time", F.lit("soon"))
+    t["campaign_recipient_activity"] = t["campaign_recipient_activity"].withColumn(
+        "timestamp", F.when(F.col("member_id") == "bo", "31/12/2022").otherwise(F.col("timestamp").cast("string")))
+    out = build_from(spark, t)
+    rejects = out["stg_rejects"].collect()
+    bad = t["campaign_recipient_activity"].where("member_id = 'bo'").count()
+    assert {(r.source_table, r.column_name, r.raw_value) for r in rejects} == {
+        ("campaign", "send_time", "soon"), ("campaign_recipient_activity", "timestamp", "31/12/2022")}
+    assert len(rejects) == 1 + bad and {r.row_key for r in rejects if r.source_table == "campaign"} == {CAMPAIGN}
+    assert all(r.row_key.endswith(f"-{CAMPAIGN}-bo") for r in rejects if r.source_table != "campaign")
+    assert out["stg_campaigns"].first().send_timestamp is None
+    assert out["campaign_activities"].where("activity_timestamp is null").count() == bad
+    assert build_from(spark, seed_tables(spark))["stg_rejects"].count() == 0

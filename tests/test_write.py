@@ -1,7 +1,7 @@
 from helpers import build_from
 from seed_rows import seed_tables
 
-from inboxlens import OUTPUTS, Connection, read_sources
+from inboxlens import OUTPUTS, Connection, current_build, read_build, read_sources
 from inboxlens.plans.write import write_build
 
 
@@ -10,22 +10,40 @@ def test_write_build_writes_all_outputs_and_staging(spark, tmp_path):
     raw = read_sources(spark, [Connection("conn_a", t)])
     target = str(tmp_path / "marts")
     written = write_build(spark, raw, target)
+    run = written.build.run
     for name in OUTPUTS:
-        assert written[name] == f"{target}/{name}"
-    assert written["stg_members"] == f"{target}_stg/stg_members"
-    assert written["int_automation_recipients"] == f"{target}/_int/int_automation_recipients"
-    lazy = build_from(spark, t)
+        assert written[name] == f"{target}/_runs/{run}/{name}"
+    assert written["stg_members"] == f"{target}_stg/_runs/{run}/stg_members"
+    assert written["int_automation_recipients"] == f"{target}/_runs/{run}/_int/int_automation_recipients"
+    lazy, stored = build_from(spark, t), read_build(spark, target)
+    assert set(stored) == set(written) >= {*OUTPUTS, "stg_rejects"}
     for name in OUTPUTS:
-        stored = spark.read.parquet(written[name])
-        assert stored.columns == lazy[name].columns
-        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, lazy[name].collect())), name
+        assert stored[name].columns == lazy[name].columns
+        assert sorted(map(tuple, stored[name].collect())) == sorted(map(tuple, lazy[name].collect())), name
+
+
+def test_null_keys_are_counted_while_writing(spark, tmp_path):
+    """No scan of the written tables: they are gone when the counts are turned into results."""
+    import shutil
+    from inboxlens.operators.quality import NOT_NULL_TESTS, run_tests
+    t = seed_tables(spark)
+    t["campaign"] = t["campaign"].selectExpr("* except (id)", "cast(null as string) as id")
+    t["segment"] = t["segment"].limit(0)
+    written = write_build(spark, read_sources(spark, [Connection("a", t)]), str(tmp_path / "m"), partition_by_source=True)
+    assert set(written.not_null) == set(NOT_NULL_TESTS)
+    failing = {k: n for k, n in written.not_null.items() if n}
+    assert failing == {("stg_campaigns", "campaign_id"): 1, ("campaigns", "campaign_id"): 1}
+    stored = read_build(spark, str(tmp_path / "m"))
+    shutil.rmtree(tmp_path / "m" / "_runs")
+    rows = run_tests(stored, "not_null", written.not_null).collect()
+    assert {(r.model, r.column_name): r.failures for r in rows} == written.not_null
 
 
 def test_write_build_partitioned_by_source(spark, tmp_path):
     t = seed_tables(spark)
     raw = read_sources(spark, [Connection("acct_a", t), Connection("acct_b", t)])
     written = write_build(spark, raw, str(tmp_path / "m"), staging=False, partition_by_source=True)
-    assert (tmp_path / "m" / "lists" / "source_relation=acct_b").is_dir()
+    assert (tmp_path / "m" / "_runs" / written.build.run / "lists" / "source_relation=acct_b").is_dir()
     df = spark.read.parquet(written["lists"]).where("source_relation = 'acct_b'")
     assert df.count() == 2
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -36,7 +54,7 @@ def test_partitioned_write_makes_few_files(spark, tmp_path):
     t = {n: df.repartition(16) for n, df in seed_tables(spark).items()}
     raw = read_sources(spark, [Connection(f"acct_{i}", t) for i in range(6)])
     written = write_build(spark, raw, str(tmp_path / "m"), staging=False, partition_by_source=True)
-    files = list((tmp_path / "m" / "campaign_recipients").rglob("part-*.parquet"))
+    files = list(tmp_path.rglob("campaign_recipients/*/part-*.parquet"))
     assert 6 <= len(files) <= 12
     assert spark.read.parquet(written["campaign_recipients"]).count() == 48
 
@@ -50,9 +68,11 @@ def test_failed_build_leaves_the_previous_one(spark, tmp_path):
     t["list"] = t["list"].selectExpr("* except (name)", "'changed' as name")
     with pytest.raises(Exception, match="broken"):
         write_build(spark, read_sources(spark, [Connection("a", t)]), target)
-    for name in OUTPUTS:
-        assert spark.read.parquet(f"{target}/{name}").count() > 0
-    assert {r.name for r in spark.read.parquet(f"{target}/lists").collect()} == {"Rye & Co", "Rye & Co cakes"}
+    stored = read_build(spark, target)
+    assert all(stored[name].count() > 0 for name in OUTPUTS)
+    assert {r.name for r in stored["lists"].collect()} == {"Rye & Co", "Rye & Co cakes"}
+    for base in (tmp_path / "m", tmp_path / "m_stg"):  # nothing of the failed one is left
+        assert [p.name for p in (base / "_runs").iterdir()] == [current_build(spark, target).run]
 
 
 def test_write_to_databases_that_do_not_exist_yet(spark, tmp_path):
@@ -61,10 +81,14 @@ def test_write_to_databases_that_do_not_exist_yet(spark, tmp_path):
     try:
         for _ in range(2):  # a rebuild replaces the tables
             written = write_build(spark, raw, "", database="mart_t")
-        assert written["campaigns"] == "mart_t.campaigns" and written["stg_lists"] == "mart_t_stg.stg_lists"
+        run = written.build.run
+        assert written["campaigns"] == f"mart_t.campaigns__{run}" and written["stg_lists"] == f"mart_t_stg.stg_lists__{run}"
         assert spark.table("mart_t.campaigns").count() == 1 and spark.table("mart_t_stg.stg_lists").count() == 2
+        assert read_build(spark, database="mart_t")["campaigns"].count() == 1
+        write_build(spark, raw, "", database="mart_t", keep=1)
         tables = {r.tableName for n in names for r in spark.sql(f"show tables in {n}").collect()}
-        assert set(OUTPUTS) <= tables and not [x for x in tables if x.endswith("__run")]
+        runs = {t.partition("__")[2] for t in tables} - {""}
+        assert set(OUTPUTS) <= tables and runs == {current_build(spark, database="mart_t").run}
     finally:
         for n in names:
             spark.sql(f"drop database if exists {n} cascade")
@@ -110,7 +134,8 @@ def test_numeric_looking_account_names_stay_text(spark, tmp_path):
     assert sorted(r[0] for r in out["campaigns"].select("source_relation").collect()) == ["007", "12"]
     written = write_build(spark, raw, str(tmp_path / "m"), staging=False, partition_by_source=True)
     lists = spark.read.parquet(written["lists"])  # plain read infers; values as written on disk
-    assert (tmp_path / "m" / "lists" / "source_relation=007").is_dir()
+    assert (tmp_path / "m" / "_runs" / written.build.run / "lists" / "source_relation=007").is_dir()
+    assert {r[0] for r in read_build(spark, str(tmp_path / "m"))["lists"].select("source_relation").collect()} == {"007", "12"}
     camp = out["campaigns"].where("source_relation = '007'").first()
     assert (camp.sends, camp.unique_opens) == (8, 5)
     assert lists.count() == 4
