@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import batch, extended, small
+from .shared import batch, extended, small, texts_of
 
 PIECE_CHARS = 1 << 15
 # The white space of the pattern (Unicode White_Space), and Python's own extras
@@ -64,8 +64,9 @@ def encode(text: str, path: str, pattern: str, size: int = PIECE_CHARS) -> np.nd
     return np.concatenate(out) if out else np.empty(0, dtype="<u4")
 
 
-def _text(value) -> str:
-    return "" if value is None else value
+def _texts(column: pa.Array) -> list[str]:
+    """Each value; null counts as empty, bytes that are not UTF-8 as U+FFFD."""
+    return [v.decode("utf-8", "replace") for v in texts_of(column)]
 
 
 def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
@@ -73,7 +74,8 @@ def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", ids:
     """Add column ``ids`` (array of int) with the token ids of ``text``, and, if
     named, column ``exact``: the ids decode to the text's bytes again.
 
-    A null or empty text has no ids. All other columns are kept (``text`` unless
+    A null or empty text has no ids. Bytes that are not UTF-8 are encoded as
+    U+FFFD, and such a text is not exact. All other columns are kept (``text`` unless
     ``keep_text`` is off); those named like the new ones are replaced. The rank
     file at ``path`` must exist on each executor."""
     names = [c for c in docs.columns if c not in (ids, exact)]
@@ -83,13 +85,13 @@ def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text", ids:
 
     def run(batches):
         for b in small(batches, 1 << 20):
-            texts = [_text(v) for v in b.column(at).to_pylist()]
+            texts = _texts(b.column(at))
             found = [encode(t, path, pattern) for t in texts]
             flat = np.concatenate([np.empty(0, "<u4"), *found]).astype(np.int32)
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
             columns = [b.column(names.index(c)) for c in kept] + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
             if exact:
-                columns.append(pa.array([decode(x, path, pattern) == t.encode() for x, t in zip(found, texts)]))
+                columns.append(pa.array([decode(x, path, pattern) == t for x, t in zip(found, texts_of(b.column(at)))]))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, *([exact] if exact else [])])
 
     return out.mapInArrow(run, extended(out.select(*[F.col(f"`{c}`") for c in kept]),
@@ -123,13 +125,13 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     Returns doc_id, n_tokens, ids_sha256 (of the ids as little-endian unsigned
     32-bit integers) and decoded_sha256, one row per input row; a null text
-    counts as empty. Other columns are ignored."""
+    counts as empty, bytes that are not UTF-8 as U+FFFD. Other columns are ignored."""
 
     def run(batches):
         for b in small(batches, 1 << 20):
             n, ids_sha, decoded_sha = [], [], []
-            for value in b.column(1).to_pylist():
-                ids = encode(_text(value), path, pattern)
+            for text in _texts(b.column(1)):
+                ids = encode(text, path, pattern)
                 back = hashlib.sha256()
                 for lo in range(0, len(ids), 1 << 16):
                     back.update(decode(ids[lo:lo + (1 << 16)], path, pattern))

@@ -177,8 +177,8 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     Lines end at a line feed. A line stays if it has no words, or if it is the
     first of its component by (doc_id, row, line). Lines compare without case
     (A-Z) and by 8-character shingles. A null text stays null, and no row goes,
-    even if nothing of its text is left. Columns called __row or __kept are
-    left out. ``docs`` is read once and stored with its row numbers."""
+    even if nothing of its text is left. Bytes that are not UTF-8 stay as they
+    are. Columns called __row or __kept are left out. ``docs`` is read once and stored with its row numbers."""
     names = [c for c in docs.columns if c not in ("__row", "__kept")]
     docs = _with_rows(docs.select(*[F.col(f"`{c}`") for c in names]))
     at = names.index("text")
@@ -186,13 +186,13 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     def run(batches):
         for b in small(batches):
             out = []
-            for text, kept in zip(b.column(at).to_pylist(), b.column(len(names)).to_pylist()):
+            for text, kept in zip(b.column(at).cast(pa.binary()).to_pylist(), b.column(len(names)).to_pylist()):
                 if text is not None:
                     stay = set(kept or ())
-                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i in stay or not plain_line(x.encode()))
+                    text = b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i in stay or not plain_line(x))
                 out.append(text)
             columns = list(b.columns[:len(names)])
-            columns[at] = pa.array(out, pa.string())
+            columns[at] = pa.array(out, pa.binary()).cast(pa.string(), safe=False)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.join(_kept_by_row(docs, **options), "__row", "left").select(*[F.col(f"`{c}`") for c in names], "__kept")

@@ -40,8 +40,10 @@ BLOCK = 1024  # and of those outside the largest component
 OUTSIDE = 16 * BLOCK  # of these a list may have, or else it is posted anew
 DEPTH = 3  # how often
 BITMAP_BYTES = 64 << 20
+BASES = 256  # first keys of an item, at most
 
 _PAIRS = pa.schema([("p", pa.int64()), ("q", pa.int64())])
+_FIRST = pa.schema([("key", pa.int64()), ("id", pa.int64())])
 _POSTS = pa.schema([("key", pa.int64()), ("base", pa.int32()), ("last", pa.int32()), ("ext", pa.int32()), ("id", pa.int64())])
 _PLACE = pa.schema([("key", pa.int64()), ("chunk", pa.int32()), ("block", pa.int32()), ("flag", pa.int32()), ("id", pa.int64())])
 
@@ -80,7 +82,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def _post(scheme: Scheme):
-    """Items under their first keys; ``base`` is the number of the key's coordinates."""
+    """Items under their first keys, which end in ``base``, the number of the key's coordinates."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
@@ -90,7 +92,8 @@ def _post(scheme: Scheme):
                 key = np.full(n, base + 1, dtype=np.uint64)
                 for c in coordinates:
                     key = mix(key ^ mix(sig[:, c] + np.uint64(c << 40)))
-                yield batch(_POSTS, pa.array(key.view(np.int64)), *[pa.array(np.full(n, x, np.int32)) for x in (base, -1, 0)], b.column(0))
+                key = key & ~np.uint64(BASES - 1) | np.uint64(base)
+                yield batch(_FIRST, pa.array(key.view(np.int64)), b.column(0))
     return run
 
 
@@ -330,9 +333,12 @@ def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Sc
 
     ``items``: stored table of id, size (distinct shingles, equal for all if not
     known) and sig; ``texts``: gives the texts (id, text) of a table of ids."""
+    if len(scheme.coordinates) > BASES:
+        raise ValueError(f"more than {BASES} first keys")
     items = items.select("id", "size", "sig")
-    posts = items.select("id", "sig").mapInArrow(_post(scheme), _ddl(_POSTS))
-    lists = stored(_listed(posts), "lists")
+    posts = items.select("id", "sig").mapInArrow(_post(scheme), _ddl(_FIRST))
+    base = F.col("key").bitwiseAND(F.lit(BASES - 1)).cast("int")
+    lists = stored(_listed(posts).select("key", base.alias("base"), F.lit(-1).alias("last"), F.lit(0).alias("ext"), "id", "n"), "lists")
     bodies = stored(texts(lists.select("id").distinct()), "bodies")
     links = _with_pivots(lists, items, bodies, scheme)
     comps = components(links)

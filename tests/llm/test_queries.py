@@ -7,7 +7,7 @@ import corpus_pipeline
 from inboxlens.llm.queries import QUERIES
 from inboxlens.llm.sql import ORACLE
 
-from .helpers import odd_docs, odd_rows, same_rows
+from .helpers import CLASHES, odd_docs, odd_rows, same_rows
 from .test_dedup import near_groups
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +54,29 @@ def test_pipeline_on_tables(spark):
     assert out.count() > 0 and out.where("not exact").count() == 0
 
 
+def not_utf8(spark, tmp_path):
+    """Documents among which one holds bytes that are not UTF-8, and columns with clashing names."""
+    good = [(i, f"a plain text number {i} with some words of its own\nand a second line {i} behind it".encode()) for i in range(20)]
+    rows = [(i, bytearray(t)) for i, t in good + [(50, b"bytes \xff\xfe that are no text\nand more of them \xc3 here"), (51, b"\xff")]]
+    df = spark.createDataFrame(rows, "doc_id long, text binary").selectExpr(
+        "doc_id", "cast(text as string) as text", "'en' as lang", "'s0' as source", "cast(1 as bigint) as n_chars")
+    for c in CLASHES:
+        df = df.selectExpr("*", f"'clash' as `{c}`")
+    path = str(tmp_path / "bytes")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_stages_on_odd_bytes_clashing_columns_and_empty_tables(spark, tmp_path):
+    """A text that is not UTF-8 keeps its bytes; only the last stage, BPE, calls it inexact."""
+    odd = not_utf8(spark, tmp_path)
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, odd, SF)
+        if i < 4:
+            assert out.columns == list(corpus_pipeline.COLUMNS), name
+        rows = out.collect() if i == 4 else out.selectExpr("doc_id", "cast(text as binary) as text").collect()
+        if i in (1, 2):
+            assert {r.doc_id: bytes(r.text) for r in rows} == {r.doc_id: bytes(r.text) for r in odd.selectExpr("doc_id", "cast(text as binary) as text").collect()}, name
+        if i == 4:
+            assert {r.doc_id for r in rows if not r.exact} == {50, 51} and len(rows) == 22
+        assert stage(spark, odd.limit(0), SF).count() == 0, name
