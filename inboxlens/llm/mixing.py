@@ -19,7 +19,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
 
 from .shared import WORD, stored
@@ -54,13 +54,13 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = (3, 1, 2), share
                       F.coalesce(F.least("limit", reached * F.col("weight")), "limit").alias("target"))
 
 
-@F.pandas_udf(StringType())
+@F.pandas_udf(BinaryType())
 def first_words(text: pd.Series, words: pd.Series) -> pd.Series:
-    """Each text up to the end of its n-th word; all of it where n is 0."""
+    """Each text (bytes) up to the end of its n-th word; null stays null."""
     def cut(t, n):
-        if n == 0 or t is None:
+        if t is None:
             return t
-        m = next(itertools.islice(re.finditer(WORD, t), n - 1, None), None)
+        m = next(itertools.islice(re.finditer(WORD.encode(), t), n - 1, None), None)
         return t[:m.end()] if m else t
     return pd.Series([cut(t, int(n)) for t, n in zip(text, words)], dtype=object)
 
@@ -114,8 +114,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share
                     seed: str = "mix") -> DataFrame:
     """The mix itself: ``docs`` with each row repeated once per epoch that takes
     it, the text of a partly taken one cut behind its last taken word. Rows of
-    which no word is taken go, those without words too. Keeps all columns but one
-    called __row."""
+    which no word is taken go, those without words too. Bytes that are not UTF-8
+    stay as they are. Keeps all columns but one called __row."""
     names = [c for c in docs.columns if c != "__row"]
     docs = stored(_numbered(docs.select(*[F.col(f"`{c}`") for c in names])), "mix-documents")
     plan = (_taken(docs, weights, share, epochs, seed).where("taken > 0")
@@ -123,5 +123,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share
     passes = F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))).alias("__pass")
     rest = F.col("__taken") - F.col("__size") * (F.col("__pass") - 1)
     out = docs.join(plan, "__row").select("*", passes)
-    text = first_words(F.col("text"), F.when(rest < F.col("__size"), rest).otherwise(F.lit(0)))
+    partly = rest < F.col("__size")
+    # only the texts that are cut, one a source at most, go to Python
+    cut = first_words(F.when(partly, F.col("text").cast("binary")), rest).cast("string")
+    text = F.when(partly, cut).otherwise(F.col("text"))
     return out.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in names])
