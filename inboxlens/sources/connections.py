@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -168,14 +167,14 @@ def _relation(conn: str, options: Options) -> str:
     return conn if options.source_casing else conn.lower()
 
 
-_SLASHES = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"  # file:/x and file:///x name the same folder
+_NO_HOST = ":///"  # file:///x and file:/x name the same folder
 
 
 def _folder(spark: SparkSession, path: str) -> str:
     """The path of a folder as it stands in the paths of its files."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    qualified = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found)
-    return re.sub(_SLASHES, r"\1:/", spark._jvm.org.apache.spark.paths.SparkPath.fromPath(qualified).urlEncoded())
+    listed = found.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(found)
+    return listed.getPath().toUri().toString().replace(_NO_HOST, ":/")
 
 
 def scan_accounts(spark: SparkSession, accounts: list[tuple[Connection, str]], table: str,
@@ -201,8 +200,9 @@ def scan_accounts(spark: SparkSession, accounts: list[tuple[Connection, str]], t
     for (_, _, fields, depth), members in groups.items():
         paths = list(dict.fromkeys(path for _, path, _ in members))
         rows = members[0][0].reader(spark, table).schema(T.StructType.fromJson(json.loads(fields))).load(paths)
-        folders = spark.createDataFrame([(folder, _relation(c.name, options)) for c, _, folder in members], "__folder string, __account string")
-        file = F.regexp_replace(F.col("_metadata.file_path"), _SLASHES, "$1:/")
+        listed = {f"{x}{i}": v for i, (c, _, folder) in enumerate(members) for x, v in (("f", folder), ("a", _relation(c.name, options)))}
+        folders = spark.sql(f"SELECT * FROM VALUES {', '.join(f'(:f{i}, :a{i})' for i in range(len(members)))} AS t(__folder, __account)", args=listed)
+        file = F.replace("_metadata.file_path", F.lit(_NO_HOST), F.lit(":/"))
         account = F.coalesce("__account", F.raise_error(F.concat(F.lit("file of no listed folder: "), "__at")))
         rows = (rows.withColumn("__at", F.substring_index(file, "/", depth + 1)).join(F.broadcast(folders), F.col("__at") == F.col("__folder"), "left")
                 .select(account.alias("source_relation"), *[F.col(q(f.name)) for f in rows.schema.fields if f.name.lower() != "source_relation"]))
