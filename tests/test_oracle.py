@@ -16,7 +16,8 @@ NAMES = ["campaign_recipients", "campaigns", "members", "lists", "segments", "au
          "int_automation_activities_by_member", "campaigns_two_sources", "lists_all_off",
          "campaigns_mixed_types_two_sources", "lists_one_account_without_unsubscribes",
          "stg_campaigns", "stg_members", "dq_unique", "dq_freshness_empty_table",
-         "dq_reconcile_campaigns", "dq_reconcile_automations"]
+         "dq_reconcile_campaigns", "dq_reconcile_automations", "campaign_recipients_gaps",
+         "stg_rejects_garbled_times", "campaign_activities_garbled_times", "members_passthrough"]
 
 
 @pytest.fixture(scope="module")
@@ -70,11 +71,25 @@ def test_fixtures_are_whole(spark, con):
                      one(f"select count(*) {events} in ('view', 'click', 'error')"))):
         for account in ("conn_a", "conn_b"):
             assert sum(got[t][account] for t in pair) == n, pair
-    for name, df in stage_all(raw, Options()).items():
+    staged = stage_all(raw, Options())
+    assert staged.pop("stg_rejects").count() == 0  # all times parse
+    for name, df in staged.items():
         filled = df.select([F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first().asDict()
         assert all(filled.values()), (name, [c for c, n in filled.items() if not n])
 
 
+@pytest.mark.parametrize("name", ["dq_not_null_gaps", "dq_unique_gaps", "dq_reconcile_segments"])
+def test_checks_with_something_to_find(spark, con, name):
+    """Failing keys and changed rows: a check that always says 0 would not match."""
+    rows = E.queries()[name](spark, SF).collect()
+    found = [r for r in rows if name == "dq_reconcile_segments" or r.failures]
+    assert len(found) >= {"dq_not_null_gaps": 8, "dq_unique_gaps": 3, "dq_reconcile_segments": 10}[name]
+    expected = con.execute(E.oracle_sql()[name]).fetchall()
+    assert len(rows) == len(expected)
+    if name != "dq_reconcile_segments":
+        assert sorted(map(tuple, rows)) == sorted(expected)
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "unique_opens" in df.columns
