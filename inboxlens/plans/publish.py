@@ -31,7 +31,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..functions.sql import q
+from ..functions.sql import lit, q
+from .comments import commented, table_comment
 
 KEEP = 2
 STALE_HOURS = 48
@@ -144,11 +145,14 @@ class Run:
         return f"{base}/_runs/{self.run}/{'_int/' if name.startswith('int_') else ''}{name}"
 
     def save(self, name: str, df: DataFrame, partition_column: str | None = None) -> None:
+        df = commented(name, df)
         w = df.write.mode("overwrite").format(self.fmt)
         if partition_column:
             w = w.partitionBy(partition_column)
         if self.database:
             w.saveAsTable(self.location(name))
+            if comment := table_comment(name):
+                self.spark.sql(f"COMMENT ON TABLE {self.location(name)} IS :comment", args={"comment": comment})
         else:
             w.save(self.location(name))
         self.schemas[name] = json.loads(df.schema.json())
@@ -178,7 +182,9 @@ class Run:
                 if self.spark.catalog.tableExists(f"{schema}.{name}") and \
                         self.spark.catalog.getTable(f"{schema}.{name}").tableType != "VIEW":
                     self.spark.sql(f"DROP TABLE {q(schema)}.{q(name)}")  # of a build before there were manifests
-                self.spark.sql(f"CREATE OR REPLACE VIEW {q(schema)}.{q(name)} AS SELECT * FROM {location}")
+                comment = table_comment(name)
+                told = f" COMMENT {lit(comment)}" if comment else ""
+                self.spark.sql(f"CREATE OR REPLACE VIEW {q(schema)}.{q(name)}{told} AS SELECT * FROM {location}")
         names = _published(self.files, self.root)
         for old in names[:-self.keep]:
             self.files.delete(f"{self.root}/_builds/{old}")  # first, so that no manifest names what is gone
