@@ -39,7 +39,7 @@ MADE_KEYS = {
     ("activity_id", "automation"): "Key of the event: account, action, automation email, member and time",
     ("email_id", ""): "Key of the send: account, campaign and member",
     ("automation_recipient_id", ""): "Key of the send: account, member and automation email",
-    ("unsubscribe_id", ""): "Key of the unsubscribe: account, member, list and campaign or automation email",
+    ("unsubscribe_id", ""): "Key of the unsubscribe: account, member, list and time",
 }
 METRICS = {"sends": "Emails sent", "opens": "Opens", "clicks": "Clicks", "unique_opens": "Distinct members that opened",
            "unique_clicks": "Distinct members that clicked", "unsubscribes": "Members that unsubscribed"}
