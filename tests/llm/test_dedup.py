@@ -9,7 +9,8 @@ from inboxlens.llm import similar
 from inboxlens.llm.exact_dedup import exact_dedup
 from inboxlens.llm.line_dedup import dedup_lines, kept_lines, line_report, plain_line
 from inboxlens.llm.near_dedup import near_dedup, one_per_group
-from inboxlens.llm.substring_dedup import mark_repeats
+from inboxlens.llm import substring_dedup
+from inboxlens.llm.substring_dedup import mark_repeats, suspected_windows
 
 from .helpers import SPACES, odd_docs, odd_rows, roots, same_rows, words
 
@@ -165,6 +166,29 @@ def test_substrings_with_a_full_sketch(spark, tmp_path, monkeypatch):
     same_rows(got.select("doc_id", "n_words", "n_removed", "kept_text").collect(), removed_by_force(rows, 7))
 
 
+@pytest.mark.parametrize("cell_bytes", [12, 1 << 30])
+def test_substrings_by_a_sketch_that_stays_dealt_out(spark, tmp_path, monkeypatch, cell_bytes):
+    """No sketch is small enough to be broadcast; also a full one, and tasks that ask in many pieces."""
+    monkeypatch.setattr(substring_dedup, "CELL_BYTES", cell_bytes)
+    monkeypatch.setattr(substring_dedup, "FLUSH", 64)
+    rows = odd_rows()
+    got = mark_repeats(odd_docs(spark, tmp_path, rows), 7, 3, max_cells=0)
+    same_rows(got.select("doc_id", "n_words", "n_removed", "kept_text").collect(), removed_by_force(rows, 7))
+    assert mark_repeats(odd_docs(spark, tmp_path, []), 7, 3, max_cells=0).count() == 0
+
+
+@pytest.mark.parametrize("max_cells", [0, 1 << 28])
+def test_sketch_lets_few_windows_pass_at_any_size(spark, max_cells):
+    """The sketch grows with the input: of windows that occur once the same few pass."""
+    def share(n, words=250):
+        text = f"concat_ws(' ', transform(sequence(1, {words}), x -> hex(xxhash64(id, x))))"
+        docs = spark.range(n).selectExpr("id as doc_id", f"{text} as text")
+        _, windows, _ = suspected_windows(docs, max_cells=max_cells)
+        return windows.count() / (n * (words - 34))
+
+    assert 0 < share(400) < 0.05 and 0 < share(6400) < 0.05
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string, row int")
     for f in (exact_dedup, near_dedup, one_per_group, dedup_lines, line_report, mark_repeats):
