@@ -8,6 +8,10 @@ those reached by steps over the nearest cell borders, in the order of their
 estimated success. All tables' candidates are reranked by the exact inner
 product of the original vectors.
 
+The width of the cells is fitted to the data: the narrowest at which a sample of
+``SAMPLE`` queries meets the wanted share of its exact nearest rows. The nearer a
+query's neighbours are, as in clusters or large tables, the less it visits.
+
 Buckets are dealt out in chunks, so a bucket that holds a third of all rows is
 many tasks; tasks keep the ``k`` best of each query only, which loses nothing.
 A query that finds fewer than ``k`` rows is compared with all rows, in blocks.
@@ -16,17 +20,20 @@ A query that finds fewer than ``k`` rows is compared with all rows, in blocks.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import batch, mix, stored
 
 TABLES = 8
 FUNCTIONS = 8
-WIDTH = 3.0  # of a cell, where the largest norm is 1
+WIDTHS = [round(0.05 * 1.15 ** i, 3) for i in range(38)]  # of a cell, where the largest norm is 1: to about 9, nearly all rows
+RECALL = 0.96  # of the sample; the contract's least is 0.9
+SAMPLE = 64  # queries
 PROBES = 20
 CHUNK = 2048
 HELD = 1 << 19
@@ -72,6 +79,90 @@ def _matrix(column: pa.Array, dtype) -> dict[int, tuple[np.ndarray, np.ndarray]]
             for d in np.unique(lengths)}
 
 
+def _placed(x: np.ndarray, norm: np.ndarray, largest: float, query: bool) -> np.ndarray:
+    """Rows scaled to at most 1, and queries to 1, with the component that makes norms equal."""
+    rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (norm / largest) ** 2))
+    return np.column_stack((x / (norm[:, None] if query else largest), rest))
+
+
+def _probed(f: np.ndarray, sets: list[tuple[int, ...]]) -> Iterator[np.ndarray]:
+    """The cells that queries at ``f`` visit, likeliest first."""
+    cells, functions = np.floor(f).astype(np.int64), f.shape[1]
+    low = f - cells
+    order = np.argsort(np.concatenate((low, 1 - low), axis=1), axis=1, kind="stable")
+    line = np.arange(len(f))
+    for chosen in sets:
+        moved = cells.copy()
+        for j in chosen:
+            border = order[:, j]
+            moved[line, border % functions] += np.where(border < functions, -1, 1)
+        yield moved
+
+
+def meeting(queries: np.ndarray, rows: np.ndarray, tables: int, functions: int, width: float, probes: int) -> np.ndarray:
+    """Whether each query visits the row beside it (both as ``_placed``) in some table."""
+    met = np.zeros(len(rows), dtype=bool)
+    sets = probe_sets(functions, probes)
+    for t in range(tables):
+        a, shift, _ = _projection(t, rows.shape[1] - 1, functions, width)
+        cells = np.floor(rows @ a + shift).astype(np.int64)
+        for moved in _probed(queries @ a + shift, sets):
+            met |= (moved == cells).all(axis=1)
+    return met
+
+
+def _sample_nearest(data: DataFrame, asked: DataFrame, k: int, dtype, sample: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a sampled query and each of its k exact nearest rows, by length of
+    the vectors: ``sample * k`` pairs at most. Every row is compared, in its place."""
+    chosen = asked.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
+    by_dim = {d: (chosen.column(0).to_numpy()[at], x) for d, (at, x) in _matrix(chosen.column(1).combine_chunks(), dtype).items()} if chosen.num_rows else {}
+    schema = pa.schema([("query", pa.int64()), ("score", pa.float64()), ("id", pa.int64()), ("vec", pa.binary())])
+
+    def run(batches):
+        held: dict[int, tuple] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids = b.column(0).to_numpy()
+            for d, (at, x) in _matrix(b.column(1), dtype).items():
+                for q, vector in zip(*by_dim.get(d, ((), ()))):
+                    score, row, vec = x @ vector, ids[at], x
+                    if len(row) > 4 * k:
+                        few = np.argpartition(-score, 2 * k)[:2 * k + 1]  # and the query's own row
+                        score, row, vec = score[few], row[few], vec[few]
+                    if q in held:
+                        score, row, vec = (np.concatenate(c) for c in zip(held[q], (score, row, vec)))
+                    best = np.lexsort((row, -score))
+                    best = best[row[best] != q][:2 * k]  # repeated rows may be among them
+                    held[q] = score[best], row[best], vec[best]
+        for q, (score, row, vec) in held.items():
+            yield batch(schema, [q] * len(row), score, row, [v.astype(dtype).tobytes() for v in vec])
+
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "id")  # 2 * k rows a query and task
+    found = (data.select("id", "vec").mapInArrow(run, "query long, score double, id long, vec binary")
+             .dropDuplicates(["query", "id"]).withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+             .select("query", "vec").toArrow())
+    if not found.num_rows:
+        return []
+    vectors = {int(q): v for ids, x in by_dim.values() for q, v in zip(ids, x)}
+    query = found.column(0).to_numpy()
+    return [(np.array([vectors[int(q)] for q in query[at]]), x)
+            for at, x in _matrix(found.column(1).combine_chunks(), dtype).values()]
+
+
+def fitted_width(data: DataFrame, asked: DataFrame, largest: float, dtype, k: int = 20, tables: int = TABLES, functions: int = FUNCTIONS,
+                 probes: int = PROBES, recall: float = RECALL, sample: int = SAMPLE) -> float:
+    """The narrowest of WIDTHS at which sampled queries meet ``recall`` of their
+    exact nearest rows (the widest, if there is none)."""
+    pairs = [(_placed(q, np.linalg.norm(q, axis=1), largest, True), _placed(x, np.linalg.norm(x, axis=1), largest, False))
+             for q, x in _sample_nearest(data, asked, k, dtype, sample)]
+    total = sum(len(q) for q, _ in pairs)
+    for width in WIDTHS:
+        if sum(int(meeting(q, x, tables, functions, width, probes).sum()) for q, x in pairs) >= recall * total:
+            return width
+    return WIDTHS[-1]
+
+
 def _hash(tables: int, functions: int, width: float, probes: int, largest: float, dtype):
     """Bucket rows of vectors (probes == 0) or of queries."""
     schema = pa.schema([("part", pa.int32()), ("bucket", pa.int64()), ("id", pa.int64()), ("vec", pa.binary())])
@@ -82,28 +173,13 @@ def _hash(tables: int, functions: int, width: float, probes: int, largest: float
             if not b.num_rows:
                 continue
             for dim, (at, x) in _matrix(b.column(1), dtype).items():
-                norm = np.linalg.norm(x, axis=1)
-                x = x / (norm[:, None] if probes else largest)
-                rest = np.zeros(len(x)) if probes else np.sqrt(np.maximum(0, 1 - (norm / largest) ** 2))
-                x = np.column_stack((x, rest))
+                x = _placed(x, np.linalg.norm(x, axis=1), largest, probes > 0)
                 rows = b.take(pa.array(at))
                 for t in range(tables):
                     a, shift, odd = _projection(t, dim, functions, width)
                     f = x @ a + shift
-                    cells = np.floor(f).astype(np.int64)
-                    emit = lambda c: batch(schema, [t] * len(at), pa.array(_bucket(c, odd)), *rows.columns)  # noqa: B023, E731
-                    if not probes:
-                        yield emit(cells)
-                        continue
-                    low = f - cells
-                    order = np.argsort(np.concatenate((low, 1 - low), axis=1), axis=1, kind="stable")
-                    line = np.arange(len(at))
-                    for chosen in sets:
-                        moved = cells.copy()
-                        for j in chosen:
-                            border = order[:, j]
-                            moved[line, border % functions] += np.where(border < functions, -1, 1)
-                        yield emit(moved)
+                    for cells in _probed(f, sets) if probes else [np.floor(f).astype(np.int64)]:
+                        yield batch(schema, [t] * len(at), pa.array(_bucket(cells, odd)), *rows.columns)
     return run
 
 
@@ -206,10 +282,12 @@ def _search(data: DataFrame, queries: DataFrame, k: int, dtype) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = TABLES, functions: int = FUNCTIONS,
-            width: float = WIDTH, probes: int = PROBES) -> DataFrame:
+            width: float | None = None, probes: int = PROBES, recall: float = RECALL) -> DataFrame:
     """For each query (vec_id, embedding) its k nearest found rows of ``vectors``
     (vec_id, embedding): query_id, rank (from 1), vec_id, score.
 
+    ``width`` of the cells: if None, as wide as a sample of the queries needs for
+    ``recall`` (``fitted_width``).
     Nearest is the largest inner product in double precision, ties to the
     smaller vec_id. Rows with the query's own vec_id are no candidates, repeated
     rows count once, and only vectors of the query's length are. Vectors that
@@ -241,6 +319,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = T
     data, asked = stored(usable(vectors), "vectors"), stored(usable(queries), "queries")
     largest = data.agg(F.max("norm")).head()[0] or 1.0
     data, asked = data.drop("norm"), asked.drop("norm")
+    if width is None:
+        width = fitted_width(data, asked, largest, dtype, k, tables, functions, probes, recall)
     rows = "part int, bucket long, id long, vec binary"
     index = data.mapInArrow(_hash(tables, functions, width, 0, largest, dtype), rows)
     visits = asked.mapInArrow(_hash(tables, functions, width, probes, largest, dtype), rows)

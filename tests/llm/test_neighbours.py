@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from inboxlens.llm import neighbours
-from inboxlens.llm.neighbours import nearest, probe_sets
+from inboxlens.llm.neighbours import _placed, fitted_width, meeting, nearest, probe_sets
 
 KIND = "vec_id long, embedding array<float>, label int"
 
@@ -56,7 +56,38 @@ def test_odd_rows_and_few_candidates(spark):
     assert nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def clustered(n, dim=16, size=40):
+    """Clusters of 40 rows each, so a query's 20 nearest are close whatever n."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(n // size, dim))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    x = np.repeat(centres, size, axis=0) + rng.normal(scale=0.02, size=(n, dim))
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+
+def test_visits_fall_with_the_size_of_a_clustered_table(spark):
+    shares = []
+    for n in (800, 12800):
+        x = clustered(n)
+        df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], KIND)
+        step = n // 40
+        asked = list(range(0, n, step))
+        got = nearest(df, df.where(f"vec_id % {step} = 0"), 20).collect()
+        true = exact(list(range(n)), x, asked, 20)
+        assert np.mean([len({r.vec_id for r in got if r.query_id == q} & set(true[q])) / 20 for q in asked]) >= 0.9
+        packed = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "id long, vec binary")
+        y = x.astype(float)
+        norm = np.linalg.norm(y, axis=1)
+        largest = norm.max()
+        width = fitted_width(packed, packed.where(f"id % {step} = 0"), largest, np.float32)
+        rows = _placed(y, norm, largest, False)
+        shares.append(np.mean([meeting(np.broadcast_to(_placed(y[q:q + 1], norm[q:q + 1], largest, True), rows.shape), rows,
+                                       neighbours.TABLES, neighbours.FUNCTIONS, width, neighbours.PROBES).mean() for q in asked]))
+    assert shares[1] < shares[0] / 4 and shares[1] < 0.05, shares
+
+
 def test_one_common_vector(spark):
-    df = spark.range(400).selectExpr("id as vec_id", "if(id % 3 = 0, array(1f, 1f, 0f), array(float(sin(id)), float(cos(id)), 1f)) as embedding")
+    """A third of all rows are equal: ties at the best score go to the smallest vec_ids."""
+    df = spark.range(400).selectExpr("id as vec_id", "if(id % 3 = 0, array(1f, 1f, 0f), array(float(sin(id)) / 2, float(cos(id)) / 2, 1f)) as embedding")
     got = nearest(df, df.where("vec_id = 0"), 5).orderBy("rank").collect()
-    assert [r.vec_id for r in got][:5] == sorted(r.vec_id for r in got)[:5] or all(r.score >= 2.0 for r in got)
+    assert [(r.vec_id, r.score) for r in got] == [(i, 2.0) for i in (3, 6, 9, 12, 15)]
