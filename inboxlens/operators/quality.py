@@ -88,19 +88,21 @@ def run_tests(models: dict[str, DataFrame], kind: str = "all",
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _accounts(raw: dict[str, DataFrame]) -> DataFrame:
-    """Every (source_table, source_relation) that should have data.
+def _expected(raw: dict[str, DataFrame], latest: DataFrame) -> DataFrame:
+    """``latest`` for every (source_table, source_relation) that should have data.
 
     Known for listed connections; for partitioned storage each account that
-    any table holds is expected in all of them."""
-    spark = next(iter(raw.values())).sparkSession
+    any table holds is expected in all of them. Which those are comes from
+    ``latest`` (a row per table and account) itself: no table is scanned for it."""
     known = getattr(raw, "accounts", None)
     if known:
-        return spark.createDataFrame([(t, a) for t, names in known.items() for a in names],
-                                     f"source_table string, {SR} string")
-    held = reduce(lambda a, b: a.unionByName(b), [df.select(SR).distinct() for df in raw.values()])
+        accounts = latest.sparkSession.createDataFrame([(t, a) for t, names in known.items() for a in names],
+                                                       f"source_table string, {SR} string")
+        return accounts.join(latest, ["source_table", SR], "left")
+    held = F.map_from_entries(F.collect_list(F.struct("source_table", "max_loaded_at")))  # an entry per table
     tables = F.explode(F.array(*[F.lit(t) for t in raw])).alias("source_table")
-    return held.distinct().select(tables, SR)
+    return (latest.groupBy(SR).agg(held.alias("_held")).select(tables, SR, "_held")
+            .select("source_table", SR, F.expr("_held[source_table]").alias("max_loaded_at")))
 
 
 def freshness(raw: dict[str, DataFrame], synced_column: str, as_of: datetime | None = None,
@@ -125,7 +127,7 @@ def freshness(raw: dict[str, DataFrame], synced_column: str, as_of: datetime | N
         parts.append(df.groupBy(SR).agg(F.max(synced).alias("max_loaded_at"))
                      .select(F.lit(table).alias("source_table"), SR, "max_loaded_at"))
     latest = reduce(lambda a, b: a.unionByName(b), parts)
-    out = _accounts(raw).join(latest, ["source_table", SR], "left")
+    out = _expected(raw, latest)
     age_ok = lambda h: F.col("max_loaded_at") >= now - F.make_dt_interval(F.lit(0), F.lit(h))
     status = F.when(F.col("max_loaded_at").isNull(), F.lit("error")) \
         .when(age_ok(warn_after_hours), F.lit("pass")) \

@@ -1,10 +1,12 @@
 from datetime import datetime as T, timedelta, timezone
 
 from helpers import build_from
+from pyspark.sql import functions as F
 from seed_rows import CAMPAIGN, L1, seed_tables
 
 from inboxlens import ABSENT, Connection, read_sources
 from inboxlens.operators import quality
+from inboxlens.sources import read_partitioned_sources
 
 
 def test_not_null_and_unique(spark):
@@ -134,3 +136,18 @@ def test_unique_is_per_connection(spark):
     res = {(r.model, r.column_name): r.failures for r in quality.run_tests(out, "unique").collect()}
     assert res[("stg_lists", "list_id")] == 0
     assert quality.unique_violations(out["stg_lists"], "list_id", per_source=False).count() == 2
+
+
+def test_freshness_of_stored_accounts_reads_each_table_once(spark, tmp_path):
+    """Which accounts there are comes from the same scan as their latest sync times."""
+    for name, df in seed_tables(spark).items():
+        for i, account in ((1, "acct_a"), (9, "acct_b")):
+            if (name, account) != ("segment", "acct_a"):
+                df.withColumn("_synced", F.lit(T(2024, 1, i)).cast("timestamp_ntz")).write.parquet(
+                    str(tmp_path / name / f"source_relation={account}"))
+    got = quality.freshness(read_partitioned_sources(spark, str(tmp_path)), "_synced", T(2024, 1, 10))
+    status = {(r.source_table, r.source_relation): r.status for r in got.collect()}
+    assert len(status) == 24 and status["member", "acct_a"] == "error" and status["member", "acct_b"] == "pass"
+    assert status["segment", "acct_a"] == "error"  # an account without rows in a table
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan[:plan.find("== Initial Plan ==")].count("FileScan parquet") == 12
