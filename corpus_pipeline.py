@@ -59,8 +59,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("MinHash near-dedup", near_copies),
           ("mixing sources", mixture), ("BPE encoding", encoding)]
 
-# The classifier, MinHash lines and BPE have no SQL form; tests/llm checks the
-# stages against brute force instead.
+# The classifier, MinHash lines and BPE have no SQL form. tests/llm/test_pipeline.py
+# checks each stage row by row on its own input: the classifier against the scores
+# of operator 1, the others against brute force.
 ORACLE_SQL = None
 
 
