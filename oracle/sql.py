@@ -50,11 +50,17 @@ def _filled(column: str, position: int, kind: str, label: str) -> str:
     return {"string": text, "int": f"(k % 1000 + {position * 1000})::int",
             "float": f"(k % 1000)::double + {position / 4}::double",
             "boolean": f"substr(md5('{column}' || k::varchar), 1, 1) < '8'",
+            "bigint": f"k % 1000 + {position * 1000}",
+            "date": f"(date '1990-01-01' + (k % 3650 + {position})::int)::date",
             "timestamp": f"timestamp '2024-01-20 00:00:00' + to_minutes(((k * 7 + {position}) % 20000)::bigint)"}[kind]
 
 
-def fixture_views(p: str, account: Account) -> str:
-    """The raw tables of an account as views named ``{p}fx_<table>``."""
+# Raw member columns behind the declared ones, held only where they are passed through.
+UNDECLARED = (("merge_fname", "string"), ("points", "bigint"), ("born", "date"))
+
+
+def fixture_views(p: str, account: Account, undeclared: tuple[tuple[str, str], ...] = ()) -> str:
+    """The raw tables of an account as views named ``{p}fx_<table>``; ``undeclared``: further member columns."""
     total = "((select count(*) from supplier) + (select count(*) from nation))"
     rows = {
         "automation": "from {p}nation", "automation_email": "from {p}mailing where k % 2 = 1",
@@ -91,7 +97,7 @@ def fixture_views(p: str, account: Account) -> str:
     types = {(t, c): kind for t, c, kind in account.types}
     for table, source in rows.items():
         cols = []
-        for position, (name, kind) in enumerate(DECLARED[table]):
+        for position, (name, kind) in enumerate([*DECLARED[table], *(undeclared if table == "member" else ())]):
             name = BOOKKEEPING.get(name, name)
             if (table, name) in account.without:
                 value = f"null::{TYPES[kind]}"
@@ -141,7 +147,7 @@ def _key(cols: list[str]) -> str:
         f"coalesce(cast({c} as varchar), '{KEY_NULL}')" for c in cols) + ")"
 
 
-def _raw_select(table: str, conn: str, p: str, casts: dict[tuple[str, str], str]) -> str:
+def _raw_select(table: str, conn: str, p: str, casts: dict[tuple[str, str], str], passthrough: str = "") -> str:
     sel = [f"'{conn}' as source_relation"]
     for item in STAGED[table][1].split(", ")[1:]:
         raw, _, out = item.partition(" as ")
@@ -149,20 +155,19 @@ def _raw_select(table: str, conn: str, p: str, casts: dict[tuple[str, str], str]
         if (table, raw) in casts:
             expr = f"try_cast({expr} as {casts[table, raw]})"
         sel.append(f"{expr} as {out or raw}")
-    return f"select {', '.join(sel)} from {p}fx_{table}"
+    return f"select {', '.join(sel)}{passthrough if table == 'member' else ''} from {p}fx_{table}"
 
 
 def staging_ctes(p: str, conns: list[tuple[str, Account]], passthrough: str = "",
                  absent: tuple[tuple[str, str], ...] = (),
                  casts: dict[tuple[str, str], str] | None = None) -> list[str]:
     """The accounts' raw tables, and the staged ones named ``{p}stg_*`` over them."""
-    out = [fixture_views(f"{p}x{i}_", account) for i, (_, account) in enumerate(conns)]
+    out = [fixture_views(f"{p}x{i}_", account, UNDECLARED if passthrough else ()) for i, (_, account) in enumerate(conns)]
     for table, (name, _) in STAGED.items():
-        body = " union all ".join(_raw_select(table, c, f"{p}x{i}_", casts or {}) for i, (c, _) in enumerate(conns)
+        body = " union all ".join(_raw_select(table, c, f"{p}x{i}_", casts or {}, passthrough) for i, (c, _) in enumerate(conns)
                                   if (c, table) not in absent)
         keys = "".join(f", {_key(cols)} as {k}" for k, cols in KEYS.get(table, []))
-        extra = passthrough if table == "member" else ""
-        out.append(f"{p}{name} as (select *{keys}{extra} from ({body}))")
+        out.append(f"{p}{name} as (select *{keys} from ({body}))")
     return out
 
 
@@ -336,13 +341,9 @@ def oracle_queries(model_names: list[str]) -> dict[str, str]:
     off = chain(auto=False, unsub=False, segs=False)
     for name in ("members", "lists", "campaigns"):
         q[f"{name}_all_off"] = _select(off, name)
-    n = len(DECLARED["member"])  # the extra columns stand behind the declared ones
-    key = "(case when list_id = home_list then member_id::bigint else member_id::bigint + 1000000007 end)"
-    q["members_passthrough"] = with_clause([*base, "home_list as (select c_custkey::varchar as member_id, n_regionkey::varchar as home_list "
-                                            "from customer join nation on c_nationkey = n_nationkey)"]) + f"""
-select members.*, lower(country_code) as country_lower, 'merge_fname-' || {key}::varchar as merge_fname,
-       {key} % 1000 + {(n + 1) * 1000} as points, (date '1990-01-01' + ({key} % 3650 + {n + 2})::int)::date as birthday
-from members join home_list using (member_id)"""
+    # on the raw member rows, as staging does: a member without an id has them too
+    q["members_passthrough"] = _select(chain(
+        passthrough=", lower(country_code) as country_lower, merge_fname, points, born as birthday"), "members")
     for name in ("int_campaign_activities_by_email", "int_campaign_activities_by_list",
                  "int_campaign_activities_by_campaign", "int_automation_activities_by_list",
                  "int_automation_activities_by_automation"):

@@ -90,6 +90,32 @@ def test_checks_with_something_to_find(spark, con, name):
         assert sorted(map(tuple, rows)) == sorted(expected)
 
 
+def test_pass_through_keeps_every_member(spark, tmp_path):
+    """Members without an id have their pass-through columns too, and none comes more often than it is stored."""
+    rows = {
+        "region": "select * from (values (0::int, 'AFRICA'), (1, 'ASIA')) t(r_regionkey, r_name)",
+        "nation": "select * from (values (0::int, 'KENYA', 0::int), (1, 'INDIA', 1)) t(n_nationkey, n_name, n_regionkey)",
+        "customer": "select * from (values (10::bigint, 0::int, 1.5::double), (10, 1, 2.5), (11, 1, 9500.0), (null, 0, 3.5), "
+                    "(null, 1, 4.5)) t(c_custkey, c_nationkey, c_acctbal)",
+        "supplier": "select * from (values (1::bigint, 'Supplier 1', 0::int), (2, 'Supplier 2', 1)) t(s_suppkey, s_name, s_nationkey)",
+        "orders": "select * from (values (1::bigint, 10::bigint, timestamp '2024-01-01'), (2, 11, timestamp '2024-01-02')) "
+                  "t(o_orderkey, o_custkey, o_orderdate)",
+        "lineitem": "select * from (values (1::bigint, 1::bigint), (1, 2), (2, 2)) t(l_orderkey, l_suppkey)",
+        "events": "select * from (values (1::bigint, timestamp '2024-01-03', 10::bigint, 'view'), (2, timestamp '2024-01-04', 11, 'signup')) "
+                  "t(event_id, ts, user_id, event_type)"}
+    con = duckdb.connect()
+    for t, sql in rows.items():
+        con.execute(f"copy ({sql}) to '{tmp_path}/{t}.parquet' (format parquet)")
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet')")
+    df = E.queries()["members_passthrough"](spark, str(tmp_path))
+    res = con.execute(E.oracle_sql()["members_passthrough"])
+    cols, expected = [c[0] for c in res.description], res.fetchall()
+    got = [tuple(r) for r in df.collect()]
+    assert len(got) == len(expected) == 7  # five customers, and two of them on a second list
+    assert sum(r[cols.index("member_id")] is None for r in expected) == 2
+    assert digest(df.columns, got)[0] == digest(cols, expected)[0]
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "unique_opens" in df.columns
