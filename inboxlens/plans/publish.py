@@ -36,6 +36,7 @@ from .comments import commented, table_comment
 
 KEEP = 2
 STALE_HOURS = 48
+COMPRESSION = "zstd"  # of Parquet tables: the hex keys in most of them are half as large as by snappy
 _RUN = re.compile(r"r(\d{14})_[0-9a-f]{8}")
 
 
@@ -147,6 +148,8 @@ class Run:
     def save(self, name: str, df: DataFrame, partition_column: str | None = None) -> None:
         df = commented(name, df)
         w = df.write.mode("overwrite").format(self.fmt)
+        if self.fmt == "parquet":
+            w = w.option("compression", COMPRESSION)
         if partition_column:
             w = w.partitionBy(partition_column)
         if self.database:

@@ -7,6 +7,7 @@ from seed_rows import CAMPAIGN, L1, seed_tables
 
 from inboxlens import ABSENT, OUTPUTS, Connection, Options, PassThrough, build, read_sources
 from inboxlens.sources import union_connections
+from inboxlens.sources.fixtures import fixture_sources
 
 
 def test_two_connections_keep_results_apart(spark):
@@ -314,3 +315,20 @@ def test_times_that_do_not_parse_are_rejected_not_fatal(spark):
     assert out["stg_campaigns"].first().send_timestamp is None
     assert out["campaign_activities"].where("activity_timestamp is null").count() == bad
     assert build_from(spark, seed_tables(spark))["stg_rejects"].count() == 0
+
+
+def test_sends_of_the_fixtures_are_made_distinct_as_numbers(spark, tmp_path):
+    """Before the members join them; a customer stored twice, or on two lists, gives each send once a list."""
+    rows = {"region": "VALUES (0, 'A') t(r_regionkey, r_name)",
+            "nation": "VALUES (0, 'X', 0), (1, 'Y', 1) t(n_nationkey, n_name, n_regionkey)",
+            "customer": "VALUES (10L, 0, 1D), (10L, 0, 2D), (10L, 1, 2D), (11L, 1, 3D), (null, 1, 3D) t(c_custkey, c_nationkey, c_acctbal)",
+            "supplier": "VALUES (2L, 'S', 0) t(s_suppkey, s_name, s_nationkey)",
+            "orders": "VALUES (1L, 10L, timestamp_ntz'2024-01-01'), (2L, 10L, timestamp_ntz'2024-01-01'), (3L, 11L, timestamp_ntz'2024-01-01'), "
+                      "(4L, null, timestamp_ntz'2024-01-01') t(o_orderkey, o_custkey, o_orderdate)",
+            "lineitem": "VALUES (1L, 2L), (2L, 2L), (3L, 2L), (3L, 2L), (4L, 2L) t(l_orderkey, l_suppkey)",
+            "events": "VALUES (1L, timestamp_ntz'2024-01-01', 10L, 'view') t(event_id, ts, user_id, event_type)"}
+    sends = fixture_sources({t: spark.sql(f"SELECT * FROM {v}") for t, v in rows.items()})["campaign_recipient"]
+    got = sorted((r.campaign_id, r.member_id, r.list_id) for r in sends.collect())
+    assert got == [("2", "10", "0"), ("2", "10", "1"), ("2", "11", "1")]
+    plan = sends._jdf.queryExecution().analyzed().toString()
+    assert re.findall(r"Deduplicate \[(.*?)\]", re.sub(r"#\d+L?", "", plan))[0] == "sk, o_custkey"
