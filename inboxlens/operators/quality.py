@@ -55,9 +55,15 @@ def not_null_violations(df: DataFrame, column: str) -> DataFrame:
 
 def unique_violations(df: DataFrame, column: str, per_source: bool = True) -> DataFrame:
     """Key values (within one ``source_relation`` unless ``per_source`` is
-    False) that occur more than once, with their count."""
+    False) that occur more than once, with their count.
+
+    Nearly all keys occur once, so combining them in the map tasks would only fill
+    those with a table of all their keys. They are dealt out first, to as many
+    tasks as the session has shuffle partitions however small these are, and
+    each counts its own share."""
     keys = [SR, column] if per_source and SR in df.columns else [column]
-    return df.where(F.col(column).isNotNull()).groupBy(*keys) \
+    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.where(F.col(column).isNotNull()).select(*keys).repartition(shares, *keys).groupBy(*keys) \
         .agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
 

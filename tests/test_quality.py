@@ -151,3 +151,14 @@ def test_freshness_of_stored_accounts_reads_each_table_once(spark, tmp_path):
     assert status["segment", "acct_a"] == "error"  # an account without rows in a table
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan[:plan.find("== Initial Plan ==")].count("FileScan parquet") == 12
+
+
+def test_unique_test_fills_no_table_of_keys_before_the_shuffle(spark):
+    """The keys are dealt out as they are, to all shuffle partitions, and each repeated one is still found once."""
+    rows = [("a", f"k{i}") for i in range(50)] + [("a", "k1"), ("a", "k1"), ("b", "k1"), ("a", None), ("a", None), (None, "n"), (None, "n")]
+    found = quality.unique_violations(spark.createDataFrame(rows, "source_relation string, key string"), "key")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    shuffled = plan[plan.index("Exchange hashpartitioning"):]
+    assert f", {spark.conf.get('spark.sql.shuffle.partitions')}), REPARTITION_BY_NUM" in shuffled
+    assert "Aggregate" not in shuffled
+    assert sorted(map(str, found.collect())) == ["Row(source_relation='a', key='k1', n_records=3)", "Row(source_relation=None, key='n', n_records=2)"]
