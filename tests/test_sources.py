@@ -332,3 +332,26 @@ def test_sends_of_the_fixtures_are_made_distinct_as_numbers(spark, tmp_path):
     assert got == [("2", "10", "0"), ("2", "10", "1"), ("2", "11", "1")]
     plan = sends._jdf.queryExecution().analyzed().toString()
     assert re.findall(r"Deduplicate \[(.*?)\]", re.sub(r"#\d+L?", "", plan))[0] == "sk, o_custkey"
+
+
+def test_raw_tables_of_accounts_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    """Each of the first two writes waits until the other has begun."""
+    from threading import Barrier
+
+    from inboxlens.plans import registry
+    both, begun = Barrier(2, timeout=20), []
+
+    class Table:
+        write = property(lambda self: self)
+
+        def parquet(self, path):
+            begun.append(path)
+            if len(begun) <= 2:
+                both.wait()
+
+    monkeypatch.setattr(registry, "load_driver_tables", lambda *_: {})
+    monkeypatch.setattr(registry, "fixture_sources", lambda *_: {"campaign": Table(), "list": Table()})
+    monkeypatch.setattr(registry, "read_sources", lambda *_: None)
+    monkeypatch.setattr(registry, "build", lambda _: {"campaigns": "built"})
+    assert registry._one_scan("campaigns")(spark, str(tmp_path)) == "built"
+    assert sorted("/".join(p.split("/")[-2:]) for p in begun) == ["conn_a/campaign", "conn_a/list", "conn_b/campaign", "conn_b/list"]
