@@ -15,6 +15,7 @@ the first one stays.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,15 @@ def plain_line(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
+def plain_lines(text: bytes) -> list[bytes]:
+    """``plain_line`` of each line of the text."""
+    lines = text.lower().split(b"\n")
+    if any(x in text for x in (b"  ", b"\t", b"\r", b"\v", b"\f")):
+        return [b" ".join(x.split()) for x in lines]
+    return [x.strip() for x in lines]  # single spaces only
+
+
+@lru_cache(maxsize=1)
 def _code_values() -> np.ndarray:
     return np.random.default_rng(8).integers(1, 2**64, 65536, dtype=np.uint64)
 
@@ -44,52 +54,72 @@ def _code_values() -> np.ndarray:
 def char_shingles(lines: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-character runs of all lines, and their number by line; a
     shorter line that is not empty is one shingle."""
-    texts = [x.decode("utf-8", "replace") for x in lines]
-    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     pad = n - 1  # code 0 behind each line, so that short lines have a run too
-    joined = ("\0" * pad).join(texts) + "\0" * pad
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    h = _code_values()[codes & 0xFFFF]
-    if len(codes) and codes.max() > 0xFFFF:
-        h = np.where(codes > 0xFFFF, mix(codes.astype(np.uint64)), h)
+    joined = (b"\0" * pad).join(lines) + b"\0" * pad
+    if joined.isascii():
+        codes, texts = np.frombuffer(joined, dtype=np.uint8), lines
+        h = _code_values()[codes]
+    else:
+        texts = [x.decode("utf-8", "replace") for x in lines]
+        joined = ("\0" * pad).join(texts) + "\0" * pad
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        h = _code_values()[codes & 0xFFFF]
+        if len(codes) and codes.max() > 0xFFFF:
+            h = np.where(codes > 0xFFFF, mix(codes.astype(np.uint64)), h)
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     power, have = 0x9FB21C651E98DF25, 1
     while have < n:  # n is a power of two
-        h = h[:len(h) - have] * np.uint64(power) + h[have:]
-        power, have = power * power % 2**64, 2 * have
+        longer = h[:len(h) - have] * np.uint64(power)
+        longer += h[have:]
+        h, power, have = longer, power * power % 2**64, 2 * have
     counts = np.where(lengths > 0, np.maximum(lengths - n + 1, 1), 0)
-    first = np.cumsum(lengths + pad) - (lengths + pad)
-    return h[ragged(first, counts)], counts
+    ends, beyond = np.cumsum(lengths + pad), lengths + pad - counts
+    own = np.ones(len(codes), dtype=bool)
+    own[ragged(ends - beyond, beyond)] = False  # runs that begin behind the last of their line
+    return h[own[:len(h)]], counts
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
     """One-permutation MinHash of each line that has shingles: k 16-bit values,
     and 1 if many of them are borrowed, else 0."""
     n = len(counts)
-    hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    least = np.full(n * k, 0xFFFFFFFF, dtype=np.uint32)
-    bins = (((hashes >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
-    at = np.repeat(np.arange(n) * k, counts) + bins
-    np.minimum.at(least, at, (hashes >> np.uint64(16)).astype(np.uint32))
+    value = hashes >> np.uint64(29)  # in place from here: these arrays are as long as the text
+    value ^= hashes
+    value *= np.uint64(0xBF58476D1CE4E5B9)
+    bins = value >> np.uint64(32)
+    bins *= np.uint64(k)
+    bins >>= np.uint64(32)
+    at = bins.view(np.int64)
+    at += np.repeat(np.arange(n) * k, counts)
+    value >>= np.uint64(16)
+    value &= np.uint64(0xFFFFFFFF)
+    least = np.full(n * k, 1 << 32, dtype=np.uint64)  # above any value
+    np.minimum.at(least, at, value)
     least = least.reshape(n, k)
-    full = np.zeros(n * k, dtype=bool)
-    full[at] = True
-    full = full.reshape(n, k)
-    for i in np.flatnonzero(~full.all(axis=1) & (counts > 0)):
-        filled = np.flatnonzero(full[i])
-        empty = np.flatnonzero(~full[i])
-        source = np.searchsorted(filled, empty) % len(filled)
-        distance = (filled[source] - empty) % k
-        least[i, empty] = least[i, filled[source]] + (distance * 0x9E3779B1 & 0xFFFFFFFF).astype(np.uint32)
+    full = least < np.uint64(1 << 32)
+    least = np.minimum(least, 0xFFFFFFFF).astype(np.uint32)
+    borrow = np.flatnonzero(~full.all(axis=1) & (counts > 0))
+    twice = np.where(np.tile(full[borrow], 2), np.arange(2 * k), 2 * k)  # the bins once more behind the last
+    source = np.minimum.accumulate(twice[:, ::-1], axis=1)[:, :k - 1:-1]  # of each bin the next full one
+    distance = source - np.arange(k)
+    least[borrow] = least[borrow[:, None], source % k] + (distance * 0x9E3779B1 & 0xFFFFFFFF).astype(np.uint32)
     out = (mix(least.astype(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
     return np.column_stack((out, ((~full).sum(axis=1) > k // BORROWED).astype(np.uint16)))
 
 
 def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
     out = []
-    for lo, hi in runs(lines):
+    for lo, hi in runs(lines, SIGNED_BYTES):
         hashes, counts = char_shingles(lines[lo:hi])
         ends = np.cumsum(counts)
-        out += [np.unique(hashes[e - c:e]) for e, c in zip(ends.tolist(), counts.tolist())]
+        starts = ends - counts
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            hashes[a:b].sort()
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        new[starts[counts > 0]] = True
+        hashes, at = hashes[new], np.concatenate(([0], np.cumsum(new)))
+        out += [hashes[a:b] for a, b in zip(at[starts].tolist(), at[ends].tolist())]
     return out
 
 
@@ -105,7 +135,7 @@ def _split(k: int):
         for b in small(batches):
             out, size = ([], [], [], [], []), 0
             for row, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2))):
-                for number, line in enumerate(map(plain_line, text.split(b"\n"))):
+                for number, line in enumerate(plain_lines(text)):
                     if line:
                         for column, value in zip(out, (row, doc_id, number, _key(line), line)):
                             column.append(value)
@@ -150,15 +180,17 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, band
                    .withColumn("id", F.monotonically_increasing_id()).withColumn("size", F.lit(1)), "lines")
 
     def texts(ids: DataFrame) -> DataFrame:
-        wanted = (items.join(ids, "id").groupBy("place.row")
-                  .agg(F.collect_list(F.struct("place.number", "id")).alias("wanted")))  # at most a text's lines
-        return plain.join(wanted, "row").select("text", "wanted").mapInArrow(_picked, "id long, text binary")
+        wanted = ids.groupBy("place.row").agg(F.collect_list(F.struct("place.number", "id")).alias("wanted"))  # at most a text's lines
+        return plain.join(wanted.hint("shuffle_hash"), "row").select("text", "wanted").mapInArrow(_picked, "id long, text binary")
 
     bands_of = tuple(tuple(range(i * band, (i + 1) * band)) for i in range(bands))
     comps = linked(items, texts, Scheme(k, matches, percent, np.uint16, bands_of, shingle_sets, min(matches, band + DEPTH)))
-    first = (items.select("id", "place").join(comps.withColumnRenamed("node", "id"), "id", "left")
-             .groupBy(F.coalesce("comp", "id").alias("comp")).agg(F.min("place").alias("place")))
-    return first.select("place.row", "place.doc_id", "place.number")
+    # most lines are in no component: only the others are grouped
+    known = comps.select(F.col("node").alias("id"), "comp").union(comps.select(F.col("comp").alias("id"), "comp").distinct())
+    places = items.select("id", "place")
+    alone = places.join(known.select("id").hint("shuffle_hash"), "id", "left_anti").select("place")
+    first = places.join(known.hint("shuffle_hash"), "id").groupBy("comp").agg(F.min("place").alias("place")).select("place")
+    return alone.union(first).select("place.row", "place.doc_id", "place.number")
 
 
 def _with_rows(docs: DataFrame) -> DataFrame:
@@ -202,9 +234,9 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
 def line_report(docs: DataFrame, **options) -> DataFrame:
     """Per row of ``docs``: doc_id, n_lines (with words), n_kept and kept, the
     numbers of the lines that stay (see ``dedup_lines``), from 0."""
-    docs = _with_rows(docs.select("doc_id", "text"))
     counted = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]"))))
-    rows = docs.select("__row", "doc_id", counted.cast("long").alias("n_lines"))
+    docs = _with_rows(docs.select("doc_id", "text", counted.cast("long").alias("n_lines")))  # so the texts need no further scan
+    rows = docs.select("__row", "doc_id", "n_lines")
     kept = F.coalesce("__kept", F.array().cast("array<int>"))
     return (rows.join(_kept_by_row(docs, **options), "__row", "left")
             .select("doc_id", "n_lines", F.size(kept).cast("long").alias("n_kept"), kept.alias("kept")))

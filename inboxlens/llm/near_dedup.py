@@ -96,8 +96,7 @@ def _grouped(docs: DataFrame, percent: int, k: int, matches: int) -> DataFrame:
                    .withColumn("id", F.monotonically_increasing_id()), "items")
 
     def texts(ids: DataFrame) -> DataFrame:
-        wanted = items.join(ids, "id").select("id", "text_key")
-        found = plain.select("text").mapInArrow(_keyed, "text_key binary, text binary").join(wanted, "text_key")
+        found = plain.select("text").mapInArrow(_keyed, "text_key binary, text binary").join(ids.select("id", "text_key"), "text_key")
         return found.groupBy("id").agg(F.first("text").alias("text"))  # one of equal texts
 
     comps = linked(items, texts, scheme(percent, k, matches))

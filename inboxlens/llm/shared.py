@@ -43,9 +43,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     there, so a lost executor costs a re-read and row ids given once stay."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    # Spark deletes shuffle files once the driver's JVM finds them unused.
+    # Spark deletes shuffle files once the driver's JVM finds them unused. Those of the step
+    # before are by now; right after a step, its events still hold them.
     spark.sparkContext._jvm.System.gc()
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

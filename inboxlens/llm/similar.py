@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -199,16 +199,22 @@ def _wanted(scheme: Scheme):
     return run
 
 
+def _one_by_one(sets: list[np.ndarray], others: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.array([len(np.intersect1d(sets[a], others[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist())], dtype=np.int64)
+
+
 def _shared_counts(sets: list[np.ndarray], others: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of sets[i] and others[j]. Similar sets have a
-    small vocabulary in common: then bitmaps over it are compared."""
+    small vocabulary in common: bitmaps over it are compared if there are many pairs."""
     used = [np.unique(x) for x in (i, j)]
+    if len(i) <= 4 * (len(used[0]) + len(used[1])):
+        return _one_by_one(sets, others, i, j)
     members = [sets[x] for x in used[0]] + [others[x] for x in used[1]]
     _, at, held = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
     both = held > 1  # what one set alone has is in no intersection
     width = max(1, -(-int(both.sum()) // 64))
     if len(members) * width * 8 > BITMAP_BYTES:
-        return np.array([len(np.intersect1d(sets[a], others[b], assume_unique=True)) for a, b in zip(i, j)], dtype=np.int64)
+        return _one_by_one(sets, others, i, j)
     row = np.repeat(np.arange(len(members)), [len(m) for m in members])[both[at]]
     at = (np.cumsum(both) - 1)[at[both[at]]]
     packed = np.zeros((len(members), width), dtype=np.uint64)
@@ -235,10 +241,12 @@ def _compare(scheme: Scheme):
 
         for new, kind, out, rows in _lists(batches, columns):
             i, j, _ = _candidates(scheme, rows[:4], out[:4], *kind)
+            x, y = (np.array([len(s) for s in sets], dtype=np.int64)[at] for sets, at in ((out[4], i), (rows[4], j)))
+            able = 100 * np.minimum(x, y) >= scheme.percent * np.maximum(x, y)
+            i, j, size = i[able], j[able], (x + y)[able]
             if not len(i):
                 continue
             both = _shared_counts(out[4], rows[4], i, j)
-            size = np.array([len(x) for x in out[4]])[i] + np.array([len(x) for x in rows[4]])[j]
             similar = 100 * both >= scheme.percent * (size - both)
             for a, b in zip(i[similar].tolist(), j[similar].tolist()):
                 x, y = root(out[1][a]), root(rows[1][b])
@@ -263,7 +271,7 @@ def _confirm(scheme: Scheme):
             for p, flag, q, s in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), sets):
                 if flag == 0:
                     pivot = s
-                else:
+                elif 100 * min(len(pivot), len(s)) >= scheme.percent * max(len(pivot), len(s)):
                     both = len(np.intersect1d(pivot, s, assume_unique=True))
                     if 100 * both >= scheme.percent * (len(pivot) + len(s) - both):
                         out.append((p, q))
@@ -272,6 +280,12 @@ def _confirm(scheme: Scheme):
     return run
 
 
+def _first_lists(posts: DataFrame) -> DataFrame:
+    """``_listed`` for first keys: most are an item's alone, so counting them in the map
+    tasks saves nothing, and one shuffle of the 16-byte posts does for count and members."""
+    return posts.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
+
+
 def _listed(posts: DataFrame) -> DataFrame:
     """Posts under keys that several items share, with the number of items."""
     shared = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -280,8 +294,8 @@ def _listed(posts: DataFrame) -> DataFrame:
 
 def _with_pivots(lists: DataFrame, items: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
     """Stored links (a, b) of the members of each list with its pivot."""
-    score = lists.groupBy("id").agg(F.sum("n").alias("score"))
-    pivots = (lists.join(score, "id").groupBy("key")
+    score = F.sum("n").over(Window.partitionBy("id"))  # of an item's few lists
+    pivots = (lists.withColumn("score", score).groupBy("key")
               .agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("top")).select("key", (-F.col("top.neg")).alias("p")))
     pairs = lists.join(pivots, "key").where("id <> p").select("p", F.col("id").alias("q")).distinct()
     sides = [items.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "pq"]
@@ -332,14 +346,17 @@ def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Sc
     """Components of similar items: node, comp (see ``components``).
 
     ``items``: stored table of id, size (distinct shingles, equal for all if not
-    known) and sig; ``texts``: gives the texts (id, text) of a table of ids."""
+    known), sig and any other columns; ``texts``: gives the texts (id, text) of a
+    table of ids, which has those other columns too."""
     if len(scheme.coordinates) > BASES:
         raise ValueError(f"more than {BASES} first keys")
-    items = items.select("id", "size", "sig")
     posts = items.select("id", "sig").mapInArrow(_post(scheme), _ddl(_FIRST))
     base = F.col("key").bitwiseAND(F.lit(BASES - 1)).cast("int")
-    lists = stored(_listed(posts).select("key", base.alias("base"), F.lit(-1).alias("last"), F.lit(0).alias("ext"), "id", "n"), "lists")
-    bodies = stored(texts(lists.select("id").distinct()), "bodies")
+    lists = stored(_first_lists(posts).select("key", base.alias("base"), F.lit(-1).alias("last"), F.lit(0).alias("ext"), "id", "n"), "lists")
+    # most items share no key: later joins read the members of lists only
+    members = stored(items.join(lists.select("id").hint("shuffle_hash"), "id", "left_semi"), "members")
+    bodies = stored(texts(members.drop("size", "sig")).select("id", "text"), "bodies")
+    items = members.select("id", "size", "sig")
     links = _with_pivots(lists, items, bodies, scheme)
     comps = components(links)
     drop(links)
@@ -363,4 +380,5 @@ def linked(items: DataFrame, texts: Callable[[DataFrame], DataFrame], scheme: Sc
         drop(rows)
     drop(rows)
     drop(bodies)
+    drop(members)
     return comps
