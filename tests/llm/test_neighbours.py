@@ -91,3 +91,60 @@ def test_one_common_vector(spark):
     df = spark.range(400).selectExpr("id as vec_id", "if(id % 3 = 0, array(1f, 1f, 0f), array(float(sin(id)) / 2, float(cos(id)) / 2, 1f)) as embedding")
     got = nearest(df, df.where("vec_id = 0"), 5).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in got] == [(i, 2.0) for i in (3, 6, 9, 12, 15)]
+
+
+def test_visits_are_never_broadcast(spark, monkeypatch):
+    """A query's 160 visits carry its vector, which Spark's estimate of their size leaves out."""
+    plans, stored = [], neighbours.stored
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(neighbours, "stored", seen)
+    monkeypatch.setattr(neighbours, "CHUNK", 64)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors(600))], KIND)
+    for size in (1 << 28, 0):
+        monkeypatch.setattr(neighbours, "ROUND", size, raising=False)
+        assert nearest(df, df.where("vec_id % 50 = 0"), 10, width=1.0).count() == 120
+    found = [p for name, p in plans if name == "found"]
+    assert found
+    for plan in found:
+        depth = None
+        for line in plan.splitlines():
+            at = next((i for i, c in enumerate(line) if c.isalpha() or c == "*"), 0)
+            if depth is not None and at <= depth:
+                depth = None
+            if depth is None and "BroadcastExchange" in line:
+                depth = at
+            assert depth is None or "MapInArrow" not in line, plan
+
+
+def test_tables_searched_one_after_another(spark, monkeypatch):
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors(1500))], KIND)
+    rows = []
+    for size in (1 << 28, 0):
+        monkeypatch.setattr(neighbours, "ROUND", size)
+        rows.append(sorted(map(tuple, nearest(df, df.where("vec_id % 50 = 0"), 10, width=1.2).collect())))
+    assert rows[0] == rows[1] and len(rows[0]) == 300
+
+
+def test_repeated_rows_take_no_place_in_a_chunk(spark):
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors(600))], KIND)
+    asked = df.where("vec_id % 100 = 0")
+    once, thrice = (sorted(map(tuple, nearest(x, asked, 10, width=9.0).collect())) for x in (df, df.union(df).union(df)))
+    assert once == thrice and len(once) == 60
+
+
+def test_rough_scores_lose_no_pair():
+    rng = np.random.default_rng(3)
+    for size, dtype in ((1.0, np.float32), (1e-120, float), (1e-150, float), (1e120, float)):
+        x = (rng.normal(size=(2000, 24)) * rng.uniform(0.5, 1.5, (2000, 1))).astype(dtype).astype(float) * size
+        x[1000:1300] = x[0]  # ties
+        ids, asked = np.arange(2000), np.arange(0, 2000, 50)
+        score = np.einsum("qd,vd->qv", x[asked], x)
+        for least in (np.full(40, -np.inf), np.sort(score, axis=1)[:, -30]):
+            q, v, s = (np.concatenate(c) for c in zip(*neighbours._Chunk(ids, x, 10).met(asked, x[asked], least)))
+            q, v, s = neighbours._best(q, v, s, 10)
+            true = [(a, b, score[i, b]) for i, a in enumerate(asked) for b in [j for j in np.lexsort((ids, -score[i])) if j != a][:10]]
+            assert list(zip(q, v, s)) == true
